@@ -63,10 +63,11 @@ class HolidayCalendar:
 
 
 # Calendar used by the registered queries: the driver events cover January 2024.
+# The forecast horizon (early February) gets a closed day and a major window too.
 DEMO_HOLIDAYS = HolidayCalendar.of(
-    public=("2024-01-01", "2024-01-07", "2024-01-15", "2024-01-22"),
-    major=("2024-01-01", "2024-01-07", "2024-01-22"),
-    closed=("2024-01-01", "2024-01-07"),
+    public=("2024-01-01", "2024-01-07", "2024-01-15", "2024-01-22", "2024-02-02", "2024-02-04"),
+    major=("2024-01-01", "2024-01-07", "2024-01-22", "2024-02-04"),
+    closed=("2024-01-01", "2024-01-07", "2024-02-04"),
     special=("2024-01-22",),
 )
 

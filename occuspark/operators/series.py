@@ -93,13 +93,13 @@ def split_flags(df: DataFrame, key="gym_id", ts="ts", ratio: float = 0.8,
     return df.withColumn(out, (F.row_number().over(w) <= cut).cast("int"))
 
 
-def split3(df: DataFrame, key="gym_id", ts="ts", train: float = 0.7, valid: float = 0.1,
+def split3(df: DataFrame, key="gym_id", ts="ts", first: float = 0.7, second: float = 0.8,
            tiebreak: str | None = None, out: str = "split") -> DataFrame:
     """70/10/20 per entity; the validation end is at least one row after the train end."""
     w = Window.partitionBy(key).orderBy(*_order(ts, tiebreak))
     n = F.count(F.lit(1)).over(Window.partitionBy(key))
-    a = F.greatest(F.lit(1), F.floor(n * F.lit(train)))
-    b = F.greatest(a + 1, F.floor(n * F.lit(train + valid)))
+    a = F.greatest(F.lit(1), F.floor(n * F.lit(first)))
+    b = F.greatest(a + 1, F.floor(n * F.lit(second)))
     rn = F.row_number().over(w)
     return df.withColumn(out, F.when(rn <= a, "train").when(rn <= b, "validation").otherwise("test"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..operators import series
+from ..operators import forecast, series
 from ..sources.tables import load_table
 
 N_GYMS = 16
@@ -104,11 +104,58 @@ FROM v_obs
 
 VIEW_SQL["v_split"] = """
 SELECT *, CAST(row_number() OVER (PARTITION BY gym_id ORDER BY ts)
-              <= greatest(1, floor(count(*) OVER (PARTITION BY gym_id) * 0.8)) AS INTEGER) AS is_train
+              <= greatest(1, floor(count(*) OVER (PARTITION BY gym_id) * CAST(0.8 AS DOUBLE))) AS INTEGER) AS is_train
 FROM v_feat
 """
 
 
+VIEW_SQL["v_pred"] = """
+SELECT t.*, t.lag_1 AS pred_previous, t.lag_96 AS pred_seasonal, t.rolling_mean_16 AS pred_rolling,
+       coalesce(b.m, g.m, a.m) AS pred_calendar
+FROM (SELECT * FROM v_split WHERE is_train = 0) t
+LEFT JOIN (SELECT gym_id, day_of_week, hour, avg(active_people) AS m FROM v_split WHERE is_train = 1
+           GROUP BY gym_id, day_of_week, hour) b USING (gym_id, day_of_week, hour)
+LEFT JOIN (SELECT gym_id, avg(active_people) AS m FROM v_split WHERE is_train = 1 GROUP BY gym_id) g USING (gym_id)
+CROSS JOIN (SELECT avg(active_people) AS m FROM v_split WHERE is_train = 1) a
+"""
+
+VIEW_SQL["v_future"] = f"""
+SELECT ts, gym_id, city, address, prediction,
+       greatest(0.0, prediction - u) AS prediction_interval_low, prediction + u AS prediction_interval_high,
+       u AS uncertainty_abs_error_p80, 'calendar_profile' AS model, day_of_week, hour,
+       CAST(isodow(ts) >= 6 AS INTEGER) AS is_weekend, {sql_open('ts')} AS is_open_estimated,
+       CASE WHEN isodow(ts) >= 6 THEN '09:00-18:00' ELSE '07:00-22:00' END AS business_hours,
+       {sql_in_dates('ts', HOLIDAYS.public)} AS is_public_holiday,
+       {sql_in_dates('ts', HOLIDAYS.closed)} AS is_gym_closed_holiday,
+       {sql_in_dates('ts', HOLIDAYS.major)} AS is_major_low_traffic_holiday,
+       CAST({sql_distance('ts', HOLIDAYS.major)} <= 2 AS INTEGER) AS is_major_holiday_window,
+       {sql_multiplier('ts', HOLIDAYS)} AS holiday_effect_multiplier
+FROM (
+  SELECT p.*, CASE WHEN prediction = 0 THEN 0.0 ELSE coalesce(ugh.p80, uh.p80, ug.p80, 8.0) END AS u
+  FROM (
+    SELECT s.*, CASE WHEN {sql_in_dates('s.ts', HOLIDAYS.closed)} = 1 OR {sql_open('s.ts')} = 0 THEN 0.0
+                     ELSE greatest(coalesce(b.m, gh.m, a.m), 0.0) END AS prediction
+    FROM (
+      SELECT gym_id, city, address, ts, isodow(ts) - 1 AS day_of_week, hour(ts) AS hour FROM (
+        SELECT m.gym_id, m.city, m.address,
+               unnest(range(st.start, st.start + INTERVAL 7 DAY, INTERVAL 20 MINUTE)) AS ts
+        FROM (SELECT gym_id, city, address FROM (
+                SELECT *, row_number() OVER (PARTITION BY gym_id ORDER BY ts DESC, seq) AS rn FROM v_obs)
+              WHERE rn = 1) m
+        CROSS JOIN (SELECT max(ts) + INTERVAL 20 MINUTE AS start FROM v_obs) st)) s
+    LEFT JOIN (SELECT gym_id, isodow(ts) - 1 AS day_of_week, hour(ts) AS hour, avg(active_people) AS m
+               FROM v_obs GROUP BY ALL) b USING (gym_id, day_of_week, hour)
+    LEFT JOIN (SELECT gym_id, hour(ts) AS hour, avg(active_people) AS m FROM v_obs GROUP BY ALL) gh
+      USING (gym_id, hour)
+    CROSS JOIN (SELECT avg(active_people) AS m FROM v_obs) a) p
+  LEFT JOIN (SELECT gym_id, hour, quantile_cont(abs(active_people - pred_calendar), 0.8) AS p80
+             FROM v_pred GROUP BY ALL) ugh USING (gym_id, hour)
+  LEFT JOIN (SELECT hour, quantile_cont(abs(active_people - pred_calendar), 0.8) AS p80
+             FROM v_pred GROUP BY ALL) uh USING (hour)
+  CROSS JOIN (SELECT quantile_cont(abs(active_people - pred_calendar), 0.8) AS p80 FROM v_pred) ug)
+"""
+
+
 # --------------------------------------------------------------- Spark views
 class Ctx:
     """Per-query access to driver tables and fixture views (lazily built)."""
@@ -152,3 +199,12 @@ class Ctx:
 
     def split(self) -> DataFrame:
         return self._memo("split", lambda: series.split_flags(self.feat()))
+
+    def pred(self) -> DataFrame:
+        return self._memo("pred", lambda: forecast.baseline_predictions(self.split()))
+
+    def pred_errors(self) -> DataFrame:
+        return self.pred().withColumn("abs_error", F.abs(F.col("active_people") - F.col("pred_calendar")))
+
+    def future(self) -> DataFrame:
+        return self._memo("future", lambda: forecast.forecast_profile(self.obs(), self.pred_errors(), HOLIDAYS))
