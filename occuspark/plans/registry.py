@@ -24,12 +24,13 @@ class QuerySpec:
     name: str
     fn: Callable[[SparkSession, str], DataFrame]
     sql: str | None
+    digits: int = 8
 
 
 REGISTRY: dict[str, QuerySpec] = {}
 
 
-def normalise(df: DataFrame, digits: int = 6) -> DataFrame:
+def normalise(df: DataFrame, digits: int = 8) -> DataFrame:
     """Canonical output types: integral -> BIGINT, float -> DOUBLE rounded."""
     cols = []
     for f in df.schema.fields:
@@ -42,7 +43,7 @@ def normalise(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
-def query(name: str, sql: str | None = None, digits: int = 6):
+def query(name: str, sql: str | None = None, digits: int = 8):
     """Register ``fn`` under ``name``; its output is normalised (see above)."""
 
     def deco(fn):
@@ -53,7 +54,7 @@ def query(name: str, sql: str | None = None, digits: int = 6):
         run.__doc__ = fn.__doc__
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = QuerySpec(name, run, sql)
+        REGISTRY[name] = QuerySpec(name, run, sql, digits)
         return fn
 
     return deco
@@ -93,7 +94,48 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def all_oracles() -> dict[str, str]:
     _load_all()
-    return {k: expand(v.sql) for k, v in REGISTRY.items() if v.sql}
+    con = _schema_connection()
+    return {k: canonical_sql(expand(v.sql), v.digits, con) for k, v in REGISTRY.items() if v.sql}
+
+
+SCHEMA_DIR = "/root/testdata/sf0.001"
+_INT_TYPES = {"TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER",
+              "UBIGINT", "UHUGEINT"}
+
+
+def _schema_connection():
+    """DuckDB connection used only to *bind* oracle texts (DESCRIBE), never to answer them."""
+    try:
+        import duckdb
+
+        from ..sources.tables import TABLES
+        con = duckdb.connect()
+        for t in TABLES:
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SCHEMA_DIR}/{t}.parquet')")
+        return con
+    except Exception:  # noqa: BLE001 - the oracle stays usable unwrapped
+        return None
+
+
+def canonical_sql(sql: str, digits: int, con) -> str:
+    """Wrap an oracle so its output types match :func:`normalise` (BIGINT / rounded DOUBLE)."""
+    if con is None:
+        return sql
+    try:
+        desc = con.execute(f"DESCRIBE {sql}").fetchall()
+    except Exception:  # noqa: BLE001
+        return sql
+    cols = []
+    for name, typ, *_ in desc:
+        q = '"' + name.replace('"', '""') + '"'
+        t = typ.upper()
+        if t in _INT_TYPES:
+            cols.append(f"CAST({q} AS BIGINT) AS {q}")
+        elif t in ("DOUBLE", "FLOAT", "REAL") or t.startswith("DECIMAL"):
+            cols.append(f"round(CAST({q} AS DOUBLE), {digits}) AS {q}")
+        else:
+            cols.append(q)
+    return f"SELECT {', '.join(cols)} FROM (\n{sql}\n) AS oracle_q"
 
 
 def _load_all() -> None:

@@ -7,11 +7,11 @@ definitions are kept side by side so they cannot drift apart unnoticed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..operators import forecast, series
+from ..operators import forecast, members, series
 from ..sources.tables import load_table
 
 N_GYMS = 16
@@ -156,6 +156,74 @@ FROM (
 """
 
 
+VIEW_SQL["v_sets"] = """
+SELECT event_id AS set_id, user_id % 10 AS user_id, event_type AS exercise,
+       floor(value / 2.5) * 2.5 AS weight_kg, CAST(5 + event_id % 9 AS INTEGER) AS reps, ts AS performed_at,
+       row_number() OVER (PARTITION BY user_id % 10, event_type, CAST(ts AS DATE) ORDER BY ts, event_id) AS set_index,
+       props AS modifiers_json
+FROM events
+"""
+
+VIEW_SQL["v_visits"] = f"""
+SELECT event_id AS visit_id, user_id % 10 AS user_id,
+       'gym_' || lpad(CAST(user_id % {N_GYMS} + 1 AS VARCHAR), 3, '0') AS gym_id,
+       ts AS checked_in_at, value AS active_people_at_checkin
+FROM events WHERE event_type IN ('view', 'click')
+"""
+
+VIEW_SQL["v_templates"] = """
+SELECT o_orderkey AS template_id, o_custkey % 10 AS user_id, 'Template ' || CAST(o_orderkey AS VARCHAR) AS name,
+       o_orderpriority AS focus, CAST(30 + o_orderkey % 60 AS INTEGER) AS estimated_minutes, o_orderdate AS created_at
+FROM orders
+"""
+
+VIEW_SQL["v_prefs"] = f"""
+SELECT c_custkey AS user_id, CAST(7 + c_custkey % 5 AS INTEGER) AS preferred_min_hour,
+       CAST(15 + c_custkey % 6 AS INTEGER) AS preferred_max_hour, CAST(30 + c_custkey * 5 AS DOUBLE) AS max_crowd_people,
+       CAST(2 + c_custkey % 4 AS INTEGER) AS weekly_goal_sessions,
+       CAST(c_custkey % 7 AS VARCHAR) || ',' || CAST((c_custkey + 2) % 7 AS VARCHAR) || ',' ||
+         CAST((c_custkey + 4) % 7 AS VARCHAR) || CASE WHEN c_custkey = 3 THEN ',x' ELSE '' END AS preferred_weekdays_text,
+       CAST(CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 1 END AS INTEGER) AS off_peak_bonus_enabled,
+       'gym_' || lpad(CAST(c_custkey % {N_GYMS} + 1 AS VARCHAR), 3, '0') AS preferred_gym_id,
+       CASE c_custkey % 3 WHEN 0 THEN 'auto' WHEN 1 THEN 'custom' ELSE 'pr' END AS preferred_rep_mode,
+       CAST(6 + c_custkey % 4 AS INTEGER) AS preferred_rep_min, CAST(10 + c_custkey % 3 AS INTEGER) AS preferred_rep_max
+FROM customer WHERE c_custkey < 8
+"""
+
+VIEW_SQL["v_users"] = """
+SELECT DISTINCT user_id FROM v_sets
+"""
+
+VIEW_SQL["v_prefs_full"] = """
+SELECT user_id, coalesce(preferred_min_hour, 9) AS preferred_min_hour, coalesce(preferred_max_hour, 17) AS preferred_max_hour,
+       coalesce(max_crowd_people, 45.0) AS max_crowd_people, coalesce(weekly_goal_sessions, 3) AS weekly_goal_sessions,
+       coalesce(preferred_weekdays_text, '0,2,4') AS preferred_weekdays_text,
+       coalesce(off_peak_bonus_enabled, 1) AS off_peak_bonus_enabled, coalesce(preferred_gym_id, 'gym_008') AS preferred_gym_id,
+       coalesce(preferred_rep_mode, 'auto') AS preferred_rep_mode, coalesce(preferred_rep_min, 8) AS preferred_rep_min,
+       coalesce(preferred_rep_max, 10) AS preferred_rep_max,
+       CASE WHEN len(list_filter(string_split(coalesce(preferred_weekdays_text, '0,2,4'), ','), lambda x: regexp_full_match(x, '\\s*[+-]?[0-9]+\\s*'))) = 0
+            THEN [0, 2, 4]
+            ELSE list_transform(list_filter(string_split(coalesce(preferred_weekdays_text, '0,2,4'), ','),
+                                            lambda x: regexp_full_match(x, '\\s*[+-]?[0-9]+\\s*')), lambda x: CAST(trim(x) AS INTEGER)) END
+         AS preferred_weekdays
+FROM v_users LEFT JOIN v_prefs USING (user_id)
+"""
+
+
+def sql_window_label(expr: str, minutes: int = 90, strict: bool = False) -> str:
+    lo, hi = ("<", "<") if strict else ("<=", "<=")
+    start = (f"(CASE WHEN minute({expr}) {lo} 15 THEN date_trunc('hour', {expr}) "
+             f"WHEN minute({expr}) {hi} 45 THEN date_trunc('hour', {expr}) + INTERVAL 30 MINUTE "
+             f"ELSE date_trunc('hour', {expr}) + INTERVAL 1 HOUR END)")
+    names = "['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday']"
+    return (f"({names}[isodow({start})] || ' ' || strftime({start}, '%H:%M') || '-' || "
+            f"strftime({start} + INTERVAL {minutes} MINUTE, '%H:%M'))")
+
+
+def sql_fh(expr: str) -> str:
+    return f"(hour({expr}) + minute({expr}) / 60.0)"
+
+
 # --------------------------------------------------------------- Spark views
 class Ctx:
     """Per-query access to driver tables and fixture views (lazily built)."""
@@ -208,3 +276,53 @@ class Ctx:
 
     def future(self) -> DataFrame:
         return self._memo("future", lambda: forecast.forecast_profile(self.obs(), self.pred_errors(), HOLIDAYS))
+
+    # v_sets: workout sets derived from events (user = user_id % 10, exercise = event type).
+    def sets(self) -> DataFrame:
+        def build():
+            e = self.t("events")
+            u = F.col("user_id") % 10
+            w = Window.partitionBy(u, F.to_date("ts"), "event_type").orderBy("ts", "event_id")
+            return e.select(F.col("event_id").alias("set_id"), u.alias("user_id"),
+                            F.col("event_type").alias("exercise"),
+                            (F.floor(F.col("value") / 2.5) * 2.5).alias("weight_kg"),
+                            (F.lit(5) + F.col("event_id") % 9).cast("int").alias("reps"),
+                            F.col("ts").alias("performed_at"), F.row_number().over(w).alias("set_index"),
+                            F.col("props").alias("modifiers_json"))
+        return self._memo("sets", build)
+
+    def visits(self) -> DataFrame:
+        e = self.t("events").filter(F.col("event_type").isin("view", "click"))
+        return e.select(F.col("event_id").alias("visit_id"), (F.col("user_id") % 10).alias("user_id"),
+                        F.format_string("gym_%03d", F.col("user_id") % N_GYMS + 1).alias("gym_id"),
+                        F.col("ts").alias("checked_in_at"), F.col("value").alias("active_people_at_checkin"))
+
+    def templates(self) -> DataFrame:
+        o = self.t("orders")
+        return o.select(F.col("o_orderkey").alias("template_id"), (F.col("o_custkey") % 10).alias("user_id"),
+                        F.concat(F.lit("Template "), F.col("o_orderkey").cast("string")).alias("name"),
+                        F.col("o_orderpriority").alias("focus"),
+                        (F.lit(30) + F.col("o_orderkey") % 60).cast("int").alias("estimated_minutes"),
+                        F.col("o_orderdate").alias("created_at"))
+
+    def prefs(self) -> DataFrame:
+        c = self.t("customer").filter(F.col("c_custkey") < 8)
+        k = F.col("c_custkey")
+        wd = F.concat_ws(",", (k % 7).cast("string"), ((k + 2) % 7).cast("string"), ((k + 4) % 7).cast("string"))
+        return c.select(k.alias("user_id"), (7 + k % 5).cast("int").alias("preferred_min_hour"),
+                        (15 + k % 6).cast("int").alias("preferred_max_hour"),
+                        (30 + k * 5).cast("double").alias("max_crowd_people"),
+                        (2 + k % 4).cast("int").alias("weekly_goal_sessions"),
+                        F.concat(wd, F.when(k == 3, F.lit(",x")).otherwise(F.lit(""))).alias("preferred_weekdays_text"),
+                        F.when(k % 3 == 0, 0).otherwise(1).cast("int").alias("off_peak_bonus_enabled"),
+                        F.format_string("gym_%03d", k % N_GYMS + 1).alias("preferred_gym_id"),
+                        F.element_at(F.array(F.lit("auto"), F.lit("custom"), F.lit("pr")), (k % 3 + 1).cast("int"))
+                         .alias("preferred_rep_mode"),
+                        (6 + k % 4).cast("int").alias("preferred_rep_min"),
+                        (10 + k % 3).cast("int").alias("preferred_rep_max"))
+
+    def users(self) -> DataFrame:
+        return self.sets().select("user_id").distinct()
+
+    def prefs_full(self) -> DataFrame:
+        return self._memo("prefs_full", lambda: members.preferences(self.users(), self.prefs()))
