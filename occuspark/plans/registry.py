@@ -31,7 +31,7 @@ REGISTRY: dict[str, QuerySpec] = {}
 
 
 def normalise(df: DataFrame, digits: int = 8) -> DataFrame:
-    """Canonical output types: integral -> BIGINT, float -> DOUBLE rounded."""
+    """Canonical output types: integral -> BIGINT, float -> DOUBLE rounded, DATE -> 'yyyy-MM-dd'."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -39,6 +39,8 @@ def normalise(df: DataFrame, digits: int = 8) -> DataFrame:
             c = c.cast("bigint")
         elif isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
             c = F.round(c.cast("double"), digits)
+        elif isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -133,6 +135,8 @@ def canonical_sql(sql: str, digits: int, con) -> str:
             cols.append(f"CAST({q} AS BIGINT) AS {q}")
         elif t in ("DOUBLE", "FLOAT", "REAL") or t.startswith("DECIMAL"):
             cols.append(f"round(CAST({q} AS DOUBLE), {digits}) AS {q}")
+        elif t == "DATE":
+            cols.append(f"strftime({q}, '%Y-%m-%d') AS {q}")
         else:
             cols.append(q)
     return f"SELECT {', '.join(cols)} FROM (\n{sql}\n) AS oracle_q"

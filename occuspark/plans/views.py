@@ -210,6 +210,15 @@ FROM v_users LEFT JOIN v_prefs USING (user_id)
 """
 
 
+VIEW_SQL["v_scheduled"] = f"""
+SELECT o_orderkey AS scheduled_id, o_custkey % 10 AS user_id,
+       'gym_' || lpad(CAST(o_custkey % {N_GYMS} + 1 AS VARCHAR), 3, '0') AS gym_id,
+       'Session ' || CAST(o_orderkey AS VARCHAR) AS title, o_orderdate AS scheduled_at,
+       CASE o_orderstatus WHEN 'O' THEN 'planned' WHEN 'F' THEN 'completed' ELSE 'skipped' END AS status,
+       o_totalprice / 1000.0 AS expected_people
+FROM orders
+"""
+
 def sql_window_label(expr: str, minutes: int = 90, strict: bool = False) -> str:
     lo, hi = ("<", "<") if strict else ("<=", "<=")
     start = (f"(CASE WHEN minute({expr}) {lo} 15 THEN date_trunc('hour', {expr}) "
@@ -326,3 +335,13 @@ class Ctx:
 
     def prefs_full(self) -> DataFrame:
         return self._memo("prefs_full", lambda: members.preferences(self.users(), self.prefs()))
+
+    def scheduled(self) -> DataFrame:
+        o = self.t("orders")
+        st = F.col("o_orderstatus")
+        return o.select(F.col("o_orderkey").alias("scheduled_id"), (F.col("o_custkey") % 10).alias("user_id"),
+                        F.format_string("gym_%03d", F.col("o_custkey") % N_GYMS + 1).alias("gym_id"),
+                        F.concat(F.lit("Session "), F.col("o_orderkey").cast("string")).alias("title"),
+                        F.col("o_orderdate").alias("scheduled_at"),
+                        F.when(st == "O", "planned").when(st == "F", "completed").otherwise("skipped").alias("status"),
+                        (F.col("o_totalprice") / 1000.0).alias("expected_people"))
