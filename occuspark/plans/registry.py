@@ -30,6 +30,19 @@ class QuerySpec:
 REGISTRY: dict[str, QuerySpec] = {}
 
 
+def round_binary(c, digits: int):
+    """Round half away from zero on the binary value (``round(x * 10^d) / 10^d``).
+
+    Spark's ``round`` rounds the shortest decimal text of a double, so a value
+    printed as ``0.533301415`` goes up while the same double rounded in binary
+    goes down; the oracle engine rounds in binary, and so do we.
+    """
+    m = float(10 ** digits)
+    y = F.abs(c * F.lit(m))
+    r = F.signum(c) * F.floor(y + F.lit(0.5)).cast("double") / F.lit(m)
+    return F.when(c.isNull() | F.isnan(c), c).when(y < F.lit(4.0e15), r).otherwise(c)
+
+
 def normalise(df: DataFrame, digits: int = 8) -> DataFrame:
     """Canonical output types: integral -> BIGINT, float -> DOUBLE rounded, DATE -> 'yyyy-MM-dd'."""
     cols = []
@@ -38,7 +51,7 @@ def normalise(df: DataFrame, digits: int = 8) -> DataFrame:
         if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
-            c = F.round(c.cast("double"), digits)
+            c = round_binary(c.cast("double"), digits)
         elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         cols.append(c.alias(f.name))
