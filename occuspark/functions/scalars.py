@@ -87,3 +87,136 @@ def slug_regex(x) -> Column:
 def dedupe_ids(arr) -> Column:
     """Trimmed, non-empty, order-preserving distinct."""
     return F.array_distinct(F.filter(F.transform(_c(arr), lambda s: F.trim(s)), lambda s: s != ""))
+
+
+# ------------------------------------------------------------------ names, slugs, html
+# Small words kept lower case inside display names.
+TITLE_SMALL_WORDS = ("and", "or", "with", "the", "of", "in", "on", "to", "for")
+# Acronyms kept upper case by the title rule.
+KEEP_UPPER = ("trx", "jm", "ez", "smr", "tke")
+# HTML entities decoded by the tag stripper (&amp; last, so decoding is one pass).
+HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+                 ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+# Domain stop words of name tokens.
+NAME_STOPWORDS = ("a", "an", "and", "bar", "body", "bodyweight", "cable", "dumbbell", "exercise", "freeweight",
+                  "machine", "smith", "the", "with")
+# Category and difficulty label maps.
+CATEGORY_LABELS = (("strength", "Hypertrophy"), ("cardio", "Conditioning"), ("plyometrics", "Conditioning"),
+                   ("stretching", "Mobility"), ("powerlifting", "Strength"))
+DIFFICULTY_LABELS = (("beginner", "Beginner"), ("intermediate", "Intermediate"), ("expert", "Advanced"))
+# Whitespace as Python's str.strip() understands it.
+PY_SPACE = "\\s\\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
+
+
+def py_strip(x) -> Column:
+    return F.regexp_replace(_c(x), f"^[{PY_SPACE}]+|[{PY_SPACE}]+$", "")
+
+
+def slug_replace(x) -> Column:
+    """lower; '&' -> 'and'; '/', '_' -> space; one pass of double spaces; strip; spaces -> '-'."""
+    s = F.replace(F.replace(F.replace(F.lower(_c(x)), F.lit("&"), F.lit("and")), F.lit("/"), F.lit(" ")), F.lit("_"), F.lit(" "))
+    s = F.replace(s, F.lit("  "), F.lit(" "))
+    return F.replace(py_strip(s), F.lit(" "), F.lit("-"))
+
+
+def title_name(x) -> Column:
+    """Title-case words split on '/' and whitespace, keeping listed acronyms upper case."""
+    s = F.trim(F.regexp_replace(F.regexp_replace(_c(x), "[_\\-]+", " "), "\\s+", " "))
+    parts = F.split(s, "(?<=[/ ])|(?=[/ ])")
+    keep = F.array(*[F.lit(k) for k in KEEP_UPPER])
+    cap = F.transform(parts, lambda p: F.when(F.array_contains(keep, F.lower(p)), F.upper(p))
+                      .otherwise(F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substring(p, 2, 1 << 20)))))
+    return F.trim(F.array_join(cap, ""))
+
+
+def name_tokens(x, stopwords=NAME_STOPWORDS) -> Column:
+    """Token *set* with the domain stop list, 1-character tokens dropped."""
+    stop = F.array(*[F.lit(s) for s in stopwords])
+    toks = F.regexp_extract_all(F.lower(_c(x)), F.lit("[a-z0-9]+"), 0)
+    return F.array_distinct(F.filter(toks, lambda t: (F.length(t) > 1) & ~F.array_contains(stop, t)))
+
+
+def strip_html(x) -> Column:
+    """Tags -> newline, zero-width spaces dropped, listed entities decoded."""
+    s = F.replace(F.regexp_replace(_c(x), "<[^>]+>", "\n"), F.lit("​"), F.lit(""))
+    for ent, ch in HTML_ENTITIES:
+        s = F.replace(s, F.lit(ent), F.lit(ch))
+    return s
+
+
+def clean_step(x) -> Column:
+    """Drop a leading 'Step n' marker, zero-width space -> space, collapse whitespace, strip."""
+    s = F.regexp_replace(py_strip(_c(x)), "(?i)^Step:?\\s*\\d+\\s*", "")
+    s = F.replace(s, F.lit("​"), F.lit(" "))
+    return py_strip(F.regexp_replace(s, f"[{PY_SPACE}]+", " "))
+
+
+def label_map(x, pairs, default: Column) -> Column:
+    v = F.lower(py_strip(_c(x)))
+    out = default
+    for k, lab in reversed(pairs):
+        out = F.when(v == k, F.lit(lab)).otherwise(out)
+    return out
+
+
+def category_label(x) -> Column:
+    v = F.lower(py_strip(_c(x)))
+    return label_map(x, CATEGORY_LABELS, title_name(F.when(v == "", F.lit("Uncategorized")).otherwise(v)))
+
+
+def difficulty_label(x) -> Column:
+    return label_map(x, DIFFICULTY_LABELS, F.lit("Unverified"))
+
+
+def rule_group(text, rules, default: str = "Unknown") -> Column:
+    """First rule whose any needle is a substring of the lower-cased text; else ``default``."""
+    t = F.lower(_c(text))
+    out = F.lit(default)
+    for needles, group in reversed(rules):
+        cond = None
+        for n in needles:
+            c = F.instr(t, n) > 0
+            cond = c if cond is None else (cond | c)
+        out = F.when(cond, F.lit(group)).otherwise(out)
+    return out
+
+
+def license_text(short, url, fallback) -> Column:
+    s, u = F.trim(F.coalesce(_c(short), F.lit(""))), F.trim(F.coalesce(_c(url), F.lit("")))
+    return (F.when((s != "") & (u != ""), F.concat(s, F.lit(" - "), u)).when(s != "", s)
+             .otherwise(_c(fallback) if not isinstance(fallback, str) else F.lit(fallback)))
+
+
+def first_text(*cols) -> Column:
+    """First non-empty trimmed string among the candidates."""
+    return F.coalesce(*[F.nullif(F.trim(_c(c)), F.lit("")) for c in cols], F.lit(""))
+
+
+def has_youtube_id(url) -> Column:
+    v = py_strip(F.coalesce(_c(url), F.lit("")))
+    eleven = (F.length(v) == 11) & v.rlike("^[A-Za-z0-9_-]+$")
+    marker = (F.instr(_c(url), "youtube.com/watch") > 0) | (F.instr(_c(url), "youtu.be/") > 0) | \
+             (F.instr(_c(url), "youtube-nocookie.com/embed/") > 0)
+    return eleven | F.coalesce(marker, F.lit(False))
+
+
+def display_name(x) -> Column:
+    """Title-case words (hyphen parts too) unless the text has an upper-case letter; small words
+    after the first stay lower case."""
+    v = _c(x)
+    parts = F.split(v, "(?<=[\\s-])|(?=[\\s-])")
+
+    def is_word(p):
+        return (p != "") & ~p.rlike("^[\\s-]$")
+
+    small = F.array(*[F.lit(w) for w in TITLE_SMALL_WORDS])
+
+    def fmt(p, i):
+        # word index = number of word parts before position i (0-based transform index)
+        idx = F.aggregate(F.slice(F.concat(F.array(F.lit("-")), parts), 1, i + 1), F.lit(0),
+                          lambda a, q: a + F.when(is_word(q), 1).otherwise(0))
+        lw = F.lower(p)
+        return (F.when(~is_word(p), p).when((idx > 0) & F.array_contains(small, lw), lw)
+                 .otherwise(F.concat(F.upper(F.substring(lw, 1, 1)), F.substring(lw, 2, 1 << 20))))
+    out = F.array_join(F.transform(parts, fmt), "")
+    return F.when((v == "") | v.rlike("[A-Z]") | v.isNull(), v).otherwise(out)

@@ -219,6 +219,30 @@ SELECT o_orderkey AS scheduled_id, o_custkey % 10 AS user_id,
 FROM orders
 """
 
+VIEW_SQL["v_library"] = """
+SELECT p_partkey AS item_id,
+       trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-') || '-' || CAST(p_partkey AS VARCHAR) AS slug,
+       p_name AS name, p_brand AS muscle_group, p_type AS category,
+       ['Beginner', 'Intermediate', 'Advanced'][p_size % 3 + 1] AS difficulty,
+       CASE WHEN p_size % 7 = 0 THEN 'wger' WHEN p_size % 5 = 0 THEN 'local seed' ELSE 'import' END AS source_name,
+       CAST(p_size % 2 AS INTEGER) AS has_anatomy,
+       CASE WHEN p_size % 11 = 0 THEN lpad(CAST(p_partkey AS VARCHAR), 11, 'y') ELSE '' END AS youtube_video_id,
+       CASE WHEN p_size % 4 = 0 THEN 'https://www.youtube.com/results?search_query=' || replace(p_name, ' ', '+') ELSE '' END AS video_url
+FROM part
+"""
+
+VIEW_SQL["v_media"] = """
+SELECT l_partkey AS item_id, l_orderkey AS order_key, l_linenumber AS sort_order,
+       CASE l_returnflag WHEN 'A' THEN 'external_video' WHEN 'N' THEN 'external_image' ELSE 'gif' END AS media_type,
+       CASE WHEN l_linenumber = 1 THEN 'https://www.youtube.com/watch?v=' || lpad(CAST(l_orderkey AS VARCHAR), 11, '0')
+            ELSE 'https://media.example.org/' || CAST(l_partkey AS VARCHAR) || '/' || CAST(l_orderkey AS VARCHAR) || '-'
+                 || CAST(l_linenumber AS VARCHAR) || CASE l_returnflag WHEN 'A' THEN '.mp4' WHEN 'N' THEN '.jpg' ELSE '.gif' END
+       END AS media_url,
+       CASE WHEN l_suppkey % 3 = 0 THEN 'generated reference' ELSE 'supplier ' || CAST(l_suppkey AS VARCHAR) END AS source_name,
+       CAST(l_discount < CAST(0.08 AS DOUBLE) AS INTEGER) AS embed_allowed
+FROM lineitem
+"""
+
 def sql_window_label(expr: str, minutes: int = 90, strict: bool = False) -> str:
     lo, hi = ("<", "<") if strict else ("<=", "<=")
     start = (f"(CASE WHEN minute({expr}) {lo} 15 THEN date_trunc('hour', {expr}) "
@@ -345,3 +369,33 @@ class Ctx:
                         F.col("o_orderdate").alias("scheduled_at"),
                         F.when(st == "O", "planned").when(st == "F", "completed").otherwise("skipped").alias("status"),
                         (F.col("o_totalprice") / 1000.0).alias("expected_people"))
+
+    def library(self) -> DataFrame:
+        p = self.t("part")
+        base = F.regexp_replace(F.regexp_replace(F.lower("p_name"), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+        size = F.col("p_size")
+        return p.select(
+            F.col("p_partkey").alias("item_id"), F.concat(base, F.lit("-"), F.col("p_partkey").cast("string")).alias("slug"),
+            F.col("p_name").alias("name"), F.col("p_brand").alias("muscle_group"), F.col("p_type").alias("category"),
+            F.element_at(F.array(F.lit("Beginner"), F.lit("Intermediate"), F.lit("Advanced")), (size % 3 + 1).cast("int"))
+             .alias("difficulty"),
+            F.when(size % 7 == 0, "wger").when(size % 5 == 0, "local seed").otherwise("import").alias("source_name"),
+            (size % 2).cast("int").alias("has_anatomy"),
+            F.when(size % 11 == 0, F.lpad(F.col("p_partkey").cast("string"), 11, "y")).otherwise("").alias("youtube_video_id"),
+            F.when(size % 4 == 0, F.concat(F.lit("https://www.youtube.com/results?search_query="),
+                                           F.replace(F.col("p_name"), F.lit(" "), F.lit("+")))).otherwise("").alias("video_url"))
+
+    def media(self) -> DataFrame:
+        li = self.t("lineitem")
+        ln, ok, pk, fl = F.col("l_linenumber"), F.col("l_orderkey"), F.col("l_partkey"), F.col("l_returnflag")
+        ext = F.when(fl == "A", ".mp4").when(fl == "N", ".jpg").otherwise(".gif")
+        url = F.when(ln == 1, F.concat(F.lit("https://www.youtube.com/watch?v="), F.lpad(ok.cast("string"), 11, "0"))) \
+               .otherwise(F.concat(F.lit("https://media.example.org/"), pk.cast("string"), F.lit("/"), ok.cast("string"),
+                                   F.lit("-"), ln.cast("string"), ext))
+        return li.select(
+            pk.alias("item_id"), ok.alias("order_key"), ln.alias("sort_order"),
+            F.when(fl == "A", "external_video").when(fl == "N", "external_image").otherwise("gif").alias("media_type"),
+            url.alias("media_url"),
+            F.when(F.col("l_suppkey") % 3 == 0, "generated reference")
+             .otherwise(F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string"))).alias("source_name"),
+            (F.col("l_discount") < 0.08).cast("int").alias("embed_allowed"))
