@@ -220,3 +220,50 @@ def display_name(x) -> Column:
                  .otherwise(F.concat(F.upper(F.substring(lw, 1, 1)), F.substring(lw, 2, 1 << 20))))
     out = F.array_join(F.transform(parts, fmt), "")
     return F.when((v == "") | v.rlike("[A-Z]") | v.isNull(), v).otherwise(out)
+
+
+def strip_chars(x, chars: str) -> Column:
+    """Python ``str.strip(chars)``."""
+    cls = "".join("\\" + ch if ch in "-]\\^" else ch for ch in chars).replace("\t", "\\t").replace("\n", "\\n")
+    return F.regexp_replace(_c(x), f"^[{cls}]+|[{cls}]+$", "")
+
+
+def instruction_steps(html) -> Column:
+    """Numbered steps when there are at least two; otherwise lines, where a line that does not
+    start with [A-Z0-9] continues the previous one."""
+    t = F.replace(strip_html(html), F.lit("\r"), F.lit("\n"))
+    t = py_strip(F.regexp_replace(t, "\n+", "\n"))
+    t = F.regexp_replace(t, "(?i)Notes\\s*\\(Instructions?\\)\\s*:\\s*", "")
+    num = F.filter(F.transform(F.split(t, "(?:^|\n)\\s*\\d+\\.\\s*"), lambda s: strip_chars(s, " -\t\n")),
+                   lambda s: s != "")
+    lines = F.filter(F.transform(F.split(t, "\n"), lambda s: strip_chars(s, " -\t")), lambda s: s != "")
+    empty = F.array().cast("array<string>")
+
+    def step(acc, line):
+        n = F.size(acc)
+        cont = (n > 0) & ~line.rlike("^[A-Z0-9]")
+        # acc[1..n-1] + [strip(acc[n] + " " + line)]; the padded copy keeps slice/element_at in range.
+        padded = F.concat(acc, F.array(F.lit("")))
+        merged = F.concat(F.slice(padded, 1, F.greatest(n - 1, F.lit(0))),
+                          F.array(py_strip(F.concat(F.element_at(padded, F.greatest(n, F.lit(1))), F.lit(" "), line))))
+        return F.when(cont, merged).otherwise(F.concat(acc, F.array(line)))
+    merged_lines = F.aggregate(lines, empty, step)
+    return F.when(F.size(num) >= 2, num).otherwise(merged_lines)
+
+
+def modifier_tags(myo, myo_match, uni, drop, partials) -> Column:
+    tags = F.array(F.when(myo, F.when(myo_match, F.lit("Myo match")).otherwise(F.lit("Myo"))),
+                   F.when(uni, F.lit("Uni")), F.when(drop, F.lit("Drop")), F.when(partials, F.lit("Partials")))
+    return F.filter(tags, lambda x: x.isNotNull())
+
+
+def duration(seconds) -> Column:
+    """``1h 05m`` from an hour on, else ``m:ss``."""
+    s = _c(seconds).cast("long")
+    h, m, sec = F.floor(s / 3600), F.floor((s % 3600) / 60), s % 60
+    return F.when(h > 0, F.format_string("%dh %02dm", h, m)).otherwise(F.format_string("%d:%02d", m, sec))
+
+
+def rep_range_center(center) -> tuple[Column, Column]:
+    c = _c(center)
+    return F.greatest(F.lit(5), c - 1), F.least(F.lit(15), c + 1)
