@@ -243,6 +243,19 @@ SELECT l_partkey AS item_id, l_orderkey AS order_key, l_linenumber AS sort_order
 FROM lineitem
 """
 
+VIEW_SQL["v_weather"] = """
+SELECT n.n_name AS city, date_trunc('hour', e.ts) AS timestamp_hour, e.event_type AS weather_source, e.event_id AS seq,
+       e.value AS temperature_2m, e.value - 2.0 AS apparent_temperature, e.value / 100.0 AS precipitation,
+       e.value / 200.0 AS rain, CASE WHEN e.value < 5 THEN NULL ELSE e.value / 300.0 END AS snowfall,
+       CAST(CAST(floor(e.value) AS INTEGER) % 4 AS DOUBLE) AS weather_code, e.value % 100 AS cloud_cover, e.value / 10.0 AS wind_speed_10m
+FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 4 WHERE e.event_type <> 'error'
+"""
+
+VIEW_SQL["v_weather_dedup"] = """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY city, timestamp_hour
+  ORDER BY weather_source DESC, seq DESC) AS rn FROM v_weather) WHERE rn = 1
+"""
+
 def sql_window_label(expr: str, minutes: int = 90, strict: bool = False) -> str:
     lo, hi = ("<", "<") if strict else ("<=", "<=")
     start = (f"(CASE WHEN minute({expr}) {lo} 15 THEN date_trunc('hour', {expr}) "
@@ -399,3 +412,17 @@ class Ctx:
             F.when(F.col("l_suppkey") % 3 == 0, "generated reference")
              .otherwise(F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string"))).alias("source_name"),
             (F.col("l_discount") < 0.08).cast("int").alias("embed_allowed"))
+
+    # v_weather: hourly weather rows per city with several sources (error events left out).
+    def weather(self) -> DataFrame:
+        e = self.t("events").filter(F.col("event_type") != "error")
+        nation = F.broadcast(self.t("nation").select("n_nationkey", "n_name"))
+        v = F.col("value")
+        return (e.join(nation, (F.col("user_id") % 4) == F.col("n_nationkey"))
+                 .select(F.col("n_name").alias("city"), cal.hour_floor("ts").alias("timestamp_hour"),
+                         F.col("event_type").alias("weather_source"), F.col("event_id").alias("seq"),
+                         v.alias("temperature_2m"), (v - 2.0).alias("apparent_temperature"),
+                         (v / 100.0).alias("precipitation"), (v / 200.0).alias("rain"),
+                         F.when(v < 5, F.lit(None)).otherwise(v / 300.0).alias("snowfall"),
+                         (F.floor(v).cast("int") % 4).cast("double").alias("weather_code"), (v % 100).alias("cloud_cover"),
+                         (v / 10.0).alias("wind_speed_10m")))
