@@ -140,7 +140,7 @@ def policy(c: DataFrame, rep_min: int | Column = 8, rep_max: int | Column = 10,
                .when(overload, S.load_for_reps(top_e1rm, lo))
                .when(backoff, S.round_load(F.greatest(F.lit(0.0), F.col("matching_weight_kg") - 2.5)))
                .otherwise(S.load_for_reps(S.epley("matching_weight_kg", "matching_reps"), mclamp)))
-    pr_reps = F.greatest(ramp(1), F.least(ramp(2), F.round((ramp(1) + ramp(2)) / 2.0).cast("int")))
+    pr_reps = F.greatest(ramp(1), F.least(ramp(2), F.bround((ramp(1) + ramp(2)) / 2.0, 0).cast("int")))
     reps = (F.when(has_prev & high, lo).when(has_prev, nxt)
              .when(F.col("prev_tail").isNull(), F.greatest(lo, F.least(hi, F.lit(8))))
              .when(is_pr, pr_reps).when(overload | backoff, lo).otherwise(mclamp))
@@ -183,3 +183,38 @@ def evaluate(p: DataFrame) -> DataFrame:
     return p.agg(F.count(F.lit(1)).alias("cases"), F.avg(F.abs(we)).alias("weight_mae"), F.sqrt(F.avg(we * we)).alias("weight_rmse"),
                  F.avg(F.abs(re)).alias("reps_mae"), F.sqrt(F.avg(re * re)).alias("reps_rmse"),
                  F.avg(hit.cast("double")).alias("reps_hit_rate"))
+
+
+def next_session(sets: DataFrame, prefs: DataFrame, last_n: int = 6) -> DataFrame:
+    """Policy target for the first set of the next session of every (user, exercise), from the
+    last ``last_n`` logged sets and the user's rep preference."""
+    s = sets.withColumn("e1rm", S.epley("weight_kg", "reps")).withColumn("day", F.to_date("performed_at"))
+    w = Window.partitionBy(*KEYS).orderBy(F.col("performed_at").desc(), F.col("set_id").desc())
+    last = s.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= last_n)
+    last = last.withColumn("_latest", F.max("day").over(Window.partitionBy(*KEYS))).filter(F.col("day") == F.col("_latest"))
+    g = last.groupBy(*KEYS).agg(
+        F.sort_array(F.collect_list(F.struct("performed_at", "set_index", "weight_kg", "reps", "e1rm"))).alias("prev_tail"),
+        F.avg("reps").alias("prev_avg_reps"), F.max("weight_kg").alias("prev_max_w"))
+    first1 = F.filter("prev_tail", lambda x: x["set_index"] == 1)
+    match = F.when(F.size(first1) > 0, F.element_at(first1, 1)).otherwise(F.element_at("prev_tail", 1))
+    g = g.withColumns({"matching_weight_kg": match["weight_kg"], "matching_reps": match["reps"], "set_index": F.lit(1),
+                       "prev1_r": F.lit(None).cast("int"), "prev2_r": F.lit(None).cast("int"),
+                       "prev1_w": F.lit(None).cast("double")})
+    p = prefs.select("user_id", "preferred_rep_mode", "preferred_rep_min", "preferred_rep_max")
+    g = g.join(p, "user_id")
+    lo, hi = rep_range("preferred_rep_mode", "preferred_rep_min", "preferred_rep_max")
+    return policy(g, lo, hi, F.col("preferred_rep_mode"))
+
+
+def guardrail(p: DataFrame, pred_weight: str, mode: str | Column = "auto", confidence: float = 0.72) -> DataFrame:
+    """Model weight rounded to the plate step with policy reps; fall back to the policy for PR
+    mode, cold starts and non-positive model weights."""
+    md = F.lit(mode) if isinstance(mode, str) else mode
+    w = S.round_load(F.col(pred_weight))
+    use_model = (md != "pr") & (F.col("policy_strategy") != "cold_start_reps_only") & (w > 0)
+    return p.withColumns({
+        "final_weight_kg": F.when(use_model, w).otherwise(F.col("policy_weight_kg")),
+        "final_reps": F.col("policy_reps"),
+        "final_confidence": F.when(use_model, F.least(F.lit(0.86), F.greatest(F.col("policy_confidence"), F.lit(confidence))))
+                             .otherwise(F.col("policy_confidence")),
+        "final_strategy": F.when(use_model, F.lit("supervised_next_set_regressor")).otherwise(F.col("policy_strategy"))})

@@ -48,33 +48,51 @@ c AS (SELECT cur.*, h2.* EXCLUDE (user_id, exercise, day), m.weight_kg AS matchi
       JOIN s m ON m.user_id = cur.user_id AND m.exercise = cur.exercise AND m.day = h2.prev_day
         AND m.set_index = least(cur.set_index, h2.prev_n))"""
 
-POLICY_SQL = f"""
-p0 AS (SELECT *, prev1_r IS NOT NULL AS has_prev,
+RAMP = P.PR_RAMP
+
+
+def policy_sql(src: str, lo: str = "8", hi: str = "10", mode: str = "'auto'") -> str:
+    """The policy decision list in DuckDB SQL over a case relation ``src``."""
+    def ramp(k):
+        vals = ", ".join(repr(r[k]) if not isinstance(r[k], str) else f"'{r[k]}'" for r in RAMP)
+        return f"[{vals}][least(greatest(0, set_index - 1), {len(RAMP) - 1}) + 1]"
+    has_tail = "prev_tail IS NOT NULL"
+    is_pr = f"({mode}) = 'pr'"
+    top_w = f"greatest(prev_max_w, {sql_load_for('top_e1rm', f'greatest(1, least(3, {hi}))')})"
+    pr_reps = f"greatest({ramp(1)}, least({ramp(2)}, CAST(round_even(({ramp(1)} + {ramp(2)}) / 2.0, 0) AS INTEGER)))"
+    return f"""
+p0 AS (SELECT *, {lo} AS lo, {hi} AS hi, prev1_r IS NOT NULL AS has_prev,
          CASE WHEN prev2_r IS NOT NULL THEN greatest(0, prev2_r - prev1_r) WHEN prev1_r <= 10 THEN 1 ELSE 0 END AS fdrop,
          list_transform(CASE WHEN len(prev_tail) >= 3 THEN prev_tail[len(prev_tail) - 2:] ELSE prev_tail END, lambda x: x.e1rm) AS last3
-       FROM c),
-p1 AS (SELECT *, greatest(8, least(10, prev1_r - greatest(1, fdrop))) AS nxt,
+       FROM {src}),
+p1 AS (SELECT *, greatest(lo, least(hi, prev1_r - greatest(1, fdrop))) AS nxt,
          CASE WHEN len(last3) >= 2 THEN last3[len(last3)] - last3[1] ELSE 0.0 END AS trend, list_max(last3) AS top_e1rm,
-         greatest(8, least(10, matching_reps)) AS mclamp FROM p0),
+         greatest(lo, least(hi, matching_reps)) AS mclamp FROM p0),
 p2 AS (SELECT *, (set_index = 1 AND prev_avg_reps >= 10 AND trend >= -1.0) AS overload, prev_avg_reps < 7 AS backoff FROM p1),
 pol AS (SELECT *,
-  CASE WHEN has_prev AND prev1_r >= 12 THEN 'increase_load_after_high_reps' WHEN has_prev AND prev1_r <= 8 THEN 'fatigue_deload'
-       WHEN has_prev THEN 'same_load_fatigue_adjusted_reps' WHEN overload THEN 'progressive_overload'
+  CASE WHEN has_prev AND prev1_r >= 12 THEN 'increase_load_after_high_reps' WHEN has_prev AND prev1_r <= lo THEN 'fatigue_deload'
+       WHEN has_prev THEN 'same_load_fatigue_adjusted_reps' WHEN NOT ({has_tail}) THEN 'cold_start_reps_only'
+       WHEN {is_pr} THEN {ramp(5)} WHEN overload THEN 'progressive_overload'
        WHEN backoff THEN 'load_backoff' ELSE 'repeat_matching_set' END AS policy_strategy,
   CASE WHEN has_prev AND prev1_r >= 12 THEN {sql_round_load('prev1_w + 2.5')}
-       WHEN has_prev AND prev1_r <= 8 THEN {sql_round_load('prev1_w - 2.5')}
-       WHEN has_prev THEN {sql_round_load('prev1_w')}
-       WHEN overload THEN {sql_load_for('top_e1rm', '8')}
+       WHEN has_prev AND prev1_r <= lo THEN {sql_round_load('prev1_w - 2.5')}
+       WHEN has_prev THEN {sql_round_load('prev1_w')} WHEN NOT ({has_tail}) THEN 0.0
+       WHEN {is_pr} THEN {sql_round_load(f'{top_w} * {ramp(0)}')}
+       WHEN overload THEN {sql_load_for('top_e1rm', 'lo')}
        WHEN backoff THEN {sql_round_load('greatest(0.0, matching_weight_kg - 2.5)')}
        ELSE {sql_load_for(sql_epley('matching_weight_kg', 'matching_reps'), 'mclamp')} END AS policy_weight_kg,
-  CASE WHEN has_prev AND prev1_r >= 12 THEN 8 WHEN has_prev THEN nxt WHEN overload OR backoff THEN 8 ELSE mclamp END AS policy_reps,
-  CASE WHEN has_prev AND prev1_r < 12 THEN greatest(8, nxt - 1) ELSE 8 END AS policy_reps_min,
-  CASE WHEN has_prev AND prev1_r < 12 THEN least(10, nxt + 1) ELSE 10 END AS policy_reps_max,
-  CASE WHEN has_prev AND prev1_r >= 12 THEN 0.72 WHEN has_prev THEN 0.78 WHEN overload THEN 0.68 WHEN backoff THEN 0.66
-       ELSE 0.7 END AS policy_confidence
+  CASE WHEN has_prev AND prev1_r >= 12 THEN lo WHEN has_prev THEN nxt WHEN NOT ({has_tail}) THEN greatest(lo, least(hi, 8))
+       WHEN {is_pr} THEN {pr_reps} WHEN overload OR backoff THEN lo ELSE mclamp END AS policy_reps,
+  CASE WHEN has_prev AND prev1_r < 12 THEN greatest(lo, nxt - 1) WHEN NOT has_prev AND {has_tail} AND {is_pr} THEN {ramp(1)} ELSE lo END AS policy_reps_min,
+  CASE WHEN has_prev AND prev1_r < 12 THEN least(hi, nxt + 1) WHEN NOT has_prev AND {has_tail} AND {is_pr} THEN {ramp(2)} ELSE hi END AS policy_reps_max,
+  CASE WHEN has_prev AND prev1_r >= 12 THEN 0.72 WHEN has_prev THEN 0.78 WHEN NOT ({has_tail}) THEN 0.35
+       WHEN {is_pr} THEN {ramp(4)} WHEN overload THEN 0.68 WHEN backoff THEN 0.66 ELSE 0.7 END AS policy_confidence
   FROM p2)"""
 
 
+POLICY_SQL = policy_sql("c")
+
+
 def _w(*parts):
     return "WITH " + ",\n".join(parts) + "\n"
 
@@ -193,3 +211,57 @@ SELECT user_id, CASE WHEN preferred_rep_mode = 'custom' THEN greatest(1, least(3
 def fn_rep_range(c):
     lo, hi = P.rep_range("preferred_rep_mode", "preferred_rep_min", "preferred_rep_max")
     return c.prefs_full().select("user_id", lo.alias("rep_low"), hi.alias("rep_high"))
+
+
+NEXT_SQL = f"""
+s AS (SELECT *, CAST(performed_at AS DATE) AS day, {sql_epley('weight_kg', 'reps')} AS e1rm FROM v_sets),
+l6 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, exercise ORDER BY performed_at DESC, set_id DESC) AS rn FROM s)
+       WHERE rn <= 6),
+l6d AS (SELECT * FROM (SELECT *, max(day) OVER (PARTITION BY user_id, exercise) AS latest FROM l6) WHERE day = latest),
+g AS (SELECT user_id, exercise, list({{'performed_at': performed_at, 'set_index': set_index, 'weight_kg': weight_kg, 'reps': reps,
+        'e1rm': e1rm}} ORDER BY performed_at, set_index) AS prev_tail, avg(reps) AS prev_avg_reps, max(weight_kg) AS prev_max_w
+      FROM l6d GROUP BY ALL),
+ns AS (SELECT g.*, coalesce(list_filter(prev_tail, lambda x: x.set_index = 1)[1], prev_tail[1]).weight_kg AS matching_weight_kg,
+         coalesce(list_filter(prev_tail, lambda x: x.set_index = 1)[1], prev_tail[1]).reps AS matching_reps, 1 AS set_index,
+         NULL::INTEGER AS prev1_r, NULL::INTEGER AS prev2_r, NULL::DOUBLE AS prev1_w, pf.preferred_rep_mode,
+         CASE WHEN pf.preferred_rep_mode = 'custom' THEN greatest(1, least(30, pf.preferred_rep_min))
+              WHEN pf.preferred_rep_mode = 'pr' THEN 1 ELSE 8 END AS rlo,
+         CASE WHEN pf.preferred_rep_mode = 'custom' THEN greatest(greatest(1, least(30, pf.preferred_rep_min)), least(30, pf.preferred_rep_max))
+              WHEN pf.preferred_rep_mode = 'pr' THEN 3 ELSE 10 END AS rhi
+       FROM g JOIN v_prefs_full pf USING (user_id))"""
+
+
+def _next(c):
+    return P.next_session(c.sets(), c.prefs_full())
+
+
+@query("pg_next_session", _w(NEXT_SQL, policy_sql("ns", "rlo", "rhi", "preferred_rep_mode"))
+       + f"SELECT user_id, exercise, preferred_rep_mode, {POLICY_COLS} FROM pol")
+def pg_next_session(c):
+    return _next(c).select("user_id", "exercise", "preferred_rep_mode", *POLICY_COLS.split(", "))
+
+
+@query("pg_pr_ramp", _w(NEXT_SQL.replace("1 AS set_index", "unnest([1, 2, 3, 4, 5]) AS set_index"),
+                        policy_sql("ns", "1", "3", "'pr'"))
+       + f"SELECT user_id, exercise, set_index, {POLICY_COLS} FROM pol")
+def pg_pr_ramp(c):
+    g = _next(c).drop(*POLICY_COLS.split(", ")).drop("set_index")
+    g = g.withColumn("set_index", F.explode(F.array(*[F.lit(i) for i in range(1, 6)])))
+    return P.policy(g, 1, 3, "pr").select("user_id", "exercise", "set_index", *POLICY_COLS.split(", "))
+
+
+@query("pg_guardrail", _w(CASES_SQL, POLICY_SQL) + f"""
+SELECT set_id, CASE WHEN policy_strategy <> 'cold_start_reps_only' AND {sql_round_load('pw')} > 0 THEN {sql_round_load('pw')}
+  ELSE policy_weight_kg END AS final_weight_kg, policy_reps AS final_reps,
+  CASE WHEN policy_strategy <> 'cold_start_reps_only' AND {sql_round_load('pw')} > 0 THEN least(0.86, greatest(policy_confidence, 0.72))
+  ELSE policy_confidence END AS final_confidence,
+  CASE WHEN policy_strategy <> 'cold_start_reps_only' AND {sql_round_load('pw')} > 0 THEN 'supervised_next_set_regressor'
+  ELSE policy_strategy END AS final_strategy
+FROM (SELECT *, list_sum(list_transform(recent12, lambda x: x.weight_kg)) / greatest(1, len(recent12)) - 20.0 AS pw FROM pol)""")
+def pg_guardrail(c):
+    # The "model" here is the recent mean load minus 20 kg, so both the model and the fallback paths occur.
+    p = _policy(c)
+    r12 = F.col("recent12")
+    pw = F.aggregate(r12, F.lit(0.0), lambda a, x: a + x["weight_kg"]) / F.greatest(F.lit(1), F.size(r12)) - 20.0
+    g = P.guardrail(p.withColumn("pw", pw), "pw")
+    return g.select("set_id", "final_weight_kg", "final_reps", "final_confidence", "final_strategy")
