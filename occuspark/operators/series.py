@@ -181,3 +181,18 @@ def row_budget(df: DataFrame, key, ts, n: int, tiebreak: str | None = None) -> D
     """First ``n`` rows per entity (WindowGroupLimit keeps only n rows per key before the window)."""
     w = Window.partitionBy(key).orderBy(*_order(ts, tiebreak))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+
+def global_row_number(df: DataFrame, order: str, bucket: Column, out: str = "pos") -> DataFrame:
+    """1-based position of each row in a total order on ``order`` without a single-partition window.
+
+    Rows are counted per ``bucket`` (a coarse, order-preserving function of the
+    key); a running sum over the small bucket table gives each bucket's offset,
+    and a window *inside* each bucket adds the local position.
+    """
+    b = df.withColumn("_b", bucket)
+    counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_bn").over(
+        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_bn")
+    w = Window.partitionBy("_b").orderBy(order)
+    return b.join(offs, "_b").withColumn(out, F.col("_off") + F.row_number().over(w)).drop("_b", "_off")
