@@ -201,10 +201,8 @@ def training_window_label(ts, minutes: int = 90, strict: bool = False) -> Column
                     F.lit("-"), F.date_format(end, "HH:mm"))
 
 
-def load_band(value) -> Column:
+def load_band(value, is_open) -> Column:
+    """Crowd band of a forecast point: closed / >=85 peak / >=65 busy / >=45 moderate / low."""
     v = _col(value)
-    return (F.when(v.isNull(), F.lit("closed"))
-             .when(v >= 85, F.lit("peak"))
-             .when(v >= 65, F.lit("busy"))
-             .when(v >= 45, F.lit("moderate"))
-             .otherwise(F.lit("low")))
+    return (F.when(~_col(is_open), F.lit("closed")).when(v >= 85, F.lit("peak")).when(v >= 65, F.lit("busy"))
+             .when(v >= 45, F.lit("moderate")).otherwise(F.lit("low")))
