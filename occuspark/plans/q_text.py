@@ -61,8 +61,12 @@ def _dt(c):
     return c._memo("doc_tokens", lambda: RT.doc_tokens(corpus(c)))
 
 
+def _post(c):
+    return c._memo("postings", lambda: RT.postings(RT.doc_terms(corpus(c))))
+
+
 def _bm25(c):
-    return c._memo("bm25", lambda: RT.bm25(_dt(c), bench_queries(c)))
+    return c._memo("bm25", lambda: RT.bm25(_dt(c), _post(c), bench_queries(c)))
 
 
 def _scored(c):
@@ -77,7 +81,7 @@ def _top(c):
 
 
 def _ranks(c):
-    rel = RT.contains_relevance(corpus(c), bench_queries(c), _dt(c))
+    rel = RT.contains_relevance(corpus(c), bench_queries(c), _post(c))
     return RT.eval_ranks(_top(c), rel, bench_queries(c))
 
 
@@ -90,8 +94,7 @@ def fn_tokenize(c):
 
 @query("tx_corpus_stats", _w("SELECT term, df, n_docs, avg_len FROM dfq CROSS JOIN stats"))
 def tx_corpus_stats(c):
-    dt = _dt(c)
-    return RT.doc_freq(RT.postings(dt)).crossJoin(F.broadcast(RT.corpus_stats(dt)))
+    return RT.doc_freq(_post(c)).crossJoin(F.broadcast(RT.corpus_stats(_dt(c))))  # one-row statistics
 
 
 @query("tx_bm25", _w("SELECT query_id, doc_id, bm25, array_to_string(matched_terms, ',') AS matched_terms FROM bm"))
@@ -127,7 +130,7 @@ def tx_eval_summary(c):
 
 @query("tx_relevance", "SELECT DISTINCT item_id AS query_id, doc_id FROM benchmark b JOIN documents d ON position(b.text IN d.text) > 0")
 def tx_relevance(c):
-    return RT.contains_relevance(corpus(c), bench_queries(c), _dt(c))
+    return RT.contains_relevance(corpus(c), bench_queries(c), _post(c))
 
 
 @query("tx_citation", _w("""
