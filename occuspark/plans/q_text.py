@@ -77,7 +77,7 @@ def _scored(c):
 
 
 def _top(c):
-    return c._memo("top", lambda: RT.top_k(_scored(c), 6))
+    return c._memo("top", lambda: RT.with_matched_terms(RT.top_k(_scored(c), 6), _post(c), bench_queries(c)))
 
 
 def _ranks(c):
@@ -97,9 +97,9 @@ def tx_corpus_stats(c):
     return RT.doc_freq(_post(c)).crossJoin(F.broadcast(RT.corpus_stats(_dt(c))))  # one-row statistics
 
 
-@query("tx_bm25", _w("SELECT query_id, doc_id, bm25, array_to_string(matched_terms, ',') AS matched_terms FROM bm"))
+@query("tx_bm25", _w("SELECT query_id, doc_id, bm25, len(matched_terms) AS n_matched FROM bm"))
 def tx_bm25(c):
-    return _bm25(c).select("query_id", "doc_id", "bm25", F.array_join("matched_terms", ",").alias("matched_terms"))
+    return _bm25(c).select("query_id", "doc_id", "bm25", "n_matched")
 
 
 @query("tx_title_boost", _w("SELECT query_id, doc_id, title_overlap, bm25 + 1.5 * title_overlap AS score FROM tb"))
