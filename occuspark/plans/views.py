@@ -279,6 +279,13 @@ class Ctx:
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
 
+    def materialize(self, df: DataFrame) -> DataFrame:
+        """Cut lineage for a frame that several model fits read: ``checkpoint()`` writes it to the
+        shared ``spark.checkpoint.dir`` (survives executor loss; never a machine-local cache)."""
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
+
     def t(self, name: str) -> DataFrame:
         if name not in self._cache:
             self._cache[name] = load_table(self.spark, self.sf_dir, name)
