@@ -35,7 +35,7 @@ def sanitize_weekdays(arr) -> Column:
 
 def safe_int(x) -> Column:
     """``max(0, int(float(x)))``; unparsable, NaN or infinite -> 0 (truncates toward zero)."""
-    d = F.expr("try_cast(trim({}) AS DOUBLE)".format(x)) if isinstance(x, str) else _c(x).cast("double")
+    d = F.trim(_c(x)).try_cast("double")
     ok = d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(9.2e18))
     return F.when(ok, F.greatest(F.lit(0), d.cast("long"))).otherwise(F.lit(0))
 
