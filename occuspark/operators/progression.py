@@ -51,13 +51,14 @@ def cases(sets: DataFrame) -> DataFrame:
                  "performed_at", "set_index", "weight_kg", "reps", "e1rm"))).alias("tail12")))
     days = s.groupBy(*KEYS, "day").agg(
         F.count(F.lit(1)).alias("n"), F.avg("reps").alias("avg_reps"), F.avg("weight_kg").alias("avg_w"),
-        F.max("weight_kg").alias("max_w"), F.max("performed_at").alias("last_ts")).join(tail, [*KEYS, "day"])
+        F.max("weight_kg").alias("max_w"), F.max("e1rm").alias("max_e1rm"), F.max("performed_at").alias("last_ts")).join(tail, [*KEYS, "day"])
     dw = Window.partitionBy(*KEYS).orderBy("day")
     hist = days.select(
         *KEYS, "day",
         F.lag("day").over(dw).alias("prev_day"), F.lag("n").over(dw).alias("prev_n"),
         F.lag("avg_reps").over(dw).alias("prev_avg_reps"), F.lag("avg_w").over(dw).alias("prev_avg_w"),
-        F.lag("max_w").over(dw).alias("prev_max_w"), F.lag("last_ts").over(dw).alias("prev_last_ts"),
+        F.lag("max_w").over(dw).alias("prev_max_w"), F.lag("max_e1rm").over(dw).alias("prev_max_e1rm"),
+        F.lag("last_ts").over(dw).alias("prev_last_ts"),
         F.lag("tail12").over(dw).alias("prev_tail"),
         F.sum("n").over(dw.rowsBetween(Window.unboundedPreceding, -1)).alias("history_count"),
         F.collect_list("tail12").over(dw.rowsBetween(-12, -1)).alias("_tails"))
@@ -67,6 +68,7 @@ def cases(sets: DataFrame) -> DataFrame:
     cur = s.select(*KEYS, "day", "set_id", "set_index", "performed_at", "weight_kg", "reps",
                    F.lag("weight_kg").over(sw).alias("prev1_w"), F.lag("reps").over(sw).alias("prev1_r"),
                    F.lag("reps", 2).over(sw).alias("prev2_r"), F.lag("performed_at").over(sw).alias("prev1_ts"),
+                   F.first("weight_kg").over(sw).alias("first_w"), F.first("reps").over(sw).alias("first_r"),
                    (F.col("set_index") - 1).alias("current_session_sets"))
     c = cur.join(hist, [*KEYS, "day"])
     prev_sets = s.select(*KEYS, F.col("day").alias("prev_day"), F.col("set_index").alias("_mi"),
@@ -218,3 +220,46 @@ def guardrail(p: DataFrame, pred_weight: str, mode: str | Column = "auto", confi
         "final_confidence": F.when(use_model, F.least(F.lit(0.86), F.greatest(F.col("policy_confidence"), F.lit(confidence))))
                              .otherwise(F.col("policy_confidence")),
         "final_strategy": F.when(use_model, F.lit("supervised_next_set_regressor")).otherwise(F.col("policy_strategy"))})
+
+
+def _js_round_load(x: Column, step: float = 2.5) -> Column:
+    """Client rounding: ``Math.round`` (half up) to the plate step, at least 0."""
+    return F.greatest(F.lit(0.0), F.floor(x / step + 0.5) * step)
+
+
+def _js_round_down(x: Column, step: float = 2.5) -> Column:
+    return F.greatest(F.lit(0.0), F.floor(x / step) * step)
+
+
+def policy_client(c: DataFrame, low: int = 8, high: int = 10) -> DataFrame:
+    """Client-side variant: multi-signal fatigue (low reps, hard rep drop, load drop with
+    strength loss), floor rounding for working sets, overload from the best set of the session."""
+    lo, hi = F.lit(low), F.lit(high)
+    has_prev = F.col("prev1_r").isNotNull()
+    drop = F.when(F.col("prev2_r").isNotNull(), F.greatest(F.lit(1), F.col("prev2_r") - F.col("prev1_r"))).otherwise(F.lit(1))
+    first_e1 = S.epley("first_w", "first_r")
+    prev_e1 = S.epley("prev1_w", "prev1_r")
+    strength_drop = F.when(first_e1 > 0, (first_e1 - prev_e1) / first_e1).otherwise(F.lit(0.0))
+    acc_drop = (F.col("first_w") - F.col("prev1_w")) >= 2.5
+    deload = ((F.col("prev1_r") <= lo) | ((F.col("first_r") - F.col("prev1_r")) >= 2)
+              | (acc_drop & ((F.col("prev1_r") <= lo) | (strength_drop >= 0.03))))
+    high_reps = F.col("prev1_r") >= 12
+    nxt = F.greatest(lo, F.least(hi, F.col("prev1_r") - drop))
+    overload = (F.col("set_index") == 1) & (F.col("prev_avg_reps") >= 10)
+    t = F.greatest(lo, F.least(hi, F.col("matching_reps")))
+
+    def load_for(e, r):
+        return _js_round_load(e / (F.lit(1.0) + F.greatest(F.lit(1), r) / 30.0))
+    weight = (F.when(has_prev & high_reps, _js_round_load(F.col("prev1_w") + 2.5))
+               .when(has_prev & deload, _js_round_down(F.col("prev1_w") - 2.5))
+               .when(has_prev, _js_round_down(F.col("prev1_w")))
+               .when(overload, F.greatest(_js_round_load(F.col("prev_max_w")), load_for(F.col("prev_max_e1rm"), lo)))
+               .otherwise(load_for(S.epley("matching_weight_kg", "matching_reps"), t)))
+    reps = F.when(has_prev & high_reps, lo).when(has_prev, nxt).when(overload, lo).otherwise(t)
+    rmin = F.when(has_prev & high_reps, lo).when(has_prev, nxt).when(overload, lo).otherwise(F.greatest(lo, t - 1))
+    rmax = (F.when(has_prev & high_reps, hi).when(has_prev, F.least(hi, nxt + 2)).when(overload, hi)
+             .otherwise(F.least(hi, t + 1)))
+    kind = (F.when(has_prev & high_reps, "increase_after_high_reps").when(has_prev & deload, "fatigue_deload")
+             .when(has_prev, "same_session_pattern").when(overload, "session_overload").otherwise("matching_set"))
+    return c.withColumns({"client_strategy": kind, "client_weight_kg": weight, "client_reps": reps,
+                          "client_reps_min": rmin, "client_reps_max": rmax})

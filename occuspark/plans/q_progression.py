@@ -28,11 +28,12 @@ tails AS (SELECT user_id, exercise, day, list({{'performed_at': performed_at, 's
           SELECT *, row_number() OVER (PARTITION BY user_id, exercise, day ORDER BY performed_at DESC, set_index DESC) AS t FROM s)
           WHERE t <= 12 GROUP BY ALL),
 days AS (SELECT user_id, exercise, day, count(*) AS n, avg(reps) AS avg_reps, avg(weight_kg) AS avg_w, max(weight_kg) AS max_w,
-           max(performed_at) AS last_ts FROM s GROUP BY ALL),
+           max(e1rm) AS max_e1rm, max(performed_at) AS last_ts FROM s GROUP BY ALL),
 dj AS (SELECT * FROM days JOIN tails USING (user_id, exercise, day)),
 hist AS (SELECT user_id, exercise, day,
            lag(day) OVER w AS prev_day, lag(n) OVER w AS prev_n, lag(avg_reps) OVER w AS prev_avg_reps,
-           lag(avg_w) OVER w AS prev_avg_w, lag(max_w) OVER w AS prev_max_w, lag(last_ts) OVER w AS prev_last_ts,
+           lag(avg_w) OVER w AS prev_avg_w, lag(max_w) OVER w AS prev_max_w, lag(max_e1rm) OVER w AS prev_max_e1rm,
+           lag(last_ts) OVER w AS prev_last_ts,
            lag(tail12) OVER w AS prev_tail,
            sum(n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS history_count,
            flatten(list(tail12) OVER (w ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)) AS flat
@@ -41,7 +42,8 @@ h2 AS (SELECT * EXCLUDE (flat), CASE WHEN len(flat) > 12 THEN flat[len(flat) - 1
        FROM hist WHERE prev_day IS NOT NULL),
 cur AS (SELECT user_id, exercise, day, set_id, set_index, performed_at, weight_kg, reps,
           lag(weight_kg) OVER sw AS prev1_w, lag(reps) OVER sw AS prev1_r, lag(reps, 2) OVER sw AS prev2_r,
-          lag(performed_at) OVER sw AS prev1_ts, set_index - 1 AS current_session_sets
+          lag(performed_at) OVER sw AS prev1_ts, first_value(weight_kg) OVER sw AS first_w, first_value(reps) OVER sw AS first_r,
+          set_index - 1 AS current_session_sets
         FROM s WINDOW sw AS (PARTITION BY user_id, exercise, day ORDER BY set_index)),
 c AS (SELECT cur.*, h2.* EXCLUDE (user_id, exercise, day), m.weight_kg AS matching_weight_kg, m.reps AS matching_reps
       FROM cur JOIN h2 USING (user_id, exercise, day)
@@ -265,3 +267,41 @@ def pg_guardrail(c):
     pw = F.aggregate(r12, F.lit(0.0), lambda a, x: a + x["weight_kg"]) / F.greatest(F.lit(1), F.size(r12)) - 20.0
     g = P.guardrail(p.withColumn("pw", pw), "pw")
     return g.select("set_id", "final_weight_kg", "final_reps", "final_confidence", "final_strategy")
+
+
+def _jsr(x):
+    return f"greatest(0.0, floor(({x}) / 2.5 + 0.5) * 2.5)"
+
+
+def _jsd(x):
+    return f"greatest(0.0, floor(({x}) / 2.5) * 2.5)"
+
+
+CLIENT_SQL = f"""
+k0 AS (SELECT *, prev1_r IS NOT NULL AS has_prev,
+         CASE WHEN prev2_r IS NOT NULL THEN greatest(1, prev2_r - prev1_r) ELSE 1 END AS sdrop,
+         {sql_epley('first_w', 'first_r')} AS fe1, {sql_epley('prev1_w', 'prev1_r')} AS pe1,
+         greatest(8, least(10, matching_reps)) AS t FROM c),
+k1 AS (SELECT *, greatest(8, least(10, prev1_r - sdrop)) AS nxt,
+         (prev1_r <= 8) OR (first_r - prev1_r >= 2) OR ((first_w - prev1_w >= 2.5)
+           AND (prev1_r <= 8 OR (CASE WHEN fe1 > 0 THEN (fe1 - pe1) / fe1 ELSE 0.0 END) >= 0.03)) AS deload,
+         (set_index = 1 AND prev_avg_reps >= 10) AS overload FROM k0)
+SELECT user_id, exercise, day, set_id, set_index,
+  CASE WHEN has_prev AND prev1_r >= 12 THEN 'increase_after_high_reps' WHEN has_prev AND deload THEN 'fatigue_deload'
+       WHEN has_prev THEN 'same_session_pattern' WHEN overload THEN 'session_overload' ELSE 'matching_set' END AS client_strategy,
+  CASE WHEN has_prev AND prev1_r >= 12 THEN {_jsr('prev1_w + 2.5')} WHEN has_prev AND deload THEN {_jsd('prev1_w - 2.5')}
+       WHEN has_prev THEN {_jsd('prev1_w')}
+       WHEN overload THEN greatest({_jsr('prev_max_w')}, {_jsr('prev_max_e1rm / (1.0 + greatest(1, 8) / 30.0)')})
+       ELSE {_jsr(sql_epley('matching_weight_kg', 'matching_reps') + ' / (1.0 + greatest(1, t) / 30.0)')} END AS client_weight_kg,
+  CASE WHEN has_prev AND prev1_r >= 12 THEN 8 WHEN has_prev THEN nxt WHEN overload THEN 8 ELSE t END AS client_reps,
+  CASE WHEN has_prev AND prev1_r >= 12 THEN 8 WHEN has_prev THEN nxt WHEN overload THEN 8 ELSE greatest(8, t - 1) END AS client_reps_min,
+  CASE WHEN has_prev AND prev1_r >= 12 THEN 10 WHEN has_prev THEN least(10, nxt + 2) WHEN overload THEN 10 ELSE least(10, t + 1) END AS client_reps_max
+FROM k1"""
+
+
+@query("pg_policy_client", _w(CASES_SQL, CLIENT_SQL.split("SELECT user_id, exercise, day, set_id")[0].rstrip().rstrip(","))
+       + "SELECT user_id, exercise, day, set_id" + CLIENT_SQL.split("SELECT user_id, exercise, day, set_id")[1])
+def pg_policy_client(c):
+    p = P.policy_client(_cases(c))
+    return p.select("user_id", "exercise", "day", "set_id", "set_index", "client_strategy", "client_weight_kg", "client_reps",
+                    "client_reps_min", "client_reps_max")
