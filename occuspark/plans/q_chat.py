@@ -310,3 +310,127 @@ def topk_stride_sample(c):
     step = F.greatest(F.lit(1), F.floor(F.col("n") / 40))
     j = pos.crossJoin(F.broadcast(n))  # one-row total
     return j.filter(((F.col("i") % step) == 0) & (F.floor(F.col("i") / step) < 40)).select("item_id", F.col("i").alias("position"))
+
+
+def _infer(c):
+    """Keyword default, else the best field match of the message against the catalogue, else the default."""
+    from ..operators import retrieval as RT
+    from .q_text import FIELDS, library
+    m = messages(c)
+    lib = library(c)
+    q = m.select(F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")).alias("query_id"), "text")
+    top = RT.field_topk(RT.field_match(lib, q, FIELDS), lib, q, 1).filter(F.col("score") > 0).select("query_id", "name")
+    kw = CH.any_sub(F.lower(F.col("text")), RULES.exercise_keyword)
+    mm = m.withColumn("query_id", F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")))
+    j = mm.join(top, "query_id", "left")
+    return j.select("conv_id", "turn", "user_id", F.when(kw, F.lit(RULES.default_exercise)).when(F.col("name").isNotNull(), F.col("name"))
+                    .otherwise(F.lit(RULES.default_exercise)).alias("exercise"))
+
+
+@query("ch_infer_exercise")
+def ch_infer_exercise(c):
+    return _infer(c).select("conv_id", "turn", "exercise")
+
+
+@query("ch_template_add")
+def ch_template_add(c):
+    """Newest template per user + inferred exercise + its next-session target (cold start when no history)."""
+    from ..operators import progression as P
+    t = c.templates()
+    newest = t.groupBy("user_id").agg(F.max_by(F.struct("template_id", "name"), F.struct("created_at", "template_id")).alias("t"))
+    inf = _infer(c)
+    nxt = P.next_session(c.sets(), c.prefs_full()).select("user_id", "exercise", "policy_weight_kg", "policy_reps")
+    j = inf.join(newest, "user_id").join(nxt, ["user_id", "exercise"], "left")
+    return j.select("conv_id", "turn", "user_id", F.col("t.template_id").alias("template_id"), F.col("t.name").alias("template_name"),
+                    "exercise", F.lit(3).alias("sets"), F.coalesce("policy_reps", F.lit(8)).alias("reps"),
+                    F.coalesce("policy_weight_kg", F.lit(0.0)).alias("target_weight_kg"), F.lit(120).alias("rest_seconds"))
+
+
+ACTION_SCHEMA = "array<struct<type:string,label:string,k:bigint>>"
+
+
+@query("ch_parse_records", """
+SELECT event_id, len(items) AS n_valid, array_to_string(list_transform(items, lambda x: x.type), ',') AS types FROM (
+  SELECT event_id, CASE WHEN json_valid(raw) THEN list_filter(from_json(raw, '[{"type": "VARCHAR", "label": "VARCHAR", "k": "BIGINT"}]'),
+    lambda x: x.type IS NOT NULL) ELSE [] END AS items FROM (
+  SELECT event_id, CASE event_id % 4 WHEN 0 THEN '[' || props || ', {"type": "' || event_type || '", "label": "go"}]'
+    WHEN 1 THEN 'not json' WHEN 2 THEN '[{"type": "' || event_type || '"}]' ELSE '[]' END AS raw FROM events))""")
+def ch_parse_records(c):
+    e = c.t("events")
+    m = F.col("event_id") % 4
+    raw = (F.when(m == 0, F.concat(F.lit("["), F.col("props"), F.lit(', {"type": "'), F.col("event_type"), F.lit('", "label": "go"}]')))
+            .when(m == 1, F.lit("not json")).when(m == 2, F.concat(F.lit('[{"type": "'), F.col("event_type"), F.lit('"}]')))
+            .otherwise(F.lit("[]")))
+    items = F.filter(F.coalesce(F.from_json(raw, ACTION_SCHEMA), F.array().cast(ACTION_SCHEMA)), lambda x: x["type"].isNotNull())
+    return e.select("event_id", F.size(items).alias("n_valid"), F.array_join(F.transform(items, lambda x: x["type"]), ",").alias("types"))
+
+
+@query("ch_action_log")
+def ch_action_log(c):
+    """Last 50 tool actions per user with the parsed payload (actions derived from the conversations)."""
+    m = messages(c).join(_avail(c), "user_id")
+    a = CH.action_types(m, RULES).select("user_id", "conv_id", "turn", F.posexplode("actions").alias("pos", "type"))
+    payload = F.to_json(F.struct(F.col("conv_id"), F.col("turn"), F.col("type")))
+    a = a.withColumn("payload_json", payload)
+    w = Window.partitionBy("user_id").orderBy(F.col("conv_id").desc(), F.col("turn").desc(), F.col("pos").desc())
+    return (a.withColumn("rn", F.row_number().over(w)).filter("rn <= 50")
+             .withColumn("payload", F.from_json("payload_json", "conv_id bigint, turn bigint, type string"))
+             .select("user_id", "rn", "type", F.col("payload.conv_id").alias("payload_conv_id")))
+
+
+@query("ch_context")
+def ch_context(c):
+    """Grounded context per user message: best slot, plan preview, next target and top retrieved chunks."""
+    from .q_text import _top
+    m = messages(c)
+    slots = R.preference_slots(c.prefs_full(), c.future(), 1).select("user_id", "window_label", "expected_people")
+    lines = m.join(slots, "user_id", "left").withColumn(
+        "slot_line", F.when(F.col("window_label").isNotNull(), F.format_string(
+            "The best low-traffic slot I see is %s, with an expected load of %.1f people.", "window_label", "expected_people")))
+    hits = _top(c).filter(F.col("rank") <= 2).groupBy("query_id").agg(
+        F.array_join(F.sort_array(F.collect_set("source_type")), ",").alias("sources"))
+    lines = lines.withColumn("query_id", F.col("conv_id") % 40).join(hits, "query_id", "left")
+    return lines.select("conv_id", "turn", F.concat_ws(" ", "slot_line").alias("context"), F.coalesce("sources", F.lit("")).alias("sources"))
+
+
+@query("ch_template_examples", """
+WITH l AS (SELECT *, row_number() OVER (ORDER BY muscle_group, name, item_id) - 1 AS i, count(*) OVER () AS n FROM v_library
+           WHERE lower(source_name) <> 'wger')
+SELECT 'exercise_recommendation' AS task, item_id, 'Suggest one ' || lower(category) || ' exercise for ' || lower(muscle_group) || ' at '
+  || lower(difficulty) || ' level.' AS user_text FROM l WHERE i < 260
+UNION ALL SELECT 'rag_cited_technique', item_id, 'Explain ' || name || ' technique using the retrieved source card.' FROM l
+WHERE i % greatest(1, n // 40) = 0 AND i // greatest(1, n // 40) < 40""")
+def ch_template_examples(c):
+    from ..operators.series import global_row_number
+    lib = c.library().filter(F.lower("source_name") != "wger").withColumn("_o", F.struct("muscle_group", "name", "item_id"))
+    pos = global_row_number(lib, "_o", F.col("muscle_group"), "pos").withColumn("i", F.col("pos") - 1)
+    n = lib.agg(F.count(F.lit(1)).alias("n"))
+    j = pos.crossJoin(F.broadcast(n))  # one-row total
+    step = F.greatest(F.lit(1), F.floor(F.col("n") / 40))
+    rec = j.filter(F.col("i") < 260).select(F.lit("exercise_recommendation").alias("task"), "item_id", F.concat(
+        F.lit("Suggest one "), F.lower("category"), F.lit(" exercise for "), F.lower("muscle_group"), F.lit(" at "),
+        F.lower("difficulty"), F.lit(" level.")).alias("user_text"))
+    tech = j.filter(((F.col("i") % step) == 0) & (F.floor(F.col("i") / step) < 40)).select(
+        F.lit("rag_cited_technique").alias("task"), "item_id",
+        F.concat(F.lit("Explain "), F.col("name"), F.lit(" technique using the retrieved source card.")).alias("user_text"))
+    return rec.unionByName(tech)
+
+
+@query("ch_static_examples", """
+SELECT user_id, 'forecast_aware_recommendation' AS task, 'Find me a quiet slot between ' || CAST(preferred_min_hour AS VARCHAR) || ':00 and '
+  || CAST(preferred_max_hour AS VARCHAR) || ':00 on weekdays ' || preferred_weekdays_text || ' with at most '
+  || CAST(CAST(max_crowd_people AS BIGINT) AS VARCHAR) || ' people.' AS user_text FROM v_prefs_full
+UNION ALL SELECT user_id, 'tool_action_schedule_week', 'Schedule my week with ' || CAST(weekly_goal_sessions AS VARCHAR) || ' sessions at '
+  || preferred_gym_id || '.' FROM v_prefs_full
+UNION ALL SELECT user_id, 'safety_refusal', 'My knee hurts after squats, what should I take?' FROM v_prefs_full""")
+def ch_static_examples(c):
+    p = c.prefs_full()
+    f = p.select("user_id", F.lit("forecast_aware_recommendation").alias("task"), F.concat(
+        F.lit("Find me a quiet slot between "), F.col("preferred_min_hour").cast("string"), F.lit(":00 and "),
+        F.col("preferred_max_hour").cast("string"), F.lit(":00 on weekdays "), F.col("preferred_weekdays_text"),
+        F.lit(" with at most "), F.col("max_crowd_people").cast("long").cast("string"), F.lit(" people.")).alias("user_text"))
+    s = p.select("user_id", F.lit("tool_action_schedule_week").alias("task"), F.concat(
+        F.lit("Schedule my week with "), F.col("weekly_goal_sessions").cast("string"), F.lit(" sessions at "),
+        F.col("preferred_gym_id"), F.lit(".")).alias("user_text"))
+    r = p.select("user_id", F.lit("safety_refusal").alias("task"), F.lit("My knee hurts after squats, what should I take?").alias("user_text"))
+    return f.unionByName(s).unionByName(r)

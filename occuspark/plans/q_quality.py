@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..operators import quality as Q
 from .registry import query
+from .q_recommend import PREF_SQL
 from .views import sql_open
 
 
@@ -166,3 +167,30 @@ def dq_nonempty(c):
         d = df.agg((F.count(F.lit(1)) > 0).alias("non_empty")).select(F.lit(name).alias("output"), "non_empty")
         out = d if out is None else out.unionByName(d)
     return out
+
+
+@query("dq_slot_rules", f"""
+WITH s AS ({PREF_SQL.replace("SELECT user_id, rank", "SELECT user_id, gym_id, rank", 1)})
+SELECT count(*) FILTER (WHERE NOT ({sql_open('s.ts')} = 1)) AS outside_hours,
+  count(*) FILTER (WHERE hour(s.ts) + minute(s.ts) / 60.0 < p.preferred_min_hour OR hour(s.ts) + minute(s.ts) / 60.0 >= p.preferred_max_hour) AS outside_window,
+  count(*) FILTER (WHERE s.expected_people > p.max_crowd_people) AS over_crowd, count(*) AS slots
+FROM s JOIN v_prefs_full p USING (user_id)""")
+def dq_slot_rules(c):
+    from ..operators import recommend as R
+    s = R.preference_slots(c.prefs_full(), c.future(), 5)  # carries the user's window and crowd cap
+    fh = cal.fractional_hour("ts")
+    return s.agg(F.count(F.when(cal.business_open("ts") != 1, 1)).alias("outside_hours"),
+                 F.count(F.when((fh < F.col("preferred_min_hour")) | (fh >= F.col("preferred_max_hour")), 1)).alias("outside_window"),
+                 F.count(F.when(F.col("expected_people") > F.col("max_crowd_people"), 1)).alias("over_crowd"),
+                 F.count(F.lit(1)).alias("slots"))
+
+
+@query("dq_required_columns")
+def dq_required_columns(c):
+    """Required column sets of the observation and feature outputs -> rows of missing columns (none expected)."""
+    from .q_series import FEATURE_COLS
+    required = {"observations": ["seq", "ts", "gym_id", "city", "address", "active_people"], "features": FEATURE_COLS}
+    frames = {"observations": c.obs(), "features": c.feat()}
+    rows = [(name, col, int(col in frames[name].columns)) for name, cols in required.items() for col in cols]
+    # The result is a schema check (metadata), checked against the data frames' schemas.
+    return c.spark.createDataFrame(rows, "output string, column_name string, present int")
