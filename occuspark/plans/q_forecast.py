@@ -75,12 +75,11 @@ def join_lookup_fallback(c):
 
 BOARD_SQL = f"""
 SELECT model, {METRIC_SQL} FROM (
-  SELECT model, active_people AS a, active_people - prediction AS e FROM (
-    UNPIVOT (SELECT active_people, pred_previous, pred_seasonal, pred_rolling, pred_calendar FROM v_pred)
-    ON pred_previous, pred_seasonal, pred_rolling, pred_calendar INTO NAME pcol VALUE prediction)
-  JOIN (VALUES ('pred_previous', 'previous_observation'), ('pred_seasonal', 'seasonal_lag_1d'),
+  SELECT m.model, p.active_people AS a, p.active_people - CASE m.pcol WHEN 'pred_previous' THEN p.pred_previous
+    WHEN 'pred_seasonal' THEN p.pred_seasonal WHEN 'pred_rolling' THEN p.pred_rolling ELSE p.pred_calendar END AS e
+  FROM v_pred p CROSS JOIN (VALUES ('pred_previous', 'previous_observation'), ('pred_seasonal', 'seasonal_lag_1d'),
                ('pred_rolling', 'rolling_mean_16'), ('pred_calendar', 'calendar_profile_gym_weekday_hour'))
-       AS m(pcol, model) USING (pcol))
+       AS m(pcol, model))
 GROUP BY model"""
 
 

@@ -65,11 +65,13 @@ def topk_per_group_head(c):
 
 
 REGISTRY_SQL = """
-board AS (SELECT model, count(e) AS rows, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse, sum(abs(e)) / sum(abs(a)) AS wape FROM (
+board AS (SELECT model, count(e) AS rows, coalesce(avg(abs(e)), 0.0) AS mae, coalesce(sqrt(avg(e * e)), 0.0) AS rmse,
+  CASE WHEN coalesce(sum(CASE WHEN e IS NOT NULL THEN abs(a) END), 0) = 0 THEN 0.0
+       ELSE sum(abs(e)) / sum(CASE WHEN e IS NOT NULL THEN abs(a) END) END AS wape FROM (
   SELECT m.model, p.active_people AS a, p.active_people - CASE m.model WHEN 'previous_observation' THEN p.pred_previous
     WHEN 'seasonal_lag_1d' THEN p.pred_seasonal WHEN 'rolling_mean_16' THEN p.pred_rolling ELSE p.pred_calendar END AS e
   FROM v_pred p CROSS JOIN (VALUES ('previous_observation'), ('seasonal_lag_1d'), ('rolling_mean_16'),
-    ('calendar_profile_gym_weekday_hour')) AS m(model)) WHERE e IS NOT NULL GROUP BY model),
+    ('calendar_profile_gym_weekday_hour')) AS m(model)) GROUP BY model),
 gymb AS (SELECT 'calendar_' || gym_id AS model, count(*) AS rows, avg(abs(active_people - pred_calendar)) AS mae,
            sqrt(avg(pow(active_people - pred_calendar, 2))) AS rmse,
            sum(abs(active_people - pred_calendar)) / sum(abs(active_people)) AS wape FROM v_pred GROUP BY gym_id),

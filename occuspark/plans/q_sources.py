@@ -95,11 +95,11 @@ def sink_jsonl_chat(c):
 
 @query("sink_markdown_table", """
 SELECT '| ' || model || ' | ' || printf('%.4f', mae) || ' | ' || printf('%.4f', rmse) || ' |' AS line FROM (
-  SELECT model, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse FROM (
+  SELECT model, coalesce(avg(abs(e)), 0.0) AS mae, coalesce(sqrt(avg(e * e)), 0.0) AS rmse FROM (
     SELECT m.model, p.active_people - CASE m.model WHEN 'previous_observation' THEN p.pred_previous
       WHEN 'seasonal_lag_1d' THEN p.pred_seasonal WHEN 'rolling_mean_16' THEN p.pred_rolling ELSE p.pred_calendar END AS e
     FROM v_pred p CROSS JOIN (VALUES ('previous_observation'), ('seasonal_lag_1d'), ('rolling_mean_16'),
-      ('calendar_profile_gym_weekday_hour')) AS m(model)) WHERE e IS NOT NULL GROUP BY model)""")
+      ('calendar_profile_gym_weekday_hour')) AS m(model)) GROUP BY model)""")
 def sink_markdown_table(c):
     from ..operators import forecast as FC
     return FS.markdown_rows(FC.baseline_board(c.pred()), ["model", "mae", "rmse"], ["%s", "%.4f", "%.4f"])
