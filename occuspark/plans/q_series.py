@@ -19,10 +19,23 @@ FEATURE_COLS = ("seq ts gym_id city address active_people hour day_of_week is_we
 
 @query("ts_feature_table", "SELECT * FROM v_feat")
 def ts_feature_table(c):
-    """Flagship: calendar + holiday + lag + rolling features in one window pass."""
+    """Flagship: calendar + holiday + lag + rolling features; windows run on 50k-row chunks with a
+    96-row halo, so one huge series is spread over many tasks (exact, see ts_feature_table_chunked)."""
     return c.feat().select(*FEATURE_COLS)
 
 
+@query("ts_feature_table_chunked", "SELECT * FROM v_feat")
+def ts_feature_table_chunked(c):
+    """Chunked windows with tiny chunks (200 rows), so halos between chunks are exercised by the oracle."""
+    return series.feature_table_chunked(c.obs(), HOLIDAYS, chunk_rows=200).select(*FEATURE_COLS)
+
+
+@query("ts_feature_table_single_pass", "SELECT * FROM v_feat")
+def ts_feature_table_single_pass(c):
+    """One shared window spec per entity: a single Exchange + Sort + Window (best when entities are many and even)."""
+    return series.feature_table(c.obs(), HOLIDAYS).select(*FEATURE_COLS)
+
+
 @query("cal_features", f"SELECT seq, gym_id, ts, {sql_calendar_cols('ts')} FROM v_obs")
 def cal_features(c):
     return c.obs().select("seq", "gym_id", "ts", *[v.alias(k) for k, v in cal.calendar_columns("ts").items()])
