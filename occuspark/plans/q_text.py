@@ -193,3 +193,26 @@ def tx_field_topk(c):
     lib = library(c)
     top = RT.field_topk(RT.field_match(lib, q, FIELDS), lib, q, 5)
     return top.join(q, "query_id").select("text", "item_id", "name", "score", "matched_fields", "rank")
+
+
+@query("tx_field_context", f"""WITH {FIELD_SQL},
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY score DESC, name, item_id) AS rank FROM fs) WHERE rank <= 5)
+SELECT t.text, t.item_id, '- ' || l.p_name || ' (' || l.p_brand || ', ' || ['Beginner', 'Intermediate', 'Advanced'][l.p_size % 3 + 1]
+  || '). Matched fields: ' || replace(t.matched_fields, ',', ', ') || '. Instructions:  Cues: . Common mistakes: . Source: '
+  || coalesce(nullif(CASE WHEN l.p_size % 5 = 0 THEN 'local seed' ELSE '' END, ''), 'local seed') || ' . License: '
+  || coalesce(nullif(CASE WHEN l.p_size % 2 = 0 THEN 'catalogue licence' ELSE '' END, ''), 'not specified') || '.' AS context_line
+FROM top t JOIN part l ON l.p_partkey = t.item_id""")
+def tx_field_context(c):
+    q = name_queries(c)
+    lib = library(c)
+    top = RT.field_topk(RT.field_match(lib, q, FIELDS), lib, q, 5).join(q, "query_id")
+    p = c.t("part").select(F.col("p_partkey").alias("item_id"), "p_brand", "p_size")
+    j = top.join(p, "item_id")
+    diff = F.element_at(F.array(F.lit("Beginner"), F.lit("Intermediate"), F.lit("Advanced")), (F.col("p_size") % 3 + 1).cast("int"))
+    src = F.coalesce(F.nullif(F.when(F.col("p_size") % 5 == 0, F.lit("local seed")).otherwise(F.lit("")), F.lit("")), F.lit("local seed"))
+    lic = F.coalesce(F.nullif(F.when(F.col("p_size") % 2 == 0, F.lit("catalogue licence")).otherwise(F.lit("")), F.lit("")),
+                     F.lit("not specified"))
+    line = F.concat(F.lit("- "), F.col("name"), F.lit(" ("), F.col("p_brand"), F.lit(", "), diff, F.lit("). Matched fields: "),
+                    F.replace("matched_fields", F.lit(","), F.lit(", ")),
+                    F.lit(". Instructions:  Cues: . Common mistakes: . Source: "), src, F.lit(" . License: "), lic, F.lit("."))
+    return j.select("text", "item_id", line.alias("context_line"))
