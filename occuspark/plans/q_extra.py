@@ -241,12 +241,13 @@ def tx_chunks_user(c):
 
 
 @query("tx_corpus_union", f"""WITH {USER_CHUNK_SQL}, {CAT_CHUNK_SQL}
-SELECT chunk_id, user_id, title, source_type, length(text) AS text_chars, 0 AS part FROM uc
-UNION ALL SELECT chunk_id, u.user_id, title, source_type, length(text), 1 FROM cat CROSS JOIN v_users u""")
+SELECT chunk_id, CAST(user_id AS VARCHAR) AS scope, title, source_type, length(text) AS text_chars, 0 AS part FROM uc
+UNION ALL SELECT chunk_id, 'shared', title, source_type, length(text), 1 FROM cat""")
 def tx_corpus_union(c):
-    # Per user: the user's own chunks first, then the shared catalogue chunks.
-    uc = _user_chunks(c).select("chunk_id", "user_id", "title", "source_type", F.length("text").alias("text_chars"),
-                                F.lit(0).alias("part"))
-    cat = _catalogue_chunks(c).crossJoin(F.broadcast(c.users())).select(
-        "chunk_id", "user_id", "title", "source_type", F.length("text").alias("text_chars"), F.lit(1).alias("part"))
+    # A user's corpus is the user's own chunks (part 0) followed by the shared catalogue chunks
+    # (part 1); the catalogue is stored once with scope 'shared', not copied per user.
+    uc = _user_chunks(c).select("chunk_id", F.col("user_id").cast("string").alias("scope"), "title", "source_type",
+                                F.length("text").alias("text_chars"), F.lit(0).alias("part"))
+    cat = _catalogue_chunks(c).select("chunk_id", F.lit("shared").alias("scope"), "title", "source_type",
+                                      F.length("text").alias("text_chars"), F.lit(1).alias("part"))
     return uc.unionByName(cat)
