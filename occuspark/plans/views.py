@@ -329,7 +329,10 @@ class Ctx:
         return self.pred().withColumn("abs_error", F.abs(F.col("active_people") - F.col("pred_calendar")))
 
     def future(self) -> DataFrame:
-        return self._memo("future", lambda: forecast.forecast_profile(self.obs(), self.pred_errors(), HOLIDAYS))
+        # The forecast is a product table (gyms x horizon rows, independent of history length):
+        # it is materialised once so every consumer reads it instead of re-planning its lineage.
+        return self._memo("future", lambda: self.materialize(
+            forecast.forecast_profile(self.obs(), self.pred_errors(), HOLIDAYS)))
 
     # v_sets: workout sets derived from events (user = user_id % 10, exercise = event type).
     def sets(self) -> DataFrame:
