@@ -63,10 +63,10 @@ def offpeak_visit(checked_in_at: str = "checked_in_at", crowd: str = "active_peo
     return ((h >= 10) & (h < 16)) | (F.col(crowd) <= 45)
 
 
-def _nth(df: DataFrame, key: str, order: list, ts: str, n: int, name: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(*order)
-    return (df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == n)
-              .select(key, F.col(ts).alias(name)))
+def _nth(df: DataFrame, key: str, order: list[str], ts: str, n: int, name: str) -> DataFrame:
+    """n-th row per key in ``order`` (time first, then an id): positions per (key, day), no per-key window."""
+    tiebreak = order[1] if len(order) > 1 else None
+    return series.nth_event_chunked(df, key, ts, n, name, tiebreak=tiebreak)
 
 
 # Achievement catalogue (id, code, target).
@@ -89,8 +89,8 @@ def achievements(users: DataFrame, sets: DataFrame, visits: DataFrame, templates
     tg = {code: t for _, code, t in ACHIEVEMENTS}
     tg.update(targets or {})
     s = sets.withColumn("_ex", F.lower("exercise"))
-    order = [F.col("performed_at"), F.col("set_id")]
-    vorder = [F.col("checked_in_at"), F.col("visit_id")]
+    order = ["performed_at", "set_id"]
+    vorder = ["checked_in_at", "visit_id"]
     core = F.col("_ex").isin(*[x.lower() for x in core_lifts])
     has_mod = F.coalesce(F.col("modifiers_json"), F.lit("{}")) != "{}"
     day = _day("performed_at")
@@ -99,7 +99,7 @@ def achievements(users: DataFrame, sets: DataFrame, visits: DataFrame, templates
     latest = days.groupBy("user_id").agg(F.max("day").alias("_latest"))
     weekly = days.join(latest, "user_id").groupBy("user_id").agg(
         F.count(F.when(F.col("day") >= F.date_sub("_latest", 6), 1)).cast("double").alias("p1"))
-    fourth_day = _nth(days, "user_id", [F.col("day")], "day", int(tg["consistency_builder"]), "_d4")
+    fourth_day = _nth(days, "user_id", ["day"], "day", int(tg["consistency_builder"]), "_d4")
     u1 = (s.withColumn("day", day).join(fourth_day, "user_id").filter(F.col("day") == F.col("_d4"))
            .groupBy("user_id").agg(F.max_by("performed_at", F.struct("performed_at", "set_id")).alias("u1")))
 
@@ -113,10 +113,8 @@ def achievements(users: DataFrame, sets: DataFrame, visits: DataFrame, templates
         F.count(F.when(has_mod, 1)).cast("double").alias("p8"),
         F.max("performed_at").alias("_last_set"))
     u3 = _nth(s.filter(core), "user_id", order, "performed_at", int(tg["strength_master"]), "u3")
-    vol_w = Window.partitionBy("user_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    u5 = (s.withColumn("_run", F.sum(F.col("weight_kg") * F.col("reps")).over(vol_w))
-           .groupBy("user_id").agg(F.min(F.when(F.col("_run") >= tg["volume_builder"], F.col("performed_at")))
-                                   .alias("u5")))
+    u5 = series.running_cross_chunked(s.withColumn("_vol", F.col("weight_kg") * F.col("reps")), "user_id", "performed_at",
+                                      "_vol", tg["volume_builder"], "u5", tiebreak="set_id")
     u7 = series.distinct_cross(s, "user_id", "performed_at", "exercise", int(tg["exercise_explorer"]), "u7")
     u8 = _nth(s.filter(has_mod), "user_id", order, "performed_at", int(tg["set_specialist"]), "u8")
 
@@ -127,7 +125,7 @@ def achievements(users: DataFrame, sets: DataFrame, visits: DataFrame, templates
     u2 = _nth(off, "user_id", vorder, "checked_in_at", int(tg["off_peak_hero"]), "u2")
     u9 = _nth(visits, "user_id", vorder, "checked_in_at", int(tg["attendance_base"]), "u9")
     tagg = templates.groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias("p4"))
-    u4 = _nth(templates, "user_id", [F.col("created_at"), F.col("template_id")], "created_at",
+    u4 = _nth(templates, "user_id", ["created_at", "template_id"], "created_at",
               int(tg["template_operator"]), "u4")
 
     wide = users.select("user_id").distinct()

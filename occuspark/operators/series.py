@@ -243,3 +243,33 @@ def feature_table_chunked(df: DataFrame, holidays: cal.HolidayCalendar, key="gym
     cols.update(lag_columns(value, w, lags))
     cols.update(rolling_columns(value, w, windows))
     return both.withColumns(cols).filter(F.col("_halo") == 0).drop("_i", "_c", "_halo")
+
+
+def split_flags_chunked(df: DataFrame, key="gym_id", ts="ts", ratio: float = 0.8, tiebreak: str | None = "seq",
+                        out: str = "is_train") -> DataFrame:
+    """:func:`split_flags` without a window over a whole entity: positions come from
+    :func:`chunked_row_index`, entity sizes from a grouped count (joined back)."""
+    idx = chunked_row_index(df, key, ts, tiebreak)
+    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    cut = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(ratio)))
+    return idx.join(n, key).withColumn(out, (F.col("_i") < cut).cast("int")).drop("_i", "_n")
+
+
+def nth_event_chunked(df: DataFrame, key, ts, n: int, out="nth_at", tiebreak: str | None = None) -> DataFrame:
+    """Time of the n-th event per key, using per-(key, day) positions instead of a per-key window."""
+    idx = chunked_row_index(df, key, ts, tiebreak)
+    return idx.filter(F.col("_i") == n - 1).select(key, F.col(ts).alias(out))
+
+
+def running_cross_chunked(df: DataFrame, key, ts, value, threshold, out="crossed_at",
+                          tiebreak: str | None = None) -> DataFrame:
+    """First time the running sum of ``value`` reaches ``threshold``: day totals give each
+    day's starting sum (a running sum over the small per-day table), a window inside each
+    (key, day) adds the running part."""
+    d = df.withColumn("_d", F.to_date(F.col(ts)))
+    day = d.groupBy(key, "_d").agg(F.sum(value).alias("_ds"))
+    start = day.withColumn("_start", F.coalesce(F.sum("_ds").over(
+        Window.partitionBy(key).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_ds")
+    w = Window.partitionBy(key, "_d").orderBy(*_order(ts, tiebreak)).rowsBetween(Window.unboundedPreceding, 0)
+    run = d.join(start, [key, "_d"]).withColumn("_run", F.col("_start") + F.sum(value).over(w))
+    return run.groupBy(key).agg(F.min(F.when(F.col("_run") >= threshold, F.col(ts))).alias(out))

@@ -84,14 +84,14 @@ SELECT user_id, min(performed_at) FILTER (WHERE run >= 100000) AS crossed_at FRO
   FROM v_sets) GROUP BY user_id""")
 def ts_running_total_cross(c):
     s = c.sets().withColumn("volume", F.col("weight_kg") * F.col("reps"))
-    return series.running_cross(s, "user_id", "performed_at", "volume", 100000, tiebreak="set_id")
+    return series.running_cross_chunked(s, "user_id", "performed_at", "volume", 100000, tiebreak="set_id")
 
 
 @query("ts_nth_event", """
 SELECT user_id, checked_in_at AS nth_at FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY checked_in_at, visit_id) AS rn FROM v_visits) WHERE rn = 10""")
 def ts_nth_event(c):
-    return series.nth_event(c.visits(), "user_id", "checked_in_at", 10, tiebreak="visit_id")
+    return series.nth_event_chunked(c.visits(), "user_id", "checked_in_at", 10, tiebreak="visit_id")
 
 
 @query("ts_distinct_cross", """

@@ -320,7 +320,7 @@ class Ctx:
         return self._memo("feat", lambda: series.feature_table_chunked(self.obs(), HOLIDAYS, chunk_rows=CHUNK_ROWS))
 
     def split(self) -> DataFrame:
-        return self._memo("split", lambda: series.split_flags(self.feat()))
+        return self._memo("split", lambda: series.split_flags_chunked(self.feat()))
 
     def pred(self) -> DataFrame:
         return self._memo("pred", lambda: forecast.baseline_predictions(self.split()))
