@@ -199,7 +199,7 @@ def global_row_number(df: DataFrame, order: str, bucket: Column, out: str = "pos
 
 
 def chunked_row_index(df: DataFrame, key="gym_id", ts="ts", tiebreak: str | None = "seq",
-                      bucket: Column | None = None, out: str = "_i") -> DataFrame:
+                      bucket: Column | None = None, out: str = "_i", total: str | None = None) -> DataFrame:
     """0-based row position inside each entity without a window over the whole entity.
 
     Rows are counted per (entity, time bucket) -- by default the calendar day --
@@ -212,13 +212,16 @@ def chunked_row_index(df: DataFrame, key="gym_id", ts="ts", tiebreak: str | None
     counts = d.groupBy(key, "_bk").agg(F.count(F.lit(1)).alias("_bn"))
     offs = counts.withColumn("_off", F.coalesce(F.sum("_bn").over(
         Window.partitionBy(key).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_bn")
+    if total:  # entity sizes from the same small count table (no second pass over the rows)
+        offs = offs.join(counts.groupBy(key).agg(F.sum("_bn").alias(total)), key)
     w = Window.partitionBy(key, "_bk").orderBy(*_order(ts, tiebreak))
     return d.join(offs, [key, "_bk"]).withColumn(out, F.col("_off") + F.row_number().over(w) - 1).drop("_bk", "_off")
 
 
 def feature_table_chunked(df: DataFrame, holidays: cal.HolidayCalendar, key="gym_id", ts="ts",
                           value="active_people", lags=(1, 4, 96), windows=(4, 16, 96), tiebreak: str | None = "seq",
-                          chunk_rows: int = 1_000_000, bucket: Column | None = None) -> DataFrame:
+                          chunk_rows: int = 1_000_000, bucket: Column | None = None,
+                          keep_position: bool = False) -> DataFrame:
     """Same output as :func:`feature_table`, with the window split into fixed-size row chunks.
 
     Each chunk of ``chunk_rows`` consecutive rows of an entity is one window
@@ -229,7 +232,7 @@ def feature_table_chunked(df: DataFrame, holidays: cal.HolidayCalendar, key="gym
     halo = max(max(lags), max(windows))
     if chunk_rows < halo:
         raise ValueError("chunk_rows must be at least the longest lag / rolling window")
-    idx = chunked_row_index(df, key, ts, tiebreak, bucket)
+    idx = chunked_row_index(df, key, ts, tiebreak, bucket, total="entity_rows")
     idx = idx.withColumn("_c", F.floor(F.col("_i") / chunk_rows))
     own = idx.withColumn("_halo", F.lit(0))
     spill = (idx.filter((F.col("_i") % chunk_rows) >= chunk_rows - halo)
@@ -242,17 +245,19 @@ def feature_table_chunked(df: DataFrame, holidays: cal.HolidayCalendar, key="gym
     cols.update(cal.holiday_columns(ts, holidays))
     cols.update(lag_columns(value, w, lags))
     cols.update(rolling_columns(value, w, windows))
-    return both.withColumns(cols).filter(F.col("_halo") == 0).drop("_i", "_c", "_halo")
+    out = both.withColumns(cols).filter(F.col("_halo") == 0).drop("_c", "_halo")
+    if keep_position:  # 0-based position and size of the series, for splits downstream
+        return out.withColumnRenamed("_i", "row_pos")
+    return out.drop("_i", "entity_rows")
 
 
 def split_flags_chunked(df: DataFrame, key="gym_id", ts="ts", ratio: float = 0.8, tiebreak: str | None = "seq",
                         out: str = "is_train") -> DataFrame:
     """:func:`split_flags` without a window over a whole entity: positions come from
     :func:`chunked_row_index`, entity sizes from a grouped count (joined back)."""
-    idx = chunked_row_index(df, key, ts, tiebreak)
-    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    idx = chunked_row_index(df, key, ts, tiebreak, total="_n")
     cut = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(ratio)))
-    return idx.join(n, key).withColumn(out, (F.col("_i") < cut).cast("int")).drop("_i", "_n")
+    return idx.withColumn(out, (F.col("_i") < cut).cast("int")).drop("_i", "_n")
 
 
 def nth_event_chunked(df: DataFrame, key, ts, n: int, out="nth_at", tiebreak: str | None = None) -> DataFrame:

@@ -317,16 +317,31 @@ class Ctx:
         return self.obs().withColumn("ts", cal.hour_floor("ts"))
 
     def feat(self) -> DataFrame:
-        return self._memo("feat", lambda: series.feature_table_chunked(self.obs(), HOLIDAYS, chunk_rows=CHUNK_ROWS))
+        return self._memo("feat", lambda: series.feature_table_chunked(self.obs(), HOLIDAYS, chunk_rows=CHUNK_ROWS,
+                                                                        keep_position=True))
 
     def split(self) -> DataFrame:
-        return self._memo("split", lambda: series.split_flags_chunked(self.feat()))
+        # Chronological 80/20 per gym from the positions the feature table already computed.
+        cut = F.greatest(F.lit(1), F.floor(F.col("entity_rows") * F.lit(0.8)))
+        return self._memo("split", lambda: self.feat().withColumn("is_train", (F.col("row_pos") < cut).cast("int")))
 
     def pred(self) -> DataFrame:
         return self._memo("pred", lambda: forecast.baseline_predictions(self.split()))
 
+    def split_light(self) -> DataFrame:
+        """Observations with calendar keys and the 80/20 flag only (no lag/rolling windows):
+        enough for the calendar-profile errors the forecast bands need."""
+        def build():
+            idx = series.chunked_row_index(self.obs(), "gym_id", "ts", "seq", total="_n")
+            cut = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(0.8)))
+            return idx.select("seq", "ts", "gym_id", "active_people", cal.weekday("ts").alias("day_of_week"),
+                              F.hour("ts").alias("hour"), (F.col("_i") < cut).cast("int").alias("is_train"))
+        return self._memo("split_light", build)
+
     def pred_errors(self) -> DataFrame:
-        return self.pred().withColumn("abs_error", F.abs(F.col("active_people") - F.col("pred_calendar")))
+        s = self.split_light()
+        p = forecast.calendar_profile_predict(s.filter("is_train = 1"), s.filter("is_train = 0"))
+        return p.withColumn("abs_error", F.abs(F.col("active_people") - F.col("pred_calendar")))
 
     def future(self) -> DataFrame:
         # The forecast is a product table (gyms x horizon rows, independent of history length):
