@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from .common import cut_lineage, documents_of, sub_blocks
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Words kept with their ids in a worker; a full table starts again from empty.
-CACHE_WORDS = 400_000
-LONGEST_CACHED = 64
+#: Words kept with their ids in a worker process.
+CACHE_WORDS = 600_000
+LONGEST_CACHED = 48
 #: White space for ``str.split`` that the tokenizer does not treat as such.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -36,7 +36,9 @@ class WordEncoder:
     """Ids of a text as little-endian unsigned 32-bit bytes.
 
     The tokenizer never lets a token span white space, so a text's ids are those
-    of its words one after another; words seen before come from a bounded table.
+    of its words one after another.  A word met for the first time is looked up in
+    lower case and without the full stop or comma after its letters, which is a
+    token of its own; only what is then unknown is encoded.
     """
 
     def __init__(self, path: str):
@@ -46,27 +48,74 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.unkept = 0
+        self.marks = {c: self._ids([c])[0] for c in ".,"}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.ends[k] = token.endswith("</w>")
+
+    @classmethod
+    def of_process(cls, path: str) -> WordEncoder:
+        """The worker process's encoder of this file, kept from task to task."""
+        import tokenizers
+        kept = tokenizers.__dict__.setdefault("_word_encoders", {})
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letter_ids(self, words: list[str]) -> list[bytes]:
+        """The same for words of ASCII letters, each of which ends with its only word-end token."""
+        ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        stop = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        flat = ids.tobytes()
+        return [flat[a:b] for a, b in zip([0, *stop], stop, strict=False)]
 
     def encode(self, text: str) -> bytes:
         if any(c in text for c in SEPARATORS):
             return self._ids([text])[0]
         words = text.split()
-        known = self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) > CACHE_WORDS:
-                known.clear()
-                new = list(set(words))
-            long = {}
-            for w, ids in zip(new, self._ids(new), strict=True):
-                (known if len(w) <= LONGEST_CACHED else long)[w] = ids
-            if long:
-                return b"".join(long[w] if w in long else known[w] for w in words)
-        return b"".join(map(known.__getitem__, words))
+        parts = list(map(self.known.get, words))
+        if None in parts:
+            gaps = [i for i, p in enumerate(parts) if p is None]
+            found = self._found({words[i] for i in gaps})
+            for i in gaps:
+                parts[i] = found[words[i]]
+        return b"".join(parts)
+
+    def _found(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of unseen words, kept while there is room; long unkept, the table starts again."""
+        known, ids, wait = self.known, {}, {}
+        for w in new:
+            key, tail = w, b""
+            if "<|" not in w:
+                if w[-1] in self.marks and w[:-1].isalpha() and max(w) < "\u0250" and "\u0130" not in w:
+                    key, tail = w[:-1], self.marks[w[-1]]  # plain Latin letters: none turns into a mark
+                if key.isascii():
+                    key = key.lower()
+            if key in known:
+                ids[w] = known[key] + tail
+            else:
+                wait.setdefault(key, []).append((w, tail))
+        plain = [w for w in wait if w.isascii() and w.isalpha()]
+        other = [w for w in wait if not (w.isascii() and w.isalpha())]
+        encoded = dict(zip(plain, self._letter_ids(plain), strict=True)) if plain else {}
+        if other:
+            encoded.update(zip(other, self._ids(other), strict=True))
+        for key, uses in wait.items():
+            for w, tail in uses:
+                ids[w] = encoded[key] + tail
+        if self.unkept > 4 * CACHE_WORDS:
+            known.clear()
+            self.unkept = 0
+        if len(known) + len(ids) + len(encoded) <= CACHE_WORDS:
+            known.update((w, v) for part in (ids, encoded) for w, v in part.items() if len(w) <= LONGEST_CACHED)
+        else:
+            self.unkept += len(ids)
+        return ids
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, end_id: int = 0,
@@ -79,7 +128,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, e
     step = 4 * max_tokens
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = WordEncoder.of_process(tokenizer_path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
