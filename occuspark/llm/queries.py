@@ -5,8 +5,26 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, tokens
-from .common import read
+from pyspark.sql import functions as F
+
+from . import mixing, packing, quality, tokens, toxicity
+from .common import held_out, read
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    out = held_out(3, 1)
+    model = toxicity.fit_labels(docs, read(spark, sf_dir, "labels"), ~out)
+    return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score",
+                                              (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op3_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    out = held_out(5, 0)
+    model = quality.fit_labels(docs, read(spark, sf_dir, "labels"), ~out)
+    return quality.score(docs, model).select("doc_id", out.alias("held_out"), "score",
+                                             (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,5 +41,5 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
 
 
-QUERIES = {f.__name__: f for f in (op6_mixing, op9_token_attribution, op10_pattern_packing)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_rule_quality, op6_mixing, op9_token_attribution, op10_pattern_packing)}
 ORACLES: dict[str, str] = {}
