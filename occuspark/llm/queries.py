@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, tokens, toxicity
+from . import mixing, packing, quality, srs, tokens, toxicity, vafile
 from .common import held_out, read
 
 
@@ -19,6 +19,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op2_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return vafile.search(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
 def op3_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     out = held_out(5, 0)
@@ -31,6 +36,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_stable_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return srs.search(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
 def op9_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
     return tokens.section_token_counts(read(spark, sf_dir, "documents"),
@@ -41,5 +51,23 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_rule_quality, op6_mixing, op9_token_attribution, op10_pattern_packing)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_va_file, op3_rule_quality, op6_mixing, op8_stable_projections, op9_token_attribution,
+    op10_pattern_packing)}
+#: Integer scores and id ties are exact in SQL.
+ORACLES = {
+    "op2_va_file": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 10
+""",
+}
