@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import mixing, packing, pages, quality, srs, tokens, toxicity, urls, vafile
+from . import mixing, neardup, packing, pages, quality, srs, tokens, toxicity, urls, vafile
 from .common import held_out, read
 
 
@@ -36,6 +36,10 @@ def op4_url_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op5_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -60,7 +64,7 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_va_file, op3_rule_quality, op4_url_segments, op6_mixing, op7_page_differences, op8_stable_projections, op9_token_attribution,
+    op1_toxicity, op2_va_file, op3_rule_quality, op4_url_segments, op5_weighted_minhash, op6_mixing, op7_page_differences, op8_stable_projections, op9_token_attribution,
     op10_pattern_packing)}
 #: Integer scores and id ties are exact in SQL.
 ORACLES = {
