@@ -9,7 +9,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 import numpy as np
 from pyspark.ml.classification import RandomForestClassifier
@@ -19,50 +22,58 @@ from pyspark.sql import functions as F
 
 from .common import cut_lineage, documents_of, labelled_sample
 
-SYMBOLS = "$%&#*<>{}[]\\^~=+@_"
+#: Inside brackets of a regular expression.
+SYMBOLS = r"$%&#*<>{}\[\]\\^~=+@_"
 SENTENCE_ENDS = ".?!"
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """``docs`` with one double column per statistic; all are 0 for a text without words."""
-    text = F.col("text")
-    n = F.char_length(text).cast("double")
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body or a pushed-down filter names it."""
+    return F.transform(F.array(value), body)[0]
 
+
+def statistics(text: Column) -> Column:
+    """A struct of one double per statistic of a text; all are 0 for a text without words."""
     def ratio(a: Column, b: Column) -> Column:
         return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
     def count_of(chars: str) -> Column:
-        return F.char_length(text) - F.char_length(F.translate(text, chars, ""))
-
-    base = docs.withColumns({
-        "st_words": F.array_remove(F.split(text, r"\s+"), ""),
-        "st_lines": F.array_remove(F.split(text, r"\s*\n\s*"), ""),
-        "st_upper": F.regexp_count(text, F.lit(r"\p{Lu}")),
-        "st_letters": F.regexp_count(text, F.lit(r"\p{L}")),
-        "st_repeat": F.regexp_count(text, F.lit(r"(?<!\S)(\S++)(?=\s\1(?!\S))")),
-    })
-    words, lines = F.size("st_words").cast("double"), F.size("st_lines").cast("double")
-    out = base.withColumns({
-        "log_words": F.log1p(words),
-        "word_length": ratio(n - words, words),
-        "distinct_words": ratio(F.size(F.array_distinct("st_words")), words),
-        "repeated_next": ratio(F.col("st_repeat"), words),
-        "repeated_lines": ratio(lines - F.size(F.array_distinct("st_lines")), lines),
-        "words_per_line": F.log1p(ratio(words, lines)),
-        "symbols": ratio(count_of(SYMBOLS), n),
-        "pipes": ratio(count_of("|"), words),
-        "exclamations": ratio(count_of("!"), words),
-        "sentence_ends": ratio(count_of(SENTENCE_ENDS), words),
-        "commas": ratio(count_of(",;:"), words),
-        "digits": ratio(count_of("0123456789"), n),
-        "upper": ratio(F.col("st_upper"), F.col("st_letters")),
-        "letters": ratio(F.col("st_letters"), n),
-    })
-    return out.drop("st_words", "st_lines", "st_upper", "st_letters", "st_repeat")
+        return F.regexp_count(text, F.lit(f"[{chars}]"))
+
+    parts = F.struct(
+        F.char_length(text).cast("double").alias("n"),
+        F.array_remove(F.split(text, r"\s+"), "").alias("words"),
+        F.array_remove(F.split(text, "\n"), "").alias("lines"),
+        F.regexp_count(text, F.lit(r"\p{Lu}")).alias("upper"),
+        F.regexp_count(text, F.lit(r"(?<!\S)(\S++)(?=\s\1(?!\S))")).alias("repeats"),
+        count_of(SYMBOLS).alias("symbols"), count_of("|").alias("pipes"), count_of("!").alias("exclamations"),
+        count_of(SENTENCE_ENDS).alias("ends"), count_of(",;:").alias("commas"),
+        count_of("0123456789").alias("digits"))
+
+    def measures(p: Column) -> Column:
+        n, words, lines = p["n"], F.size(p["words"]).cast("double"), F.size(p["lines"]).cast("double")
+        values = {
+            "log_words": F.log1p(words),
+            "word_length": ratio(n - words, words),
+            "distinct_words": ratio(F.size(F.array_distinct(p["words"])), words),
+            "repeated_next": ratio(p["repeats"], words),
+            "repeated_lines": ratio(lines - F.size(F.array_distinct(p["lines"])), lines),
+            "words_per_line": F.log1p(ratio(words, lines)),
+            "symbols": ratio(p["symbols"], n),
+            "pipes": ratio(p["pipes"], words),
+            "exclamations": ratio(p["exclamations"], words),
+            "sentence_ends": ratio(p["ends"], words),
+            "commas": ratio(p["commas"], words),
+            "digits": ratio(p["digits"], n),
+            "upper": ratio(p["upper"], words),
+        }
+        return F.struct(*[values[f].cast("double").alias(f) for f in FEATURES])
+
+    return bound(parts, measures)
 
 
 FEATURES = ["log_words", "word_length", "distinct_words", "repeated_next", "repeated_lines", "words_per_line",
-            "symbols", "pipes", "exclamations", "sentence_ends", "commas", "digits", "upper", "letters"]
+            "symbols", "pipes", "exclamations", "sentence_ends", "commas", "digits", "upper"]
 #: ``((feature, at most?, threshold), ...)``: a conjunction of tests.
 Rule = tuple[tuple[str, bool, float], ...]
 
@@ -72,16 +83,16 @@ class RuleModel:
     intercept: float = 0.0
     rules: list[tuple[Rule, float]] = field(default_factory=list)
 
-    def column(self) -> Column:
-        """The score, 0 to 1, as an expression over the statistics' columns."""
-        margin = F.lit(float(self.intercept))
-        for rule, weight in self.rules:
-            test = None
-            for name, at_most, at in rule:
-                one = F.col(name) <= F.lit(at) if at_most else F.col(name) > F.lit(at)
-                test = one if test is None else test & one
-            margin = margin + F.when(test, F.lit(float(weight))).otherwise(F.lit(0.0))
-        return 1.0 / (1.0 + F.exp(-margin))
+    def column(self, text: Column) -> Column:
+        """The score of a text, 0 to 1, as a column expression."""
+        def scored(st: Column) -> Column:
+            margin = F.lit(float(self.intercept))
+            for rule, weight in self.rules:
+                tests = [st[name] <= F.lit(at) if at_most else st[name] > F.lit(at) for name, at_most, at in rule]
+                margin = margin + F.when(reduce(and_, tests), F.lit(float(weight))).otherwise(F.lit(0.0))
+            return 1.0 / (1.0 + F.exp(-margin))
+
+        return bound(statistics(text), scored)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """The same on rows of features in the order of ``FEATURES``."""
@@ -142,10 +153,11 @@ def fit(sample: DataFrame, trees: int = 24, depth: int = 3, penalty: float = 5e-
     Without rows the score is 0.5 everywhere; with one class only it is that
     class's smoothed share.
     """
-    rows = cut_lineage(statistics(sample).select("label", *FEATURES).coalesce(8))
-    table = np.array([[float(v) for v in r] for r in rows.orderBy(*FEATURES, "label").collect()])
+    rows = cut_lineage(sample.select("label", statistics(F.col("text")).alias("st")).select("label", "st.*").coalesce(8))
+    table = np.array([[float(v) for v in r] for r in rows.collect()])
     if not len(table):
         return RuleModel()
+    table = table[np.lexsort(table.T)]
     y, x = table[:, 0], table[:, 1:]
     if y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 2)
@@ -169,4 +181,9 @@ def fit_labels(docs: DataFrame, labels: DataFrame, keep: Column, rows: int = 20_
 
 def score(docs: DataFrame, model: RuleModel, *extra: str) -> DataFrame:
     """``doc_id, score`` (and ``extra`` columns) of every whole text; null reads as empty."""
-    return statistics(documents_of(docs, *extra)).select("doc_id", *extra, model.column().alias("score"))
+    return documents_of(docs, *extra).select("doc_id", *extra, model.column(F.col("text")).alias("score"))
+
+
+def kept(docs: DataFrame, model: RuleModel, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` with a score of ``least`` or more, all columns as they were."""
+    return docs.where(model.column(F.coalesce(F.col("text").cast("string"), F.lit(""))) >= least)

@@ -234,7 +234,8 @@ def fit(sample: DataFrame) -> Model:
             yield pd.DataFrame(rows, columns=["a", "b", "c", "label"])
 
     table = np.array([tuple(r) for r in sample.mapInPandas(measured, "a double, b double, c double, label double")
-                      .orderBy("a", "b", "c", "label").collect()]).reshape(-1, 4)
+                      .collect()]).reshape(-1, 4)
+    table = table[np.lexsort(table.T)]
     y, lexicon = table[:, 3], lexicon_of(sample)
     if not lexicon.weights or y.sum() in (0, len(y)):
         share = (y.sum() + 1) / (len(y) + 2)
@@ -247,23 +248,26 @@ def fit_labels(docs: DataFrame, labels: DataFrame, keep: Column, rows: int = 20_
     return fit(labelled_sample(docs, labels, "toxic", keep, rows))
 
 
+def score_column(model: Model):
+    """The score of a text column; some thousand terms at most travel with the task."""
+    @F.pandas_udf("double")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        one = model.scorer()
+        for texts in parts:
+            yield pd.Series([one(t) for t in texts], dtype=float)
+
+    return run
+
+
 def score(docs: DataFrame, model: Model, *extra: str) -> DataFrame:
     """``doc_id, score`` (and ``extra`` columns) of every whole text; null reads as empty.
 
     A text without listed words, an empty one included, gets the curve's lowest
     score.  Repeated rows score alike, each in its own row.
     """
-    source = documents_of(docs, *extra)
-    names = [c for c in source.columns if c != "text"]
+    return documents_of(docs, *extra).select("doc_id", *extra, score_column(model)("text").alias("score"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        one = model.scorer()  # at most some thousand terms travel with the task
-        for b in batches:
-            out = b[names].copy()
-            if "doc_id" in out:
-                out["doc_id"] = out["doc_id"].astype("Int64")
-            out["score"] = [one(t) for t in b["text"]]
-            yield out
-
-    fields = ", ".join(f"`{n}` {t}" for n, t in source.dtypes if n != "text")
-    return source.mapInPandas(run, fields + ", score double")
+
+def kept(docs: DataFrame, model: Model, most: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` with a score under ``most``, all columns as they were."""
+    return docs.where(score_column(model)(F.coalesce(F.col("text").cast("string"), F.lit(""))) < most)
