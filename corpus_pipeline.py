@@ -7,10 +7,28 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from occuspark.llm import mixing, packing
+from occuspark.llm import mixing, neardup, packing, quality, toxicity
+from occuspark.llm.common import held_out, read
 from occuspark.session import ensure_checkpoint_dir
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble scores 0.3 or more."""
+    model = quality.fit_labels(docs, read(spark, sf_dir, "labels"), ~held_out(5, 0))
+    return quality.kept(docs, model, 0.3)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the lexicon scores under 0.7."""
+    model = toxicity.fit_labels(docs, read(spark, sf_dir, "labels"), ~held_out(3, 1))
+    return toxicity.kept(docs, model, 0.7)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, the one with the smallest id."""
+    return neardup.representatives(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that the sources' words come near their targets."""
     return mixing.copies(docs)
@@ -21,7 +39,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
 
 
-STAGES = [("mixing", mix_sources), ("packing", pack_sequences)]
+STAGES = [("quality", keep_quality), ("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates),
+          ("mixing", mix_sources), ("packing", pack_sequences)]
 ORACLE_SQL = None
 
 
