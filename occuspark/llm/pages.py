@@ -214,14 +214,14 @@ def is_copy(own: list[int], own_sizes: list[int], other: list[int], other_sizes:
 
 
 def template_lines(own: tuple, path: str, others: list[tuple[str, tuple]], copy: float = 0.8) -> list[int]:
-    """Places of lines shared with the nearest page by path that is not a copy of this one.
+    """Places of lines shared with the nearest page by path that shares some and is not a copy of this one.
 
     Pages are ``(line hashes, line lengths)``; a copy tells nothing about the
-    template.  ``others`` come nearest first; of equally near ones the first counts.
+    template, nor does a page without a line in common.  ``others`` come nearest first; of equally near ones the first counts.
     """
     for _, (_, other) in sorted(enumerate(others), key=lambda x: (-shared_path(path, x[1][0]), x[0])):
-        if other[0] and not is_copy(*own, *other, copy):
-            return common_subsequence(own[0], other[0])
+        if other[0] and not is_copy(*own, *other, copy) and (shared := common_subsequence(own[0], other[0])):
+            return shared
     return []
 
 
