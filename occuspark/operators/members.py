@@ -176,3 +176,36 @@ def progress(sets: DataFrame) -> DataFrame:
                                       F.countDistinct("exercise").alias("tracked_exercises"))
     w = Window.partitionBy("user_id").orderBy(F.col("total_volume_kg").desc(), F.col("exercise"))
     return ex.join(tot, "user_id").withColumn("volume_rank", F.row_number().over(w))
+
+
+PERIOD_DAYS = {"month": 31, "year": 365, "all": None}  # fixed values
+
+
+def period_progress(sets: DataFrame, k: int = 8) -> DataFrame:
+    """Per user, period (days back from the user's last set) and metric the ``k`` leading exercises."""
+    last = sets.groupBy("user_id").agg(F.max("performed_at").alias("_last"))
+    inside = [F.when(F.lit(True) if days is None else
+                     F.col("performed_at") >= F.col("_last") - F.make_dt_interval(F.lit(days)), F.lit(name))
+              for name, days in PERIOD_DAYS.items()]
+    s = sets.join(last, "user_id").withColumn("period", F.explode(F.array_compact(F.array(*inside))))
+    g = s.groupBy("period", "user_id", "exercise").agg(
+        F.count(F.lit(1)).alias("sets"), F.sum(F.col("weight_kg") * F.col("reps")).alias("total_volume_kg"),
+        F.max("weight_kg").alias("best_weight_kg"))
+    g = g.withColumn("metric", F.explode(F.array(F.lit("sets"), F.lit("volume"), F.lit("best"))))
+    by = F.when(F.col("metric") == "volume", F.col("total_volume_kg")).when(
+        F.col("metric") == "best", F.col("best_weight_kg")).otherwise(F.col("sets").cast("double"))
+    w = Window.partitionBy("period", "user_id", "metric").orderBy(by.desc(), "exercise")
+    return g.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def daily_performance(sets: DataFrame, keep: int = 12) -> DataFrame:
+    """Per user the last ``keep`` day buckets and month buckets with sets, volume, best, training days and seconds."""
+    grains = F.array(*[F.struct(F.lit(g).alias("grain"), F.date_format("performed_at", p).alias("bucket"))
+                       for g, p in (("day", "yyyy-MM-dd"), ("month", "yyyy-MM"))])
+    s = sets.withColumn("_g", F.explode(grains))
+    g = s.groupBy(F.col("_g.grain").alias("grain"), "user_id", F.col("_g.bucket").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("sets"), F.sum(F.col("weight_kg") * F.col("reps")).alias("volume"),
+        F.max("weight_kg").alias("best"), F.countDistinct(F.to_date("performed_at")).alias("workouts"),
+        F.sum("duration_seconds").alias("duration"))
+    w = Window.partitionBy("grain", "user_id").orderBy(F.col("bucket").desc())
+    return g.withColumn("recency", F.row_number().over(w)).filter(F.col("recency") <= keep)

@@ -213,32 +213,32 @@ def _issues_spark(ex):
     roles = F.transform("messages", lambda m: m["role"])
     last = F.lower(F.element_at("messages", -1)["text"])
     first3 = F.slice(roles, 1, 3)
-    empty = F.exists("messages", lambda m: F.trim(F.coalesce(m["text"], F.lit(""))) == "")
+    blank = F.filter("messages", lambda m: F.coalesce(m["text"], F.lit("")).rlike(r"^\s*$"))
     task = F.col("task")
     short = F.size("messages") < 3
     issues = F.array(
         F.when(~short & (F.array_join(first3, ",") != "system,user,assistant"), F.lit("first three roles must be system, user, assistant")),
-        F.when(~short & empty, F.lit("all messages need non-empty content")),
         F.when(~short & task.startswith("tool_action") & (F.instr(last, "tool") == 0), F.lit("tool-action examples should explicitly mention tool use")),
         F.when(~short & task.isin("rag_cited_technique", "citation_discipline") & (F.instr(last, "source") == 0) & (F.instr(last, "citation") == 0),
                F.lit("citation examples should mention source or citation discipline")),
         F.when(~short & (task == "safety_refusal") & (F.instr(last, "diagnose") == 0), F.lit("safety refusal should explicitly avoid diagnosis")),
         F.when(~short & (task == "progression_explanation") & (F.instr(last, "aim") == 0), F.lit("progression examples should include an aim target")))
+    per_message = F.transform(blank, lambda m: F.lit("all messages need non-empty content"))  # one for each
     issues = F.when(short, F.array(F.lit("messages must contain system, user, and assistant turns"))).otherwise(
-        F.filter(issues, lambda x: x.isNotNull()))
+        F.concat(F.filter(issues, lambda x: x.isNotNull()), per_message))
     return ex.select("conv_id", "task", F.explode(issues).alias("issue"))
 
 
 ISSUES_SQL = f"""iss AS (SELECT conv_id, task, unnest(CASE WHEN len(messages) < 3 THEN ['messages must contain system, user, and assistant turns'] ELSE
+  list_concat(list_transform(list_filter(messages, lambda m: regexp_full_match(coalesce(m.text, ''), '\\s*')), lambda m: 'all messages need non-empty content'),
   list_filter([
     CASE WHEN array_to_string(list_transform(messages, lambda m: m.role)[1:3], ',') <> 'system,user,assistant' THEN 'first three roles must be system, user, assistant' END,
-    CASE WHEN len(list_filter(messages, lambda m: trim(coalesce(m.text, '')) = '')) > 0 THEN 'all messages need non-empty content' END,
     CASE WHEN starts_with(task, 'tool_action') AND NOT contains(lower(messages[len(messages)].text), 'tool') THEN 'tool-action examples should explicitly mention tool use' END,
     CASE WHEN task IN ('rag_cited_technique', 'citation_discipline') AND NOT contains(lower(messages[len(messages)].text), 'source')
          AND NOT contains(lower(messages[len(messages)].text), 'citation') THEN 'citation examples should mention source or citation discipline' END,
     CASE WHEN task = 'safety_refusal' AND NOT contains(lower(messages[len(messages)].text), 'diagnose') THEN 'safety refusal should explicitly avoid diagnosis' END,
     CASE WHEN task = 'progression_explanation' AND NOT contains(lower(messages[len(messages)].text), 'aim') THEN 'progression examples should include an aim target' END],
-  lambda x: x IS NOT NULL) END) AS issue FROM ex)"""
+  lambda x: x IS NOT NULL)) END) AS issue FROM ex)"""
 
 
 @query("ch_validate", f"WITH {EX_SQL}, {ISSUES_SQL} SELECT conv_id, task, issue FROM iss")

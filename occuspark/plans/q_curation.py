@@ -191,12 +191,13 @@ win AS (SELECT slug, min(item_id) AS first_pos, arg_max(item_id, item_id) AS ite
 
 
 @query("ct_import_filter", f"""WITH {IMPORT_SQL}
-SELECT slug, item_id, first_pos FROM (SELECT *, row_number() OVER (ORDER BY first_pos) AS rn FROM win) WHERE rn <= 48""")
+SELECT slug, item_id, first_pos FROM win""")
 def ct_import_filter(c):
     return _import(c)[0]
 
 
-def _import(c):
+def _import(c, limit: int = 0):
+    """Winning slugs (the first ``limit`` of them, 0 = all) and the counters of what was skipped."""
     lib = c.library()
     m = c.media().groupBy("item_id").agg(F.count(F.lit(1)).alias("media_count"), F.max("embed_allowed").alias("embed_ready"))
     rec = lib.join(m, "item_id", "left").fillna(0, ["media_count", "embed_ready"]).withColumn("slug", S.slug_replace("name"))
@@ -207,7 +208,9 @@ def _import(c):
     # Last record per slug wins, at the position of the slug's first record.
     win = kept.groupBy("slug").agg(F.min("item_id").alias("first_pos"), F.max("item_id").alias("item_id"),
                                    (F.count(F.lit(1)) - 1).alias("duplicates"))
-    top = win.orderBy("first_pos").limit(48).select("slug", "item_id", "first_pos")  # the importer's page size (the feature)
+    top = win.select("slug", "item_id", "first_pos")
+    if limit > 0:
+        top = top.orderBy("first_pos").limit(limit)
     counters = flt.agg(F.count(F.when(F.col("needs_review"), 1)).alias("skipped_missing_anatomy")).crossJoin(
         win.agg(F.sum("duplicates").alias("skipped_duplicate_slugs")))
     return top, counters
@@ -236,16 +239,17 @@ def ct_preview_summary(c):
 
 @query("ct_custom_slug", """
 WITH ex AS (SELECT DISTINCT replace(trim(replace(replace(replace(replace(lower(name), '&', 'and'), '/', ' '), '_', ' '), '  ', ' ')), ' ', '-') AS base
-            FROM v_library WHERE item_id % 10 = 0),
+            FROM v_library WHERE length(name) % 2 = 0),
 nw AS (SELECT item_id, replace(trim(replace(replace(replace(replace(lower(name), '&', 'and'), '/', ' '), '_', ' '), '  ', ' ')), ' ', '-') AS base
-       FROM v_library WHERE item_id % 10 = 1),
+       FROM v_library WHERE length(name) % 2 = 1),
 r AS (SELECT nw.*, row_number() OVER (PARTITION BY base ORDER BY item_id) AS k, base IN (SELECT base FROM ex) AS taken FROM nw)
 SELECT item_id, CASE WHEN NOT taken AND k = 1 THEN base WHEN taken THEN base || '-custom-' || CAST(k + 1 AS VARCHAR)
   ELSE base || '-custom-' || CAST(k AS VARCHAR) END AS slug FROM r""")
 def ct_custom_slug(c):
     lib = c.library().withColumn("base", S.slug_replace("name"))
-    ex = lib.filter(F.col("item_id") % 10 == 0).select("base").distinct().withColumn("taken", F.lit(True))
-    nw = lib.filter(F.col("item_id") % 10 == 1).select("item_id", "base")
+    even = F.length("name") % 2 == 0  # every item is on one side: names of even length exist, the others are new
+    ex = lib.filter(even).select("base").distinct().withColumn("taken", F.lit(True))
+    nw = lib.filter(~even).select("item_id", "base")
     r = nw.withColumn("k", F.row_number().over(Window.partitionBy("base").orderBy("item_id"))).join(ex, "base", "left") \
           .fillna(False, ["taken"])
     slug = (F.when(~F.col("taken") & (F.col("k") == 1), F.col("base"))

@@ -266,36 +266,27 @@ def mb_progress(c):
 
 
 @query("agg_period_progress", """
-WITH s AS (SELECT v.* FROM v_sets v JOIN (SELECT user_id, max(performed_at) AS last FROM v_sets GROUP BY user_id) l
-           USING (user_id) WHERE v.performed_at >= l.last - INTERVAL 10 DAY)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY sets DESC, exercise) AS rank FROM (
-  SELECT user_id, exercise, count(*) AS sets, sum(weight_kg * reps) AS total_volume_kg, max(weight_kg) AS best_weight_kg
-  FROM s GROUP BY ALL)) WHERE rank <= 3""")
+WITH s AS (SELECT v.*, p.period FROM v_sets v JOIN (SELECT user_id, max(performed_at) AS last FROM v_sets GROUP BY user_id) l
+           USING (user_id) CROSS JOIN (VALUES ('month', 31), ('year', 365), ('all', NULL)) p(period, days)
+           WHERE p.days IS NULL OR v.performed_at >= l.last - to_days(CAST(p.days AS INTEGER))),
+g AS (SELECT period, user_id, exercise, count(*) AS sets, sum(weight_kg * reps) AS total_volume_kg,
+        max(weight_kg) AS best_weight_kg FROM s GROUP BY ALL)
+SELECT * FROM (SELECT g.*, m.metric, row_number() OVER (PARTITION BY period, user_id, metric ORDER BY
+    CASE metric WHEN 'volume' THEN total_volume_kg WHEN 'best' THEN best_weight_kg ELSE sets END DESC, exercise) AS rank
+  FROM g CROSS JOIN (VALUES ('sets'), ('volume'), ('best')) m(metric)) WHERE rank <= 8""")
 def agg_period_progress(c):
-    # A 10-day period keeps the window meaningful on one month of events; top 3 by sets.
-    s = c.sets()
-    last = s.groupBy("user_id").agg(F.max("performed_at").alias("_last"))
-    s = s.join(last, "user_id").filter(F.col("performed_at") >= F.col("_last") - F.expr("INTERVAL 10 DAYS"))
-    g = s.groupBy("user_id", "exercise").agg(F.count(F.lit(1)).alias("sets"),
-                                             F.sum(F.col("weight_kg") * F.col("reps")).alias("total_volume_kg"),
-                                             F.max("weight_kg").alias("best_weight_kg"))
-    w = Window.partitionBy("user_id").orderBy(F.col("sets").desc(), "exercise")
-    return g.withColumn("rank", F.row_number().over(w)).filter("rank <= 3")
+    """The 8 leading exercises per user for each period (31 or 365 days back, all) and metric."""
+    return M.period_progress(c.sets())
 
 
 @query("agg_daily_performance", """
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY bucket DESC) AS recency FROM (
-  SELECT user_id, strftime(performed_at, '%Y-%m-%d') AS bucket, count(*) AS sets, sum(weight_kg * reps) AS volume,
-    max(weight_kg) AS best, count(DISTINCT strftime(performed_at, '%Y-%m-%d') || exercise) AS workouts
-  FROM v_sets GROUP BY ALL)) WHERE recency <= 12""")
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY grain, user_id ORDER BY bucket DESC) AS recency FROM (
+  SELECT grain, user_id, left(strftime(performed_at, '%Y-%m-%d'), size) AS bucket, count(*) AS sets, sum(weight_kg * reps) AS volume,
+    max(weight_kg) AS best, count(DISTINCT CAST(performed_at AS DATE)) AS workouts, sum(reps * 3) AS duration
+  FROM v_sets CROSS JOIN (VALUES ('day', 10), ('month', 7)) b(grain, size) GROUP BY ALL)) WHERE recency <= 12""")
 def agg_daily_performance(c):
-    s = c.sets().withColumn("bucket", F.date_format("performed_at", "yyyy-MM-dd"))
-    g = s.groupBy("user_id", "bucket").agg(F.count(F.lit(1)).alias("sets"),
-                                           F.sum(F.col("weight_kg") * F.col("reps")).alias("volume"),
-                                           F.max("weight_kg").alias("best"),
-                                           F.countDistinct(F.concat("bucket", "exercise")).alias("workouts"))
-    w = Window.partitionBy("user_id").orderBy(F.col("bucket").desc())
-    return g.withColumn("recency", F.row_number().over(w)).filter("recency <= 12")
+    """The last 12 days, and the last 12 months, of each user's training; a set lasts three seconds a repetition."""
+    return M.daily_performance(c.sets().withColumn("duration_seconds", F.col("reps") * 3))
 
 
 @query("agg_workout_days", """

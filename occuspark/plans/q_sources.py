@@ -50,12 +50,14 @@ def src_feature_csv(c):
 @query("src_json_preview")
 def src_json_preview(c):
     path = _scratch(c, "preview")
-    lib = c.library().orderBy("item_id").limit(48)  # the preview document holds one page of records (the feature)
-    doc = lib.agg(F.collect_list(F.struct("slug", "name", "category", "muscle_group", "difficulty")).alias("records")) \
-             .select(F.lit("preview").alias("status"), F.lit("catalogue").alias("source_name"),
+    # one preview document per page of 48 consecutive items: every item is in one
+    doc = c.library().groupBy(F.floor(F.col("item_id") / 48).alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct("slug", "name", "category", "muscle_group", "difficulty"))).alias("records"))
+    doc = doc.select(F.lit("preview").alias("status"), F.lit("catalogue").alias("source_name"),
                      F.lit("public").alias("source_license"), F.lit("").alias("note"), "records")
-    doc.coalesce(1).write.mode("overwrite").json(path)
-    return FS.read_json_preview(c.spark, path, "slug string, name string, category string, muscle_group string, difficulty string")
+    doc.write.mode("overwrite").json(path)
+    return FS.read_json_preview(c.spark, path, "slug string, name string, category string, muscle_group string, difficulty string",
+                                multi_line=False)
 
 
 @query("src_jsonl_chat")

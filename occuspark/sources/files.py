@@ -52,10 +52,13 @@ def read_weather(spark: SparkSession, path: str) -> DataFrame:
                             "seq": F.col("seq").cast("long")})
 
 
-def read_json_preview(spark: SparkSession, path: str, record_schema: str) -> DataFrame:
-    """A nested JSON document ``{status, source_name, records: [...]}`` -> one row per record."""
+def read_json_preview(spark: SparkSession, path: str, record_schema: str, multi_line: bool = True) -> DataFrame:
+    """Nested JSON documents ``{status, source_name, records: [...]}`` -> one row per record.
+
+    ``multi_line``: one document per file, over several lines; else one document per line.
+    """
     schema = f"status string, source_name string, source_license string, note string, records array<struct<{record_schema}>>"
-    doc = spark.read.option("multiLine", True).schema(schema).json(path)
+    doc = spark.read.option("multiLine", multi_line).schema(schema).json(path)
     return doc.select("status", "source_name", F.inline_outer("records"))
 
 

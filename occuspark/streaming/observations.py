@@ -17,17 +17,30 @@ from ..operators.topk import dedupe_last
 KEYS = ["gym_id", "ts"]
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the target holds a partition, asked of the path's own file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    p = hadoop.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and len(fs.globStatus(hadoop.Path(path, "obs_date=*"))) > 0
+
+
 def merge_batch(batch: DataFrame, target_path: str, seq: str = "seq") -> None:
-    """Last-write-wins merge of one batch into the date-partitioned target."""
+    """Last-write-wins merge of one batch into the date-partitioned target.
+
+    A batch whose columns differ from the table's is refused before anything is written.
+    """
     spark = batch.sparkSession
     batch = batch.withColumn("obs_date", F.to_date("ts"))
     dates = [r["obs_date"] for r in batch.select("obs_date").distinct().collect()]  # dates of one micro-batch (bounded)
     if not dates:
         return
-    try:
-        existing = spark.read.parquet(target_path).filter(F.col("obs_date").isin(dates))
-        merged = existing.unionByName(batch.select(*existing.columns))
-    except Exception:  # noqa: BLE001 - first batch: no table yet
+    if table_exists(spark, target_path):
+        existing = spark.read.parquet(target_path)
+        if set(existing.columns) != set(batch.columns):
+            raise ValueError(f"batch columns {sorted(batch.columns)} differ from the table's {sorted(existing.columns)}")
+        merged = existing.filter(F.col("obs_date").isin(dates)).unionByName(batch)
+    else:  # first batch
         merged = batch
     out = dedupe_last(merged, KEYS, seq)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -60,3 +60,10 @@ def test_title_and_display_names(spark):
     assert rows[0].t == "EZ Bar Curl"
     assert rows[1].d == "Pull-Up with the Band"
     assert rows[2].d == "Bench Press"
+
+
+def test_every_empty_message_is_an_issue(spark):
+    from occuspark.plans.q_chat import _issues_spark
+    m = [("system", "s"), ("user", " \n\t"), ("assistant", "")]
+    ex = spark.createDataFrame([(1, "t", m)], "conv_id long, task string, messages array<struct<role:string,text:string>>")
+    assert [r.issue for r in _issues_spark(ex).collect()] == ["all messages need non-empty content"] * 2

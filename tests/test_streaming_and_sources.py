@@ -50,3 +50,23 @@ def test_jsonl_corrupt_lines_flagged(spark):
     df = FS.read_jsonl(spark, path, "a bigint")
     rows = df.select("a", "_corrupt").collect()
     assert [r.a for r in rows if r._corrupt is None] == [1, 2] and sum(r._corrupt is not None for r in rows) == 1
+
+
+def test_stream_merge_refuses_other_columns_and_replays(spark):
+    import pytest
+    dst = os.path.join(tempfile.mkdtemp(prefix="occuspark-merge-"), "t")
+    t = dt.datetime(2026, 5, 1, 10)
+    first = spark.createDataFrame([(1, t, "g1", 10), (2, t, "g2", 5)], SCHEMA)
+    OS.merge_batch(first, dst)
+    before = sorted(tuple(r) for r in spark.read.parquet(dst).select("seq", "gym_id", "active_people").collect())
+    with pytest.raises(ValueError):
+        OS.merge_batch(spark.createDataFrame([(3, t, "g1")], "seq long, ts timestamp_ntz, gym_id string"), dst)
+    OS.merge_batch(first, dst)  # a replayed batch changes nothing
+    assert sorted(tuple(r) for r in spark.read.parquet(dst).select("seq", "gym_id", "active_people").collect()) == before
+
+
+def test_preview_documents_read_back(spark):
+    path = os.path.join(tempfile.mkdtemp(), "p.json")
+    with open(path, "w") as fh:
+        fh.write('{"status": "preview", "source_name": "s",\n "records": [{"slug": "a"}, {"slug": "b"}]}')
+    assert [r.slug for r in FS.read_json_preview(spark, path, "slug string").collect()] == ["a", "b"]
