@@ -7,9 +7,11 @@ group and task, regardless of how skewed a key is.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import series
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -71,16 +73,16 @@ def profile(df: DataFrame, keys, value="active_people", prefix="profile") -> Dat
 
 
 def residuals(df: DataFrame, keys, value="active_people", out="residual") -> DataFrame:
-    return df.withColumn(out, F.col(value) - F.avg(value).over(Window.partitionBy(*keys)))
+    mean = df.groupBy(*keys).agg(F.avg(value).alias("_mean"))
+    matched = df.join(mean.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_mean"),
+                      [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return matched.withColumn(out, F.col(value) - F.col("_mean")).drop("_mean", *[f"_k_{k}" for k in keys])
 
 
 def quantile_levels(df: DataFrame, value: str, levels: list[list[str]], q: float = 0.8) -> list[DataFrame]:
-    """Exact (linearly interpolated) quantile of ``value`` per level of keys.
-
-    ``percentile`` keeps a value->count map per partial aggregate; its size is
-    bounded by the distinct values of a group, not by its rows.
-    """
-    return [df.groupBy(*keys).agg(F.percentile(F.col(value), q).alias(f"p{int(q * 100)}")) for keys in levels]
+    """Exact (linearly interpolated) quantile of ``value`` per level of keys."""
+    return [series.exact_quantiles(df, value, list(keys), q).withColumnRenamed("quantile", f"p{int(q * 100)}")
+            for keys in levels]
 
 
 def dataset_summary(df: DataFrame, key="gym_id", ts="ts", value="active_people") -> DataFrame:

@@ -101,16 +101,18 @@ def campaigns(forecast: DataFrame, max_results: int = 12) -> DataFrame:
 
 FOCUS_CYCLE = ("Upper Strength", "Lower Progression", "Recovery Cardio", "Full Body Technique")  # fixed values
 DEFAULT_MINUTES = 55  # fixed value
+MAX_SLOTS = 20  # a user's slots are clamped to this many
 
 
 def weekly_plan(slots: DataFrame, templates: DataFrame) -> DataFrame:
     """Slot i gets template ``i mod n`` of the user's templates (ordered), else a 4-focus cycle."""
     tw = Window.partitionBy("user_id").orderBy("template_id")
-    t = templates.select("user_id", "template_id", "name", "estimated_minutes").withColumns({
-        "_ti": F.row_number().over(tw) - 1, "_tn": F.count(F.lit(1)).over(Window.partitionBy("user_id"))})
-    n = t.groupBy("user_id").agg(F.max("_tn").alias("_tn"))
+    rn = F.row_number().over(tw)
+    t = (templates.select("user_id", "template_id", "name", "estimated_minutes").withColumn("_rn", rn)
+         .filter(F.col("_rn") <= MAX_SLOTS).withColumn("_ti", F.col("_rn") - 1).drop("_rn"))  # a slot's rank reaches no further
+    n = templates.groupBy("user_id").agg(F.count(F.lit(1)).alias("_tn"))
     s = slots.join(n, "user_id", "left").withColumn("_ti", F.pmod(F.col("rank") - 1, F.col("_tn")))
-    s = s.join(t.drop("_tn"), ["user_id", "_ti"], "left")
+    s = s.join(t, ["user_id", "_ti"], "left")
     focus = F.element_at(F.array(*[F.lit(x) for x in FOCUS_CYCLE]),
                          (F.pmod(F.col("rank") - 1, F.lit(len(FOCUS_CYCLE))) + 1).cast("int"))
     return s.select("user_id", F.col("rank").alias("day_index"), F.col("ts").alias("scheduled_at"), "window_label",

@@ -41,83 +41,119 @@ def rolling_columns(value: str, w, windows=(4, 16, 96)) -> dict[str, Column]:
     return {f"rolling_mean_{n}": F.avg(F.col(value)).over(w.rowsBetween(-n, -1)) for n in windows}
 
 
+def over_chunks(df: DataFrame, columns, halo: int, key="gym_id", ts="ts", tiebreak: str | None = None,
+                chunk_rows: int = 50_000, keep_position: bool = False) -> DataFrame:
+    """Window columns over an entity's last ``halo`` rows without a window over the whole entity.
+
+    Rows are numbered, cut into chunks of ``chunk_rows``, and each row that ends a
+    chunk is also put into the next one, so every chunk starts with its
+    predecessor's last ``halo`` rows; ``columns(w)`` gives the expressions over
+    the chunk's window.  ``keep_position`` keeps ``row_pos`` and ``entity_rows``.
+    """
+    if chunk_rows < halo:
+        raise ValueError("chunk_rows must be at least the longest lag / rolling window")
+    idx = chunked_row_index(df, key, ts, tiebreak, out="row_pos", total="entity_rows")
+    own = F.floor(F.col("row_pos") / chunk_rows)
+    ends = (F.col("row_pos") % chunk_rows) >= chunk_rows - halo
+    put = idx.withColumn("_own", own).withColumn(
+        "_c", F.explode(F.when(ends, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
+    w = Window.partitionBy(key, "_c").orderBy("row_pos")
+    out = put.withColumns(columns(w)).filter(F.col("_c") == F.col("_own")).drop("_c", "_own")
+    return out if keep_position else out.drop("row_pos", "entity_rows")
+
+
 def lag_features(df: DataFrame, key="gym_id", ts="ts", value="active_people", lags=(1, 4, 96),
-                 tiebreak: str | None = None) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(*_order(ts, tiebreak))
-    return df.withColumns(lag_columns(value, w, lags))
+                 tiebreak: str | None = None, chunk_rows: int = 50_000) -> DataFrame:
+    return over_chunks(df, lambda w: lag_columns(value, w, lags), max(lags), key, ts, tiebreak, chunk_rows)
 
 
 def rolling_features(df: DataFrame, key="gym_id", ts="ts", value="active_people",
-                     windows=(4, 16, 96), tiebreak: str | None = None) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(*_order(ts, tiebreak))
-    return df.withColumns(rolling_columns(value, w, windows))
+                     windows=(4, 16, 96), tiebreak: str | None = None, chunk_rows: int = 50_000) -> DataFrame:
+    return over_chunks(df, lambda w: rolling_columns(value, w, windows), max(windows), key, ts, tiebreak, chunk_rows)
 
 
 def feature_table(df: DataFrame, holidays: cal.HolidayCalendar, key="gym_id", ts="ts",
                   value="active_people", lags=(1, 4, 96), windows=(4, 16, 96),
                   tiebreak: str | None = None) -> DataFrame:
     """Calendar + opening + holiday + lag + rolling features in one window pass."""
-    w = Window.partitionBy(key).orderBy(*_order(ts, tiebreak))
-    cols = {}
-    cols.update(cal.calendar_columns(ts))
-    cols["is_open_estimated"] = cal.business_open(ts)
-    cols.update(cal.holiday_columns(ts, holidays))
-    cols.update(lag_columns(value, w, lags))
-    cols.update(rolling_columns(value, w, windows))
-    return df.withColumns(cols)
+    return feature_table_chunked(df, holidays, key, ts, value, lags, windows, tiebreak, chunk_rows=50_000)
 
 
 def seq_lags(df: DataFrame, key="gym_id", ts="ts", value="active_people", n: int = 12,
              tiebreak: str | None = None) -> DataFrame:
     """``n`` most recent previous values as columns; the first ``n`` rows per entity are dropped."""
-    w = Window.partitionBy(key).orderBy(*_order(ts, tiebreak))
-    cols = {f"seq_lag_{i}": F.lag(F.col(value), i).over(w) for i in range(1, n + 1)}
-    return df.withColumns(cols).filter(F.col(f"seq_lag_{n}").isNotNull())
+    out = over_chunks(df, lambda w: {f"seq_lag_{i}": F.lag(F.col(value), i).over(w) for i in range(1, n + 1)},
+                      n, key, ts, tiebreak)
+    return out.filter(F.col(f"seq_lag_{n}").isNotNull())
 
 
 def seq_windows(df: DataFrame, key="gym_id", ts="ts", fields=("active_people",), n: int = 12,
                 tiebreak: str | None = None, out: str = "window") -> DataFrame:
     """Array of the previous ``n`` token structs; rows with a short history are dropped."""
-    w = Window.partitionBy(key).orderBy(*_order(ts, tiebreak)).rowsBetween(-n, -1)
     token = F.struct(*[F.col(f) for f in fields])
-    return (df.withColumn(out, F.collect_list(token).over(w))
-              .filter(F.size(out) == n))
+    return over_chunks(df, lambda w: {out: F.collect_list(token).over(w.rowsBetween(-n, -1))}, n, key, ts,
+                       tiebreak).filter(F.size(out) == n)
 
 
 def split_flags(df: DataFrame, key="gym_id", ts="ts", ratio: float = 0.8,
                 tiebreak: str | None = None, out: str = "is_train") -> DataFrame:
     """Chronological per-entity split: the first ``max(1, floor(n*ratio))`` rows train."""
-    w = Window.partitionBy(key).orderBy(*_order(ts, tiebreak))
-    n = F.count(F.lit(1)).over(Window.partitionBy(key))
-    cut = F.greatest(F.lit(1), F.floor(n * F.lit(ratio)))
-    return df.withColumn(out, (F.row_number().over(w) <= cut).cast("int"))
+    idx = chunked_row_index(df, key, ts, tiebreak, total="_n")
+    cut = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(ratio)))
+    return idx.withColumn(out, (F.col("_i") < cut).cast("int")).drop("_i", "_n")
 
 
 def split3(df: DataFrame, key="gym_id", ts="ts", first: float = 0.7, second: float = 0.8,
            tiebreak: str | None = None, out: str = "split") -> DataFrame:
     """70/10/20 per entity; the validation end is at least one row after the train end."""
-    w = Window.partitionBy(key).orderBy(*_order(ts, tiebreak))
-    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    idx = chunked_row_index(df, key, ts, tiebreak, total="_n")
+    n, rn = F.col("_n"), F.col("_i") + 1
     a = F.greatest(F.lit(1), F.floor(n * F.lit(first)))
     b = F.greatest(a + 1, F.floor(n * F.lit(second)))
-    rn = F.row_number().over(w)
-    return df.withColumn(out, F.when(rn <= a, "train").when(rn <= b, "validation").otherwise("test"))
+    return idx.withColumn(out, F.when(rn <= a, "train").when(rn <= b, "validation").otherwise("test")).drop("_i", "_n")
 
 
 def infer_interval(df: DataFrame, key="gym_id", ts="ts", floor_minutes: int = 5,
                    default: int = 20) -> DataFrame:
-    """Median gap in minutes over all series, rounded, floored at 5; 20 without gaps.
-
-    The exact median keeps a value->count map per partial aggregate, so its
-    memory follows the number of *distinct* gaps, not the number of rows.
+    """Median gap in minutes over all series, rounded, floored at 5; 20 without gaps."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    gaps = over_chunks(df.select(key, ts), lambda w: {
+        "gap": (micros - F.unix_micros(F.lag(F.col(ts)).over(w).cast("timestamp"))) / 6e7}, 1, key, ts)
+    med = exact_quantiles(gaps, "gap", [], 0.5)
+    one = df.sparkSession.range(1).drop("id")
+    return one.join(med, how="left").select(F.greatest(
+        F.lit(floor_minutes), F.coalesce(F.round("quantile").cast("int"), F.lit(default))).alias("interval_minutes"))
+
+
+def exact_quantiles(df: DataFrame, value: str, keys: list[str], q: float, pieces: int = 256) -> DataFrame:
+    """Exact quantile (linear interpolation) per key as ``quantile``, nulls left out.
+
+    Values are counted, cut into ``pieces`` ranges at approximate quantiles, and
+    only the ranges that hold the wanted ranks are put in order.  No task keeps
+    all values of a key.
     """
-    w = Window.partitionBy(key).orderBy(ts)
-    gaps = df.select(((F.unix_micros(F.col(ts).cast("timestamp"))
-                       - F.unix_micros(F.lag(F.col(ts)).over(w).cast("timestamp"))) / 6e7).alias("gap"))
-    med = F.percentile(F.col("gap"), 0.5)
-    return gaps.agg(F.when(F.count("gap") == 0, F.lit(default))
-                    .otherwise(F.greatest(F.lit(floor_minutes), F.round(med).cast("int")))
-                    .alias("interval_minutes"))
+    v = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    v = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    cuts = v.groupBy(*keys).agg(F.percentile_approx("_v", [i / pieces for i in range(1, pieces)], 10 * pieces).alias("_cuts"),
+                                F.sum("_n").alias("_total"))
+    v = v.join(cuts, keys) if keys else v.crossJoin(F.broadcast(cuts))  # one row
+    v = v.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+    w = Window.partitionBy(*keys).orderBy("_b")
+    sizes = v.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"), F.first("_total").alias("_total"))
+    sizes = sizes.withColumn("_to", F.sum("_bn").over(w))
+    rank = (F.col("_total") - 1) * q
+    low, high = F.floor(rank), F.ceil(rank)
+    from_ = F.col("_to") - F.col("_bn")
+    wanted = sizes.filter(((from_ <= low) & (low < F.col("_to"))) | ((from_ <= high) & (high < F.col("_to"))))
+    some = v.drop("_total").join(wanted.select(*keys, "_b", from_.alias("_from"), "_total"), [*keys, "_b"])
+    to = F.col("_from") + F.sum("_n").over(Window.partitionBy(*keys, "_b").orderBy("_v"))
+    some = some.withColumn("_to", to)
+
+    def at(r):
+        return F.min(F.when(r < F.col("_to"), F.col("_v")))
+
+    found = some.groupBy(*keys).agg(at(low).alias("_a"), at(high).alias("_z"), F.first((F.col("_total") - 1) * q).alias("_r"))
+    return found.select(*keys, (F.col("_a") + (F.col("_z") - F.col("_a")) * (F.col("_r") - F.floor("_r"))).alias("quantile"))
 
 
 def spine(entities: DataFrame, start: Column, end: Column, interval_minutes, ts: str = "ts") -> DataFrame:
@@ -202,12 +238,12 @@ def chunked_row_index(df: DataFrame, key="gym_id", ts="ts", tiebreak: str | None
                       bucket: Column | None = None, out: str = "_i", total: str | None = None) -> DataFrame:
     """0-based row position inside each entity without a window over the whole entity.
 
-    Rows are counted per (entity, time bucket) -- by default the calendar day --
-    a running sum over that small table gives each bucket's offset, and a
-    window *inside* each (entity, bucket) adds the local position.  A hot entity
-    is therefore spread over as many tasks as it has buckets.
+    Rows are counted per (entity, time bucket) -- by default the minute -- a running
+    sum over that table gives each bucket's offset, and a window *inside* each
+    (entity, bucket) adds the local position.  A hot entity is therefore spread
+    over as many tasks as it has minutes.
     """
-    b = bucket if bucket is not None else F.to_date(F.col(ts))
+    b = bucket if bucket is not None else F.date_trunc("minute", F.col(ts))
     d = df.withColumn("_bk", b)
     counts = d.groupBy(key, "_bk").agg(F.count(F.lit(1)).alias("_bn"))
     offs = counts.withColumn("_off", F.coalesce(F.sum("_bn").over(
@@ -220,8 +256,7 @@ def chunked_row_index(df: DataFrame, key="gym_id", ts="ts", tiebreak: str | None
 
 def feature_table_chunked(df: DataFrame, holidays: cal.HolidayCalendar, key="gym_id", ts="ts",
                           value="active_people", lags=(1, 4, 96), windows=(4, 16, 96), tiebreak: str | None = "seq",
-                          chunk_rows: int = 1_000_000, bucket: Column | None = None,
-                          keep_position: bool = False) -> DataFrame:
+                          chunk_rows: int = 1_000_000, keep_position: bool = False) -> DataFrame:
     """Same output as :func:`feature_table`, with the window split into fixed-size row chunks.
 
     Each chunk of ``chunk_rows`` consecutive rows of an entity is one window
@@ -229,35 +264,11 @@ def feature_table_chunked(df: DataFrame, holidays: cal.HolidayCalendar, key="gym
     into the next chunk as a halo, so lags and rolling means stay exact while
     a single huge series is processed by many tasks.
     """
-    halo = max(max(lags), max(windows))
-    if chunk_rows < halo:
-        raise ValueError("chunk_rows must be at least the longest lag / rolling window")
-    idx = chunked_row_index(df, key, ts, tiebreak, bucket, total="entity_rows")
-    idx = idx.withColumn("_c", F.floor(F.col("_i") / chunk_rows))
-    own = idx.withColumn("_halo", F.lit(0))
-    spill = (idx.filter((F.col("_i") % chunk_rows) >= chunk_rows - halo)
-                .withColumn("_c", F.col("_c") + 1).withColumn("_halo", F.lit(1)))
-    both = own.unionByName(spill)
-    w = Window.partitionBy(key, "_c").orderBy("_i")
-    cols = {}
-    cols.update(cal.calendar_columns(ts))
-    cols["is_open_estimated"] = cal.business_open(ts)
-    cols.update(cal.holiday_columns(ts, holidays))
-    cols.update(lag_columns(value, w, lags))
-    cols.update(rolling_columns(value, w, windows))
-    out = both.withColumns(cols).filter(F.col("_halo") == 0).drop("_c", "_halo")
-    if keep_position:  # 0-based position and size of the series, for splits downstream
-        return out.withColumnRenamed("_i", "row_pos")
-    return out.drop("_i", "entity_rows")
-
-
-def split_flags_chunked(df: DataFrame, key="gym_id", ts="ts", ratio: float = 0.8, tiebreak: str | None = "seq",
-                        out: str = "is_train") -> DataFrame:
-    """:func:`split_flags` without a window over a whole entity: positions come from
-    :func:`chunked_row_index`, entity sizes from a grouped count (joined back)."""
-    idx = chunked_row_index(df, key, ts, tiebreak, total="_n")
-    cut = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(ratio)))
-    return idx.withColumn(out, (F.col("_i") < cut).cast("int")).drop("_i", "_n")
+    def columns(w):
+        return {**cal.calendar_columns(ts), "is_open_estimated": cal.business_open(ts), **cal.holiday_columns(ts, holidays),
+                **lag_columns(value, w, lags), **rolling_columns(value, w, windows)}
+
+    return over_chunks(df, columns, max(max(lags), max(windows)), key, ts, tiebreak, chunk_rows, keep_position)
 
 
 def nth_event_chunked(df: DataFrame, key, ts, n: int, out="nth_at", tiebreak: str | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from ..operators import chat as CH
 from ..operators import recommend as R
 from .registry import query
 from .q_recommend import _pref_join_sql, _slots_sql
+from .views import gym_name
 
 # Vocabularies for the driver conversations (the reference's terms never occur in them).
 RULES = CH.ChatRules(
@@ -31,10 +32,10 @@ def _word(t, terms):
 
 def messages(c):
     return c.t("conversations").filter(F.col("role") == "user").select(
-        "conv_id", "turn", (F.col("conv_id") % 10).alias("user_id"), "text")
+        "conv_id", "turn", F.col("conv_id").alias("user_id"), "text")
 
 
-MSG_SQL = "msgs AS (SELECT conv_id, turn, conv_id % 10 AS user_id, text, lower(text) AS t FROM conversations WHERE role = 'user')"
+MSG_SQL = "msgs AS (SELECT conv_id, turn, conv_id AS user_id, text, lower(text) AS t FROM conversations WHERE role = 'user')"
 
 
 @query("ch_safety_flag", f"WITH {MSG_SQL} SELECT conv_id, turn, CASE WHEN {_sub('t', RULES.safety)} THEN 'medical_refusal' ELSE 'safe' END AS safety_level FROM msgs")
@@ -139,7 +140,7 @@ def rec_campaign_filter(c):
 
 
 @query("rec_promo_copy", """
-SELECT o_orderkey AS promotion_id, 'gym_' || lpad(CAST(o_custkey % 16 + 1 AS VARCHAR), 3, '0') AS gym_id, o_orderdate AS send_at,
+SELECT o_orderkey AS promotion_id, printf('gym_%03d', o_custkey // 8 + 1) AS gym_id, o_orderdate AS send_at,
   'in_app_demo' AS channel, 'scheduled' AS status,
   coalesce(nullif(trim(CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority ELSE '' END), ''),
     'Quiet hour ' || CAST(o_orderkey AS VARCHAR) || ': train at ' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ' and get '
@@ -151,7 +152,7 @@ def rec_promo_copy(c):
     default = F.concat(F.lit("Quiet hour "), F.col("o_orderkey").cast("string"), F.lit(": train at "),
                        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit(" and get "),
                        (F.floor("o_totalprice") % 30).cast("string"), F.lit("% off during a quiet slot."))
-    return o.select(F.col("o_orderkey").alias("promotion_id"), F.format_string("gym_%03d", F.col("o_custkey") % 16 + 1).alias("gym_id"),
+    return o.select(F.col("o_orderkey").alias("promotion_id"), gym_name("o_custkey").alias("gym_id"),
                     F.col("o_orderdate").alias("send_at"), F.lit("in_app_demo").alias("channel"), F.lit("scheduled").alias("status"),
                     F.coalesce(F.nullif(F.trim(given), F.lit("")), default).alias("copy"))
 

@@ -10,6 +10,7 @@ from ..operators import aggregates as A
 from ..operators import forecast as FC
 from ..operators import maintain as MT
 from ..operators import recommend as R
+from ..operators import series
 from .registry import query
 from .q_recommend import _pref_join_sql, _slots_sql
 from .views import HOLIDAYS, sql_in_dates, sql_multiplier, sql_open
@@ -38,8 +39,8 @@ WITH {EXT_SQL}, feat AS (SELECT gym_id, ts, lag(active_people, 1) OVER (PARTITIO
 SELECT f.gym_id, f.ts, f.lag_1, e.is_synthetic, e.generation_method FROM feat f JOIN ext e USING (gym_id, ts)""")
 def join_meta_back(c):
     ext = _extended(c)
-    w = Window.partitionBy("gym_id").orderBy("ts")
-    feat = ext.select("gym_id", "ts", F.lag("active_people", 1).over(w).alias("lag_1"))
+    feat = series.over_chunks(ext.select("gym_id", "ts", "active_people"),
+                              lambda w: {"lag_1": F.lag("active_people", 1).over(w)}, 1).drop("active_people")
     return feat.join(ext.select("gym_id", "ts", "is_synthetic", "generation_method"), ["gym_id", "ts"])
 
 
@@ -263,14 +264,14 @@ def join_anti_backfill(c):
 
 
 @query("set_template_expand", """
-SELECT o.o_orderkey AS template_id, o.o_custkey % 10 AS user_id, l.l_linenumber AS exercise_index, p.p_name AS exercise,
+SELECT o.o_orderkey AS template_id, o.o_custkey AS user_id, l.l_linenumber AS exercise_index, p.p_name AS exercise,
   unnest(range(1, CAST(l.l_quantity AS BIGINT) % 5 + 2)) AS set_number, CAST(5 + l.l_linenumber AS INTEGER) AS target_reps,
   floor(p.p_retailprice / 25.0) * 2.5 AS target_weight_kg
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey""")
 def set_template_expand(c):
     o, li, p = c.t("orders"), c.t("lineitem"), c.t("part")
     items = (o.join(li, F.col("l_orderkey") == F.col("o_orderkey")).join(p, F.col("p_partkey") == F.col("l_partkey"))
-              .select(F.col("o_orderkey").alias("template_id"), (F.col("o_custkey") % 10).alias("user_id"),
+              .select(F.col("o_orderkey").alias("template_id"), F.col("o_custkey").alias("user_id"),
                       F.col("l_linenumber").alias("exercise_index"), F.col("p_name").alias("exercise"),
                       (F.col("l_quantity").cast("long") % 5 + 1).alias("sets"),
                       (F.lit(5) + F.col("l_linenumber")).cast("int").alias("target_reps"),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..operators import quality as Q
+from ..operators import series
 from .registry import query
 from .q_recommend import PREF_SQL
 from .views import sql_open
@@ -78,8 +78,8 @@ LAG_RULES = [("lag_1", "lag_1 IS DISTINCT FROM r1"), ("lag_4", "lag_4 IS DISTINC
        "FROM v_feat WINDOW w AS (PARTITION BY gym_id ORDER BY ts, seq)) " + _rules_sql("x", LAG_RULES))
 def dq_lag_check(c):
     f = c.feat()
-    w = Window.partitionBy("gym_id").orderBy("ts", "seq")
-    x = f.withColumns({"r1": F.lag("active_people", 1).over(w).cast("double"), "r4": F.lag("active_people", 4).over(w).cast("double")})
+    x = series.over_chunks(f.drop("row_pos", "entity_rows"), lambda w: {
+        f"r{n}": F.lag("active_people", n).over(w).cast("double") for n in (1, 4)}, 4, tiebreak="seq")
     return Q.rule_counts(x, [("lag_1", ~F.col("lag_1").eqNullSafe(F.col("r1"))), ("lag_4", ~F.col("lag_4").eqNullSafe(F.col("r4"))),
                              ("is_open_estimated", F.col("is_open_estimated") != cal.business_open("ts"))])
 

@@ -14,7 +14,7 @@ from ..functions import calendar as cal
 from ..operators import forecast, members, series
 from ..sources.tables import load_table
 
-N_GYMS = 16
+USERS_PER_GYM = 8  # members of one site: the number of sites grows with the data
 HOLIDAYS = cal.DEMO_HOLIDAYS
 CHUNK_ROWS = 50_000  # rows per window chunk of one series (halo overhead 96 / 50k = 0.2 %)
 
@@ -74,15 +74,24 @@ def sql_calendar_cols(expr: str) -> str:
     ])
 
 
+def gym_number(member: str):
+    return F.floor(F.col(member) / USERS_PER_GYM)
+
+
+def gym_name(member: str):
+    """``gym_`` and at least three digits, as ``lpad`` gives for the numbers that occur."""
+    return F.format_string("gym_%03d", gym_number(member) + 1)
+
+
 # ------------------------------------------------------------------ SQL views
 VIEW_SQL: dict[str, str] = {}
 
 VIEW_SQL["v_obs"] = f"""
 SELECT e.event_id AS seq, e.ts AS ts,
-       'gym_' || lpad(CAST(e.user_id % {N_GYMS} + 1 AS VARCHAR), 3, '0') AS gym_id,
-       n.n_name AS city, 'site_' || CAST(e.user_id % {N_GYMS} AS VARCHAR) AS address,
+       printf('gym_%03d', e.user_id // {USERS_PER_GYM} + 1) AS gym_id,
+       n.n_name AS city, 'site_' || CAST(e.user_id // {USERS_PER_GYM} AS VARCHAR) AS address,
        CAST(floor(e.value) AS INTEGER) AS active_people
-FROM events e JOIN nation n ON n.n_nationkey = (e.user_id % {N_GYMS}) % 4
+FROM events e JOIN nation n ON n.n_nationkey = (e.user_id // {USERS_PER_GYM}) % 4
 """
 
 VIEW_SQL["v_obs_raw"] = """
@@ -158,22 +167,22 @@ FROM (
 
 
 VIEW_SQL["v_sets"] = """
-SELECT event_id AS set_id, user_id % 10 AS user_id, event_type AS exercise,
+SELECT event_id AS set_id, user_id, event_type AS exercise,
        floor(value / 2.5) * 2.5 AS weight_kg, CAST(5 + event_id % 9 AS INTEGER) AS reps, ts AS performed_at,
-       row_number() OVER (PARTITION BY user_id % 10, event_type, CAST(ts AS DATE) ORDER BY ts, event_id) AS set_index,
+       row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY ts, event_id) AS set_index,
        props AS modifiers_json
 FROM events
 """
 
 VIEW_SQL["v_visits"] = f"""
-SELECT event_id AS visit_id, user_id % 10 AS user_id,
-       'gym_' || lpad(CAST(user_id % {N_GYMS} + 1 AS VARCHAR), 3, '0') AS gym_id,
+SELECT event_id AS visit_id, user_id,
+       printf('gym_%03d', user_id // {USERS_PER_GYM} + 1) AS gym_id,
        ts AS checked_in_at, value AS active_people_at_checkin
 FROM events WHERE event_type IN ('view', 'click')
 """
 
 VIEW_SQL["v_templates"] = """
-SELECT o_orderkey AS template_id, o_custkey % 10 AS user_id, 'Template ' || CAST(o_orderkey AS VARCHAR) AS name,
+SELECT o_orderkey AS template_id, o_custkey AS user_id, 'Template ' || CAST(o_orderkey AS VARCHAR) AS name,
        o_orderpriority AS focus, CAST(30 + o_orderkey % 60 AS INTEGER) AS estimated_minutes, o_orderdate AS created_at
 FROM orders
 """
@@ -185,10 +194,10 @@ SELECT c_custkey AS user_id, CAST(7 + c_custkey % 5 AS INTEGER) AS preferred_min
        CAST(c_custkey % 7 AS VARCHAR) || ',' || CAST((c_custkey + 2) % 7 AS VARCHAR) || ',' ||
          CAST((c_custkey + 4) % 7 AS VARCHAR) || CASE WHEN c_custkey = 3 THEN ',x' ELSE '' END AS preferred_weekdays_text,
        CAST(CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 1 END AS INTEGER) AS off_peak_bonus_enabled,
-       'gym_' || lpad(CAST(c_custkey % {N_GYMS} + 1 AS VARCHAR), 3, '0') AS preferred_gym_id,
+       printf('gym_%03d', c_custkey // {USERS_PER_GYM} + 1) AS preferred_gym_id,
        CASE c_custkey % 3 WHEN 0 THEN 'auto' WHEN 1 THEN 'custom' ELSE 'pr' END AS preferred_rep_mode,
        CAST(6 + c_custkey % 4 AS INTEGER) AS preferred_rep_min, CAST(10 + c_custkey % 3 AS INTEGER) AS preferred_rep_max
-FROM customer WHERE c_custkey < 8
+FROM customer WHERE c_custkey % 10 < 8
 """
 
 VIEW_SQL["v_users"] = """
@@ -212,8 +221,8 @@ FROM v_users LEFT JOIN v_prefs USING (user_id)
 
 
 VIEW_SQL["v_scheduled"] = f"""
-SELECT o_orderkey AS scheduled_id, o_custkey % 10 AS user_id,
-       'gym_' || lpad(CAST(o_custkey % {N_GYMS} + 1 AS VARCHAR), 3, '0') AS gym_id,
+SELECT o_orderkey AS scheduled_id, o_custkey AS user_id,
+       printf('gym_%03d', o_custkey // {USERS_PER_GYM} + 1) AS gym_id,
        'Session ' || CAST(o_orderkey AS VARCHAR) AS title, o_orderdate AS scheduled_at,
        CASE o_orderstatus WHEN 'O' THEN 'planned' WHEN 'F' THEN 'completed' ELSE 'skipped' END AS status,
        o_totalprice / 1000.0 AS expected_people
@@ -297,17 +306,16 @@ class Ctx:
             self._cache[key] = build()
         return self._cache[key]
 
-    # v_obs: one gym per user_id % 16; the 25-row nation dimension is broadcast.
+    # v_obs: one gym per eight users; the 25-row nation dimension is broadcast.
     def obs(self) -> DataFrame:
         def build():
             e = self.t("events")
-            g = F.col("user_id") % N_GYMS
+            g = gym_number("user_id")
             nation = F.broadcast(self.t("nation").select("n_nationkey", "n_name"))
-            return (e.select(F.col("event_id").alias("seq"), "ts", g.alias("_g"),
+            return (e.select(F.col("event_id").alias("seq"), "ts", g.alias("_g"), gym_name("user_id").alias("gym_id"),
                              F.floor("value").cast("int").alias("active_people"))
                      .join(nation, (F.col("_g") % 4) == F.col("n_nationkey"))
-                     .select("seq", "ts",
-                             F.format_string("gym_%03d", F.col("_g") + 1).alias("gym_id"),
+                     .select("seq", "ts", "gym_id",
                              F.col("n_name").alias("city"),
                              F.concat(F.lit("site_"), F.col("_g").cast("string")).alias("address"),
                              "active_people"))
@@ -349,11 +357,11 @@ class Ctx:
         return self._memo("future", lambda: self.materialize(
             forecast.forecast_profile(self.obs(), self.pred_errors(), HOLIDAYS)))
 
-    # v_sets: workout sets derived from events (user = user_id % 10, exercise = event type).
+    # v_sets: workout sets derived from events (exercise = event type).
     def sets(self) -> DataFrame:
         def build():
             e = self.t("events")
-            u = F.col("user_id") % 10
+            u = F.col("user_id")
             w = Window.partitionBy(u, F.to_date("ts"), "event_type").orderBy("ts", "event_id")
             return e.select(F.col("event_id").alias("set_id"), u.alias("user_id"),
                             F.col("event_type").alias("exercise"),
@@ -365,20 +373,20 @@ class Ctx:
 
     def visits(self) -> DataFrame:
         e = self.t("events").filter(F.col("event_type").isin("view", "click"))
-        return e.select(F.col("event_id").alias("visit_id"), (F.col("user_id") % 10).alias("user_id"),
-                        F.format_string("gym_%03d", F.col("user_id") % N_GYMS + 1).alias("gym_id"),
+        return e.select(F.col("event_id").alias("visit_id"), "user_id",
+                        gym_name("user_id").alias("gym_id"),
                         F.col("ts").alias("checked_in_at"), F.col("value").alias("active_people_at_checkin"))
 
     def templates(self) -> DataFrame:
         o = self.t("orders")
-        return o.select(F.col("o_orderkey").alias("template_id"), (F.col("o_custkey") % 10).alias("user_id"),
+        return o.select(F.col("o_orderkey").alias("template_id"), F.col("o_custkey").alias("user_id"),
                         F.concat(F.lit("Template "), F.col("o_orderkey").cast("string")).alias("name"),
                         F.col("o_orderpriority").alias("focus"),
                         (F.lit(30) + F.col("o_orderkey") % 60).cast("int").alias("estimated_minutes"),
                         F.col("o_orderdate").alias("created_at"))
 
     def prefs(self) -> DataFrame:
-        c = self.t("customer").filter(F.col("c_custkey") < 8)
+        c = self.t("customer").filter(F.col("c_custkey") % 10 < 8)  # a fifth have no preferences: the defaults apply
         k = F.col("c_custkey")
         wd = F.concat_ws(",", (k % 7).cast("string"), ((k + 2) % 7).cast("string"), ((k + 4) % 7).cast("string"))
         return c.select(k.alias("user_id"), (7 + k % 5).cast("int").alias("preferred_min_hour"),
@@ -387,7 +395,7 @@ class Ctx:
                         (2 + k % 4).cast("int").alias("weekly_goal_sessions"),
                         F.concat(wd, F.when(k == 3, F.lit(",x")).otherwise(F.lit(""))).alias("preferred_weekdays_text"),
                         F.when(k % 3 == 0, 0).otherwise(1).cast("int").alias("off_peak_bonus_enabled"),
-                        F.format_string("gym_%03d", k % N_GYMS + 1).alias("preferred_gym_id"),
+                        gym_name("c_custkey").alias("preferred_gym_id"),
                         F.element_at(F.array(F.lit("auto"), F.lit("custom"), F.lit("pr")), (k % 3 + 1).cast("int"))
                          .alias("preferred_rep_mode"),
                         (6 + k % 4).cast("int").alias("preferred_rep_min"),
@@ -402,8 +410,8 @@ class Ctx:
     def scheduled(self) -> DataFrame:
         o = self.t("orders")
         st = F.col("o_orderstatus")
-        return o.select(F.col("o_orderkey").alias("scheduled_id"), (F.col("o_custkey") % 10).alias("user_id"),
-                        F.format_string("gym_%03d", F.col("o_custkey") % N_GYMS + 1).alias("gym_id"),
+        return o.select(F.col("o_orderkey").alias("scheduled_id"), F.col("o_custkey").alias("user_id"),
+                        gym_name("o_custkey").alias("gym_id"),
                         F.concat(F.lit("Session "), F.col("o_orderkey").cast("string")).alias("title"),
                         F.col("o_orderdate").alias("scheduled_at"),
                         F.when(st == "O", "planned").when(st == "F", "completed").otherwise("skipped").alias("status"),
