@@ -9,9 +9,12 @@ from ..functions import calendar as cal
 from ..operators import aggregates as A
 from ..operators import forecast as FC
 from ..operators import maintain as MT
+from ..operators import ml as ML
+from ..operators import progression as P
 from ..operators import recommend as R
 from ..operators import series
 from .registry import query
+from .q_progression import CASES_SQL, POLICY_SQL, SPLIT_SQL
 from .q_recommend import _pref_join_sql, _slots_sql
 from .views import HOLIDAYS, sql_in_dates, sql_multiplier, sql_open
 
@@ -65,7 +68,7 @@ def topk_per_group_head(c):
     return f.filter(F.col("_rn") <= F.col("k")).select("gym_id", "ts", "prediction")
 
 
-REGISTRY_SQL = """
+REGISTRY_SQL = ",\n".join((CASES_SQL, POLICY_SQL, SPLIT_SQL)) + """,
 board AS (SELECT model, count(e) AS rows, coalesce(avg(abs(e)), 0.0) AS mae, coalesce(sqrt(avg(e * e)), 0.0) AS rmse,
   CASE WHEN coalesce(sum(CASE WHEN e IS NOT NULL THEN abs(a) END), 0) = 0 THEN 0.0
        ELSE sum(abs(e)) / sum(CASE WHEN e IS NOT NULL THEN abs(a) END) END AS wape FROM (
@@ -76,27 +79,42 @@ board AS (SELECT model, count(e) AS rows, coalesce(avg(abs(e)), 0.0) AS mae, coa
 gymb AS (SELECT 'calendar_' || gym_id AS model, count(*) AS rows, avg(abs(active_people - pred_calendar)) AS mae,
            sqrt(avg(pow(active_people - pred_calendar, 2))) AS rmse,
            sum(abs(active_people - pred_calendar)) / sum(abs(active_people)) AS wape FROM v_pred GROUP BY gym_id),
-reg AS (SELECT 'baseline' AS family, model, 'active_people' AS target, 'pooled' AS dataset_scope, rows, mae, rmse, wape FROM board
-        UNION ALL SELECT 'per_gym_profile', model, 'active_people', 'single_gym', rows, mae, rmse, wape FROM gymb
-        UNION ALL SELECT 'baseline_clipped', model || '_clipped', 'active_people_clipped', 'pooled', rows, mae, rmse, wape FROM board)"""
+arc AS (SELECT gym_id, regr_slope(CAST(active_people AS DOUBLE), lag_1) AS slope, regr_intercept(CAST(active_people AS DOUBLE), lag_1) AS intercept
+        FROM v_split WHERE is_train = 1 GROUP BY gym_id),
+are AS (SELECT t.active_people AS a, t.active_people - greatest(arc.intercept + arc.slope * t.lag_1, 0.0) AS e
+        FROM v_split t JOIN arc USING (gym_id) WHERE t.is_train = 0 AND arc.intercept + arc.slope * t.lag_1 IS NOT NULL),
+pge AS (SELECT weight_kg AS a, weight_kg - greatest(0.0, policy_weight_kg) AS e FROM spl WHERE is_train = 0),
+reg AS (SELECT 'baseline' AS family, model, 'occupancy_people' AS target, 'real_holdout' AS dataset_scope, rows, mae, rmse, wape FROM board
+        UNION ALL SELECT 'per_gym_profile', model, 'occupancy_people', 'single_gym', rows, mae, rmse, wape FROM gymb
+        UNION ALL SELECT 'statistical_exogenous', 'ar1_per_gym', 'occupancy_people', 'real_holdout', count(*), avg(abs(e)),
+          sqrt(avg(e * e)), sum(abs(e)) / sum(abs(a)) FROM are
+        UNION ALL SELECT 'training_progression', 'rule_policy', 'next_set_weight_kg', 'demo_workout_history', count(*), avg(abs(e)),
+          sqrt(avg(e * e)), sum(abs(e)) / sum(abs(a)) FROM pge)"""
 
 
 def _registry(c):
-    board = FC.baseline_board(c.pred())
-    p = c.pred()
-    gymb = A.metrics(p, pred="pred_calendar", by=["gym_id"]).select(
-        F.concat(F.lit("calendar_"), F.col("gym_id")).alias("model"), "rows", "mae", "rmse", "wape")
-    b = board.select("model", "rows", "mae", "rmse", "wape")
-    return (b.select(F.lit("baseline").alias("family"), "model", F.lit("active_people").alias("target"),
-                     F.lit("pooled").alias("dataset_scope"), "rows", "mae", "rmse", "wape")
-            .unionByName(gymb.select(F.lit("per_gym_profile").alias("family"), "model", F.lit("active_people").alias("target"),
-                                     F.lit("single_gym").alias("dataset_scope"), "rows", "mae", "rmse", "wape"))
-            .unionByName(b.select(F.lit("baseline_clipped").alias("family"), F.concat("model", F.lit("_clipped")).alias("model"),
-                                  F.lit("active_people_clipped").alias("target"), F.lit("pooled").alias("dataset_scope"),
-                                  "rows", "mae", "rmse", "wape")))
-
-
-@query("set_union_registry", f"WITH {REGISTRY_SQL} SELECT * FROM reg")
+    """One row per model from the metric sources: baselines, per-site profiles, the clipped per-site AR(1) and the progression policy."""
+    cols = ["rows", "mae", "rmse", "wape"]
+
+    def named(df, family, target, scope):
+        return df.select(F.lit(family).alias("family"), "model", F.lit(target).alias("target"),
+                         F.lit(scope).alias("dataset_scope"), *cols)
+
+    p, split = c.pred(), c.split()
+    gyms = A.metrics(p, pred="pred_calendar", by=["gym_id"]).withColumn("model", F.concat(F.lit("calendar_"), "gym_id"))
+    ar = ML.ar1_per_series(split.filter("is_train = 1"), split.filter("is_train = 0"))
+    ar = A.metrics(ar.filter(F.col("prediction").isNotNull()), ML.TARGET, "prediction", clip=True)
+    pg = P.split(P.policy(P.cases(c.sets()))).filter("is_train = 0").withColumn(
+        "prediction", F.greatest(F.lit(0.0), "policy_weight_kg"))
+    pg = A.metrics(pg, "weight_kg", "prediction")
+    return (named(FC.baseline_board(p), "baseline", "occupancy_people", "real_holdout")
+            .unionByName(named(gyms, "per_gym_profile", "occupancy_people", "single_gym"))
+            .unionByName(named(ar.withColumn("model", F.lit("ar1_per_gym")), "statistical_exogenous", "occupancy_people", "real_holdout"))
+            .unionByName(named(pg.withColumn("model", F.lit("rule_policy")), "training_progression", "next_set_weight_kg",
+                               "demo_workout_history")))
+
+
+@query("set_union_registry", f"WITH {REGISTRY_SQL} SELECT * FROM reg", digits=6)
 def set_union_registry(c):
     return _registry(c)
 
@@ -104,32 +122,38 @@ def set_union_registry(c):
 RANKED_SQL = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY mae, family, model) AS rank FROM reg) WHERE rank <= 12"
 
 
-@query("topk_registry", f"WITH {REGISTRY_SQL} {RANKED_SQL}")
+@query("topk_registry", f"WITH {REGISTRY_SQL} {RANKED_SQL}", digits=6)
 def topk_registry(c):
     w = Window.partitionBy("target").orderBy("mae", "family", "model")
     return _registry(c).withColumn("rank", F.row_number().over(w)).filter("rank <= 12")
 
 
-@query("ml_registry", f"WITH {REGISTRY_SQL} {RANKED_SQL}")
+@query("ml_registry", f"""WITH {REGISTRY_SQL}
+SELECT *, row_number() OVER (PARTITION BY target ORDER BY mae, family, model) AS rank,
+  row_number() OVER (PARTITION BY target, family ORDER BY mae, model) AS family_rank FROM reg""", digits=6)
 def ml_registry(c):
+    """The whole registry in its report order: rank of every model among its target's and its family's."""
     w = Window.partitionBy("target").orderBy("mae", "family", "model")
-    return _registry(c).withColumn("rank", F.row_number().over(w)).filter("rank <= 12")
+    f = Window.partitionBy("target", "family").orderBy("mae", "model")
+    return _registry(c).withColumns({"rank": F.row_number().over(w), "family_rank": F.row_number().over(f)})
 
 
 @query("topk_best_model", f"""WITH {REGISTRY_SQL}
-SELECT family, model, mae, rmse FROM reg ORDER BY mae, rmse, family, model LIMIT 1""")
+SELECT target, arg_min(family, (mae, rmse, family, model)) AS family, arg_min(model, (mae, rmse, family, model)) AS model,
+  min(mae) AS mae, arg_min(rmse, (mae, rmse, family, model)) AS rmse FROM reg GROUP BY target""", digits=6)
 def topk_best_model(c):
     best = F.min_by(F.struct("family", "model", "mae", "rmse"), F.struct("mae", "rmse", "family", "model"))
-    return _registry(c).agg(best.alias("b")).select("b.*")
+    return _registry(c).groupBy("target").agg(best.alias("b")).select("target", "b.*")
 
 
 @query("ml_research_deltas", f"""WITH {REGISTRY_SQL},
-best AS (SELECT family, arg_min(model, (mae, rmse, model)) AS best_model, min(mae) AS best_mae FROM reg GROUP BY family),
+occ AS (SELECT * FROM reg WHERE target = 'occupancy_people'),
+best AS (SELECT family, arg_min(model, (mae, rmse, model)) AS best_model, min(mae) AS best_mae FROM occ GROUP BY family),
 ref AS (SELECT max(CASE WHEN model = 'previous_observation' THEN mae END) AS base_mae FROM reg WHERE family = 'baseline')
 SELECT family, best_model, best_mae, best_mae - base_mae AS mae_delta_vs_previous,
-  best_mae - (SELECT min(mae) FROM reg) AS mae_delta_vs_best FROM best CROSS JOIN ref""")
+  best_mae - (SELECT min(mae) FROM occ) AS mae_delta_vs_best FROM best CROSS JOIN ref""", digits=6)
 def ml_research_deltas(c):
-    reg = _registry(c)
+    reg = _registry(c).filter(F.col("target") == "occupancy_people")
     best = reg.groupBy("family").agg(F.min_by("model", F.struct("mae", "rmse", "model")).alias("best_model"),
                                      F.min("mae").alias("best_mae"))
     ref = reg.filter(F.col("family") == "baseline").agg(

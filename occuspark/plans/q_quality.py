@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..operators import quality as Q
 from ..operators import series
+from .q_series import FEATURE_COLS
 from .registry import query
 from .q_recommend import PREF_SQL
 from .views import sql_open
@@ -17,6 +18,9 @@ def _rules_sql(src: str, rules: list[tuple[str, str]]) -> str:
                               for n, cond in rules)
 
 
+OBS_COLS = ["seq", "ts", "gym_id", "city", "address", "active_people"]
+
+
 @query("dq_year_guard", _rules_sql("v_obs", [("year_is_2024", "year(ts) <> 2024")]))
 def dq_year_guard(c):
     return Q.rule_counts(c.obs(), [("year_is_2024", F.year("ts") != 2024)])
@@ -185,12 +189,19 @@ def dq_slot_rules(c):
                  F.count(F.lit(1)).alias("slots"))
 
 
-@query("dq_required_columns")
+@query("dq_required_columns", """
+WITH o AS (SELECT count(*) AS n, %s FROM v_obs),
+f AS (SELECT count(*) AS n, %s FROM v_feat)
+SELECT 'observations' AS output, column_name, n AS rows, filled FROM (UNPIVOT o ON COLUMNS(* EXCLUDE n) INTO NAME column_name VALUE filled)
+UNION ALL SELECT 'features', column_name, n, filled FROM (UNPIVOT f ON COLUMNS(* EXCLUDE n) INTO NAME column_name VALUE filled)""" % (
+    ", ".join(f"count({x}) AS {x}" for x in OBS_COLS), ", ".join(f"count({x}) AS {x}" for x in FEATURE_COLS)))
 def dq_required_columns(c):
-    """Required column sets of the observation and feature outputs -> rows of missing columns (none expected)."""
-    from .q_series import FEATURE_COLS
-    required = {"observations": ["seq", "ts", "gym_id", "city", "address", "active_people"], "features": FEATURE_COLS}
-    frames = {"observations": c.obs(), "features": c.feat()}
-    rows = [(name, col, int(col in frames[name].columns)) for name, cols in required.items() for col in cols]
-    # The result is a schema check (metadata), checked against the data frames' schemas.
-    return c.spark.createDataFrame(rows, "output string, column_name string, present int")
+    """Rows and filled values of every required column of the observation and feature outputs.
+
+    A column that an output lacks fails the query, as the reference's check does.
+    """
+    def filled(df, name, cols):
+        got = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(x)).alias(x) for x in cols])
+        return got.unpivot(["rows"], list(cols), "column_name", "filled").withColumn("output", F.lit(name))
+    both = filled(c.obs(), "observations", OBS_COLS).unionByName(filled(c.feat(), "features", FEATURE_COLS))
+    return both.select("output", "column_name", "rows", "filled")
