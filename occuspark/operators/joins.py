@@ -31,13 +31,3 @@ def lookup_fallback(facts: DataFrame, levels: list[tuple[list[str], DataFrame, s
     if default is not None:
         vals.append(default)
     return facts.withColumn(out, F.coalesce(*vals)).drop(*[f"_lv{i}" for i in range(len(levels))])
-
-
-def dedupe_build_side(df: DataFrame, keys, order) -> DataFrame:
-    """Keep one row per key (the first under ``order``) before using a table as a join build side."""
-    from .topk import first_per_key
-    return first_per_key(df, keys, order)
-
-
-def attach(facts: DataFrame, dim: DataFrame, keys, how: str = "left") -> DataFrame:
-    return facts.join(dim, keys, how)

@@ -233,14 +233,14 @@ LIB_COLS = "item_id, slug, name, muscle_group, category, difficulty, source_name
 
 
 @query("set_upsert_catalogue", f"""
-WITH ex AS (SELECT {LIB_COLS} FROM v_library WHERE item_id % 2 = 0),
+WITH ex AS (SELECT {LIB_COLS} FROM v_library WHERE item_id % 3 <> 1),
 inc AS (SELECT item_id, slug, upper(name) AS name, muscle_group, category, 'Advanced' AS difficulty, 'import v2' AS source_name
-        FROM v_library WHERE item_id % 3 = 0)
+        FROM v_library WHERE item_id % 3 <> 2)
 SELECT * FROM ex WHERE slug NOT IN (SELECT slug FROM inc) UNION ALL SELECT * FROM inc""")
 def set_upsert_catalogue(c):
     lib = c.library().select(*LIB_COLS.split(", "))
-    ex = lib.filter(F.col("item_id") % 2 == 0)
-    inc = lib.filter(F.col("item_id") % 3 == 0).withColumns({"name": F.upper("name"), "difficulty": F.lit("Advanced"),
+    ex = lib.filter(F.col("item_id") % 3 != 1)
+    inc = lib.filter(F.col("item_id") % 3 != 2).withColumns({"name": F.upper("name"), "difficulty": F.lit("Advanced"),
                                                              "source_name": F.lit("import v2")})
     return MT.replace_by_key(ex, inc, ["slug"])
 
@@ -262,13 +262,12 @@ def set_replace_children(c):
 
 @query("set_insert_missing", f"""
 WITH ex AS (SELECT {MEDIA_COLS} FROM v_media WHERE sort_order % 2 = 1),
-cand AS (SELECT {MEDIA_COLS} FROM v_media WHERE sort_order <= 4)
+cand AS (SELECT {MEDIA_COLS} FROM v_media)
 SELECT * FROM ex UNION ALL SELECT c.* FROM cand c WHERE NOT EXISTS (
   SELECT 1 FROM ex WHERE ex.item_id = c.item_id AND ex.media_url = c.media_url AND ex.source_name = c.source_name)""")
 def set_insert_missing(c):
     m = c.media().select(*MEDIA_COLS.split(", "))
-    return MT.insert_missing(m.filter(F.col("sort_order") % 2 == 1), m.filter(F.col("sort_order") <= 4),
-                             ["item_id", "media_url", "source_name"])
+    return MT.insert_missing(m.filter(F.col("sort_order") % 2 == 1), m, ["item_id", "media_url", "source_name"])
 
 
 @query("set_purge_source", f"SELECT {MEDIA_COLS} FROM v_media WHERE source_name IS NULL OR source_name <> 'generated reference'")
@@ -277,13 +276,13 @@ def set_purge_source(c):
 
 
 @query("join_anti_backfill", """
-WITH ex AS (SELECT user_id, exercise, performed_at, weight_kg, reps FROM v_sets WHERE set_id % 3 = 0),
-cand AS (SELECT user_id, exercise, performed_at, weight_kg, reps FROM v_sets WHERE set_id % 2 = 0)
+WITH ex AS (SELECT user_id, exercise, performed_at, weight_kg, reps FROM v_sets WHERE set_id % 3 <> 1),
+cand AS (SELECT user_id, exercise, performed_at, weight_kg, reps FROM v_sets WHERE set_id % 3 <> 2)
 SELECT * FROM ex UNION ALL SELECT c.* FROM cand c ANTI JOIN ex USING (user_id, exercise, performed_at)""")
 def join_anti_backfill(c):
     s = c.sets().select("set_id", "user_id", "exercise", "performed_at", "weight_kg", "reps")
-    ex = s.filter(F.col("set_id") % 3 == 0).drop("set_id")
-    cand = s.filter(F.col("set_id") % 2 == 0).drop("set_id")
+    ex = s.filter(F.col("set_id") % 3 != 1).drop("set_id")
+    cand = s.filter(F.col("set_id") % 3 != 2).drop("set_id")
     return MT.insert_missing(ex, cand, ["user_id", "exercise", "performed_at"])
 
 

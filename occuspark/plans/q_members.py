@@ -55,24 +55,20 @@ def mb_gamification(c):
 
 
 @query("ts_current_streak", """
-WITH days AS (SELECT DISTINCT user_id, CAST(checked_in_at AS DATE) AS day FROM v_visits WHERE dayofmonth(checked_in_at) % 5 <> 0),
+WITH days AS (SELECT DISTINCT user_id, CAST(checked_in_at AS DATE) AS day FROM v_visits),
 isl AS (SELECT user_id, day, day - CAST(row_number() OVER (PARTITION BY user_id ORDER BY day) AS INTEGER) AS island FROM days)
 SELECT i.user_id, count(*) AS streak FROM isl i
 JOIN (SELECT user_id, arg_max(island, day) AS island FROM isl GROUP BY user_id) l USING (user_id, island) GROUP BY i.user_id""")
 def ts_current_streak(c):
-    # Days divisible by 5 are removed so that streaks are broken and of different lengths.
-    v = c.visits().filter(F.dayofmonth("checked_in_at") % 5 != 0)
-    return series.current_streak(v.select("user_id", F.to_date("checked_in_at").alias("day")))
+    return series.current_streak(c.visits().select("user_id", F.to_date("checked_in_at").alias("day")))
 
 
 @query("ts_rolling_week", """
-WITH days AS (SELECT DISTINCT user_id, CAST(performed_at AS DATE) AS day FROM v_sets WHERE exercise = 'signup'
-              AND dayofmonth(performed_at) % 3 <> 0)
+WITH days AS (SELECT DISTINCT user_id, CAST(performed_at AS DATE) AS day FROM v_sets)
 SELECT user_id, count(*) FILTER (WHERE day >= latest - INTERVAL 6 DAY) AS weekly_sessions
 FROM days JOIN (SELECT user_id, max(day) AS latest FROM days GROUP BY user_id) USING (user_id) GROUP BY user_id""")
 def ts_rolling_week(c):
-    s = c.sets().filter((F.col("exercise") == "signup") & (F.dayofmonth("performed_at") % 3 != 0))
-    days = s.select("user_id", F.to_date("performed_at").alias("day")).distinct()
+    days = c.sets().select("user_id", F.to_date("performed_at").alias("day")).distinct()
     lat = days.groupBy("user_id").agg(F.max("day").alias("latest"))
     return days.join(lat, "user_id").groupBy("user_id").agg(
         F.count(F.when(F.col("day") >= F.date_sub("latest", 6), 1)).alias("weekly_sessions"))

@@ -8,6 +8,7 @@ needs as CTEs so every oracle runs on the bare driver tables.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -113,33 +114,26 @@ def all_oracles() -> dict[str, str]:
     return {k: canonical_sql(expand(v.sql), v.digits, con) for k, v in REGISTRY.items() if v.sql}
 
 
-SCHEMA_DIR = "/root/testdata/sf0.001"
+#: Tables that oracle texts are bound against; any scale has the same columns.
+SCHEMA_DIR = os.environ.get("OCCUSPARK_SCHEMA_DIR", "/root/testdata/sf0.001")
 _INT_TYPES = {"TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER",
               "UBIGINT", "UHUGEINT"}
 
 
 def _schema_connection():
     """DuckDB connection used only to *bind* oracle texts (DESCRIBE), never to answer them."""
-    try:
-        import duckdb
+    import duckdb
 
-        from ..sources.tables import TABLES
-        con = duckdb.connect()
-        for t in TABLES:
-            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SCHEMA_DIR}/{t}.parquet')")
-        return con
-    except Exception:  # noqa: BLE001 - the oracle stays usable unwrapped
-        return None
+    from ..sources.tables import TABLES
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SCHEMA_DIR}/{t}.parquet')")
+    return con
 
 
 def canonical_sql(sql: str, digits: int, con) -> str:
     """Wrap an oracle so its output types match :func:`normalise` (BIGINT / rounded DOUBLE)."""
-    if con is None:
-        return sql
-    try:
-        desc = con.execute(f"DESCRIBE {sql}").fetchall()
-    except Exception:  # noqa: BLE001
-        return sql
+    desc = con.execute(f"DESCRIBE {sql}").fetchall()
     cols = []
     for name, typ, *_ in desc:
         q = '"' + name.replace('"', '""') + '"'

@@ -258,7 +258,7 @@ SELECT n.n_name AS city, date_trunc('hour', e.ts) AS timestamp_hour, e.event_typ
        e.value AS temperature_2m, e.value - 2.0 AS apparent_temperature, e.value / 100.0 AS precipitation,
        e.value / 200.0 AS rain, CASE WHEN e.value < 5 THEN NULL ELSE e.value / 300.0 END AS snowfall,
        CAST(CAST(floor(e.value) AS INTEGER) % 4 AS DOUBLE) AS weather_code, e.value % 100 AS cloud_cover, e.value / 10.0 AS wind_speed_10m
-FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 4 WHERE e.event_type <> 'error'
+FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 4
 """
 
 VIEW_SQL["v_weather_dedup"] = """
@@ -447,9 +447,9 @@ class Ctx:
              .otherwise(F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string"))).alias("source_name"),
             (F.col("l_discount") < 0.08).cast("int").alias("embed_allowed"))
 
-    # v_weather: hourly weather rows per city with several sources (error events left out).
+    # v_weather: hourly weather rows per city with several sources.
     def weather(self) -> DataFrame:
-        e = self.t("events").filter(F.col("event_type") != "error")
+        e = self.t("events")
         nation = F.broadcast(self.t("nation").select("n_nationkey", "n_name"))
         v = F.col("value")
         return (e.join(nation, (F.col("user_id") % 4) == F.col("n_nationkey"))
