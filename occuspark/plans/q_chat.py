@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..operators import chat as CH
 from ..operators import recommend as R
+from .q_progression import NEXT_SQL, _w as _progression_w, policy_sql
 from .registry import query
 from .q_recommend import _pref_join_sql, _slots_sql
 from .views import gym_name
@@ -394,44 +395,127 @@ def ch_context(c):
     return lines.select("conv_id", "turn", F.concat_ws(" ", "slot_line").alias("context"), F.coalesce("sources", F.lit("")).alias("sources"))
 
 
-@query("ch_template_examples", """
+# Texts of the training examples (fixed values of the dataset).
+EXAMPLE_SYSTEM = "You are a gym coach. Use only the given forecast, history and source cards."
+RECOMMEND = ("Recommended exercise: ", ". Primary target: ", ". Difficulty: ", ". Technique source: ", ".")
+TECHNIQUE = ("For ", ", start from the approved source card rather than guessing. Main target: ", ". Source: ", ".")
+FORECAST_PROMPTS = ("Find a quieter slot tomorrow.", "Should I train today or wait for a less crowded time?",
+                    "Plan one session this week around my crowd tolerance.",
+                    "Explain why the recommended slot is better than peak evening time.",
+                    "Find a slot for bench press when the gym is not packed.")
+SAFETY_PROMPTS = ("My knee has sharp pain during squats. Tell me exactly what injury this is.",
+                  "I felt chest pain while training. Should I keep going?",
+                  "My lower back hurts after deadlifts. Give me a diagnosis.", "Can I train through numbness in my arm?")
+SAFETY_ANSWER = ("I cannot diagnose medical conditions. Stop the painful activity and ask a qualified medical professional; "
+                 "I can record the session.")
+TOOL_PROMPTS = (("schedule_week", "Plan my next training week around quieter gym times."),
+                ("log_target_set", "Log my target bench press set from the model."),
+                ("update_preferences", "Move my preferred training window to mornings."),
+                ("reschedule_workout", "Move a workout of tomorrow to a quieter time."),
+                ("create_template", "Create a simple upper body template."),
+                ("manager_promotion_draft", "Draft an off-peak promotion for the quietest location."))
+CITATION = ("Give me sources for a technique claim, but no source card is available.",
+            "I should not invent citations; I can search the exercise library for a source first.")
+
+
+def _sq(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _join_sql(texts, *cols) -> str:
+    parts = [_sq(texts[0])]
+    for col, text in zip(cols, texts[1:], strict=True):
+        parts += [col, _sq(text)]
+    return " || ".join(parts)
+
+
+def _join(texts, *cols):
+    parts = [F.lit(texts[0])]
+    for col, text in zip(cols, texts[1:], strict=True):
+        parts += [col, F.lit(text)]
+    return F.concat(*parts)
+
+
+@query("ch_template_examples", f"""
 WITH l AS (SELECT *, row_number() OVER (ORDER BY muscle_group, name, item_id) - 1 AS i, count(*) OVER () AS n FROM v_library
            WHERE lower(source_name) <> 'wger')
-SELECT 'exercise_recommendation' AS task, item_id, 'Suggest one ' || lower(category) || ' exercise for ' || lower(muscle_group) || ' at '
-  || lower(difficulty) || ' level.' AS user_text FROM l WHERE i < 260
-UNION ALL SELECT 'rag_cited_technique', item_id, 'Explain ' || name || ' technique using the retrieved source card.' FROM l
+SELECT 'exercise_recommendation' AS task, {_sq(EXAMPLE_SYSTEM)} AS system_text, 'Suggest one ' || lower(category) || ' exercise for '
+  || lower(muscle_group) || ' at ' || lower(difficulty) || ' level.' AS user_text,
+  {_join_sql(RECOMMEND, 'name', 'muscle_group', 'difficulty', 'source_name')} AS assistant_text, slug AS subject, source_name AS origin
+FROM l WHERE i < 260
+UNION ALL SELECT 'rag_cited_technique', {_sq(EXAMPLE_SYSTEM)}, 'Explain ' || name || ' technique using the retrieved source card.',
+  {_join_sql(TECHNIQUE, 'name', 'muscle_group', 'source_name')}, slug, source_name FROM l
 WHERE i % greatest(1, n // 40) = 0 AND i // greatest(1, n // 40) < 40""")
 def ch_template_examples(c):
+    """Recommendation and cited-technique examples: the three messages of each, its item and its source."""
     from ..operators.series import global_row_number
     lib = c.library().filter(F.lower("source_name") != "wger").withColumn("_o", F.struct("muscle_group", "name", "item_id"))
     pos = global_row_number(lib, "_o", F.col("muscle_group"), "pos").withColumn("i", F.col("pos") - 1)
     n = lib.agg(F.count(F.lit(1)).alias("n"))
     j = pos.crossJoin(F.broadcast(n))  # one-row total
     step = F.greatest(F.lit(1), F.floor(F.col("n") / 40))
-    rec = j.filter(F.col("i") < 260).select(F.lit("exercise_recommendation").alias("task"), "item_id", F.concat(
-        F.lit("Suggest one "), F.lower("category"), F.lit(" exercise for "), F.lower("muscle_group"), F.lit(" at "),
-        F.lower("difficulty"), F.lit(" level.")).alias("user_text"))
-    tech = j.filter(((F.col("i") % step) == 0) & (F.floor(F.col("i") / step) < 40)).select(
-        F.lit("rag_cited_technique").alias("task"), "item_id",
-        F.concat(F.lit("Explain "), F.col("name"), F.lit(" technique using the retrieved source card.")).alias("user_text"))
+
+    def example(rows, task, user, assistant):
+        return rows.select(F.lit(task).alias("task"), F.lit(EXAMPLE_SYSTEM).alias("system_text"), user.alias("user_text"),
+                           assistant.alias("assistant_text"), F.col("slug").alias("subject"), F.col("source_name").alias("origin"))
+
+    rec = example(j.filter(F.col("i") < 260), "exercise_recommendation",
+                  F.concat(F.lit("Suggest one "), F.lower("category"), F.lit(" exercise for "), F.lower("muscle_group"),
+                           F.lit(" at "), F.lower("difficulty"), F.lit(" level.")),
+                  _join(RECOMMEND, "name", "muscle_group", "difficulty", "source_name"))
+    tech = example(j.filter(((F.col("i") % step) == 0) & (F.floor(F.col("i") / step) < 40)), "rag_cited_technique",
+                   F.concat(F.lit("Explain "), F.col("name"), F.lit(" technique using the retrieved source card.")),
+                   _join(TECHNIQUE, "name", "muscle_group", "source_name"))
     return rec.unionByName(tech)
 
 
-@query("ch_static_examples", """
-SELECT user_id, 'forecast_aware_recommendation' AS task, 'Find me a quiet slot between ' || CAST(preferred_min_hour AS VARCHAR) || ':00 and '
-  || CAST(preferred_max_hour AS VARCHAR) || ':00 on weekdays ' || preferred_weekdays_text || ' with at most '
-  || CAST(CAST(max_crowd_people AS BIGINT) AS VARCHAR) || ' people.' AS user_text FROM v_prefs_full
-UNION ALL SELECT user_id, 'tool_action_schedule_week', 'Schedule my week with ' || CAST(weekly_goal_sessions AS VARCHAR) || ' sessions at '
-  || preferred_gym_id || '.' FROM v_prefs_full
-UNION ALL SELECT user_id, 'safety_refusal', 'My knee hurts after squats, what should I take?' FROM v_prefs_full""")
+WINDOW_SQL = "CAST(preferred_min_hour AS VARCHAR) || ':00-' || CAST(preferred_max_hour AS VARCHAR) || ':00'"
+FORECAST_ANSWER = ("I should use the occupancy forecast and your preferred window ", ". Open slots under about ",
+                   " people come first.")
+
+
+def _static_rows():
+    """``(task, prompt, answer or None, action)``: answers without a text depend on the user's window and crowd."""
+    rows = [("forecast_aware_recommendation", p, None, "forecast") for p in FORECAST_PROMPTS]
+    rows += [(f"tool_action_{a}", p, f"I should use the {a} tool action only if the required fields are known and show "
+              "it for confirmation first.", a) for a, p in TOOL_PROMPTS]
+    rows += [("safety_refusal", p, SAFETY_ANSWER, "medical") for p in SAFETY_PROMPTS]
+    return rows + [("citation_discipline", *CITATION, "citation")]
+
+
+@query("ch_static_examples", f"""
+SELECT user_id, task, {_sq(EXAMPLE_SYSTEM)} AS system_text, prompt AS user_text,
+  coalesce(answer, {_join_sql(FORECAST_ANSWER, WINDOW_SQL, 'CAST(CAST(max_crowd_people AS BIGINT) AS VARCHAR)')}) AS assistant_text, action
+FROM v_prefs_full CROSS JOIN (VALUES {", ".join("(" + ", ".join("NULL" if x is None else _sq(x) for x in r) + ")" for r in _static_rows())})
+  AS s(task, prompt, answer, action)""")
 def ch_static_examples(c):
+    """Every user's forecast, tool, safety and citation examples; forecast answers name the user's window and crowd."""
     p = c.prefs_full()
-    f = p.select("user_id", F.lit("forecast_aware_recommendation").alias("task"), F.concat(
-        F.lit("Find me a quiet slot between "), F.col("preferred_min_hour").cast("string"), F.lit(":00 and "),
-        F.col("preferred_max_hour").cast("string"), F.lit(":00 on weekdays "), F.col("preferred_weekdays_text"),
-        F.lit(" with at most "), F.col("max_crowd_people").cast("long").cast("string"), F.lit(" people.")).alias("user_text"))
-    s = p.select("user_id", F.lit("tool_action_schedule_week").alias("task"), F.concat(
-        F.lit("Schedule my week with "), F.col("weekly_goal_sessions").cast("string"), F.lit(" sessions at "),
-        F.col("preferred_gym_id"), F.lit(".")).alias("user_text"))
-    r = p.select("user_id", F.lit("safety_refusal").alias("task"), F.lit("My knee hurts after squats, what should I take?").alias("user_text"))
-    return f.unionByName(s).unionByName(r)
+    rows = F.array(*[F.struct(*[F.lit(v).cast("string").alias(k) for k, v in zip(("task", "prompt", "answer", "action"), r, strict=True)])
+                     for r in _static_rows()])
+    window = F.concat(F.col("preferred_min_hour").cast("string"), F.lit(":00-"), F.col("preferred_max_hour").cast("string"), F.lit(":00"))
+    crowd = F.col("max_crowd_people").cast("long").cast("string")
+    return p.withColumn("s", F.explode(rows)).select(
+        "user_id", F.col("s.task").alias("task"), F.lit(EXAMPLE_SYSTEM).alias("system_text"), F.col("s.prompt").alias("user_text"),
+        F.coalesce(F.col("s.answer"), _join(FORECAST_ANSWER, window, crowd)).alias("assistant_text"), F.col("s.action").alias("action"))
+
+
+PROGRESSION = ("Aim for ", " kg x ", " reps. This uses your logged sets, the strength trend and your rep policy. Strategy: ", ".")
+
+
+@query("ch_progression_examples", _progression_w(NEXT_SQL, policy_sql("ns", "rlo", "rhi", "preferred_rep_mode")) + f"""
+SELECT user_id, exercise, 'progression_explanation' AS task, {_sq(EXAMPLE_SYSTEM)} AS system_text,
+  'Explain my next target for ' || exercise || '.' AS user_text,
+  {_join_sql(PROGRESSION, "printf('%.1f', policy_weight_kg)", "CAST(policy_reps_min AS VARCHAR) || '-' || CAST(policy_reps_max AS VARCHAR)",
+             "policy_strategy")} AS assistant_text, policy_strategy AS strategy
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY exercise) AS place FROM pol) WHERE place <= 12""")
+def ch_progression_examples(c):
+    """A user's first 12 exercises by name with their next target as an explanation."""
+    from ..operators import progression as P
+    n = P.next_session(c.sets(), c.prefs_full())
+    n = n.withColumn("place", F.row_number().over(Window.partitionBy("user_id").orderBy("exercise"))).filter("place <= 12")
+    reps = F.concat(F.col("policy_reps_min").cast("string"), F.lit("-"), F.col("policy_reps_max").cast("string"))
+    return n.select("user_id", "exercise", F.lit("progression_explanation").alias("task"), F.lit(EXAMPLE_SYSTEM).alias("system_text"),
+                    F.concat(F.lit("Explain my next target for "), F.col("exercise"), F.lit(".")).alias("user_text"),
+                    _join(PROGRESSION, F.format_string("%.1f", "policy_weight_kg"), reps, F.col("policy_strategy")).alias("assistant_text"),
+                    F.col("policy_strategy").alias("strategy"))
