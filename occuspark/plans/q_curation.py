@@ -270,7 +270,12 @@ def ct_normalise_record(c):
                     S.license_text(F.regexp_extract("url", "//([^/]+)/", 1), F.col("url"), F.lit("unknown")).alias("source_license"))
 
 
-@query("ct_media_gallery")
+@query("ct_media_gallery", """
+WITH p AS (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]+)"', 1) AS links FROM pages),
+m AS (SELECT page_id, unnest(CASE WHEN len(links) = 0 THEN [{'media_type': 'link', 'media_url': url, 'sort_order': 0}]
+    ELSE list_transform(links, lambda u, i: {'media_type': CASE WHEN regexp_matches(u, '(?i)\\.(mp4|webm)$') THEN 'external_video'
+      ELSE 'external_image' END, 'media_url': u, 'sort_order': CAST(i - 1 AS INTEGER)}) END, recursive := true) FROM p)
+SELECT page_id, media_type, media_url, sort_order FROM m""")
 def ct_media_gallery(c):
     """Pages' links as an ordered media gallery: images (first), then videos; one fallback link when empty."""
     p = c.t("pages")

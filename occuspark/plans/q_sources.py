@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..sources import files as FS
+from .q_chat import EX_SQL
+from .q_forecast import BOARD_SQL
 from .registry import query
 
 
@@ -30,7 +32,9 @@ def src_observation_clean(c):
                      F.lit(0).alias("is_synthetic"), F.lit("observation").alias("generation_method")))
 
 
-@query("src_raw_csv")
+@query("src_raw_csv", """
+SELECT date_trunc('second', ts) AS ts, city, address, CASE WHEN seq % 9 = 0 THEN 0 ELSE greatest(active_people, 0) END AS active_people,
+  'events.parquet' AS source_file, CAST(year(ts) = 2024 AS INTEGER) AS year_ok FROM v_obs""")
 def src_raw_csv(c):
     path = _scratch(c, "raw_obs")
     o = c.obs().select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), F.concat(F.lit(" "), "city").alias("city"),
@@ -40,14 +44,17 @@ def src_raw_csv(c):
     return FS.read_raw_observations(c.spark, path, year=2024)
 
 
-@query("src_feature_csv")
+@query("src_feature_csv", """
+SELECT CAST(seq AS VARCHAR) AS seq, ts, gym_id, CAST(hour AS DOUBLE) AS hour, lag_1, rolling_mean_16,
+  CAST(active_people AS DOUBLE) AS active_people FROM v_feat""")
 def src_feature_csv(c):
     path = _scratch(c, "features")
     FS.write_csv(c.feat().select("seq", "ts", "gym_id", "hour", "lag_1", "rolling_mean_16", "active_people"), path)
     return FS.read_features(c.spark, path, ["hour", "lag_1", "rolling_mean_16", "active_people"])
 
 
-@query("src_json_preview")
+@query("src_json_preview", """
+SELECT 'preview' AS status, 'catalogue' AS source_name, slug, name, category, muscle_group, difficulty FROM v_library""")
 def src_json_preview(c):
     path = _scratch(c, "preview")
     # one preview document per page of 48 consecutive items: every item is in one
@@ -60,7 +67,9 @@ def src_json_preview(c):
                                 multi_line=False)
 
 
-@query("src_jsonl_chat")
+@query("src_jsonl_chat", """
+SELECT CASE WHEN turn % 11 <> 5 THEN CAST(conv_id AS DOUBLE) END AS conv_id, CASE WHEN turn % 11 <> 5 THEN CAST(turn AS DOUBLE) END AS turn,
+  CASE WHEN turn % 11 <> 5 THEN role END AS role, CAST(turn % 11 = 5 AS INTEGER) AS is_corrupt FROM conversations""")
 def src_jsonl_chat(c):
     path = _scratch(c, "chat_jsonl")
     conv = c.t("conversations")
@@ -68,17 +77,19 @@ def src_jsonl_chat(c):
         F.to_json(F.struct("conv_id", "turn", "role", "text")))
     conv.select(line.alias("value")).write.mode("overwrite").text(path)
     df = FS.read_jsonl(c.spark, path, "conv_id bigint, turn bigint, role string, text string")
-    return df.select("conv_id", "turn", "role", F.col("_corrupt").isNotNull().alias("is_corrupt"))
+    # ids are DOUBLE: a corrupt line has none (NULL-able integers round-trip badly through pandas)
+    return df.select(F.col("conv_id").cast("double").alias("conv_id"), F.col("turn").cast("double").alias("turn"), "role",
+                     F.col("_corrupt").isNotNull().cast("int").alias("is_corrupt"))
 
 
-@query("sink_csv")
+@query("sink_csv", "SELECT seq, ts, gym_id, city, address, active_people FROM v_obs")
 def sink_csv(c):
     path = _scratch(c, "sink_csv")
     FS.write_csv(c.obs(), path)
-    return c.spark.read.option("header", True).csv(path)
+    return c.spark.read.options(header=True, **FS.CSV_TIMES).schema(c.obs().schema).csv(path)
 
 
-@query("sink_json_report")
+@query("sink_json_report", BOARD_SQL)
 def sink_json_report(c):
     from ..operators import forecast as FC
     path = _scratch(c, "report_json")
@@ -86,13 +97,17 @@ def sink_json_report(c):
     return c.spark.read.json(path)
 
 
-@query("sink_jsonl_chat")
+@query("sink_jsonl_chat", f"""WITH {EX_SQL}
+SELECT conv_id, task, len(messages) AS n_messages,
+  array_to_string(list_transform(messages, lambda m: m.role || ': ' || coalesce(m.text, '')), chr(10)) AS transcript FROM ex""")
 def sink_jsonl_chat(c):
     from .q_chat import conversations_as_examples
     path = _scratch(c, "sink_jsonl")
     ex = conversations_as_examples(c).select("conv_id", "task", "messages")
     FS.write_jsonl_text(ex, path)
-    return c.spark.read.schema("conv_id bigint, task string, messages array<struct<turn:bigint,role:string,text:string>>").json(path)
+    back = c.spark.read.schema("conv_id bigint, task string, messages array<struct<turn:bigint,role:string,text:string>>").json(path)
+    line = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), F.coalesce(m["text"], F.lit(""))))
+    return back.select("conv_id", "task", F.size("messages").alias("n_messages"), F.array_join(line, "\n").alias("transcript"))
 
 
 @query("sink_markdown_table", """

@@ -17,6 +17,10 @@ WEATHER_NUMERIC = ("temperature_2m", "apparent_temperature", "precipitation", "r
                    "cloud_cover", "wind_speed_10m")
 
 
+#: Whole microseconds: the writer's default would cut them to milliseconds.
+CSV_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def _strip_bom(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lstrip("﻿").strip() for c in df.columns])
 
@@ -77,7 +81,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV; refuses to write an empty result (cheap ``isEmpty`` probe, one row)."""
     if df.isEmpty():
         raise ValueError(f"No rows to write: {path}")
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(header=True, **CSV_TIMES).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
