@@ -382,17 +382,62 @@ def ch_action_log(c):
 
 @query("ch_context")
 def ch_context(c):
-    """Grounded context per user message: best slot, plan preview, next target and top retrieved chunks."""
-    from .q_text import _top
-    m = messages(c)
-    slots = R.preference_slots(c.prefs_full(), c.future(), 1).select("user_id", "window_label", "expected_people")
-    lines = m.join(slots, "user_id", "left").withColumn(
-        "slot_line", F.when(F.col("window_label").isNotNull(), F.format_string(
-            "The best low-traffic slot I see is %s, with an expected load of %.1f people.", "window_label", "expected_people")))
-    hits = _top(c).filter(F.col("rank") <= 2).groupBy("query_id").agg(
-        F.array_join(F.sort_array(F.collect_set("source_type")), ",").alias("sources"))
-    lines = lines.withColumn("query_id", F.col("conv_id") % 40).join(hits, "query_id", "left")
-    return lines.select("conv_id", "turn", F.concat_ws(" ", "slot_line").alias("context"), F.coalesce("sources", F.lit("")).alias("sources"))
+    """Grounded context of every user message: preferences, three matched slots, four plan lines, eight recent sets,
+    the next target and the six chunks retrieved for the message itself, with the sorted sources."""
+    from ..operators import members as M
+    from ..operators import progression as P
+    from ..operators import retrieval as RT
+    from .q_text import INTENT_RULES, _dt, _post
+    m = messages(c).withColumn("query_id", F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")))
+    prefs = M.preferences(m.select("user_id").distinct(), c.prefs())
+    future = c.future()
+
+    def per_user(rows, order, line, out):
+        each = F.sort_array(F.collect_list(F.struct(F.col(order).alias("k"), line.alias("line"))))
+        return rows.groupBy("user_id").agg(F.array_join(F.transform(each, lambda x: x["line"]), "\n").alias(out))
+
+    people = F.format_string("%.1f", "expected_people")
+    slots = per_user(R.preference_slots(prefs, future, 3), "rank",
+                     F.concat(F.lit("- "), "window_label", F.lit(": expected_people="), people), "slots")
+    plan = R.weekly_plan(R.personalised_slots(prefs, future, 4), c.templates())
+    plan = per_user(plan, "day_index", F.concat(F.lit("- "), "window_label", F.lit(": "), "focus", F.lit(", expected_people="), people,
+                                                F.lit(", estimated_minutes="), F.col("estimated_minutes").cast("string")), "plan")
+    recent = c.sets().join(m.select("user_id").distinct(), "user_id", "left_semi").withColumn("place", F.row_number().over(
+        Window.partitionBy("user_id").orderBy(F.col("performed_at").desc(), F.col("set_id").desc()))).filter("place <= 8")
+    recent = per_user(recent, "place", F.concat(F.lit("- "), F.col("performed_at").cast("string"), F.lit(": "), "exercise", F.lit(", set "),
+                                                F.col("set_index").cast("string"), F.lit(", "), F.format_string("%.1f", "weight_kg"),
+                                                F.lit(" kg x "), F.col("reps").cast("string")), "recent")
+    target = P.next_session(c.sets(), prefs).filter(F.col("exercise") == RULES.default_exercise).select(
+        "user_id", F.concat(F.lit("Next-session target: "), F.format_string("%.1f", "policy_weight_kg"), F.lit(" kg x "),
+                            F.col("policy_reps").cast("string"), F.lit(". Strategy: "), "policy_strategy").alias("target"))
+    q = m.select("query_id", "text")
+    hits = RT.top_k(RT.intent_boost(RT.title_boost(RT.bm25(_dt(c), _post(c), q), _dt(c), q), INTENT_RULES), 6)
+    source = F.concat(F.lit("RAG source: "), "source_type", F.lit(" / "), "title")
+    chunks = F.sort_array(F.collect_list(F.struct("rank", F.concat(F.lit("- ["), F.col("doc_id").cast("string"), F.lit("] "), "title")
+                                                  .alias("line"))))
+    hits = hits.groupBy("query_id").agg(F.array_join(F.transform(chunks, lambda x: x["line"]), "\n").alias("chunks"),
+                                        F.collect_set(source).alias("found"))
+    wish = F.concat(F.lit("Saved training preferences: preferred_hours="), F.col("preferred_min_hour").cast("string"), F.lit(":00-"),
+                    F.col("preferred_max_hour").cast("string"), F.lit(":00; preferred_weekdays="), "preferred_weekdays_text",
+                    F.lit("; max_crowd_people="), F.format_string("%.0f", "max_crowd_people"), F.lit("."))
+    j = m.join(prefs.select("user_id", wish.alias("wish")), "user_id", "left")
+    for part in (slots, plan, recent, target):
+        j = j.join(part, "user_id", "left")
+    j = j.join(hits, "query_id", "left")
+
+    def titled(title, col):
+        return F.when(F.col(col).isNotNull(), F.concat(F.lit(title + "\n"), F.col(col)))
+
+    no_slots = F.lit("No low-traffic forecast slots match the saved preferences in the requested horizon.")
+    context = F.concat_ws("\n", F.concat(F.lit("User message: "), "text"), "wish",
+                          F.coalesce(titled("Preference-matched low-traffic slots:", "slots"), no_slots),
+                          titled("Forecast-aware weekly training plan:", "plan"), titled("Recent logged workout sets:", "recent"),
+                          "target", titled("Retrieved chunks:", "chunks"))
+    always = F.array(F.lit("Forecast metrics"), F.lit("User workout history"), F.lit("Progressive overload rule"),
+                     F.when(F.col("slots").isNotNull(), F.lit("Preference-matched slots")).otherwise(F.lit("User preferences and forecast filter")),
+                     F.when(F.col("plan").isNotNull(), F.lit("Forecast-aware weekly training plan")))
+    sources = F.array_sort(F.array_compact(F.concat(always, F.coalesce("found", F.array().cast("array<string>")))))
+    return j.select("conv_id", "turn", context.alias("context"), F.array_join(sources, "; ").alias("sources"))
 
 
 # Texts of the training examples (fixed values of the dataset).
