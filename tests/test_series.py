@@ -69,3 +69,59 @@ def test_global_row_number_is_a_total_order(spark):
 def test_infer_interval(spark):
     df, _ = _series(spark, n=30)
     assert series.infer_interval(df).first().interval_minutes == 20
+
+
+def _hot(spark, n=3000):
+    return spark.range(n).select(
+        F.col("id").alias("seq"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 37 % 100000)").alias("ts"),
+        F.when(F.col("id") % 10 == 0, "g2").otherwise("g1").alias("gym_id"), (F.col("id") * 7919 % 101).cast("int").alias("active_people"))
+
+
+def test_chunked_windows_on_a_hot_entity(spark):
+    df = _hot(spark)
+    got = series.lag_features(df, lags=(1, 5), tiebreak="seq", chunk_rows=64)
+    got = series.rolling_features(got, windows=(5,), tiebreak="seq", chunk_rows=50).toPandas().sort_values(["gym_id", "ts", "seq"])
+    exp = df.toPandas().sort_values(["gym_id", "ts", "seq"])
+    by = exp.groupby("gym_id").active_people
+    for n in (1, 5):
+        assert got[f"lag_{n}"].fillna(-1).tolist() == by.shift(n).fillna(-1).tolist()
+    want = by.transform(lambda s: s.shift(1).rolling(5, min_periods=1).mean())
+    assert all(abs(a - b) < 1e-9 or (a != a and b != b) for a, b in zip(got.rolling_mean_5, want, strict=True))
+
+
+def test_no_window_spans_an_entity(spark):
+    df = _hot(spark, 100)
+    for out in (series.lag_features(df), series.seq_lags(df), series.seq_windows(df), series.split_flags(df), series.split3(df)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window [lag(" not in plan.replace("_c#", "_c") or "_c#" in plan
+        for line in plan.splitlines():
+            if "Window [" in line and ("lag(" in line or "collect_list(" in line):
+                assert "_c#" in line.split("windowspecdefinition(")[1].split("ASC")[0]
+
+
+def test_splits_follow_positions(spark):
+    df = _hot(spark, 1000)
+    got = series.split3(df, tiebreak="seq").toPandas().sort_values(["gym_id", "ts", "seq"])
+    for _, g in got.groupby("gym_id"):
+        n = len(g)
+        assert g.split.tolist() == ["train"] * int(n * 0.7) + ["validation"] * (int(n * 0.8) - int(n * 0.7)) + ["test"] * (n - int(n * 0.8))
+
+
+def test_exact_quantiles_of_real_values(spark):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    rows = [("a", float(x)) for x in rng.lognormal(0, 3, 4001)] + [("b", float(x)) for x in rng.integers(0, 3, 500)] + [("c", 1.5), ("d", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    for q in (0.0, 0.5, 0.8, 1.0):
+        got = {r.k: r.quantile for r in series.exact_quantiles(df, "v", ["k"], q, pieces=16).collect()}
+        for k in "abc":
+            want = np.quantile([v for i, v in rows if i == k], q)
+            assert abs(got[k] - want) <= 1e-9 * max(1, abs(want))
+        assert "d" not in got
+    one = series.exact_quantiles(df, "v", [], 0.5).first().quantile
+    assert abs(one - np.median([v for _, v in rows if v is not None])) < 1e-9
+
+
+def test_interval_without_gaps(spark):
+    df = spark.createDataFrame([("g", None)], "gym_id string, ts timestamp_ntz")
+    assert series.infer_interval(df).first()[0] == 20
