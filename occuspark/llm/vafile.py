@@ -124,7 +124,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 102
         certain = (kept.withColumn("r", F.row_number().over(by_low)).where(F.col("r") <= k).groupBy("query_id")
                    .agg(F.when(F.count("*") == k, F.min("low")).otherwise(F.lit(float("-inf"))).alias("floor")))
         by_high = Window.partitionBy("query_id").orderBy(F.col("high").desc(), "vec_id")
-        order = cut_lineage(kept.join(certain, "query_id").where(F.col("high") >= F.col("floor"))
+        ids = kept.groupBy("query_id", "vec_id").agg(F.max("high").alias("high"))  # rows that share an id are read together
+        order = cut_lineage(ids.join(certain, "query_id").where(F.col("high") >= F.col("floor"))
                             .withColumn("r", F.row_number().over(by_high)))
         near = cut_lineage(read_exact(order.where(F.col("r") <= first), exact, block))
         by_score = Window.partitionBy("query_id").orderBy(F.col("score").desc())
