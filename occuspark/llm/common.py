@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver collect plans whose lineage was cut: Spark's cleaner then deletes their shuffle files.
+
+    For loops that run many jobs; otherwise the files stay until the driver happens to collect its garbage.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def documents_of(docs: DataFrame, *extra: str) -> DataFrame:
     """``doc_id`` as long and ``text`` with null read as empty; every other column is ignored."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
