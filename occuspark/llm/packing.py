@@ -26,7 +26,7 @@ from .common import cut_lineage, documents_of, sub_blocks
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Words kept with their ids in a worker process.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 450_000
 LONGEST_CACHED = 48
 #: White space for ``str.split`` that the tokenizer does not treat as such.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
