@@ -2,11 +2,12 @@
 
 A page is read into text lines, one per block, in page order.  Elements that are
 never article (navigation, forms, scripts, ...) and elements marked as such
-(role, class or id words) are left out.  If the page names its article (an
-``article`` or ``main`` element), its lines are the text.  Otherwise the lines are
-compared with another page of the host, the one with the nearest url path that is
-not a copy: a longest common subsequence aligns both pages, and the lines they
-share are template and go.
+(role, class or id words) are left out.  Every page is then compared with pages of
+its host, nearest url paths first, that are not copies of it: a longest common
+subsequence aligns two pages.  If the page names its article (an ``article`` or
+``main`` element), the text is its lines without those that at least five of the
+six nearest pages share (articles may have passages in common).  Otherwise
+the lines shared with the nearest page are template and go.
 """
 
 from __future__ import annotations
@@ -225,6 +226,16 @@ def template_lines(own: tuple, path: str, others: list[tuple[str, tuple]], copy:
     return []
 
 
+def voted_lines(own: tuple, others: list[tuple], support: int = 5, copy: float = 0.8) -> list[int]:
+    """Places of lines that at least ``support`` of the other pages share; copies of this page have no vote."""
+    votes: Counter = Counter()
+    seen = set(own[0])
+    for other in others:
+        if not seen.isdisjoint(other[0]) and not is_copy(*own, *other, copy):
+            votes.update(common_subsequence(own[0], other[0]))
+    return sorted(i for i, n in votes.items() if n >= support)
+
+
 LIGHT = "page_id long, row long, host string, path string, open boolean, marks array<long>, sizes array<int>"
 
 
@@ -242,11 +253,12 @@ def line_marks(rows: DataFrame) -> DataFrame:
 
 
 def neighbours(light: DataFrame, block: int = 128, reach: int = 3) -> DataFrame:
-    """``page_id, row, template`` (places of template lines) of every open page.
+    """``page_id, row, template`` (places of template lines) of every page.
 
     All pages are put in the order (host, path, id) and cut into blocks; a block
-    also holds the ``reach`` pages before and after it, so no window spans a host
-    and the result does not depend on how Spark cut its partitions.
+    also holds the ``2 * reach`` pages before and after it, so no window spans a
+    host and the result does not depend on how Spark cut its partitions.  An open
+    page looks ``reach`` pages back and ahead, another asks the ``2 * reach`` nearest.
     """
     order = ["host", "path", "page_id", "row"]
     placed = cut_lineage(light.dropDuplicates(["page_id", "row"]).repartitionByRange(*order)
@@ -261,8 +273,8 @@ def neighbours(light: DataFrame, block: int = 128, reach: int = 3) -> DataFrame:
     at = placed.withColumn("p", part.cast("long")).join(F.broadcast(start), "p").select(
         "*", (F.col("start") + F.col("m") - F.shiftleft("p", 33)).alias("at"))
     here = F.floor(F.col("at") / block)
-    blocks = F.array_distinct(F.array(F.floor((F.col("at") - reach) / block), here,
-                                      F.floor((F.col("at") + reach) / block)))
+    blocks = F.array_distinct(F.array(F.floor((F.col("at") - 2 * reach) / block), here,
+                                      F.floor((F.col("at") + 2 * reach) / block)))
     spread = at.select("page_id", "row", "host", "path", "open", "marks", "sizes", "at", here.alias("home"),
                        F.explode(blocks).alias("block"))
 
@@ -271,10 +283,12 @@ def neighbours(light: DataFrame, block: int = 128, reach: int = 3) -> DataFrame:
         host, path = rows["host"].tolist(), rows["path"].tolist()
         marks = [(list(m), list(s)) for m, s in zip(rows["marks"], rows["sizes"], strict=True)]
         out = []
-        for i in np.flatnonzero((rows["home"] == rows["block"]) & rows["open"]):
-            near = [j for k in range(1, reach + 1) for j in (i - k, i + k) if 0 <= j < len(rows) and host[j] == host[i]]
-            out.append((rows["page_id"][i], rows["row"][i],
-                        template_lines(marks[i], path[i], [(path[j], marks[j]) for j in near])))
+        for i in np.flatnonzero(rows["home"] == rows["block"]):
+            near = [j for k in range(1, 2 * reach + 1) for j in (i - k, i + k)
+                    if 0 <= j < len(rows) and host[j] == host[i]]
+            gone = (template_lines(marks[i], path[i], [(path[j], marks[j]) for j in near if abs(j - i) <= reach])
+                    if rows["open"][i] else voted_lines(marks[i], [marks[j] for j in near[:2 * reach]]))
+            out.append((rows["page_id"][i], rows["row"][i], gone))
         made = pd.DataFrame(out, columns=["page_id", "row", "template"])
         made["page_id"] = made["page_id"].astype("Int64")
         return made
@@ -300,7 +314,8 @@ def extract(pages: DataFrame) -> DataFrame:
             out = []
             for h in b["html"]:
                 text, inside = lines(h)
-                out.append([t for t, i in zip(text, inside, strict=True) if i] if any(inside) else text)
+                named = any(inside)  # places stay those of all lines; the join below skips nulls
+                out.append([t if i or not named else None for t, i in zip(text, inside, strict=True)])
             yield pd.DataFrame({"page_id": b["page_id"].astype("Int64"), "url": b["url"], "row": b["row"],
                                 "lines": out})
 

@@ -129,6 +129,17 @@ def test_template_lines_go_where_no_article_is_named(spark):
     assert (out[out.page_id == 7].text.nunique(), len(out[out.page_id == 7])) == (1, 2)
 
 
+def test_template_lines_go_inside_named_articles(spark):
+    page = "<body><article><p>Read this on our site</p><p>Story {0} tells.</p>{1}</article></body>"
+    rows = [(i, f"http://h.net/a/{i:02}", page.format(i, "<p>A passage of two</p>" if i in (4, 5) else "")) for i in range(12)]
+    rows += [(100 + i, f"http://few.net/{i}", page.format(i, "")) for i in range(3)]
+    out = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).toPandas()
+    got = dict(zip(out.page_id, out.text, strict=True))
+    for i in range(12):
+        assert got[i] == f"Story {i} tells." + (" A passage of two" if i in (4, 5) else "")
+    assert got[100] == "Read this on our site Story 0 tells."  # two pages are no majority
+
+
 def test_blocks_do_not_change_the_pairs(spark):
     rows = [(i, f"h{i % 3}.net", f"/p/{i:03}", True, [1, 2, 100 + i, 200 + i], [3, 3, 50, 60]) for i in range(90)]
     light = spark.createDataFrame(rows, "page_id long, host string, path string, open boolean, marks array<long>, sizes array<int>"
