@@ -4,11 +4,12 @@
    path beginning) are tested there too.
 2. A unigram Viterbi splits letter runs such as ``freebetsnow`` into words.  Its
    counts come from a seed list and from the parts of hyphenated names and path
-   words of all urls, counted once per host.
+   words of all urls, counted once per host.  Every word stays, in a Spark table:
+   a run meets the counts of its own substrings in a join.
 3. Multinomial naive Bayes: hosts that the seed words alone decide give token
    counts of both classes, so words that keep company with them are learned.
    Smoothing draws every token towards its share in all hosts; unseen tokens say
-   nothing.
+   nothing.  All tokens count, in a Spark table too, which urls meet in a join.
 """
 
 from __future__ import annotations
@@ -72,8 +73,8 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 class Segmenter:
     """Unigram Viterbi: the split of a letter run into words of highest probability."""
 
-    def __init__(self, counts: dict[str, int], longest: int = 24):
-        self.total = max(1, sum(counts.values()))
+    def __init__(self, counts: dict[str, int], longest: int = 24, total: int | None = None):
+        self.total = max(1, sum(counts.values()) if total is None else total)
         self.cost = {w: -math.log(n / self.total) for w, n in counts.items() if n > 0}
         self.longest = longest
         self.seen: dict[str, list[str]] = {}
@@ -133,52 +134,114 @@ class UrlModel:
         return self.prior + sum(self.log_odds.get(t, 0.0) for t in found)
 
 
-def seed_side(found: set[str]) -> int:
-    """1 where a host has unwanted seed words, no fewer than ordinary ones; else 0."""
-    bad = len(found & set(BLOCK_WORDS))
-    return int(bad > 0 and bad >= len(found & set(ALLOW_WORDS)))
-
+@dataclass
+class UrlTables:
+    """The model as tables: ``words`` (word, n), ``splits`` (run, words) and ``odds`` (token, odds) of all hosts."""
+    words: DataFrame
+    splits: DataFrame
+    odds: DataFrame
+    prior: float
 
-def fit(hosts: DataFrame, vocabulary: int = 20_000, pull: float = 50.0) -> UrlModel:
-    """Model from all ``host, path`` rows; at most ``vocabulary`` words and tokens reach the driver."""
-    seeds = dict.fromkeys(BLOCK_WORDS + ALLOW_WORDS + PLAIN_WORDS, SEED_COUNT)
 
+def word_counts(hosts: DataFrame) -> DataFrame:
+    """``word, n``: hosts that show the word split already, and the seeds' share."""
     def words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = {(h, w) for h, p in zip(b["host"], b["path"], strict=True) for w in plain_words(h, p)}
             yield pd.DataFrame(list(rows), columns=["host", "word"])
 
-    seen = (hosts.mapInPandas(words_of, "host string, word string").distinct().groupBy("word")
-            .agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "word").limit(vocabulary).collect())
-    words = dict(seeds)
-    for r in seen:
-        words[r["word"]] = words.get(r["word"], 0) + r["n"]
+    seeds = hosts.sparkSession.createDataFrame(
+        [(w, SEED_COUNT) for w in dict.fromkeys(BLOCK_WORDS + ALLOW_WORDS + PLAIN_WORDS)], "word string, n long")
+    seen = hosts.mapInPandas(words_of, "host string, word string").distinct().groupBy("word").agg(F.count("*").alias("n"))
+    return seen.unionByName(seeds).groupBy("word").agg(F.sum("n").alias("n"))
 
-    def tokens_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        segmenter = Segmenter(words)
+
+def runs_of(urls: DataFrame) -> DataFrame:
+    """``host, path, at, run, name``: letter runs and numbers of every distinct host and path, in order; ``name``: of the host."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = set()
+            rows = []
             for h, p in zip(b["host"], b["path"], strict=True):
-                name = set(tokens(h, segmenter))
-                side = seed_side(name)
-                rows |= {(h, t, side) for t in name | set(tokens(p, segmenter))}
-            yield pd.DataFrame(list(rows), columns=["host", "token", "side"])
-
-    pairs = cut_lineage(hosts.mapInPandas(tokens_of, "host string, token string, side int").distinct())
-    count = {r["side"]: r["n"] for r in pairs.groupBy("side").agg(F.countDistinct("host").alias("n")).collect()}
-    table = (pairs.groupBy("token").agg(F.sum("side").alias("block"), F.sum(1 - F.col("side")).alias("allow"))
-             .orderBy((F.col("block") + F.col("allow")).desc(), "token").limit(vocabulary).collect())
-    seen_in = {r["token"]: (r["block"], r["allow"]) for r in table}
-    n_block, n_allow = (sum(v[i] for v in seen_in.values()) for i in (0, 1))
-    odds = {}
-    for t in {*seen_in, *BLOCK_WORDS, *ALLOW_WORDS}:
-        b, a = seen_in.get(t, (0, 0))
-        share = max(a + b, 1) / (n_block + n_allow + 1)
-        tilt = BLOCK_TILT if t in BLOCK_WORDS else 1 / ALLOW_TILT if t in ALLOW_WORDS else 1.0
-        odds[t] = (math.log((b + pull * share * max(1.0, tilt)) / (n_block + pull))
-                   - math.log((a + pull * share * max(1.0, 1 / tilt)) / (n_allow + pull)))
+                name, rest = TOKEN.findall(h.lower()), TOKEN.findall(p.lower())
+                rows += [(h, p, i, "#" if t[0].isdigit() else t, i < len(name)) for i, t in enumerate(name + rest)]
+            yield pd.DataFrame(rows, columns=["host", "path", "at", "run", "name"])
+
+    return urls.select("host", "path").distinct().mapInPandas(
+        run, "host string, path string, at int, run string, name boolean")
+
+
+def split_runs(runs: DataFrame, words: DataFrame, longest: int = 24) -> DataFrame:
+    """``run, words`` of every distinct run, by the counts of all its substrings that are words."""
+    total = words.agg(F.sum("n")).first()[0]
+
+    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), 500):
+                rows = {(r, r[i:j]) for r in b["run"][at:at + 500] if r != "#"
+                        for i in range(len(r)) for j in range(i + 1, min(len(r), i + longest) + 1)}
+                yield pd.DataFrame(list(rows), columns=["run", "word"])
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"run": b["run"], "words": [
+                ["#"] if r == "#" else Segmenter({} if w is None else dict(zip(w, n, strict=True)), longest, total).split(r)
+                for r, w, n in zip(b["run"], b["words"], b["n"], strict=True)]})
+
+    distinct = cut_lineage(runs.select("run").distinct())
+    known = (distinct.mapInPandas(pieces, "run string, word string").join(words, "word").groupBy("run")
+             .agg(F.collect_list(F.struct("word", "n")).alias("k")).select("run", "k.word", "k.n"))
+    return distinct.join(known, "run", "left").select("run", F.col("word").alias("words"), "n").mapInPandas(
+        best, "run string, words array<string>")
+
+
+def tables(urls: DataFrame, pull: float = 50.0) -> UrlTables:
+    """Model from all ``host, path`` rows with a host; rows without one are split only.  Four numbers reach the driver."""
+    words = cut_lineage(word_counts(urls.where("host <> ''")))
+    runs = cut_lineage(runs_of(urls))
+    splits = cut_lineage(split_runs(runs, words))
+    found = (runs.where("host <> ''").select("host", "run", "name").distinct().join(splits, "run")
+             .select("host", "name", F.explode("words").alias("token"))
+             .groupBy("host", "token").agg(F.max("name").alias("name")))
+
+    def listed(some: tuple) -> Column:
+        return F.sum((F.col("name") & F.col("token").isin(*some)).cast("int"))
+
+    # 1 where a host has unwanted seed words, no fewer than ordinary ones; else 0
+    found = cut_lineage(found)
+    sides = found.groupBy("host").agg(listed(BLOCK_WORDS).alias("bad"), listed(ALLOW_WORDS).alias("good")).select(
+        "host", ((F.col("bad") > 0) & (F.col("bad") >= F.col("good"))).cast("int").alias("side"))
+    sides = cut_lineage(sides)
+    count = {r["side"]: r["n"] for r in sides.groupBy("side").agg(F.count("*").alias("n")).collect()}
+    table = cut_lineage(found.join(sides, "host").groupBy("token").agg(F.sum("side").alias("block"),
+                                                                       F.sum(1 - F.col("side")).alias("allow")))
+    sums = table.agg(F.coalesce(F.sum("block"), F.lit(0)).alias("b"), F.coalesce(F.sum("allow"), F.lit(0)).alias("a")).first()
+    n_block, n_allow = sums["b"], sums["a"]
+    seeds = urls.sparkSession.createDataFrame([(w, 0, 0) for w in BLOCK_WORDS + ALLOW_WORDS], "token string, block long, allow long")
+    table = table.unionByName(seeds).groupBy("token").agg(F.sum("block").alias("b"), F.sum("allow").alias("a"))
+    tilt = F.when(F.col("token").isin(*BLOCK_WORDS), BLOCK_TILT).when(
+        F.col("token").isin(*ALLOW_WORDS), 1 / ALLOW_TILT).otherwise(1.0)
+    share = F.greatest(F.col("a") + F.col("b"), F.lit(1)) / F.lit(float(n_block + n_allow + 1))
+    odds = (F.log((F.col("b") + pull * share * F.greatest(F.lit(1.0), tilt)) / F.lit(n_block + pull))
+            - F.log((F.col("a") + pull * share * F.greatest(F.lit(1.0), 1 / tilt)) / F.lit(n_allow + pull)))
     prior = math.log((count.get(1, 0) + 1) / (count.get(0, 0) + 9))
-    return UrlModel(words, odds, prior)
+    return UrlTables(words, splits, cut_lineage(table.select("token", odds.alias("odds"))), prior)
+
+
+def fit(hosts: DataFrame) -> UrlModel:
+    """The whole model of ``host, path`` rows in the driver's memory, for tables known to be small."""
+    made = tables(hosts)
+    return UrlModel({r["word"]: r["n"] for r in made.words.collect()},
+                    {r["token"]: r["odds"] for r in made.odds.collect()}, made.prior)
+
+
+def scores(urls: DataFrame, model: UrlTables) -> DataFrame:
+    """``host, path, log_odds`` of every distinct host and path that has a token.  Summed in the url's order."""
+    of_run = (model.splits.select("run", F.posexplode("words").alias("i", "token")).join(model.odds, "token")
+              .groupBy("run").agg(F.array_sort(F.collect_list(F.struct("i", "odds"))).alias("o"))
+              .select("run", F.col("o.odds").alias("odds")))
+    return (runs_of(urls).join(of_run, "run").groupBy("host", "path")
+            .agg(F.flatten(F.array_sort(F.collect_list(F.struct("at", "odds"))).getField("odds")).alias("o"))
+            .select("host", "path", F.aggregate("o", F.lit(0.0), lambda x, y: x + y).alias("log_odds")))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -191,15 +254,10 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """
     host, path = split_url(F.col("url"))
     rows = pages.select(F.col("page_id"), F.col("url"), host.alias("host"), path.alias("path"))
-    model = fit(rows.select("host", "path").where("host <> ''"))
+    model = tables(rows)
     rule, said = rule_columns(F.col("host"), F.col("path"), rules)
 
-    @F.pandas_udf("double")
-    def score(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        segmenter = Segmenter(model.words)
-        for hosts, paths in parts:
-            yield pd.Series([model.score(h, p, segmenter) for h, p in zip(hosts, paths, strict=True)], dtype=float)
-
-    scored = rows.withColumn("score", score("host", "path"))
+    scored = rows.join(scores(rows, model), ["host", "path"], "left").withColumn(
+        "score", F.lit(model.prior) + F.coalesce("log_odds", F.lit(0.0)))
     verdict = F.coalesce(said, F.when(F.col("score") > 0, F.lit("block")).otherwise(F.lit("allow")))
     return scored.select("page_id", "url", "host", "path", rule.alias("rule"), verdict.alias("verdict"), "score")

@@ -47,6 +47,18 @@ def test_model_learns_company(spark):
     assert model.score("zorbcasinobonus.net", "/", seg) > 0 > model.score("dailynews.net", "/", seg)
 
 
+def test_rare_words_count_beside_many_others(spark):
+    letters = "abcdefghij"
+    fill = [f"{a}{b}{c}{d}q" for a in letters for b in letters for c in letters for d in letters] + [
+        f"{a}{b}{c}{d}v" for a in letters for b in letters for c in letters for d in letters] + [
+        f"{a}{b}{c}qv" for a in letters for b in letters for c in letters]
+    rows = [f"http://n{k}.site{i}.net/" + "/".join(fill[i:i + 100]) for i in range(0, len(fill), 100) for k in "abcd"]
+    rows += [f"http://casino-zorb.{k}.net/" for k in "abc"] + ["http:///zorb", "http:///wwxk"]
+    out = urls.judge(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")).toPandas()
+    score = dict(zip(out.url, out.score, strict=True))
+    assert len(fill) > 20_000 and score["http:///zorb"] > score["http:///wwxk"] + 0.5
+
+
 def test_empty_table(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
