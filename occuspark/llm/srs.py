@@ -136,7 +136,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, dimensions: int
     queries or candidates the result is empty.  Other columns are ignored.
     """
     spark = vectors.sparkSession
-    rows = cut_lineage(V.fold_identical(V.clean(vectors, nonzero=True), k + 1))
+    rows = cut_lineage(V.fold_identical(V.clean(vectors, nonzero=True), k))
     sample = next(V.blocks(rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows), sample_rows), {})
     limit = chi_square_quantile(certainty, dimensions)
     found = None

@@ -114,7 +114,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 102
     ``queries`` hold ``vec_id`` and ``embedding``; other columns are ignored.
     """
     spark = vectors.sparkSession
-    exact = cut_lineage(V.fold_identical(integers(vectors, scale), k + 1))
+    exact = cut_lineage(V.fold_identical(integers(vectors, scale), k))
     ranges = cell_ranges(exact)
     cells = cut_lineage(approximate(exact, ranges))
     found = None

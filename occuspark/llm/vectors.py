@@ -21,15 +21,18 @@ def clean(vectors: DataFrame, nonzero: bool = False) -> DataFrame:
     return v.where(F.exists("v", lambda x: x != 0)) if nonzero else v
 
 
-def fold_identical(vectors: DataFrame, keep: int) -> DataFrame:
-    """Of identical vectors only the ``keep`` smallest ids.
+def fold_identical(vectors: DataFrame, k: int) -> DataFrame:
+    """Of identical vectors only the ``2 * k`` first rows by id, of one id at most ``k``.
 
-    A search for ``keep - 1`` neighbours loses nothing: equal vectors score alike
-    and ties go to smaller ids.  The limit works before the shuffle, so a vector
-    that a third of the rows share is cut down where it is read.
+    A search for ``k`` neighbours loses nothing: equal vectors score alike, ties go
+    to smaller ids, and without the rows of any one id (a query's own) ``k`` are
+    left.  The limits work before the shuffle, so a vector that a third of the rows
+    share is cut down where it is read.
     """
-    w = Window.partitionBy("v").orderBy("vec_id")
-    return vectors.withColumn("r", F.row_number().over(w)).where(F.col("r") <= keep).drop("r")
+    for keys, keep in ((["v", "vec_id"], k), (["v"], 2 * k)):
+        w = Window.partitionBy(*keys).orderBy("vec_id")
+        vectors = vectors.withColumn("r", F.row_number().over(w)).where(F.col("r") <= keep).drop("r")
+    return vectors
 
 
 def blocks(queries: DataFrame, rows: int) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray]]]:

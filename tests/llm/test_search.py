@@ -90,6 +90,16 @@ def test_neighbours_reach_recall_with_exact_scores(spark, rows):
     assert hit / total >= 0.9
 
 
+def test_repeated_query_rows_hide_no_equal_vector(spark):
+    rng = np.random.default_rng(6)
+    same = rng.standard_normal(8) + 3.0
+    rows = [(100, same)] * 12 + [(205, same), (207, same)] + [(i, rng.standard_normal(8)) for i in range(300, 340)]
+    df = table(spark, rows)
+    for search in (vafile.search, srs.search):
+        got = search(df, df.where("vec_id = 100")).orderBy("rank").toPandas()
+        assert len(got) == 10 and got.vec_id[:2].tolist() == [205, 207] and got.score[0] == got.score[1]
+
+
 def test_searches_on_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     some = table(spark, [(100, [1.0, 2.0])])
