@@ -88,6 +88,18 @@ def test_groups_far_over_a_bucket(spark):
     assert out.class_id.nunique() == 1 and out.is_representative.sum() == 1
 
 
+def test_isolated_pairs_near_the_threshold_are_found(spark):
+    rng, rows = np.random.default_rng(4), []
+    for i in range(2000):  # pairs of similarity 0.81 that no third text links
+        words = [f"p{i}w{k}" for k in range(100)]
+        other = list(words)
+        a = int(rng.integers(5, 45))
+        other[a], other[a + int(rng.integers(10, 45))] = "x", "y"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    out = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    assert out.is_representative.sum() - 2000 <= 2
+
+
 def test_samples_agree_as_often_as_weighted_jaccard():
     o = neardup.Options(bands=64, rows=4)
     rng = np.random.default_rng(5)
