@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_lineage
@@ -54,6 +54,10 @@ BREAKS_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset"
             "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                "th": {"td", "th"}, "option": {"option"}}
+#: Share of the shorter page's characters in common lines from which two pages are copies.
+COPY = 0.8
+#: Number of host names up to which a list of them is broadcast.
+BROADCAST_HOSTS = 100_000
 
 
 def _marks(attributes: str) -> tuple[set[str], set[str]]:
@@ -214,7 +218,7 @@ def is_copy(own: list[int], own_sizes: list[int], other: list[int], other_sizes:
     return sum(size[m] * n for m, n in both.items()) >= share * min(sum(own_sizes), sum(other_sizes))
 
 
-def template_lines(own: tuple, path: str, others: list[tuple[str, tuple]], copy: float = 0.8) -> list[int]:
+def template_lines(own: tuple, path: str, others: list[tuple[str, tuple]], copy: float = COPY) -> list[int]:
     """Places of lines shared with the nearest page by path that shares some and is not a copy of this one.
 
     Pages are ``(line hashes, line lengths)``; a copy tells nothing about the
@@ -226,7 +230,7 @@ def template_lines(own: tuple, path: str, others: list[tuple[str, tuple]], copy:
     return []
 
 
-def voted_lines(own: tuple, others: list[tuple], support: int = 5, copy: float = 0.8) -> list[int]:
+def voted_lines(own: tuple, others: list[tuple], support: int = 5, copy: float = COPY) -> list[int]:
     """Places of lines that at least ``support`` of the other pages share; copies of this page have no vote."""
     votes: Counter = Counter()
     seen = set(own[0])
@@ -253,15 +257,20 @@ def line_marks(rows: DataFrame) -> DataFrame:
 
 
 def neighbours(light: DataFrame, block: int = 128, reach: int = 3) -> DataFrame:
-    """``page_id, row, template`` (places of template lines) of every page.
-
-    All pages are put in the order (host, path, id) and cut into blocks; a block
-    also holds the ``2 * reach`` pages before and after it, so no window spans a
-    host and the result does not depend on how Spark cut its partitions.  An open
-    page looks ``reach`` pages back and ahead, another asks the ``2 * reach`` nearest.
+    """``page_id, row, template`` (places of template lines) of every page that has some.
+
+    Pages of a host with the same lines are folded: the first by path stands for
+    all.  What is left is put in the order (host, path, id) and cut into blocks; a
+    block also holds the ``2 * reach`` pages before and after it, so no window spans
+    a host and the result does not depend on how Spark cut its partitions.  An open
+    page looks ``reach`` pages back and ahead, another asks the ``2 * reach``
+    nearest.  Pages that find copies only search on (see ``farther``).
     """
-    order = ["host", "path", "page_id", "row"]
-    placed = cut_lineage(light.dropDuplicates(["page_id", "row"]).repartitionByRange(*order)
+    light = light.withColumn("key", F.struct(F.xxhash64("marks").alias("a"), F.xxhash64(F.lit(1), "marks").alias("b")))
+    same, order = ["host", "open", "key"], ["host", "path", "page_id", "row"]
+    folded = light.groupBy(*same).agg(F.min(F.struct("path", "page_id", "row")).alias("lead"), F.first("marks").alias("marks"),
+                                      F.first("sizes").alias("sizes")).select("lead.*", "marks", "sizes", *same)
+    placed = cut_lineage(folded.repartitionByRange(*order)
                          .sortWithinPartitions(*order).withColumn("m", F.monotonically_increasing_id()))
     part = F.shiftright("m", 33)
     sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
@@ -271,12 +280,11 @@ def neighbours(light: DataFrame, block: int = 128, reach: int = 3) -> DataFrame:
         n += sizes[p]
     start = light.sparkSession.createDataFrame(first, "p long, start long")
     at = placed.withColumn("p", part.cast("long")).join(F.broadcast(start), "p").select(
-        "*", (F.col("start") + F.col("m") - F.shiftleft("p", 33)).alias("at"))
-    here = F.floor(F.col("at") / block)
-    blocks = F.array_distinct(F.array(F.floor((F.col("at") - 2 * reach) / block), here,
+        *same, "path", "marks", "sizes", (F.col("start") + F.col("m") - F.shiftleft("p", 33)).alias("at"))
+    at = at.withColumn("home", F.floor(F.col("at") / block))
+    blocks = F.array_distinct(F.array(F.floor((F.col("at") - 2 * reach) / block), F.col("home"),
                                       F.floor((F.col("at") + 2 * reach) / block)))
-    spread = at.select("page_id", "row", "host", "path", "open", "marks", "sizes", "at", here.alias("home"),
-                       F.explode(blocks).alias("block"))
+    spread = at.drop("key").withColumn("block", F.explode(blocks))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("at").reset_index(drop=True)
@@ -286,14 +294,86 @@ def neighbours(light: DataFrame, block: int = 128, reach: int = 3) -> DataFrame:
         for i in np.flatnonzero(rows["home"] == rows["block"]):
             near = [j for k in range(1, 2 * reach + 1) for j in (i - k, i + k)
                     if 0 <= j < len(rows) and host[j] == host[i]]
-            gone = (template_lines(marks[i], path[i], [(path[j], marks[j]) for j in near if abs(j - i) <= reach])
-                    if rows["open"][i] else voted_lines(marks[i], [marks[j] for j in near[:2 * reach]]))
-            out.append((rows["page_id"][i], rows["row"][i], gone))
-        made = pd.DataFrame(out, columns=["page_id", "row", "template"])
-        made["page_id"] = made["page_id"].astype("Int64")
+            if rows["open"][i]:
+                gone = template_lines(marks[i], path[i], [(path[j], marks[j]) for j in near if abs(j - i) <= reach])
+                alone = not gone
+            else:
+                asked = [marks[j] for j in near[:2 * reach]]
+                gone, alone = voted_lines(marks[i], asked), any(is_copy(*marks[i], *m, COPY) for m in asked)
+            whole = (host[i], path[i], *marks[i], rows["home"][i]) if alone and near else (None,) * 5
+            out.append((rows["at"][i], gone, alone and bool(near), rows["open"][i], *whole))
+        made = pd.DataFrame(out, columns=["at", "template", "alone", "open", "host", "path", "marks", "sizes", "home"])
+        made["home"] = made["home"].astype("Int64")
         return made
 
-    return spread.groupBy("block").applyInPandas(run, "page_id long, row long, template array<int>")
+    near = cut_lineage(spread.groupBy("block").applyInPandas(
+        run, "at long, template array<int>, alone boolean, open boolean, host string, path string, marks array<long>, "
+             "sizes array<int>, home long"))
+    more = farther(at.drop("key"), near.where("alone").drop("template", "alone"), 2 * reach)
+    found = near.select("at", "template").join(more, "at", "left").select(
+        "at", F.coalesce("better", "template").alias("template")).where(F.size("template") > 0)
+    return (light.select("page_id", "row", *same).join(at.join(found, "at").select(*same, "template"), same)
+            .select("page_id", "row", "template").dropDuplicates(["page_id", "row"]))
+
+
+def farther(at: DataFrame, seekers: DataFrame, voters: int, support: int = 5) -> DataFrame:
+    """``at, better`` (places of template lines) of pages whose nearest pages are copies of them.
+
+    Rounds meet blocks ever farther away, until an open page has a partner, any
+    other has ``voters`` pages to ask, or the host ends.  A pair of blocks is one
+    task's work.  Pages without a line that enough others of the host have stay out.
+    """
+    hosts = cut_lineage(seekers.select("host").distinct())
+    if hosts.count() <= BROADCAST_HOSTS:  # proven small: the other hosts' pages need not be shuffled
+        hosts = F.broadcast(hosts)
+    at = at.join(hosts, "host", "left_semi")
+    lines_of = at.select("host", F.explode(F.array_distinct("marks")).alias("mark"))
+    known = lines_of.groupBy("host", "mark").agg(F.count("*").alias("n")).where("n > 1")
+    able = (seekers.select("at", "open", "host", F.explode("marks").alias("mark")).join(known, ["host", "mark"])
+            .where(F.col("open") | (F.col("n") > support)).select("at").distinct())
+    left = cut_lineage(seekers.join(able, "at", "left_semi"))
+    ends = at.groupBy("host").agg(F.min("home").alias("low"), F.max("home").alias("high"))
+
+    def look(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        pages = [(a, p, list(m), list(s)) for a, p, m, s in
+                 zip(others["at"], others["path"], others["marks"], others["sizes"], strict=True) if len(m)]
+        out = []
+        for a, path, open_, marks, sizes in zip(own["at"], own["path"], own["open"], own["marks"], own["sizes"], strict=True):
+            marks, sizes, seen = list(marks), list(sizes), set(marks)
+            near = [(-shared_path(path, q) if open_ else 0, abs(a - b), b, m, s) for b, q, m, s in pages
+                    if b != a and not (open_ and seen.isdisjoint(m))]
+            kept = 0
+            for score, far, b, m, s in sorted(near, key=lambda x: x[:3]):
+                if not is_copy(marks, sizes, m, s, COPY):
+                    out.append((a, open_, -score, far, b, common_subsequence(marks, m)))
+                    kept += 1
+                    if kept == (1 if open_ else voters):
+                        break
+        return pd.DataFrame(out, columns=["at", "open", "score", "far", "other", "shared"])
+
+    found, inner, outer = None, -1, 1
+    while found is None or not left.isEmpty():
+        ring = left.join(ends, "host").withColumn("block", F.explode(F.filter(
+            F.sequence(F.greatest("low", F.col("home") - outer), F.least("high", F.col("home") + outer)),
+            lambda b: F.abs(b - F.col("home")) > inner)))
+        meets = ring.select("host", F.col("home").alias("seeker"), "block").distinct()
+        others = at.withColumnRenamed("home", "block").join(meets, ["host", "block"])
+        keys = ["host", "seeker", "block"]
+        own = ring.withColumnRenamed("home", "seeker")
+        own, others = own.toDF(*own.columns), others.toDF(*others.columns)  # else both sides have the same columns
+        part = cut_lineage(own.groupBy(*keys).cogroup(others.groupBy(*keys)).applyInPandas(
+            look, "at long, open boolean, score int, far long, other long, shared array<int>"))
+        found = part if found is None else found.unionByName(part)
+        done = found.groupBy("at", "open").agg(F.count("*").alias("n")).where(F.col("open") | (F.col("n") >= voters))
+        left = cut_lineage(left.join(ends, "host").where((F.col("home") - outer > F.col("low")) | (F.col("home") + outer < F.col("high")))
+                           .drop("low", "high").join(done, "at", "left_anti"))
+        inner, outer = outer, 4 * outer
+    one = found.where("open").groupBy("at").agg(F.max_by("shared", F.struct("score", -F.col("far"), -F.col("other"))).alias("better"))
+    w = Window.partitionBy("at").orderBy("far", "other")
+    votes = (found.where("not open").withColumn("r", F.row_number().over(w)).where(F.col("r") <= voters)
+             .select("at", F.explode("shared").alias("place")).groupBy("at", "place").agg(F.count("*").alias("n"))
+             .where(F.col("n") >= support).groupBy("at").agg(F.sort_array(F.collect_list("place")).alias("better")))
+    return one.unionByName(votes)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -152,6 +152,24 @@ def test_template_lines_go_inside_named_articles(spark):
     assert got[100] == "Read this on our site Story 0 tells."  # two pages are no majority
 
 
+def test_pages_among_copies_search_on(spark):
+    long = "the same long story that every one of these copies tells " * 3
+    rows = [(i, f"http://h.net/a/{i:04}", f"<div>Welcome all</div><p>{long}</p><p>No {i}</p>") for i in range(300)]
+    rows += [(1000 + i, f"http://h.net/z/{i}", f"<div>Welcome all</div><p>Another story {i} is here.</p>") for i in range(3)]
+    site = "<article><p>Read this on our site</p>{}</article>"
+    rows += [(2000 + i, f"http://g.net/a/{i:02}", site.format(f"<p>{long}</p><p>No {i}</p>")) for i in range(15)]
+    rows += [(3000 + i, f"http://g.net/z/{i}", site.format(f"<p>Another story {i} is here.</p>")) for i in range(8)]
+    rows += [(4000 + i, f"http://e.net/a/{i:02}", f"<div>Welcome all</div><p>{long}</p>") for i in range(9)]
+    rows += [(4100, "http://e.net/z", "<div>Welcome all</div><p>Another story is here.</p>")]
+    out = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).toPandas()
+    got = dict(zip(out.page_id, out.text, strict=True))
+    for i in range(300):
+        assert got[i] == f"{long.strip()} No {i}"
+    for i in range(15):
+        assert got[2000 + i] == f"{long.strip()} No {i}"
+    assert {got[4000 + i] for i in range(9)} == {long.strip()} and got[4100] == "Another story is here."
+
+
 def test_blocks_do_not_change_the_pairs(spark):
     rows = [(i, f"h{i % 3}.net", f"/p/{i:03}", True, [1, 2, 100 + i, 200 + i], [3, 3, 50, 60]) for i in range(90)]
     light = spark.createDataFrame(rows, "page_id long, host string, path string, open boolean, marks array<long>, sizes array<int>"
