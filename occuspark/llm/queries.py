@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import mixing, neardup, packing, pages, quality, srs, tokens, toxicity, urls, vafile
+from . import merkle, mixing, neardup, packing, pages, quality, srs, tokens, toxicity, urls, vafile
 from .common import held_out, read
 
 
@@ -63,9 +63,13 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(merkle.manifest(read(spark, sf_dir, "documents"), merkle.id_hit(7)))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_va_file, op3_rule_quality, op4_url_segments, op5_weighted_minhash, op6_mixing, op7_page_differences, op8_stable_projections, op9_token_attribution,
-    op10_pattern_packing)}
+    op10_pattern_packing, op11_merkle_manifest)}
 #: Integer scores and id ties are exact in SQL.
 ORACLES = {
     "op2_va_file": """
@@ -81,5 +85,65 @@ s AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 10
+""",
+    # crc32 is spelled out bit by bit (polynomial 0xEDB88320); nodes are made level by level
+    "op11_merkle_manifest": """
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang, n_chars, doc_id::VARCHAR AS i, text AS t,
+         coalesce(strlen(doc_id::VARCHAR)::VARCHAR || ':' || doc_id::VARCHAR, '-')
+         || coalesce(strlen(source)::VARCHAR || ':' || source, '-')
+         || coalesce(strlen(lang)::VARCHAR || ':' || lang, '-') AS head,
+         coalesce(strlen(n_chars::VARCHAR)::VARCHAR || ':' || n_chars::VARCHAR, '-') AS c,
+         coalesce(strlen((n_chars + 1)::VARCHAR)::VARCHAR || ':' || (n_chars + 1)::VARCHAR, '-') AS c1,
+         coalesce(strlen(text)::VARCHAR || ':' || text, '-') AS tail
+  FROM documents),
+crc AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(i, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295) % 7 = 0 AS hit FROM f),
+base AS (
+  SELECT doc_id, lang, sha256(head || c || tail) AS leaf,
+         CASE WHEN hit THEN sha256(head || c1 || tail) ELSE sha256(head || c || tail) END AS changed FROM crc),
+langs AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM (SELECT DISTINCT lang FROM base)),
+placed AS (
+  SELECT b.*, l.g, row_number() OVER (PARTITION BY l.g ORDER BY b.doc_id NULLS FIRST, b.leaf) - 1 AS pos,
+         row_number() OVER () AS k
+  FROM base b JOIN langs l ON b.lang IS NOT DISTINCT FROM l.lang),
+nodes AS (
+  SELECT g, 0 AS height, pos, leaf AS h FROM placed
+  UNION ALL
+  SELECT g, height + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY g) AS c FROM nodes) WHERE c > 1 GROUP BY g, height, pos // 2),
+subroots AS (SELECT g, max(height) AS top, arg_max(h, height) AS subroot FROM nodes GROUP BY g),
+above AS (
+  SELECT 0 AS height, g AS pos, subroot AS h FROM subroots
+  UNION ALL
+  SELECT height + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS c FROM above) WHERE c > 1 GROUP BY height, pos // 2),
+root AS (SELECT max(height) AS top, arg_max(h, height) AS root FROM above),
+folded AS (
+  SELECT p.k, p.g, p.pos, 0 AS height, s.top, p.changed AS h FROM placed p JOIN subroots s USING (g)
+  UNION ALL
+  SELECT f.k, f.g, f.pos // 2, f.height + 1, f.top,
+         CASE WHEN n.h IS NULL THEN sha256(f.h) WHEN f.pos % 2 = 0 THEN sha256(f.h || n.h) ELSE sha256(n.h || f.h) END
+  FROM folded f LEFT JOIN nodes n ON n.g = f.g AND n.height = f.height AND n.pos = xor(f.pos, 1)
+  WHERE f.height < f.top),
+folded_sub AS (SELECT k, g, arg_max(h, height) AS h FROM folded GROUP BY k, g),
+lifted AS (
+  SELECT k, g AS pos, 0 AS height, h FROM folded_sub
+  UNION ALL
+  SELECT f.k, f.pos // 2, f.height + 1,
+         CASE WHEN n.h IS NULL THEN sha256(f.h) WHEN f.pos % 2 = 0 THEN sha256(f.h || n.h) ELSE sha256(n.h || f.h) END
+  FROM lifted f LEFT JOIN above n ON n.height = f.height AND n.pos = xor(f.pos, 1)
+  WHERE f.height < (SELECT top FROM root)),
+folded_all AS (SELECT k, arg_max(h, height) AS folded_root FROM lifted GROUP BY k),
+siblings AS (
+  SELECT p.k, n.height, n.h FROM placed p JOIN nodes n ON n.g = p.g AND n.pos = xor(p.pos >> n.height, 1)
+  UNION ALL
+  SELECT p.k, 1000 + n.height, n.h FROM placed p JOIN above n ON n.pos = xor(p.g >> n.height, 1)),
+proofs AS (SELECT k, sha256(string_agg(h, '' ORDER BY height)) AS proof_sha256 FROM siblings GROUP BY k)
+SELECT p.doc_id, p.leaf, s.subroot, r.root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256, a.folded_root,
+       a.folded_root = r.root AS verified
+FROM placed p JOIN subroots s USING (g) JOIN folded_all a USING (k) LEFT JOIN proofs q USING (k), root r
 """,
 }
