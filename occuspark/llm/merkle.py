@@ -5,9 +5,9 @@ range, then prefix sums; no window holds a group).  Positions cut a group into a
 blocks.  A block is one streaming append: a stack of open subtrees, each with the partial
 witnesses of its leaves; whenever a later sibling of the same height completes, both
 subtrees become one and every witness under them gets one more step.  The roots of the
-blocks are themselves appended in the next round, and their witnesses extend those of the
-leaves under them, until each group has one root.  The groups' roots then form a last tree
-in the same way.
+blocks are themselves appended in the next round, until each group has one root, and their
+witnesses extend those of the leaves under them.  The groups' roots form a last tree in the
+same way.
 
 A witness is an array of steps ``(side, digest)`` from leaf to root: side 0 has the sibling
 on the left, 1 on the right, 2 has none (the node alone becomes its own hash).
@@ -108,69 +108,87 @@ class AppendStream:
         return out
 
 
-def numbered(rows: DataFrame, group: str, order: list[Column]) -> DataFrame:
-    """``pos`` (from 0) and ``size`` of each row inside its group, in the given order.
+def laid_out(rows: DataFrame, group: str, order: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """Rows in order inside ranges, and for each range how its rows' places follow from ``_at``.
 
-    One range shuffle; equal rows stand in any order.  Every range of rows then adds the
-    count of its group's rows in the ranges before it.
+    One range shuffle; equal rows stand in any order.  The second frame has at most one row
+    for each range and group: ``_g, _r, _shift, size`` (``_at + _shift`` is the position in
+    the group, from 0; ``size`` is the group's).
     """
-    spark = rows.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     key = [F.col(group).asc_nulls_first(), *order]
     laid = cut_lineage(rows.repartitionByRange(parts, *key).sortWithinPartitions(*key)
                        .withColumn("_at", F.monotonically_increasing_id()))
     laid = laid.withColumn("_range", F.shiftright("_at", 33))
     ranges = laid.groupBy(group, "_range").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
-    w = Window.partitionBy(group).orderBy("_range")  # at most one row for each range of the shuffle
-    ranges = ranges.select(F.col(group).alias("_g"), F.col("_range").alias("_r"),
-                           (F.sum("_n").over(w) - F.col("_n") - F.col("_first")).alias("_shift"),
-                           F.sum("_n").over(Window.partitionBy(group)).alias("size"))
+    w = Window.partitionBy(group).orderBy("_range")
+    return laid, ranges.select(F.col(group).alias("_g"), F.col("_range").alias("_r"),
+                               (F.sum("_n").over(w) - F.col("_n") - F.col("_first")).alias("_shift"),
+                               F.sum("_n").over(Window.partitionBy(group)).alias("size"))
+
+
+def numbered(laid: DataFrame, ranges: DataFrame, group: str) -> DataFrame:
+    """``laid_out`` rows with ``pos`` and what else ``ranges`` says of their group."""
     return (laid.join(ranges, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
             .withColumn("pos", F.col("_at") + F.col("_shift")).drop("_at", "_range", "_g", "_r", "_shift"))
 
 
-def appended(nodes: DataFrame, block_bits: int) -> DataFrame:
-    """Append every block of ``g, pos, size, digest`` nodes: ``g, pos, block, size, steps, top``.
+def streamed(frame: pd.DataFrame, column: str, block_bits: int) -> tuple[pd.DataFrame, AppendStream, str]:
+    """A block's rows in order, their stream, and its root: raised to full height if its group has more blocks."""
+    frame = frame.sort_values("pos")
+    tree = AppendStream()
+    for digest in frame[column]:
+        tree.append(digest)
+    return frame, tree, tree.close(block_bits if frame["size"].iloc[0] > 1 << block_bits else None)
+
+
+def block_roots(nodes: DataFrame, column: str, block_bits: int) -> DataFrame:
+    """The root of every block of ``g, pos, size`` nodes, as nodes of the next round with ``digest``."""
+    def top(frame: pd.DataFrame) -> pd.DataFrame:
+        frame, _, root = streamed(frame, column, block_bits)
+        g, pos, size = (int(frame[c].iloc[0]) for c in ("g", "pos", "size"))
+        return pd.DataFrame([(g, pos >> block_bits, (size - 1 >> block_bits) + 1, root)],
+                            columns=["g", "pos", "size", "digest"])
+
+    return (nodes.select("g", "pos", "size", column).groupBy("g", F.shiftright("pos", block_bits))
+            .applyInPandas(top, "g long, pos long, size long, digest string"))
 
-    ``top`` is the block's root.  A group of several blocks raises the last one to full height.
+
+def witnessed(nodes: DataFrame, column: str, above: DataFrame, block_bits: int) -> DataFrame:
+    """Every node with ``steps``: its witness in its block's stream, extended by that of the block root.
+
+    ``above`` has a block's ``g, block``, its root's witness ``more`` and any other columns,
+    which the nodes get too.
     """
-    def stream(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("pos")
-        tree = AppendStream()
-        for digest in frame["digest"]:
-            tree.append(digest)
-        top = tree.close(block_bits if frame["size"].iloc[0] > 1 << block_bits else None)
-        return pd.DataFrame({"g": frame["g"].to_numpy(), "pos": frame["pos"].to_numpy(),
-                             "block": frame["pos"].to_numpy() >> block_bits, "size": frame["size"].to_numpy(),
-                             "steps": tree.steps(), "top": top})
+    fields = [*nodes.drop("size").schema.fields, *above.drop("g", "block", "more").schema.fields]
+    given = [f.name for f in above.schema.fields if f.name not in ("g", "block", "more")]
 
-    made = nodes.select("g", "pos", "size", "digest", F.shiftright("pos", block_bits).alias("block"))
-    return made.groupBy("g", "block").applyInPandas(
-        stream, f"g long, pos long, block long, size long, steps {STEPS}, top string")
+    def extend(frame: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        frame, tree, _ = streamed(frame, column, block_bits)
+        more = [s if isinstance(s, dict) else s.asDict() for s in block["more"].iloc[0]]
+        return frame.drop(columns="size").assign(steps=[own + more for own in tree.steps()],
+                                                 **{c: block[c].iloc[0] for c in given})
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    return (nodes.groupBy("g", F.shiftright("pos", block_bits).alias("_block"))
+            .cogroup(above.groupBy("g", "block")).applyInPandas(extend, f"{schema}, steps {STEPS}"))
 
 
 def grow(nodes: DataFrame, block_bits: int = BLOCK_BITS) -> tuple[DataFrame, DataFrame]:
-    """Witnesses and roots of every group of ``g, pos, size, digest`` nodes.
+    """Witnesses and roots of every group of ``g, pos, size, digest`` nodes: ``g, pos, steps`` and ``g, root``.
 
-    Returns ``g, pos, steps`` and ``g, root``.  Each round appends the block roots of the
-    round before; the rounds are the height of the tree over ``block_bits``.
+    Block roots are appended in the next round, until each group has one; the number of
+    rounds is the height of the largest tree over ``block_bits``.
     """
-    rounds = []
-    while True:
-        made = cut_lineage(appended(nodes, block_bits))
-        rounds.append(made)
-        tops = made.where(F.col("pos") == F.shiftleft("block", block_bits))  # the first node of each block
-        if tops.agg(F.max("block")).head()[0] in (0, None):
-            break
-        nodes = tops.select("g", F.col("block").alias("pos"), F.col("top").alias("digest"),
-                            (F.floor((F.col("size") - 1) / (1 << block_bits)) + 1).alias("size"))
-    roots = tops.select("g", F.col("top").alias("root"))
-    above = rounds.pop().select("g", "pos", "steps")
+    rounds = [nodes]
+    while (rounds[-1].agg(F.max("size")).head()[0] or 0) > 1:
+        rounds.append(cut_lineage(block_roots(rounds[-1], "digest", block_bits)))
+    top = rounds.pop()
+    steps = top.select("g", "pos", F.array().cast(STEPS).alias("steps"))
     while rounds:
-        upper = above.select("g", F.col("pos").alias("block"), F.col("steps").alias("_more"))
-        above = (rounds.pop().join(upper, ["g", "block"])
-                 .select("g", "pos", F.concat("steps", "_more").alias("steps")))
-    return above, roots
+        above = steps.select("g", F.col("pos").alias("block"), F.col("steps").alias("more"))
+        steps = cut_lineage(witnessed(rounds.pop(), "digest", above, block_bits).select("g", "pos", "steps"))
+    return steps, top.select("g", F.col("digest").alias("root"))
 
 
 def manifest(docs: DataFrame, tampered: Column | None = None, block_bits: int = BLOCK_BITS) -> DataFrame:
@@ -181,30 +199,36 @@ def manifest(docs: DataFrame, tampered: Column | None = None, block_bits: int =
     repeated rows are leaves of their own.  A lang of one leaf has that leaf as its root;
     an empty table gives an empty result.  Extra columns are ignored.  ``changed`` is the
     leaf with 1 added to ``n_chars`` where ``tampered`` holds (it plays no part in the tree).
+
+    Texts are read once, by the leaf hash; from then on rows have some 200 bytes.  A block's
+    leaves are streamed twice: for its root, and for the witnesses once its root has its own.
     """
     names = ["doc_id", "source", "lang", "n_chars", "text"]
     tampered = F.lit(False) if tampered is None else tampered
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-                       F.col("n_chars").cast("long").alias("n_chars"), F.col("source").cast("string").alias("source"),
                        leaf_hash(*[F.col(c) for c in names]).alias("leaf"),
                        F.when(tampered, leaf_hash(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in names]))
                        .alias("changed"))
-    placed = numbered(base, "lang", [F.col("doc_id").asc_nulls_first(), F.col("leaf")])
+    laid, ranges = laid_out(base, "lang", [F.col("doc_id").asc_nulls_first(), F.col("leaf")])
+    laid = laid.withColumn("doc_id", F.col("doc_id").cast("string"))  # pandas has no null among whole numbers
+    ranges = cut_lineage(ranges)
     # the groups in order: one row a lang, numbered like the leaves
-    langs = numbered(placed.where(F.col("pos") == 0).select("lang", F.lit(0).cast("long").alias("_all")),
-                     "_all", [F.col("lang").asc_nulls_first()])
+    langs = numbered(*laid_out(ranges.select(F.col("_g").alias("lang"), F.lit(0).cast("long").alias("_all")).distinct(),
+                               "_all", [F.col("lang").asc_nulls_first()]), "_all")
     langs = cut_lineage(langs.select(F.col("lang").alias("_l"), F.col("pos").alias("g"), F.col("size").alias("_langs")))
-    placed = cut_lineage(placed.join(langs, F.col("lang").eqNullSafe(F.col("_l"))).drop("_l"))
-    steps, subroots = grow(placed.select("g", "pos", "size", F.col("leaf").alias("digest")), block_bits)
+    places = ranges.join(langs.select("_l", "g"), F.col("_g").eqNullSafe(F.col("_l"))).drop("_l")
+    placed = cut_lineage(numbered(laid, places, "lang"))
+    blocks, subroots = grow(cut_lineage(block_roots(placed, "leaf", block_bits)), block_bits)
     subroots = cut_lineage(subroots)
     top = subroots.join(langs.select("g", "_langs"), "g").select(
         F.lit(0).cast("long").alias("g"), F.col("g").alias("pos"), F.col("_langs").alias("size"),
         F.col("root").alias("digest"))
-    top_steps, root = grow(top, block_bits)
+    top_steps, root = grow(cut_lineage(top), block_bits)
     top_steps = top_steps.join(root, "g").select(F.col("pos").alias("g"), F.col("steps").alias("_top"), "root")
-    of_lang = subroots.withColumnRenamed("root", "subroot").join(top_steps, "g")
-    return (placed.join(steps, ["g", "pos"]).join(of_lang, "g")
-            .select("doc_id", "lang", "pos", "leaf", "changed", F.concat("steps", "_top").alias("steps"), "subroot",
+    above = (blocks.join(subroots.withColumnRenamed("root", "subroot").join(top_steps, "g"), "g")
+             .select("g", F.col("pos").alias("block"), F.concat("steps", "_top").alias("more"), "subroot", "root"))
+    return (witnessed(placed, "leaf", cut_lineage(above), block_bits)
+            .select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "pos", "leaf", "changed", "steps", "subroot",
                     "root"))
 
 

@@ -60,7 +60,7 @@ def rows_of(n):
             for i in range(n)]
     return rows + [(3, None, "en", None, None, "x", None, None), (3, "", "en", None, None, None, None, None),
                    (None, "a", "en", "s", 4, None, None, None), (None, "a", "en", "s", 4, None, None, None),
-                   (7, "w " * 60_000, "solo", "s", None, None, None, None)]
+                   (7, "w " * 60_000, "solo", "s", None, None, None, None), (2**60 + 1, "big", "en", "s", 9, None, None, None)]
 
 
 @pytest.mark.parametrize("bits", [1, 2, 12])
