@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import merkle, mixing, neardup, packing, pages, quality, srs, tokens, toxicity, urls, vafile
+from . import hmm, merkle, mixing, neardup, packing, pages, phrases, quality, srs, tokens, toxicity, urls, vafile
 from .common import held_out, read
 
 
@@ -67,9 +67,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(merkle.manifest(read(spark, sf_dir, "documents"), merkle.id_hit(7)))
 
 
+def op12_setm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(read(spark, sf_dir, "documents"), held_out(10, 0))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_va_file, op3_rule_quality, op4_url_segments, op5_weighted_minhash, op6_mixing, op7_page_differences, op8_stable_projections, op9_token_attribution,
-    op10_pattern_packing, op11_merkle_manifest)}
+    op10_pattern_packing, op11_merkle_manifest, op12_setm_phrases, op13_hidden_markov)}
 #: Integer scores and id ties are exact in SQL.
 ORACLES = {
     "op2_va_file": """
@@ -145,5 +153,39 @@ proofs AS (SELECT k, sha256(string_agg(h, '' ORDER BY height)) AS proof_sha256 F
 SELECT p.doc_id, p.leaf, s.subroot, r.root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256, a.folded_root,
        a.folded_root = r.root AS verified
 FROM placed p JOIN subroots s USING (g) JOIN folded_all a USING (k) LEFT JOIN proofs q USING (k), root r
+""",
+    "op12_setm_phrases": """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, 1 AS k, unnest(ws) AS phrase FROM w
+    UNION ALL
+    SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM w
+    UNION ALL
+    SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))
+    FROM w) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND f >= 10),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+scored AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.cut, h.f AS l, t.f AS r,
+         CAST((1000000::HUGEINT * c.f * c.f) // (h.f::HUGEINT * t.f) AS BIGINT) AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = array_to_string(c.ws[:c.cut], ' ')
+  JOIN f t ON t.lang = c.lang AND t.phrase = array_to_string(c.ws[c.cut + 1:], ' ')),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, f, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS phrase FROM c WHERE k = 3) GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN longer x ON x.lang = b.lang AND x.phrase = b.phrase
+  WHERE x.f IS NULL OR 100 * x.f < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
 """,
 }
