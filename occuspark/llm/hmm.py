@@ -318,7 +318,7 @@ def renumbered(tokens: np.ndarray, local: np.ndarray) -> np.ndarray:
     return table[tokens]
 
 
-def train(docs: DataFrame, held_out: Column, states: int = 8, rounds: int = 2, prior: float = 0.002, seed: int = 7,
+def train(docs: DataFrame, held_out: Column, states: int = 8, rounds: int = 3, prior: float = 0.01, seed: int = 7,
           sample_rows: int = 2000, sample_words: int = 300_000, sample_rounds: int = 30,
           chunk_words: int = CHUNK_WORDS) -> Trained:
     """Fit the model on all texts that are not held out.
