@@ -34,18 +34,19 @@ CHUNK_WORDS = 2_000_000
 SLICE_BYTES = 4 << 20
 
 RELATION = "chunk long, lang string, n long, steps binary, groups binary"
-BLOCKS = RELATION + ", shard int, first long, lefts binary, rights binary, counts binary"
+BLOCKS = RELATION + ", shard int, first long, size int, lefts binary, rights binary, counts binary"
 COUNTED = ("chunk long, locals array<int>, gids array<long>, lefts array<long>, rights array<long>, "
            "counts array<long>")
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Little-endian 32-bit integers, compressed."""
-    return pa.Codec("zstd").compress(np.ascontiguousarray(values, "<i4").tobytes(), asbytes=True)
+def packed(values: np.ndarray, kind: str = "<i4") -> bytes:
+    """Little-endian integers, compressed."""
+    return pa.Codec("zstd").compress(np.ascontiguousarray(values, kind).tobytes(), asbytes=True)
 
 
-def unpacked(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(pa.Codec("zstd").decompress(data, 4 * n, asbytes=True), "<i4") if n else np.zeros(0, "<i4")
+def unpacked(data: bytes, n: int, kind: str = "<i4") -> np.ndarray:
+    size = np.dtype(kind).itemsize * int(n)
+    return np.frombuffer(pa.Codec("zstd").decompress(data, size, asbytes=True), kind) if n else np.zeros(0, kind)
 
 
 class LocalWords:
@@ -133,6 +134,8 @@ def extended(relation: DataFrame, frequent: DataFrame, shards: int) -> DataFrame
         row = mine.iloc[0]
         local, gid = (np.concatenate([np.atleast_1d(x) for x in known[c]]).astype(np.int64) if known[c].dtype == object
                       else known[c].to_numpy(np.int64) for c in ("local", "gid"))
+        order = np.argsort(gid)  # so that a shard's keys ascend, and pack well
+        local, gid = local[order], gid[order]
         at, groups = np.cumsum(unpacked(row["steps"], row["n"]), dtype=np.int64), unpacked(row["groups"], row["n"])
         table = np.full(max(int(groups.max()), int(local.max())) + 1, -1, np.int64)
         table[local] = np.arange(len(local))
@@ -149,13 +152,13 @@ def extended(relation: DataFrame, frequent: DataFrame, shards: int) -> DataFrame
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         base = (row["chunk"], row["lang"])
-        out = [(*base, len(hit), packed(np.diff(at[hit], prepend=0)), packed(rank[where]), None, None, None, None, None)]
+        out = [(*base, len(hit), packed(np.diff(at[hit], prepend=0)), packed(rank[where]), *[None] * 6)]
         cuts = np.flatnonzero(np.diff(shard[order], prepend=-1, append=shards))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             part = order[a:b]
-            out.append((*base, None, None, None, int(shard[part[0]]), a, left[part].astype("<i8").tobytes(),
-                        right[part].astype("<i8").tobytes(), counts[part].astype("<i8").tobytes()))
-        return pd.DataFrame(out, columns=columns).astype({"n": "Int64", "shard": "Int32", "first": "Int64"})
+            out.append((*base, None, None, None, int(shard[part[0]]), a, b - a, packed(np.diff(left[part], prepend=0), "<i8"),
+                        packed(right[part], "<i8"), packed(counts[part])))
+        return pd.DataFrame(out, columns=columns).astype({"n": "Int64", "shard": "Int32", "first": "Int64", "size": "Int32"})
 
     frequent = frequent.withColumnRenamed("chunk", "of_chunk")
     return relation.groupBy("chunk").cogroup(frequent.groupBy("of_chunk")).applyInPandas(join, BLOCKS)
@@ -171,7 +174,10 @@ def counted(blocks: DataFrame, least: int) -> DataFrame:
     names = [c.split()[0] for c in COUNTED.split(", ")]
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
-        left, right, n = (np.frombuffer(b"".join(frame[c]), "<i8") for c in ("lefts", "rights", "counts"))
+        size = frame["size"].tolist()
+        left = np.concatenate([np.cumsum(unpacked(d, m, "<i8")) for d, m in zip(frame["lefts"], size, strict=True)])
+        right = np.concatenate([unpacked(d, m, "<i8") for d, m in zip(frame["rights"], size, strict=True)])
+        n = np.concatenate([unpacked(d, m) for d, m in zip(frame["counts"], size, strict=True)]).astype(np.int64)
         order = np.lexsort((right, left))
         left, right, n = left[order], right[order], n[order]
         first = np.flatnonzero(np.r_[True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])])
@@ -185,15 +191,15 @@ def counted(blocks: DataFrame, least: int) -> DataFrame:
         empty = np.zeros(0, np.int64)
         rows = [(None, empty, gid[often], left[first][often], right[first][often], total[often])]
         at = 0
-        for chunk, begin, data in zip(frame["chunk"], frame["first"], frame["counts"], strict=True):
-            mine = of[at:at + len(data) // 8]
+        for chunk, begin, m in zip(frame["chunk"], frame["first"], size, strict=True):
+            mine = of[at:at + m]
             at += len(mine)
             hit = np.flatnonzero(mine >= 0)
             if len(hit):
                 rows.append((int(chunk), (hit + int(begin)).astype(np.int32), mine[hit], empty, empty, empty))
         return pd.DataFrame(rows, columns=names).astype({"chunk": "Int64"})
 
-    return (blocks.where(F.col("shard").isNotNull()).select("chunk", "shard", "first", "lefts", "rights", "counts")
+    return (blocks.where(F.col("shard").isNotNull()).select("chunk", "shard", "first", "size", "lefts", "rights", "counts")
             .groupBy("shard").applyInPandas(count, COUNTED))
 
 
@@ -215,10 +221,12 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10, chunk_w
                .withColumn("gid", F.monotonically_increasing_id()))
     level = cut_lineage(singles.select("lang", "phrase", F.lit(1).alias("k"), "f", "gid"))
     known = words.join(level.select("lang", "phrase", "gid"), ["lang", "phrase"]).select("chunk", "local", "gid")
+    release(docs.sparkSession)
     shards = 1 + (n.agg(F.sum("n")).head()[0] or 0) // shard_words
     found, relation = level.drop("gid"), relation.select("chunk", "lang", "n", "steps", "groups")
     for k in range(2, longest + 1):
         blocks = cut_lineage(extended(relation, known, shards))
+        release(docs.sparkSession)
         groups = cut_lineage(counted(blocks, least))
         relation = blocks.where(F.col("shard").isNull()).select("chunk", "lang", "n", "steps", "groups")
         known = groups.where(F.col("chunk").isNotNull()).select("chunk", F.col("locals").alias("local"),
