@@ -2,11 +2,12 @@
 
 A text is a chain of states; each state writes one word, and from any state (or at once)
 the text may end.  Texts are encoded once into chunks of some two million words with a
-dictionary of their own.  A round of Baum-Welch hands every chunk the parameters of its
-words (a join by word id), runs the scaled forward and backward recursions there, and sums
-the expected counts of words, transitions, starts and ends over all chunks; the next
-parameters are those counts, smoothed.  No vocabulary is held in one place: only the
-transition table (states squared) and one total per state reach the driver.
+dictionary of their own; the corpus's vocabulary lies in shards by word hash.  A round of
+Baum-Welch hands every chunk the parameters of its words (chunk and shard meet by key, in
+blocks of numbers), runs the scaled forward and backward recursions there, and sums the
+expected counts by shard; the next parameters are those counts, smoothed.  No vocabulary is
+held in one place: only the transition table (states squared) and one total per state reach
+the driver.
 
 The rounds start from parameters that a bounded sample of texts gives (many rounds in one
 task); they only choose which maximum the rounds over the whole corpus climb.
@@ -21,10 +22,13 @@ the two scores differ by what the states know and by nothing else.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +44,13 @@ SLICE_BYTES = 4 << 20
 SEGMENT = 2048
 NO_ID, HELD_OUT = 1, 2
 
+#: Entries (a word of a chunk) that one shard of the vocabulary gets on average.
+SHARD_ENTRIES = 500_000
+
 CHUNK = "chunk long, docs int, n int, ids binary, flags binary, lens binary, tokens binary"
+WORDS = "chunk long, shard int, size int, locals binary, words binary, counts binary"
+#: A shard's words (``chunk`` null): training counts and state counts; or where a chunk's words stand in the shard.
+SHARD = "chunk long, shard int, size int, locals binary, places binary, c binary, e binary, sums array<double>"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -186,11 +196,34 @@ def word_rows(by_word: np.ndarray, totals: np.ndarray, c: np.ndarray, n_words: f
 
 # ---------------------------------------------------------------- Spark
 
+def blob(words: list[bytes]) -> bytes:
+    """Words as one compressed value with its plain size in front; words hold no line feed."""
+    plain = STOP.join(words)
+    return len(plain).to_bytes(8, "little") + (pa.Codec("zstd").compress(plain, asbytes=True) if plain else b"")
+
+
+def unblob(data: bytes, size: int) -> list[bytes]:
+    n = int.from_bytes(data[:8], "little")
+    return pa.Codec("zstd").decompress(data[8:], n, asbytes=True).split(STOP) if n else [b""] * size
+
+
+def names_of(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def framed(rows: list[tuple], schema: str) -> pd.DataFrame:
+    """Rows with whole numbers that may be missing."""
+    kinds = {c.split()[0]: {"long": "Int64", "int": "Int32"}[c.split()[1]] for c in schema.split(", ")
+             if c.split()[1] in ("long", "int")}
+    return pd.DataFrame(rows, columns=names_of(schema)).astype(kinds)
+
+
 def chunks(docs: DataFrame, held_out: Column, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """Whole texts encoded by chunks, with each chunk's words and how often its training texts hold them."""
+    schema = CHUNK + ", size int, words binary, counts binary"
+
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = TaskContext.get().partitionId() << 32
-        names = [c.split()[0] for c in CHUNK.split(", ")] + ["words", "counts"]
         words, ids, flags, lens, tokens, n = LocalWords(b"", STOP), [], [], [], [], 0
 
         def row():
@@ -198,9 +231,9 @@ def chunks(docs: DataFrame, held_out: Column, chunk_words: int = CHUNK_WORDS) ->
             flat, size = np.concatenate(tokens), np.concatenate(lens)
             flag = np.concatenate(flags)
             train = np.repeat(flag & HELD_OUT == 0, size)
-            return pd.DataFrame([(number, len(size), len(flat), np.concatenate(ids).tobytes(), flag.astype(np.uint8).tobytes(),
-                                  packed(size), packed(flat), known,
-                                  np.bincount(flat[train], minlength=len(known)).tolist())], columns=names)
+            return framed([(number, len(size), len(flat), np.concatenate(ids).tobytes(), flag.astype(np.uint8).tobytes(),
+                            packed(size), packed(flat), len(known), blob(known),
+                            packed(np.bincount(flat[train], minlength=len(known))))], schema)
 
         for batch in batches:
             texts = batch["text"].tolist()
@@ -226,7 +259,7 @@ def chunks(docs: DataFrame, held_out: Column, chunk_words: int = CHUNK_WORDS) ->
                         (F.when(F.col("doc_id").isNull(), NO_ID).otherwise(0)
                          + F.when(held_out, HELD_OUT).otherwise(0)).alias("flag"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    return given.mapInPandas(gather, CHUNK + ", words array<binary>, counts array<int>")
+    return given.mapInPandas(gather, schema)
 
 
 def read_chunk(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -239,9 +272,67 @@ def chosen(tokens: np.ndarray, lens: np.ndarray, keep: np.ndarray) -> Texts:
     return Texts(tokens[np.repeat(keep, lens)], lens[keep])
 
 
+def shard_of(word: bytes, shards: int) -> int:
+    return zlib.crc32(word) % shards
+
+
+def by_shard(made: DataFrame, shards: int) -> DataFrame:
+    """Each chunk's words and training counts, dealt to the shards."""
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                words, counts = unblob(row.words, row.size), unpacked(row.counts, row.size)
+                shard = np.fromiter((shard_of(w, shards) for w in words), np.int64, row.size)
+                order = np.argsort(shard, kind="stable")
+                cuts = np.flatnonzero(np.diff(shard[order], prepend=-1, append=shards))
+                yield framed([(row.chunk, int(shard[order[a]]), b - a, packed(order[a:b]),
+                               blob([words[i] for i in order[a:b].tolist()]), packed(counts[order[a:b]]))
+                              for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], WORDS)
+
+    return made.where("size > 0").select("chunk", F.col("size").alias("size"), "words", "counts").mapInPandas(deal, WORDS)
+
+
+def vocabulary(words: DataFrame, begun: DataFrame, shards: int, states: int) -> DataFrame:
+    """``SHARD`` rows: every shard's known words with their first state counts, and the chunks' places there.
+
+    A shard's task gets some ``SHARD_ENTRIES`` (chunk, word) entries, as the number of shards
+    follows them.  Words without first counts have none (not a number).
+    """
+    def unite(frame: pd.DataFrame, first: pd.DataFrame) -> pd.DataFrame:
+        if frame.empty:
+            return pd.DataFrame(columns=names_of(SHARD))
+        sizes = frame["size"].tolist()
+        coded = pa.array([w for d, m in zip(frame["words"], sizes, strict=True) for w in unblob(d, m)],
+                         pa.binary()).dictionary_encode()
+        index = coded.indices.to_numpy().astype(np.int64)
+        n = np.concatenate([unpacked(d, m) for d, m in zip(frame["counts"], sizes, strict=True)])
+        c = np.bincount(index, n, minlength=len(coded.dictionary)).astype(np.int64)
+        place = np.where(c > 0, np.cumsum(c > 0) - 1, -1)
+        known = int((c > 0).sum())
+        e = np.full((known, states), np.nan)
+        at = pc.index_in(pa.array(first["word"].tolist(), pa.binary()), coded.dictionary)
+        at = pc.fill_null(at, -1).to_numpy()
+        at = np.where(at >= 0, place[at], -1)
+        e[at[at >= 0]] = first[[f"e{j}" for j in range(states)]].to_numpy(float)[at >= 0]
+        shard, rows, a = int(frame["shard"].iloc[0]), [], 0
+        for chunk, m, local in zip(frame["chunk"], sizes, frame["locals"], strict=True):
+            mine = place[index[a:a + m]]
+            a += m
+            hit = np.flatnonzero(mine >= 0)
+            if len(hit):
+                rows.append((int(chunk), shard, len(hit), packed(unpacked(local, m)[hit]), packed(mine[hit]), None, None, None))
+        if known:
+            rows.append((None, shard, known, None, None, packed(c[c > 0], "<i8"), e.astype("<f4").tobytes(), [0.0] * states))
+        return framed(rows, SHARD)
+
+    deal = F.pmod(F.crc32("word"), F.lit(shards)).cast("int")
+    return (words.groupBy("shard").cogroup(begun.withColumn("of_shard", deal).groupBy("of_shard"))
+            .applyInPandas(unite, SHARD))
+
+
 def first_parameters(docs: DataFrame, held_out: Column, states: int, rows: int, words: int, rounds: int, seed: int,
                      prior: float) -> DataFrame:
-    """Word counts by state from a bounded sample: ``word`` and ``e0 ..``; the model's moves have no word.
+    """Word counts by state from a bounded sample: ``word`` and ``e0 ..``; rows without a word have the model's edges.
 
     The first ``rows`` training texts by id hash, of at most 20,000 bytes each, up to
     ``words`` words; one task.
@@ -281,16 +372,7 @@ def first_parameters(docs: DataFrame, held_out: Column, states: int, rows: int,
     given = (docs.where(~held_out).where("octet_length(text) BETWEEN 1 AND 20000")
              .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
              .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).coalesce(1))
-    return given.mapInPandas(fit, "word binary, edge int, " + ", ".join(f"{c} double" for c in columns)).select(
-        F.col("word").cast("string").alias("word"), "edge", *columns)
-
-
-class Trained:
-    """Chunks, their words' ids, and the parameters after the last round."""
-
-    def __init__(self, chunks, links, params, totals, start, moves, facts, prior, likelihoods):
-        self.chunks, self.links, self.params, self.totals = chunks, links, params, totals
-        self.start, self.moves, self.facts, self.prior, self.likelihoods = start, moves, facts, prior, likelihoods
+    return given.mapInPandas(fit, "word binary, edge int, " + ", ".join(f"{c} double" for c in columns))
 
 
 class Facts:
@@ -303,133 +385,190 @@ class Facts:
     def base(self, c: np.ndarray) -> np.ndarray:
         return (c + 0.1) / (self.tokens + 0.1 * (self.distinct + 1))
 
-
-def parameters(known: pd.DataFrame, states: int, totals: np.ndarray, facts: Facts, prior: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A chunk's known local ids, their training counts and the word probabilities (unknown last)."""
-    local, c = known["local"].to_numpy(np.int64), known["c"].to_numpy(np.float64)
-    e = known[[f"e{i}" for i in range(states)]].to_numpy(np.float64)
-    return local, c, word_rows(e, totals, c, facts.words, float(facts.base(np.zeros(1))[0]), prior * facts.words / states)
+    def unknown(self) -> float:
+        return float(self.base(np.zeros(1))[0])
 
 
-def renumbered(tokens: np.ndarray, local: np.ndarray) -> np.ndarray:
-    """Words as rows of the parameters; those without any are the last row."""
+class Trained:
+    """Chunks, their words' places, the shards after the last round, and the rest of the model."""
+
+    def __init__(self, made, places, shards, states, totals, start, moves, facts, prior, likelihoods):
+        self.chunks, self.places, self.shards, self.states = made, places, shards, states
+        self.totals, self.start, self.moves, self.facts = totals, start, moves, facts
+        self.prior, self.likelihoods = prior * facts.words / states, likelihoods
+
+    def handed(self, kind: str) -> DataFrame:
+        """``of_chunk, shard, size, locals, places, c, b``: to every chunk the word probabilities of its words, by shard."""
+        schema = "of_chunk long, shard int, size int, locals binary, places binary, c binary, b binary"
+        states, totals, facts, prior = self.states, self.totals, self.facts, self.prior
+
+        def answer(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+            if asked.empty or own.empty:
+                return pd.DataFrame(columns=names_of(schema))
+            row = own.iloc[0]
+            c, e = unpacked(row["own_c"], row["n"], "<i8"), np.frombuffer(row["own_e"], "<f4").reshape(-1, states).astype(float)
+            b = word_rows(e, totals, c, facts.words, facts.unknown(), prior)[:-1].astype(kind)
+            out = []
+            for r in asked.itertuples():
+                at = unpacked(r.places, r.size)
+                out.append((r.chunk, r.shard, r.size, r.locals, r.places, packed(c[at], "<i8") if kind == "<f8" else None,
+                            b[at].tobytes()))
+            return framed(out, schema)
+
+        # other names: shards and places may be parts of one table
+        own = self.shards.select(F.col("shard").alias("of_shard"), F.col("size").alias("n"), F.col("c").alias("own_c"),
+                                 F.col("e").alias("own_e"))
+        return self.places.groupBy("shard").cogroup(own.groupBy("of_shard")).applyInPandas(answer, schema)
+
+
+def assembled(known: pd.DataFrame, tokens: np.ndarray, states: int, unknown: float, kind: str):
+    """Words renumbered by the rows that the shards handed (words without any: the last row), and the probabilities."""
+    sizes = known["size"].tolist()
+    local = np.concatenate([np.zeros(0, np.int32), *[unpacked(d, m) for d, m in zip(known["locals"], sizes, strict=True)]])
+    b = np.concatenate([np.frombuffer(d, kind) for d in known["b"]] + [np.full(states, unknown, kind)]).reshape(-1, states)
     table = np.full(int(max(tokens.max(initial=0), local.max(initial=0))) + 1, len(local), np.int64)
     table[local] = np.arange(len(local))
-    return table[tokens]
+    return table[tokens], b
 
 
 def train(docs: DataFrame, held_out: Column, states: int = 8, rounds: int = 3, prior: float = 0.01, seed: int = 7,
-          sample_rows: int = 2000, sample_words: int = 300_000, sample_rounds: int = 30,
-          chunk_words: int = CHUNK_WORDS) -> Trained:
+          sample_rows: int = 2000, sample_words: int = 200_000, sample_rounds: int = 25,
+          chunk_words: int = CHUNK_WORDS, shard_entries: int = SHARD_ENTRIES) -> Trained:
     """Fit the model on all texts that are not held out.
 
     ``prior`` is the weight of the unigram distribution in a state's words, as a share of
     the state's mean number of words.  The sample bounds only concern the first parameters.
     """
-    columns = [f"e{i}" for i in range(states)]
+    spark, columns = docs.sparkSession, [f"e{i}" for i in range(states)]
     made = cut_lineage(chunks(docs, held_out, chunk_words))
-    words = made.select("chunk", F.posexplode(F.arrays_zip("words", "counts"))).select(
-        "chunk", F.col("pos").alias("local"), F.col("col.words").alias("word"), F.col("col.counts").alias("n"))
-    vocabulary = cut_lineage(words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
-                             .withColumn("wid", F.monotonically_increasing_id()))
-    links = cut_lineage(words.join(vocabulary.select("word", "wid"), "word").select("chunk", "local", "wid"))
-    made = made.select(*[c.split()[0] for c in CHUNK.split(", ")])
-    counted = vocabulary.agg(F.sum("c"), F.count("*")).head()
-    known_texts = docs.agg(F.sum(F.when(held_out, 0).otherwise(1))).head()[0] or 0
-    facts = Facts(counted[0] or 0, known_texts, counted[1])
+    entries = made.agg(F.sum("size")).head()[0] or 0
     begun = cut_lineage(first_parameters(docs, held_out, states, sample_rows, sample_words, sample_rounds, seed, 0.02))
     edges = {r["edge"]: np.array([r[c] for c in columns]) for r in begun.where("edge >= 0").collect()}
+    first = begun.where("edge < 0").select("word", *columns)
+    sampled = np.array([x or 0.0 for x in first.agg(*[F.sum(c) for c in columns]).head()])
+    shards = 1 + entries // shard_entries
+    words = by_shard(made.select("chunk", "size", "words", "counts"), shards)
+    # first counts as the sample has them: their scale is set by the totals of the first round
+    laid = cut_lineage(vocabulary(words, first, shards, states))
+    release(spark)
+    made = made.select(*names_of(CHUNK))
+    places = laid.where(F.col("chunk").isNotNull()).select("chunk", "shard", "size", "locals", "places")
+    own = laid.where(F.col("chunk").isNull()).select("shard", "size", "c", "e", "sums")
+    facts = counted(made, own)
     if edges:
         start, moves = smoothed(edges[0], 0.0, np.column_stack([[edges[1 + i] for i in range(states)], edges[states + 1]]))
+        totals = sampled
     else:
         start, moves = smoothed(np.ones(states), 0.0, np.ones((states, states + 1)))
-    # the sample's counts at the size of the corpus
-    factor = facts.words / max(1.0, begun.where("edge < 0").select(F.sum(sum(F.col(c) for c in columns))).head()[0] or 0.0)
-    params = (vocabulary.join(begun.where("edge < 0").select(F.col("word").cast("binary").alias("word"), *columns), "word", "left")
-              .select("wid", "c", *[(F.col(c) * factor).alias(c) for c in columns]))
-    totals = (np.array([r or 0.0 for r in begun.where("edge < 0").agg(*[F.sum(c) for c in columns]).head()]) * factor
-              if edges else np.full(states, facts.words / states))
-    likelihoods = []
-    for _ in range(rounds):
-        counts = cut_lineage(expected_counts(made, links, params, states, totals, start, moves, facts, prior))
-        rest = {r["wid"]: np.array([r[c] for c in columns]) for r in counts.where("wid < 0").collect()}
-        if not rest:
-            break
-        start, moves = smoothed(rest[-1], rest[-states - 3][0], np.column_stack([[rest[-2 - i] for i in range(states)], rest[-states - 2]]))
-        likelihoods.append(float(rest[-states - 3][1]))
-        totals = np.array(counts.where("wid >= 0").agg(*[F.sum(c) for c in columns]).head(), dtype=object)
-        totals = np.array([x or 0.0 for x in totals])
-        params = counts.where("wid >= 0").join(vocabulary.select("wid", "c"), "wid")
-        release(docs.sparkSession)
-    return Trained(made, links, params, totals, start, moves, facts, prior, likelihoods)
-
-
-def expected_counts(made: DataFrame, links: DataFrame, params: DataFrame, states: int, totals: np.ndarray,
-                    start: np.ndarray, moves: np.ndarray, facts: Facts, prior: float) -> DataFrame:
-    """Baum-Welch counts over all chunks: ``wid, e0 ..``.
-
-    Negative ids: -1 starts, -2 .. moves from each state, then ends, then empty texts and
-    the log likelihood.
+        totals = np.full(states, facts.words / states)
+    model = Trained(made, places, own, states, totals, start, moves, facts, prior, [])
+    for k in range(rounds if facts.texts else 0):
+        if k == 0 and edges:
+            model.prior = prior * sampled.sum() / states
+        counts = cut_lineage(expected_counts(model))
+        rest = np.sum([np.frombuffer(r["e"], "<f8") for r in counts.where("shard < 0").select("e").collect()], axis=0)
+        rest = rest.reshape(states + 3, states)
+        start, moves = smoothed(rest[0], rest[states + 2, 0], np.column_stack([rest[1:states + 1], rest[states + 1]]))
+        own = counts.where("shard >= 0").select("shard", "size", "c", "e", "sums")
+        totals = np.array([x or 0.0 for x in own.agg(*[F.sum(F.col("sums")[i]) for i in range(states)]).head()])
+        model = Trained(made, places, own, states, totals, start, moves, facts, prior,
+                        [*model.likelihoods, float(rest[states + 2, 1])])
+        release(spark)
+    return model
+
+
+def counted(made: DataFrame, own: DataFrame) -> Facts:
+    """Training words, texts and distinct words of the corpus."""
+    def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"n": [int((np.frombuffer(f, np.uint8) & HELD_OUT == 0).sum()) for f in batch["flags"]]})
+
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"n": [int(unpacked(c, m, "<i8").sum()) for c, m in zip(batch["c"], batch["size"], strict=True)],
+                                "m": batch["size"].astype(np.int64)})
+
+    t = made.select("flags").mapInPandas(texts, "n long").agg(F.sum("n")).head()[0]
+    w = own.select("c", "size").mapInPandas(words, "n long, m long").agg(F.sum("n"), F.sum("m")).head()
+    return Facts(w[0] or 0, t or 0, w[1] or 0)
+
+
+def expected_counts(model: Trained) -> DataFrame:
+    """Baum-Welch counts over all chunks: ``shard, size, c, e, sums``, the shards of the next round.
+
+    Rows of negative shards hold sums of starts, moves from each state, ends, and in the last
+    line the empty texts and the log likelihood.
     """
-    columns = [f"e{i}" for i in range(states)]
+    states, start, moves, unknown = model.states, model.start, model.moves, model.facts.unknown()
+    schema = "of_shard int, size int, places binary, e binary"
 
     def expect(mine: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if mine.empty:
-            return pd.DataFrame(columns=["wid", *columns])
-        _, flags, lens, tokens = read_chunk(mine.iloc[0])
+            return pd.DataFrame(columns=names_of(schema))
+        row = mine.iloc[0]
+        _, flags, lens, tokens = read_chunk(row)
         training = flags & HELD_OUT == 0
-        edge = np.zeros((states + 3, states))
+        edge, out = np.zeros((states + 3, states)), []
         edge[states + 2, 0] = (training & (lens == 0)).sum()
-        wid, by_word = np.zeros(0, np.int64), np.zeros((0, states))
         keep = training & (lens > 0)
         if keep.any():
-            local, _, b = parameters(known, states, totals, facts, prior)
-            texts = chosen(renumbered(tokens, local), lens, keep)
-            starts, pairs, by_word, log = expected(texts, Model(start, moves, b))
-            by_word = by_word[:-1]
-            seen = by_word.sum(axis=1) > 0
-            wid, by_word = known["wid"].to_numpy(np.int64)[seen], by_word[seen]
+            rows, b = assembled(known, tokens, states, unknown, "<f4")
+            starts, pairs, by_word, log = expected(chosen(rows, lens, keep), Model(start, moves, b))
             edge[0], edge[1:states + 1], edge[states + 1] = starts, pairs[:, :states], pairs[:, states]
             edge[states + 2, 1] = log
-        out = pd.DataFrame(np.vstack([by_word, edge]), columns=columns)
-        out.insert(0, "wid", np.r_[wid, -1 - np.arange(states + 3)])
-        return out
-
-    known = links.join(params, "wid").select(F.col("chunk").alias("of_chunk"), "local", "wid", "c", *[F.col(c).cast("float").alias(c) for c in columns])
-    each = (made.groupBy("chunk").cogroup(known.groupBy("of_chunk"))
-            .applyInPandas(expect, "wid long, " + ", ".join(f"{c} double" for c in columns)))
-    return each.groupBy("wid").agg(*[F.sum(c).alias(c) for c in columns])
-
-
-def score(model: Trained, states: int = 8) -> DataFrame:
+            at = 0
+            for r in known.itertuples():
+                out.append((r.shard, r.size, r.places, by_word[at:at + r.size].astype("<f4").tobytes()))
+                at += r.size
+        # sixty-four sums of edges, so that no task gets those of all chunks
+        out.append((-1 - int(row["chunk"] % 61 + row["chunk"] // 2 ** 32) % 64, 0, b"", edge.tobytes()))
+        return framed(out, schema)
+
+    handed = model.handed("<f4")
+    each = model.chunks.groupBy("chunk").cogroup(handed.groupBy("of_chunk")).applyInPandas(expect, schema)
+
+    def add(counts: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        names = ["shard", "size", "c", "e", "sums"]
+        if own.empty:
+            total = np.sum([np.frombuffer(e, "<f8") for e in counts["e"]], axis=0)
+            return pd.DataFrame([(int(counts["of_shard"].iloc[0]), 0, b"", total.tobytes(), [])], columns=names)
+        row = own.iloc[0]
+        total = np.zeros((int(row["size"]), states))
+        for r in counts.itertuples():
+            total[unpacked(r.places, r.size)] += np.frombuffer(r.e, "<f4").reshape(-1, states)
+        return pd.DataFrame([(int(row["shard"]), int(row["size"]), row["c"], total.astype("<f4").tobytes(),
+                              total.sum(axis=0).tolist())], columns=names)
+
+    return (each.groupBy("of_shard").cogroup(model.shards.groupBy("shard"))
+            .applyInPandas(add, "shard int, size int, c binary, e binary, sums array<double>"))
+
+
+def score(model: Trained) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every text of the chunks."""
-    names = [c.split()[0] for c in SCORES.split(", ")]
-    totals, start, moves, facts, prior = model.totals, model.start, model.moves, model.facts, model.prior
-    columns = [f"e{i}" for i in range(states)]
+    states, start, moves, facts = model.states, model.start, model.moves, model.facts
 
     def forward_all(mine: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if mine.empty:
-            return pd.DataFrame(columns=names)
+            return pd.DataFrame(columns=names_of(SCORES))
         ids, flags, lens, tokens = read_chunk(mine.iloc[0])
-        local, c, b = parameters(known, states, totals, facts, prior)
-        rows, c = renumbered(tokens, local), np.append(c, 0.0)
+        rows, b = assembled(known, tokens, states, facts.unknown(), "<f8")
+        c = np.concatenate([*[unpacked(d, m, "<i8") for d, m in zip(known["c"], known["size"], strict=True)], [0]])
         of = np.repeat(np.arange(len(lens)), lens)
-        end = float(facts.texts)
-        base = np.bincount(of, np.log10(facts.base(c))[rows], minlength=len(lens)) + np.log10(facts.base(np.array([end])))[0]
-        known_words = np.bincount(of, (c > 0)[rows], minlength=len(lens)).astype(np.int64) + int(end > 0)
+        base = np.bincount(of, np.log10(facts.base(c))[rows], minlength=len(lens))
+        known_words = np.bincount(of, (c > 0)[rows], minlength=len(lens)).astype(np.int64) + int(facts.texts > 0)
         logs = np.full(len(lens), np.log(start[states]))
         if (lens > 0).any():
             logs[lens > 0] = forward(chosen(rows, lens, lens > 0), Model(start, moves, b))
-        return pd.DataFrame({"doc_id": pd.array(ids, "Int64").copy() if not (flags & NO_ID).any() else
-                             pd.array(np.where(flags & NO_ID, None, ids), "Int64"),
-                             "held_out": flags & HELD_OUT > 0, "n_tokens": lens + 1, "n_known": known_words,
-                             "train_tokens": facts.tokens, "base_score": base, "score": logs / np.log(10)})
+        return pd.DataFrame({"doc_id": pd.arrays.IntegerArray(ids.copy(), flags & NO_ID > 0), "held_out": flags & HELD_OUT > 0,
+                             "n_tokens": lens + 1, "n_known": known_words, "train_tokens": facts.tokens,
+                             "base_score": base + np.log10(facts.base(np.array([float(facts.texts)])))[0],
+                             "score": logs / np.log(10)})
 
-    known = model.links.join(model.params, "wid").select(F.col("chunk").alias("of_chunk"), "local", "c", *columns)
-    return model.chunks.groupBy("chunk").cogroup(known.groupBy("of_chunk")).applyInPandas(forward_all, SCORES)
+    return (model.chunks.groupBy("chunk").cogroup(model.handed("<f8").groupBy("of_chunk"))
+            .applyInPandas(forward_all, SCORES))
 
 
-def score_texts(docs: DataFrame, held_out: Column, states: int = 8, **options) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, **options) -> DataFrame:
     """Train on the texts that are not held out and score all of them, each whole.
 
     Null texts are empty; an empty text is its end alone; repeated rows are scored each (and
@@ -437,4 +576,4 @@ def score_texts(docs: DataFrame, held_out: Column, states: int = 8, **options) -
     alike and words are unknown.  An empty table gives an empty result; extra columns are
     ignored.
     """
-    return score(train(docs, held_out, states, **options), states)
+    return score(train(docs, held_out, **options))

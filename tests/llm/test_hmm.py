@@ -99,29 +99,29 @@ def rows_of(n, seed=1):
     return rows + [(2**60 + 1, "der die " * 6000, "x", 1, "c", 0.1)]
 
 
-OPTIONS = dict(states=3, chunk_words=500, rounds=2, sample_rows=60, sample_rounds=15, prior=0.01)
+OPTIONS = dict(states=3, chunk_words=500, shard_entries=10, rounds=2, sample_rows=60, sample_rounds=15, prior=0.01)
 
 
 def test_query_equals_a_plain_model(spark):
     rows = rows_of(400)
     docs = spark.createDataFrame(rows, COLUMNS).repartition(3)
     model = hmm.train(docs, held_out(10, 0), **OPTIONS)
-    got = sorted(map(tuple, hmm.score(model, 3).collect()), key=str)
+    got = sorted(map(tuple, hmm.score(model).collect()), key=str)
 
     c = Counter(w for r in rows if not out(r[0]) for w in tokens_of(r[1]))
     ends = sum(not out(r[0]) for r in rows)
     n, v = sum(c.values()) + ends, len(c) + 1
     base = lambda x: math.log10((x + 0.1) / (n + 0.1 * (v + 1)))
-    # the parameters, word by word, from the model's tables
+    # the parameters, word by word, from the model's shards
     words = {w: i for i, w in enumerate(sorted(c))}
     e = np.zeros((len(words), 3))
-    by_wid = {r.wid: (r.e0, r.e1, r.e2) for r in model.params.collect()}
-    chunk_words = {}
-    made = hmm.chunks(docs, held_out(10, 0), 500)
-    for r in made.select("chunk", F.posexplode("words")).collect():
-        chunk_words[r.chunk, r.pos] = bytes(r.col).decode()
-    for r in model.links.collect():
-        e[words[chunk_words[r.chunk, r.local]]] = by_wid[r.wid]
+    shards = {r.shard: np.frombuffer(r.e, "<f4").reshape(-1, 3) for r in model.shards.collect()}
+    chunk_words = {r.chunk: hmm.unblob(r.words, r["size"]) for r in
+                   hmm.chunks(docs, held_out(10, 0), 500).select("chunk", "words", "size").collect()}
+    assert len(shards) > 3 and len(chunk_words) >= 3
+    for r in model.places.collect():
+        for local, place in zip(hmm.unpacked(r.locals, r["size"]), hmm.unpacked(r.places, r["size"])):
+            e[words[bytes(chunk_words[r.chunk][local]).decode()]] = shards[r.shard][place]
     assert np.isclose(e.sum(), sum(c.values()), rtol=1e-4)
     unknown = 0.1 / (n + 0.1 * (v + 1))
     q = np.array([c[w] for w in sorted(c)]) / sum(c.values())
@@ -145,7 +145,7 @@ def test_rounds_raise_the_likelihood_and_held_out_texts_score_over_the_base(spar
     docs = spark.createDataFrame(rows_of(400), COLUMNS).repartition(2)
     model = hmm.train(docs, held_out(10, 0), **{**OPTIONS, "rounds": 4, "sample_rounds": 3})
     assert all(b > a for a, b in zip(model.likelihoods, model.likelihoods[1:], strict=False))
-    sums = hmm.score(model, 3).where("held_out").agg(F.sum("score"), F.sum("base_score")).head()
+    sums = hmm.score(model).where("held_out").agg(F.sum("score"), F.sum("base_score")).head()
     assert sums[0] > sums[1]
 
 
