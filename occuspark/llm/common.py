@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +25,25 @@ def release(spark: SparkSession) -> None:
     """Let the driver collect plans whose lineage was cut: Spark's cleaner then deletes their shuffle files.
 
     For loops that run many jobs; otherwise the files stay until the driver happens to collect its garbage.
+    The driver's Java objects are let go a moment after their Python ones, hence the pauses.
     """
+    for pause in (0.7, 0.3):
+        gc.collect()
+        time.sleep(pause)
+        spark._jvm.System.gc()
+
+
+def trim() -> None:
+    """Give memory that a task has freed back to the system: worker processes live on from stage to stage."""
+    import ctypes
+
+    import pyarrow as pa
     gc.collect()
-    spark._jvm.System.gc()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def documents_of(docs: DataFrame, *extra: str) -> DataFrame:
