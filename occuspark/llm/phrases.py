@@ -1,7 +1,7 @@
 """Phrase collocations by relational mining of sorted occurrence relations (SETM).
 
 Relation ``R1`` holds every word occurrence ``(piece, position, word)`` in order, stored
-chunk by chunk: a chunk has whole texts of one language, some two million words, with the
+chunk by chunk: a chunk has whole texts of one language, some million words, with the
 places as steps (the end of a piece takes a place of its own, so neighbours in a piece are
 one apart) and the words as ids of the chunk's dictionary.  Then, for each length:
 
@@ -24,14 +24,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, release
+from .common import cut_lineage, release, trim
 
 #: Bytes that end a piece become a line feed; capitals and tabs become small letters and spaces.
 END = b"\n"
 TABLE = bytes(ord(END) if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c
               for c in range(256))
-CHUNK_WORDS = 2_000_000
-SLICE_BYTES = 4 << 20
+CHUNK_WORDS = 1_000_000
+SLICE_BYTES = 2 << 20
 
 RELATION = "chunk long, lang string, n long, steps binary, groups binary"
 BLOCKS = RELATION + ", shard int, first long, size int, lefts binary, rights binary, counts binary"
@@ -106,6 +106,7 @@ def occurrences(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
             if chunk.n:
                 yield pd.DataFrame([chunk.row(number, lang)], columns=columns)
                 number += 1
+        trim()
 
     given = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                         F.col("text").cast("string").cast("binary").alias("text")).where("length(text) > 0")
@@ -158,6 +159,8 @@ def extended(relation: DataFrame, frequent: DataFrame, shards: int) -> DataFrame
             part = order[a:b]
             out.append((*base, None, None, None, int(shard[part[0]]), a, b - a, packed(np.diff(left[part], prepend=0), "<i8"),
                         packed(right[part], "<i8"), packed(counts[part])))
+        del local, gid, at, groups, table, mark, key, where, counts, left, right, rank
+        trim()
         return pd.DataFrame(out, columns=columns).astype({"n": "Int64", "shard": "Int32", "first": "Int64", "size": "Int32"})
 
     frequent = frequent.withColumnRenamed("chunk", "of_chunk")
@@ -167,8 +170,8 @@ def extended(relation: DataFrame, frequent: DataFrame, shards: int) -> DataFrame
 def counted(blocks: DataFrame, least: int) -> DataFrame:
     """Groups of at least ``least`` occurrences over all chunks, and each chunk's share of them.
 
-    A shard of keys is one task: its size is that of some two million distinct (chunk,
-    group) entries, as the number of shards follows the words.  Rows without ``chunk`` hold
+    A shard of keys is one task: its size is that of some million distinct (chunk, group)
+    entries, as the number of shards follows the words.  Rows without ``chunk`` hold
     the shard's frequent groups, the others hand a chunk its own.
     """
     names = [c.split()[0] for c in COUNTED.split(", ")]
@@ -197,6 +200,8 @@ def counted(blocks: DataFrame, least: int) -> DataFrame:
             hit = np.flatnonzero(mine >= 0)
             if len(hit):
                 rows.append((int(chunk), (hit + int(begin)).astype(np.int32), mine[hit], empty, empty, empty))
+        del left, right, n, order, of
+        trim()
         return pd.DataFrame(rows, columns=names).astype({"chunk": "Int64"})
 
     return (blocks.where(F.col("shard").isNotNull()).select("chunk", "shard", "first", "size", "lefts", "rights", "counts")
