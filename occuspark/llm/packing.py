@@ -19,14 +19,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, documents_of, sub_blocks
+from .common import cut_lineage, documents_of, sub_blocks, trim
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Words kept with their ids in a worker process.
-CACHE_WORDS = 450_000
+CACHE_WORDS = 200_000
+#: Characters of texts that are encoded together.
+SLICE_CHARS = 2_000_000
 LONGEST_CACHED = 48
 #: White space for ``str.split`` that the tokenizer does not treat as such.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -86,6 +89,33 @@ class WordEncoder:
                 parts[i] = found[words[i]]
         return b"".join(parts)
 
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; every distinct word of the texts is looked up once."""
+        alone = {i for i, t in enumerate(texts) if any(c in t for c in SEPARATORS)}
+        words: list[str] = []
+        ends = np.zeros(len(texts), np.int64)
+        for i, t in enumerate(texts):
+            if i not in alone:
+                words += t.split()
+            ends[i] = len(words)
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        parts = list(map(self.known.get, distinct))
+        if None in parts:
+            found = self._found({w for w, p in zip(distinct, parts, strict=True) if p is None})
+            parts = [found[w] if p is None else p for w, p in zip(distinct, parts, strict=True)]
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        flat, begin = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(size) - size
+        at = coded.indices.to_numpy()
+        n = size[at]
+        upto = np.cumsum(n)
+        ids = flat[np.repeat(begin[at] - (upto - n), n) + np.arange(int(n.sum()))]
+        cuts = np.r_[0, upto][ends]
+        out = np.split(ids, cuts[:-1])
+        for i in alone:
+            out[i] = np.frombuffer(self._ids([texts[i]])[0], "<u4")
+        return out
+
     def _found(self, new: set[str]) -> dict[str, bytes]:
         """Ids of unseen words, kept while there is room; long unkept, the table starts again."""
         known, ids, wait = self.known, {}, {}
@@ -130,17 +160,22 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, e
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = WordEncoder.of_process(tokenizer_path)
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = encoder.encode(text) + end
-                doc = None if pd.isna(doc_id) else int(doc_id)
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at:at + step]
-                    row = (doc, k, at // 4, len(part) // 4, zlib.crc32(part))
-                    rows.append((*row, part) if keep_ids else row)
+            rows, texts, docs_of = [], batch["text"].tolist(), batch["doc_id"].tolist()
+            chars = np.cumsum([len(t) for t in texts]) // SLICE_CHARS
+            for group in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(chars)) + 1):
+                if not len(group):
+                    continue
+                for i, got in zip(group.tolist(), encoder.encode_many([texts[i] for i in group]), strict=True):
+                    ids = got.tobytes() + end
+                    doc = None if pd.isna(docs_of[i]) else int(docs_of[i])
+                    for k, at in enumerate(range(0, len(ids), step)):
+                        part = ids[at:at + step]
+                        row = (doc, k, at // 4, len(part) // 4, zlib.crc32(part))
+                        rows.append((*row, part) if keep_ids else row)
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
+        trim()
 
     return documents_of(docs).mapInPandas(cut, PIECES + ", ids binary" * keep_ids)
 

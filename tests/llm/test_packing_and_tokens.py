@@ -38,6 +38,15 @@ def test_word_ids_are_the_tokenizers(text):
     assert enc.encode(text) == np.asarray(enc.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*"abXY .,!'s09éÉßİ中\u0300\x1c\x85\n\t<|>", "<|endoftext|>", "The ", "word "]),
+                         max_size=20).map("".join), max_size=6))
+def test_texts_encoded_together_are_the_tokenizers(texts):
+    enc = test_word_ids_are_the_tokenizers.__dict__.setdefault("enc", packing.WordEncoder(WORDS))
+    got = [ids.tolist() for ids in enc.encode_many(texts)]
+    assert got == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts] or not texts
+
+
 def test_table_of_words_may_fill_up(monkeypatch, tokenizer):
     monkeypatch.setattr(packing, "CACHE_WORDS", 5)
     enc = packing.WordEncoder(WORDS)
