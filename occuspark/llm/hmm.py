@@ -207,6 +207,16 @@ def unblob(data: bytes, size: int) -> list[bytes]:
     return pa.Codec("zstd").decompress(data[8:], n, asbytes=True).split(STOP) if n else [b""] * size
 
 
+def squeezed(counts: np.ndarray) -> bytes:
+    """State counts of words, compressed; what is under a millionth of an occurrence is zero."""
+    return pa.Codec("zstd").compress(np.where(counts < 1e-6, 0, counts).astype("<f4").tobytes(), asbytes=True)
+
+
+def unsqueezed(data: bytes, rows: int, states: int) -> np.ndarray:
+    plain = pa.Codec("zstd").decompress(data, 4 * rows * states, asbytes=True) if rows else b""
+    return np.frombuffer(plain, "<f4").reshape(rows, states)
+
+
 def names_of(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
@@ -322,7 +332,7 @@ def vocabulary(words: DataFrame, begun: DataFrame, shards: int, states: int) ->
             if len(hit):
                 rows.append((int(chunk), shard, len(hit), packed(unpacked(local, m)[hit]), packed(mine[hit]), None, None, None))
         if known:
-            rows.append((None, shard, known, None, None, packed(c[c > 0], "<i8"), e.astype("<f4").tobytes(), [0.0] * states))
+            rows.append((None, shard, known, None, None, packed(c[c > 0], "<i8"), squeezed(e), [0.0] * states))
         return framed(rows, SHARD)
 
     deal = F.pmod(F.crc32("word"), F.lit(shards)).cast("int")
@@ -397,22 +407,20 @@ class Trained:
         self.totals, self.start, self.moves, self.facts = totals, start, moves, facts
         self.prior, self.likelihoods = prior * facts.words / states, likelihoods
 
-    def handed(self, kind: str) -> DataFrame:
-        """``of_chunk, shard, size, locals, places, c, b``: to every chunk the word probabilities of its words, by shard."""
-        schema = "of_chunk long, shard int, size int, locals binary, places binary, c binary, b binary"
-        states, totals, facts, prior = self.states, self.totals, self.facts, self.prior
+    def handed(self) -> DataFrame:
+        """``of_chunk, shard, size, locals, places, c, e``: to every chunk the counts of its words, by shard."""
+        schema = "of_chunk long, shard int, size int, locals binary, places binary, c binary, e binary"
+        states = self.states
 
         def answer(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
             if asked.empty or own.empty:
                 return pd.DataFrame(columns=names_of(schema))
             row = own.iloc[0]
-            c, e = unpacked(row["own_c"], row["n"], "<i8"), np.frombuffer(row["own_e"], "<f4").reshape(-1, states).astype(float)
-            b = word_rows(e, totals, c, facts.words, facts.unknown(), prior)[:-1].astype(kind)
+            c, e = unpacked(row["own_c"], row["n"], "<i8"), unsqueezed(row["own_e"], row["n"], states)
             out = []
             for r in asked.itertuples():
                 at = unpacked(r.places, r.size)
-                out.append((r.chunk, r.shard, r.size, r.locals, r.places, packed(c[at], "<i8") if kind == "<f8" else None,
-                            b[at].tobytes()))
+                out.append((r.chunk, r.shard, r.size, r.locals, r.places, packed(c[at], "<i8"), squeezed(e[at])))
             return framed(out, schema)
 
         # other names: shards and places may be parts of one table
@@ -420,15 +428,22 @@ class Trained:
                                  F.col("e").alias("own_e"))
         return self.places.groupBy("shard").cogroup(own.groupBy("of_shard")).applyInPandas(answer, schema)
 
+    def assembled(self):
+        """Function of the shards' answers and a chunk's words: the words as rows of the word probabilities (words without
+        any: the last row), their training counts, and the probabilities."""
+        states, totals, facts, prior = self.states, self.totals, self.facts, self.prior
+
+        def assemble(known: pd.DataFrame, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            sizes = known["size"].tolist()
+            local = np.concatenate([np.zeros(0, np.int32), *[unpacked(d, m) for d, m in zip(known["locals"], sizes, strict=True)]])
+            c = np.concatenate([np.zeros(0, np.int64), *[unpacked(d, m, "<i8") for d, m in zip(known["c"], sizes, strict=True)]])
+            e = np.concatenate([np.zeros((0, states), "<f4"), *[unsqueezed(d, m, states) for d, m in zip(known["e"], sizes, strict=True)]])
+            b = word_rows(e.astype(float), totals, c, facts.words, facts.unknown(), prior)
+            table = np.full(int(max(tokens.max(initial=0), local.max(initial=0))) + 1, len(local), np.int64)
+            table[local] = np.arange(len(local))
+            return table[tokens], np.append(c, 0), b
 
-def assembled(known: pd.DataFrame, tokens: np.ndarray, states: int, unknown: float, kind: str):
-    """Words renumbered by the rows that the shards handed (words without any: the last row), and the probabilities."""
-    sizes = known["size"].tolist()
-    local = np.concatenate([np.zeros(0, np.int32), *[unpacked(d, m) for d, m in zip(known["locals"], sizes, strict=True)]])
-    b = np.concatenate([np.frombuffer(d, kind) for d in known["b"]] + [np.full(states, unknown, kind)]).reshape(-1, states)
-    table = np.full(int(max(tokens.max(initial=0), local.max(initial=0))) + 1, len(local), np.int64)
-    table[local] = np.arange(len(local))
-    return table[tokens], b
+        return assemble
 
 
 def train(docs: DataFrame, held_out: Column, states: int = 8, rounds: int = 3, prior: float = 0.01, seed: int = 7,
@@ -499,7 +514,7 @@ def expected_counts(model: Trained) -> DataFrame:
     Rows of negative shards hold sums of starts, moves from each state, ends, and in the last
     line the empty texts and the log likelihood.
     """
-    states, start, moves, unknown = model.states, model.start, model.moves, model.facts.unknown()
+    states, start, moves, assemble = model.states, model.start, model.moves, model.assembled()
     schema = "of_shard int, size int, places binary, e binary"
 
     def expect(mine: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
@@ -512,20 +527,19 @@ def expected_counts(model: Trained) -> DataFrame:
         edge[states + 2, 0] = (training & (lens == 0)).sum()
         keep = training & (lens > 0)
         if keep.any():
-            rows, b = assembled(known, tokens, states, unknown, "<f4")
+            rows, _, b = assemble(known, tokens)
             starts, pairs, by_word, log = expected(chosen(rows, lens, keep), Model(start, moves, b))
             edge[0], edge[1:states + 1], edge[states + 1] = starts, pairs[:, :states], pairs[:, states]
             edge[states + 2, 1] = log
             at = 0
             for r in known.itertuples():
-                out.append((r.shard, r.size, r.places, by_word[at:at + r.size].astype("<f4").tobytes()))
+                out.append((r.shard, r.size, r.places, squeezed(by_word[at:at + r.size])))
                 at += r.size
         # sixty-four sums of edges, so that no task gets those of all chunks
         out.append((-1 - int(row["chunk"] % 61 + row["chunk"] // 2 ** 32) % 64, 0, b"", edge.tobytes()))
         return framed(out, schema)
 
-    handed = model.handed("<f4")
-    each = model.chunks.groupBy("chunk").cogroup(handed.groupBy("of_chunk")).applyInPandas(expect, schema)
+    each = model.chunks.groupBy("chunk").cogroup(model.handed().groupBy("of_chunk")).applyInPandas(expect, schema)
 
     def add(counts: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         names = ["shard", "size", "c", "e", "sums"]
@@ -535,8 +549,8 @@ def expected_counts(model: Trained) -> DataFrame:
         row = own.iloc[0]
         total = np.zeros((int(row["size"]), states))
         for r in counts.itertuples():
-            total[unpacked(r.places, r.size)] += np.frombuffer(r.e, "<f4").reshape(-1, states)
-        return pd.DataFrame([(int(row["shard"]), int(row["size"]), row["c"], total.astype("<f4").tobytes(),
+            total[unpacked(r.places, r.size)] += unsqueezed(r.e, r.size, states)
+        return pd.DataFrame([(int(row["shard"]), int(row["size"]), row["c"], squeezed(total),
                               total.sum(axis=0).tolist())], columns=names)
 
     return (each.groupBy("of_shard").cogroup(model.shards.groupBy("shard"))
@@ -545,14 +559,13 @@ def expected_counts(model: Trained) -> DataFrame:
 
 def score(model: Trained) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every text of the chunks."""
-    states, start, moves, facts = model.states, model.start, model.moves, model.facts
+    states, start, moves, facts, assemble = model.states, model.start, model.moves, model.facts, model.assembled()
 
     def forward_all(mine: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if mine.empty:
             return pd.DataFrame(columns=names_of(SCORES))
         ids, flags, lens, tokens = read_chunk(mine.iloc[0])
-        rows, b = assembled(known, tokens, states, facts.unknown(), "<f8")
-        c = np.concatenate([*[unpacked(d, m, "<i8") for d, m in zip(known["c"], known["size"], strict=True)], [0]])
+        rows, c, b = assemble(known, tokens)
         of = np.repeat(np.arange(len(lens)), lens)
         base = np.bincount(of, np.log10(facts.base(c))[rows], minlength=len(lens))
         known_words = np.bincount(of, (c > 0)[rows], minlength=len(lens)).astype(np.int64) + int(facts.texts > 0)
@@ -564,7 +577,7 @@ def score(model: Trained) -> DataFrame:
                              "base_score": base + np.log10(facts.base(np.array([float(facts.texts)])))[0],
                              "score": logs / np.log(10)})
 
-    return (model.chunks.groupBy("chunk").cogroup(model.handed("<f8").groupBy("of_chunk"))
+    return (model.chunks.groupBy("chunk").cogroup(model.handed().groupBy("of_chunk"))
             .applyInPandas(forward_all, SCORES))
 
 

@@ -115,7 +115,7 @@ def test_query_equals_a_plain_model(spark):
     # the parameters, word by word, from the model's shards
     words = {w: i for i, w in enumerate(sorted(c))}
     e = np.zeros((len(words), 3))
-    shards = {r.shard: np.frombuffer(r.e, "<f4").reshape(-1, 3) for r in model.shards.collect()}
+    shards = {r.shard: hmm.unsqueezed(r.e, r["size"], 3) for r in model.shards.collect()}
     chunk_words = {r.chunk: hmm.unblob(r.words, r["size"]) for r in
                    hmm.chunks(docs, held_out(10, 0), 500).select("chunk", "words", "size").collect()}
     assert len(shards) > 3 and len(chunk_words) >= 3
