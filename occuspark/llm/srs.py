@@ -3,9 +3,10 @@
 Gaussian projections to a few dimensions are 2-stable: the squared projected
 distance over the squared distance is chi-square with that many degrees of
 freedom.  Each task indexes its rows by a kd-tree over the projections and visits
-leaves in the order of projected distance, verifying rows on the original
-vectors, until the chi-square test says that a nearer row would have been met
-with probability ``certainty``.
+leaves in the order of projected distance.  A row is verified on the original
+vectors only while its projected distance passes the chi-square test against the
+k-th distance found so far: a row that fails is as near as that with a probability
+of at most ``1 - certainty``.  When a leaf's box fails, so does every later one.
 """
 
 from __future__ import annotations
@@ -50,6 +51,7 @@ class Tree:
         self.boxes: list[tuple[np.ndarray, np.ndarray]] = []
         self.children: list[tuple[int, int] | None] = []
         self.rows: list[np.ndarray | None] = []
+        self.points = points
         self._add(points, np.arange(len(points)), leaf)
 
     def _add(self, points: np.ndarray, rows: np.ndarray, leaf: int) -> int:
@@ -88,48 +90,53 @@ class Tree:
 
 
 def nearest(tree: Tree, ids: np.ndarray, x: np.ndarray, own: int, query: np.ndarray, projected: np.ndarray, k: int,
-            limit: float, known: float) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and squared distances of up to ``k`` near rows; ``known``: a squared distance that k rows are within."""
-    best_i, best_d = np.empty(0, dtype=np.int64), np.empty(0)
+            limit: float, known: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """Ids and squared distances of up to ``k`` near rows, and the number of rows verified.
+
+    ``known``: a squared distance that k rows of the table are within; it only serves the
+    test, so that every tree gives ``k`` rows if it has them.
+    """
+    best_i, best_d, verified = np.empty(0, dtype=np.int64), np.empty(0), 0
     for at, rows in tree.leaves(projected):
-        kth = min(known, best_d[-1] if len(best_d) == k else math.inf)
+        own_kth = best_d[-1] if len(best_d) == k else math.inf
+        kth = min(known, own_kth) if len(best_d) == k else math.inf
         if at > limit * kth:
             break
+        gap = tree.points[rows] - projected
+        rows = rows[np.einsum("ij,ij->i", gap, gap) <= limit * kth]
+        verified += len(rows)
         gap = x[rows] - query
         dist, new = np.einsum("ij,ij->i", gap, gap), ids[rows]
-        ok = (dist <= kth) & (new != own)
+        ok = (dist <= own_kth) & (new != own)
         if ok.any():
             best_i, best_d = np.concatenate([best_i, new[ok]]), np.concatenate([best_d, dist[ok]])
             order = np.lexsort((best_i, best_d))[:k]
             best_i, best_d = best_i[order], best_d[order]
-    return best_i, best_d
+    return best_i, best_d, verified
 
 
-def sample_bounds(sample: dict, block: dict, k: int) -> dict[int, tuple[np.ndarray, list]]:
-    """For each query the k-th squared distance in a bounded sample (an upper bound), and those k rows."""
+def sample_bounds(sample: dict, block: dict, k: int) -> dict[int, np.ndarray]:
+    """For each query the k-th squared distance in a bounded sample, an upper bound of the k-th of all."""
     out = {}
     for d, (q, queries) in block.items():
         ids, x = sample.get(d, (np.empty(0, dtype=np.int64), np.empty((0, d))))
-        bounds, rows = np.full(len(q), np.inf), []
+        bounds = np.full(len(q), np.inf)
         for n, (own, query) in enumerate(zip(q, queries, strict=True)):
             gap = x - query
             dist = np.einsum("ij,ij->i", gap, gap)
             ok = ids != own
-            order = np.lexsort((ids[ok], dist[ok]))[:k]
-            near_i, near_d = ids[ok][order], dist[ok][order]
-            if len(order) == k:
-                bounds[n] = near_d[-1]
-            rows += [(int(own), int(i), float(math.sqrt(v))) for i, v in zip(near_i, near_d, strict=True)]
-        out[d] = (bounds, rows)
+            if ok.sum() >= k:
+                bounds[n] = np.partition(dist[ok], k - 1)[k - 1]
+        out[d] = bounds
     return out
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 10, dimensions: int = 8, certainty: float = 0.99,
+def search(vectors: DataFrame, queries: DataFrame, k: int = 10, dimensions: int = 32, certainty: float = 0.93,
            seed: int = 11, block_rows: int = 2048, sample_rows: int = 4096, tree_rows: int = 32768) -> DataFrame:
     """Each query's ``k`` nearest rows found: ``query_id, rank, vec_id, score`` (Euclidean distance).
 
     Every row is indexed; a sample of at most ``sample_rows`` only bounds the
-    k-th distance from above.  A row with the query's id is the query's own.  Rows
+    k-th distance from above, its rows are found like all others.  A row with the query's id is the query's own.  Rows
     without an id, with a null or zero vector or with null or non-finite
     components take no part; vectors of another dimension do not meet a query;
     equal distances go to the smaller id; repeated rows rank side by side; without
@@ -141,8 +148,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, dimensions: int
     limit = chi_square_quantile(certainty, dimensions)
     found = None
     for block in V.blocks(V.clean(queries, nonzero=True), block_rows):
-        bounds = sample_bounds(sample, block, k)
-        known = {d: b for d, (b, _) in bounds.items()}
+        known = sample_bounds(sample, block, k)
 
         def run(batches: Iterator[pd.DataFrame], block=block, known=known) -> Iterator[pd.DataFrame]:
             flat = {d: projections(d, dimensions, seed) for d in block}
@@ -156,7 +162,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, dimensions: int
                         continue
                     tree, out = Tree(x @ flat[d]).finish(), []
                     for n, own in enumerate(block[d][0]):
-                        i, s = nearest(tree, ids, x, own, block[d][1][n], cast[d][n], k, limit, known[d][n])
+                        i, s, _ = nearest(tree, ids, x, own, block[d][1][n], cast[d][n], k, limit, known[d][n])
                         out.append(pd.DataFrame({"query_id": own, "vec_id": i, "score": np.sqrt(s)}))
                     yield pd.concat(out)
 
@@ -169,9 +175,6 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, dimensions: int
                 yield from index()
 
         seen = rows.mapInPandas(run, "query_id long, vec_id long, score double")
-        near = [r for _, part in bounds.values() for r in part]  # k rows a query of the block at most
-        if near:
-            seen = seen.unionByName(spark.createDataFrame(near, "query_id long, vec_id long, score double")).distinct()
         part = cut_lineage(V.ranked(seen, k, F.col("score").asc()))
         found = part if found is None else found.unionByName(part)
     return found if found is not None else spark.createDataFrame([], RESULT)
