@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import cut_lineage
 from .urls import split_url
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]{0,4000}"|'[^']{0,4000}')*+)>"""
-                 r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
+START = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)|[!?])")
+QUOTE_OR_END = re.compile(r"""[>"']""")
 MARK = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
@@ -93,6 +93,47 @@ def _furniture(name: str, attributes: str, in_main: bool) -> bool:
     return bool(words & HEADER) and not in_main and not words & CONTENT
 
 
+class Tags:
+    """Tags of a page from left to right, in time linear in the page however long an attribute is.
+
+    A tag ends at the first ``>`` outside quotes.  If one of its quotes is never closed, it
+    ends at its first ``>``; quotes from which that was found out are remembered.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.unclosed = page, set()
+
+    def _end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag whose attributes start at ``at`` (-1: none)."""
+        page, p, met = self.page, at, []
+        while q := QUOTE_OR_END.search(page, p):
+            if q.group() == ">":
+                return q.start()
+            met.append(q.start())
+            close = -1 if q.start() in self.unclosed else page.find(q.group(), q.end())
+            if close < 0:
+                break
+            p = close + 1
+        self.unclosed.update(met)
+        return page.find(">", at)
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Start and end of the next tag, whether it closes, its name ("" for comments and such) and attributes."""
+        page = self.page
+        while m := START.search(page, at):
+            if m.group(1):
+                end = page.find("-->", m.end())
+                return m.start(), len(page) if end < 0 else end + 3, False, "", ""
+            end = self._end(m.end()) if m.group(3) else page.find(">", m.end())
+            if end >= 0:
+                return m.start(), end + 1, bool(m.group(2)), (m.group(3) or "").lower(), page[m.end():end]
+            rest = page.find("<!--", m.end())  # no tag ends from here on, but a comment may begin
+            if rest < 0:
+                return None
+            at = rest
+        return None
+
+
 def lines(page: str | None) -> tuple[list[str], list[bool]]:
     """Text lines of a page outside furniture, and for each whether it is in the page's named article."""
     if not page:
@@ -111,20 +152,20 @@ def lines(page: str | None) -> tuple[list[str], list[bool]]:
                 out.append(text)
                 inside.append(main)
 
-    at, n = 0, len(page)
+    at, n, tags = 0, len(page), Tags(page)
     while at < n:
-        m = TAG.search(page, at)
-        if m is None:
+        tag = tags.after(at)
+        if tag is None:
             if not skip:
                 piece.append(page[at:])
             break
-        if m.start() > at and not skip:
-            piece.append(page[at:m.start()])
-        at = m.end()
-        name = (m.group(2) or m.group(5) or "").lower()
+        start, end, closes, name, attributes = tag
+        if start > at and not skip:
+            piece.append(page[at:start])
+        at = end
         if not name:
             continue
-        if m.group(1) or m.group(4):
+        if closes:
             if any(s[0] == name for s in stack):
                 close()
                 while stack.pop()[0] != name:
@@ -133,7 +174,6 @@ def lines(page: str | None) -> tuple[list[str], list[bool]]:
             elif name not in INLINE and not skip:
                 close()
             continue
-        attributes = m.group(3) or m.group(6) or ""
         if name in RAW:
             if name not in INLINE:
                 close()
