@@ -143,31 +143,44 @@ class UrlTables:
     prior: float
 
 
+def keyed(urls: DataFrame) -> DataFrame:
+    """``host, path`` rows with a short key of both and one of the host: tables of parts of urls carry these, so that
+    they stay linear in a url's length."""
+    size = F.length("host").cast("string")
+    return urls.withColumns({"key": F.md5(F.concat_ws(":", size, "host", "path")), "host_key": F.md5("host")})
+
+
 def word_counts(hosts: DataFrame) -> DataFrame:
     """``word, n``: hosts that show the word split already, and the seeds' share."""
     def words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = {(h, w) for h, p in zip(b["host"], b["path"], strict=True) for w in plain_words(h, p)}
+            rows = {(k, w) for k, h, p in zip(b["host_key"], b["host"], b["path"], strict=True) for w in plain_words(h, p)}
             yield pd.DataFrame(list(rows), columns=["host", "word"])
 
     seeds = hosts.sparkSession.createDataFrame(
         [(w, SEED_COUNT) for w in dict.fromkeys(BLOCK_WORDS + ALLOW_WORDS + PLAIN_WORDS)], "word string, n long")
-    seen = hosts.mapInPandas(words_of, "host string, word string").distinct().groupBy("word").agg(F.count("*").alias("n"))
+    rows = keyed(hosts).select("host_key", "host", "path")
+    seen = rows.mapInPandas(words_of, "host string, word string").distinct().groupBy("word").agg(F.count("*").alias("n"))
     return seen.unionByName(seeds).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def runs_of(urls: DataFrame) -> DataFrame:
-    """``host, path, at, run, name``: letter runs and numbers of every distinct host and path, in order; ``name``: of the host."""
+    """``key, host_key, hosted, at, run, name``: letter runs and numbers of every distinct host and path, in order;
+    ``name``: of the host; ``hosted``: the url has one."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["key", "host_key", "hosted", "at", "run", "name"]
         for b in batches:
             rows = []
-            for h, p in zip(b["host"], b["path"], strict=True):
+            for k, hk, h, p in zip(b["key"], b["host_key"], b["host"], b["path"], strict=True):
                 name, rest = TOKEN.findall(h.lower()), TOKEN.findall(p.lower())
-                rows += [(h, p, i, "#" if t[0].isdigit() else t, i < len(name)) for i, t in enumerate(name + rest)]
-            yield pd.DataFrame(rows, columns=["host", "path", "at", "run", "name"])
+                rows += [(k, hk, h != "", i, "#" if t[0].isdigit() else t, i < len(name)) for i, t in enumerate(name + rest)]
+                if len(rows) > 200_000:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+            yield pd.DataFrame(rows, columns=columns)
 
-    return urls.select("host", "path").distinct().mapInPandas(
-        run, "host string, path string, at int, run string, name boolean")
+    return keyed(urls.select("host", "path")).dropDuplicates(["key"]).select("key", "host_key", "host", "path").mapInPandas(
+        run, "key string, host_key string, hosted boolean, at int, run string, name boolean")
 
 
 def split_runs(runs: DataFrame, words: DataFrame, longest: int = 24) -> DataFrame:
@@ -176,10 +189,14 @@ def split_runs(runs: DataFrame, words: DataFrame, longest: int = 24) -> DataFram
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for at in range(0, len(b), 500):
-                rows = {(r, r[i:j]) for r in b["run"][at:at + 500] if r != "#"
-                        for i in range(len(r)) for j in range(i + 1, min(len(r), i + longest) + 1)}
-                yield pd.DataFrame(list(rows), columns=["run", "word"])
+            rows: set[tuple[str, str]] = set()
+            for k, r in zip(b["run_key"], b["run"], strict=True):
+                for i in range(len(r) if r != "#" else 0):
+                    rows.update((k, r[i:j]) for j in range(i + 1, min(len(r), i + longest) + 1))
+                    if len(rows) > 200_000:
+                        yield pd.DataFrame(list(rows), columns=["run_key", "word"])
+                        rows = set()
+            yield pd.DataFrame(list(rows), columns=["run_key", "word"])
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -187,10 +204,10 @@ def split_runs(runs: DataFrame, words: DataFrame, longest: int = 24) -> DataFram
                 ["#"] if r == "#" else Segmenter({} if w is None else dict(zip(w, n, strict=True)), longest, total).split(r)
                 for r, w, n in zip(b["run"], b["words"], b["n"], strict=True)]})
 
-    distinct = cut_lineage(runs.select("run").distinct())
-    known = (distinct.mapInPandas(pieces, "run string, word string").join(words, "word").groupBy("run")
-             .agg(F.collect_list(F.struct("word", "n")).alias("k")).select("run", "k.word", "k.n"))
-    return distinct.join(known, "run", "left").select("run", F.col("word").alias("words"), "n").mapInPandas(
+    distinct = cut_lineage(runs.select("run").distinct().withColumn("run_key", F.md5("run")))
+    known = (distinct.mapInPandas(pieces, "run_key string, word string").join(words, "word").groupBy("run_key")
+             .agg(F.collect_set(F.struct("word", "n")).alias("k")).select("run_key", "k.word", "k.n"))
+    return distinct.join(known, "run_key", "left").select("run", F.col("word").alias("words"), "n").mapInPandas(
         best, "run string, words array<string>")
 
 
@@ -199,7 +216,7 @@ def tables(urls: DataFrame, pull: float = 50.0) -> UrlTables:
     words = cut_lineage(word_counts(urls.where("host <> ''")))
     runs = cut_lineage(runs_of(urls))
     splits = cut_lineage(split_runs(runs, words))
-    found = (runs.where("host <> ''").select("host", "run", "name").distinct().join(splits, "run")
+    found = (runs.where("hosted").select(F.col("host_key").alias("host"), "run", "name").distinct().join(splits, "run")
              .select("host", "name", F.explode("words").alias("token"))
              .groupBy("host", "token").agg(F.max("name").alias("name")))
 
@@ -235,13 +252,13 @@ def fit(hosts: DataFrame) -> UrlModel:
 
 
 def scores(urls: DataFrame, model: UrlTables) -> DataFrame:
-    """``host, path, log_odds`` of every distinct host and path that has a token.  Summed in the url's order."""
+    """``key, log_odds`` of every distinct host and path that has a token.  Summed in the url's order."""
     of_run = (model.splits.select("run", F.posexplode("words").alias("i", "token")).join(model.odds, "token")
               .groupBy("run").agg(F.array_sort(F.collect_list(F.struct("i", "odds"))).alias("o"))
               .select("run", F.col("o.odds").alias("odds")))
-    return (runs_of(urls).join(of_run, "run").groupBy("host", "path")
+    return (runs_of(urls).join(of_run, "run").groupBy("key")
             .agg(F.flatten(F.array_sort(F.collect_list(F.struct("at", "odds"))).getField("odds")).alias("o"))
-            .select("host", "path", F.aggregate("o", F.lit(0.0), lambda x, y: x + y).alias("log_odds")))
+            .select("key", F.aggregate("o", F.lit(0.0), lambda x, y: x + y).alias("log_odds")))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -257,7 +274,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     model = tables(rows)
     rule, said = rule_columns(F.col("host"), F.col("path"), rules)
 
-    scored = rows.join(scores(rows, model), ["host", "path"], "left").withColumn(
+    scored = keyed(rows).join(scores(rows, model), "key", "left").withColumn(
         "score", F.lit(model.prior) + F.coalesce("log_odds", F.lit(0.0)))
     verdict = F.coalesce(said, F.when(F.col("score") > 0, F.lit("block")).otherwise(F.lit("allow")))
     return scored.select("page_id", "url", "host", "path", rule.alias("rule"), verdict.alias("verdict"), "score")

@@ -180,3 +180,29 @@ def test_blocks_do_not_change_the_pairs(spark):
 
 def test_extract_empty_table(spark):
     assert pages.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_attributes_of_any_length_stay_out_of_the_text():
+    for size in (100, 5_000, 1_000_000):
+        page = f"<p title=\"{'a' * size}>LEAK\">c</p><p data-x='{'b>' * size}'>d</p>"
+        assert pages.lines(page)[0] == ["c", "d"]
+
+
+def test_pages_of_unclosed_quotes_and_brackets_stay_linear():
+    import time
+    began = time.time()
+    assert pages.lines("<a href=\"x>t</a> " * 60_001 + "<b>end</b>")[0]
+    assert pages.lines("<a href='x title=\"y>t</a> " * 60_001)[0]
+    assert pages.lines("<i " * 200_000 + "end") == (["<i " * 200_000 + "end"], [False])
+    assert pages.lines("<! " * 200_000 + "<!-- c -->tail") [0] == ["tail"]
+    assert pages.lines("a <! b" + " c" * 5)[0] == ["a <! b" + " c" * 5]
+    assert time.time() - began < 20
+
+
+def test_urls_of_a_million_characters(spark):
+    rows = [(1, "http://long.example/" + "ab-" * 330_000), (2, "http://other.example/" + "x" * 60_000), (3, "http://a.example/p"),
+            (4, "http://" + "host-" * 30_000 + ".example/")]
+    out = urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert sorted(r.page_id for r in out) == [1, 2, 3, 4]
+    assert all(r.host and r.verdict in ("allow", "block") for r in out)
+    assert max(len(r.path) for r in out) == 990_001
