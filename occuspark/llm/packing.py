@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,21 +28,25 @@ from .common import cut_lineage, documents_of, sub_blocks, trim
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Words kept with their ids in a worker process.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 250_000
 #: Characters of texts that are encoded together.
 SLICE_CHARS = 2_000_000
 LONGEST_CACHED = 48
+#: Latin letters, and the mark that may follow them; none of these turns into another by the tokenizer's folding.
+LATIN = "^[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u01ba\u01bc-\u01bf\u01c4-\u024f]+[.,]?$"
+#: A word that stands between words encoded together; words that hold it are encoded alone.
+BETWEEN = "~"
 #: White space for ``str.split`` that the tokenizer does not treat as such.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
 class WordEncoder:
-    """Ids of a text as little-endian unsigned 32-bit bytes.
+    """Ids of texts as unsigned 32-bit numbers.
 
-    The tokenizer never lets a token span white space, so a text's ids are those
-    of its words one after another.  A word met for the first time is looked up in
-    lower case and without the full stop or comma after its letters, which is a
-    token of its own; only what is then unknown is encoded.
+    The tokenizer never lets a token span white space, so a text's ids are those of its
+    words one after another.  The distinct words of many texts are looked up together, in
+    lower case and without the full stop or comma after their letters, which is a token
+    of its own; only what is then unknown is encoded.
     """
 
     def __init__(self, path: str):
@@ -51,11 +56,9 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-        self.unkept = 0
-        self.marks = {c: self._ids([c])[0] for c in ".,"}
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
-        for token, k in self.tokenizer.get_vocab().items():
-            self.ends[k] = token.endswith("</w>")
+        self.recent: list[dict[str, bytes]] = [{}, {}]
+        self.marks = {c: int(np.frombuffer(self._ids([c])[0], "<u4")[0]) for c in ".,"}
+        self.between = int(np.frombuffer(self._ids([BETWEEN])[0], "<u4")[0])
 
     @classmethod
     def of_process(cls, path: str) -> WordEncoder:
@@ -70,24 +73,19 @@ class WordEncoder:
         return [np.asarray(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _letter_ids(self, words: list[str]) -> list[bytes]:
-        """The same for words of ASCII letters, each of which ends with its only word-end token."""
-        ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        stop = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word; encoded as one text, with a word of its own between them."""
+        if any(BETWEEN in w or "<|" in w for w in words):
+            return self._ids(words)
+        ids = np.asarray(self.tokenizer.encode_batch_fast([f" {BETWEEN} ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(ids == self.between)
+        if len(cuts) != len(words) - 1:
+            return self._ids(words)
         flat = ids.tobytes()
-        return [flat[a:b] for a, b in zip([0, *stop], stop, strict=False)]
+        return [flat[4 * a:4 * b] for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True)]
 
     def encode(self, text: str) -> bytes:
-        if any(c in text for c in SEPARATORS):
-            return self._ids([text])[0]
-        words = text.split()
-        parts = list(map(self.known.get, words))
-        if None in parts:
-            gaps = [i for i, p in enumerate(parts) if p is None]
-            found = self._found({words[i] for i in gaps})
-            for i in gaps:
-                parts[i] = found[words[i]]
-        return b"".join(parts)
+        return self.encode_many([text])[0].tobytes()
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; every distinct word of the texts is looked up once."""
@@ -99,52 +97,57 @@ class WordEncoder:
                 words += t.split()
             ends[i] = len(words)
         coded = pa.array(words, pa.string()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        parts = list(map(self.known.get, distinct))
-        if None in parts:
-            found = self._found({w for w, p in zip(distinct, parts, strict=True) if p is None})
-            parts = [found[w] if p is None else p for w, p in zip(distinct, parts, strict=True)]
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        flat, begin = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(size) - size
+        key, tail, begin, size, flat = self._looked_up(coded.dictionary)
         at = coded.indices.to_numpy()
-        n = size[at]
-        upto = np.cumsum(n)
-        ids = flat[np.repeat(begin[at] - (upto - n), n) + np.arange(int(n.sum()))]
-        cuts = np.r_[0, upto][ends]
-        out = np.split(ids, cuts[:-1])
+        of, mark = key[at], tail[at]
+        n = size[of]
+        after = np.cumsum(n + (mark >= 0))
+        start = after - n - (mark >= 0)
+        out = np.empty(int(after[-1]) if len(after) else 0, "<u4")
+        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        out[np.repeat(start, n) + within] = flat[np.repeat(begin[of], n) + within]
+        marked = np.flatnonzero(mark >= 0)
+        out[after[marked] - 1] = mark[marked]
+        parts = np.split(out, np.r_[0, after][ends][:-1])
         for i in alone:
-            out[i] = np.frombuffer(self._ids([texts[i]])[0], "<u4")
-        return out
-
-    def _found(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of unseen words, kept while there is room; long unkept, the table starts again."""
-        known, ids, wait = self.known, {}, {}
-        for w in new:
-            key, tail = w, b""
-            if "<|" not in w:
-                if w[-1] in self.marks and w[:-1].isalpha() and max(w) < "\u0250" and "\u0130" not in w:
-                    key, tail = w[:-1], self.marks[w[-1]]  # plain Latin letters: none turns into a mark
-                if key.isascii():
-                    key = key.lower()
-            if key in known:
-                ids[w] = known[key] + tail
-            else:
-                wait.setdefault(key, []).append((w, tail))
-        plain = [w for w in wait if w.isascii() and w.isalpha()]
-        other = [w for w in wait if not (w.isascii() and w.isalpha())]
-        encoded = dict(zip(plain, self._letter_ids(plain), strict=True)) if plain else {}
-        if other:
-            encoded.update(zip(other, self._ids(other), strict=True))
-        for key, uses in wait.items():
-            for w, tail in uses:
-                ids[w] = encoded[key] + tail
-        if self.unkept > 4 * CACHE_WORDS:
-            known.clear()
-            self.unkept = 0
-        if len(known) + len(ids) + len(encoded) <= CACHE_WORDS:
-            known.update((w, v) for part in (ids, encoded) for w, v in part.items() if len(w) <= LONGEST_CACHED)
-        else:
-            self.unkept += len(ids)
+            parts[i] = np.frombuffer(self._ids([texts[i]])[0], "<u4")
+        return parts
+
+    def _looked_up(self, words: pa.Array) -> tuple[np.ndarray, ...]:
+        """For distinct words: the number of each one's key, the id of the mark after it (-1: none); for keys: where
+        their ids begin, how many they are, and all of them in a row."""
+        latin = pc.match_substring_regex(words, LATIN)
+        bare = pc.if_else(latin, pc.utf8_rtrim(words, ".,"), words)
+        tail = np.full(len(words), -1, np.int64)
+        for c, k in self.marks.items():
+            tail[pc.and_(latin, pc.ends_with(words, c)).to_numpy(zero_copy_only=False).astype(bool)] = k
+        small = pc.and_(pc.string_is_ascii(bare), pc.invert(pc.match_substring(bare, "<|")))
+        keys = pc.if_else(small, pc.ascii_lower(bare), bare).dictionary_encode()
+        distinct = keys.dictionary.to_pylist()
+        ids = list(map(self.known.get, distinct))
+        gaps = [i for i, x in enumerate(ids) if x is None]
+        if gaps:
+            for i, x in zip(gaps, self._found([distinct[i] for i in gaps]), strict=True):
+                ids[i] = x
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        return keys.indices.to_numpy(), tail, np.cumsum(size) - size, size, np.frombuffer(b"".join(ids), "<u4")
+
+    def _found(self, words: list[str]) -> list[bytes]:
+        """Ids of words outside the table.  A word enters it when it is met again soon after the first time, so that
+        the many words that occur once never fill it; full, it starts again."""
+        recent, older = self.recent
+        ids = [recent.get(w) or older.get(w) for w in words]
+        self.known.update((w, x) for w, x in zip(words, ids, strict=True) if x is not None and len(w) <= LONGEST_CACHED)
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        gaps = [i for i, x in enumerate(ids) if x is None]
+        new = [words[i] for i in gaps]
+        if len(recent) > CACHE_WORDS // 4:
+            self.recent = [{}, recent]
+        for i, w, x in zip(gaps, new, self._word_ids(new) if new else [], strict=True):
+            ids[i] = x
+            if len(w) <= LONGEST_CACHED:
+                self.recent[0][w] = x
         return ids
 
 
