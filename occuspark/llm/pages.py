@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, release
 from .urls import split_url
 
 START = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)|[!?])")
@@ -427,7 +427,8 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("row", F.xxhash64("url", "html"))
-    template = neighbours(cut_lineage(line_marks(rows)))
+    template = cut_lineage(neighbours(cut_lineage(line_marks(rows))))
+    release(pages.sparkSession)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
