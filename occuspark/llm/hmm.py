@@ -217,6 +217,19 @@ def unsqueezed(data: bytes, rows: int, states: int) -> np.ndarray:
     return np.frombuffer(plain, "<f4").reshape(rows, states)
 
 
+def rounded(counts: np.ndarray) -> bytes:
+    """State counts to three digits (the upper half of 32-bit floats), compressed: enough for a round's expectations."""
+    bits = np.ascontiguousarray(np.where(counts < 1e-6, 0, counts), "<f4").view("<u4")
+    half = ((bits + np.uint32(0x8000)) >> np.uint32(16)).astype("<u2")
+    return pa.Codec("zstd").compress(half.view(np.uint8).reshape(-1, 2).T.tobytes(), asbytes=True)
+
+
+def unrounded(data: bytes, rows: int, states: int) -> np.ndarray:
+    plain = pa.Codec("zstd").decompress(data, 2 * rows * states, asbytes=True) if rows else b""
+    half = np.ascontiguousarray(np.frombuffer(plain, np.uint8).reshape(2, -1).T).view("<u2").astype("<u4")
+    return (half << np.uint32(16)).view("<f4").reshape(rows, states)
+
+
 def names_of(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
@@ -407,10 +420,11 @@ class Trained:
         self.totals, self.start, self.moves, self.facts = totals, start, moves, facts
         self.prior, self.likelihoods = prior * facts.words / states, likelihoods
 
-    def handed(self) -> DataFrame:
-        """``of_chunk, shard, size, locals, places, c, e``: to every chunk the counts of its words, by shard."""
+    def handed(self, whole: bool) -> DataFrame:
+        """``of_chunk, shard, size, locals, places, c, e``: to every chunk the counts of its words, by shard (rounded
+        for training, whole for scores)."""
         schema = "of_chunk long, shard int, size int, locals binary, places binary, c binary, e binary"
-        states = self.states
+        states, made = self.states, squeezed if whole else rounded
 
         def answer(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
             if asked.empty or own.empty:
@@ -420,7 +434,7 @@ class Trained:
             out = []
             for r in asked.itertuples():
                 at = unpacked(r.places, r.size)
-                out.append((r.chunk, r.shard, r.size, r.locals, r.places, packed(c[at], "<i8"), squeezed(e[at])))
+                out.append((r.chunk, r.shard, r.size, r.locals, r.places, packed(c[at], "<i8"), made(e[at])))
             return framed(out, schema)
 
         # other names: shards and places may be parts of one table
@@ -428,16 +442,16 @@ class Trained:
                                  F.col("e").alias("own_e"))
         return self.places.groupBy("shard").cogroup(own.groupBy("of_shard")).applyInPandas(answer, schema)
 
-    def assembled(self):
+    def assembled(self, whole: bool):
         """Function of the shards' answers and a chunk's words: the words as rows of the word probabilities (words without
         any: the last row), their training counts, and the probabilities."""
-        states, totals, facts, prior = self.states, self.totals, self.facts, self.prior
+        states, totals, facts, prior, read = self.states, self.totals, self.facts, self.prior, unsqueezed if whole else unrounded
 
         def assemble(known: pd.DataFrame, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             sizes = known["size"].tolist()
             local = np.concatenate([np.zeros(0, np.int32), *[unpacked(d, m) for d, m in zip(known["locals"], sizes, strict=True)]])
             c = np.concatenate([np.zeros(0, np.int64), *[unpacked(d, m, "<i8") for d, m in zip(known["c"], sizes, strict=True)]])
-            e = np.concatenate([np.zeros((0, states), "<f4"), *[unsqueezed(d, m, states) for d, m in zip(known["e"], sizes, strict=True)]])
+            e = np.concatenate([np.zeros((0, states), "<f4"), *[read(d, m, states) for d, m in zip(known["e"], sizes, strict=True)]])
             b = word_rows(e.astype(float), totals, c, facts.words, facts.unknown(), prior)
             table = np.full(int(max(tokens.max(initial=0), local.max(initial=0))) + 1, len(local), np.int64)
             table[local] = np.arange(len(local))
@@ -514,7 +528,7 @@ def expected_counts(model: Trained) -> DataFrame:
     Rows of negative shards hold sums of starts, moves from each state, ends, and in the last
     line the empty texts and the log likelihood.
     """
-    states, start, moves, assemble = model.states, model.start, model.moves, model.assembled()
+    states, start, moves, assemble = model.states, model.start, model.moves, model.assembled(False)
     schema = "of_shard int, size int, places binary, e binary"
 
     def expect(mine: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
@@ -539,7 +553,7 @@ def expected_counts(model: Trained) -> DataFrame:
         out.append((-1 - int(row["chunk"] % 61 + row["chunk"] // 2 ** 32) % 64, 0, b"", edge.tobytes()))
         return framed(out, schema)
 
-    each = model.chunks.groupBy("chunk").cogroup(model.handed().groupBy("of_chunk")).applyInPandas(expect, schema)
+    each = model.chunks.groupBy("chunk").cogroup(model.handed(False).groupBy("of_chunk")).applyInPandas(expect, schema)
 
     def add(counts: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         names = ["shard", "size", "c", "e", "sums"]
@@ -559,7 +573,7 @@ def expected_counts(model: Trained) -> DataFrame:
 
 def score(model: Trained) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every text of the chunks."""
-    states, start, moves, facts, assemble = model.states, model.start, model.moves, model.facts, model.assembled()
+    states, start, moves, facts, assemble = model.states, model.start, model.moves, model.facts, model.assembled(True)
 
     def forward_all(mine: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if mine.empty:
@@ -577,7 +591,7 @@ def score(model: Trained) -> DataFrame:
                              "base_score": base + np.log10(facts.base(np.array([float(facts.texts)])))[0],
                              "score": logs / np.log(10)})
 
-    return (model.chunks.groupBy("chunk").cogroup(model.handed().groupBy("of_chunk"))
+    return (model.chunks.groupBy("chunk").cogroup(model.handed(True).groupBy("of_chunk"))
             .applyInPandas(forward_all, SCORES))
 
 
