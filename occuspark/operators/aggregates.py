@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import series
+from . import ordering
 
 
 def _c(x) -> Column:
@@ -80,9 +80,15 @@ def residuals(df: DataFrame, keys, value="active_people", out="residual") -> Dat
 
 
 def quantile_levels(df: DataFrame, value: str, levels: list[list[str]], q: float = 0.8) -> list[DataFrame]:
-    """Exact (linearly interpolated) quantile of ``value`` per level of keys."""
-    return [series.exact_quantiles(df, value, list(keys), q).withColumnRenamed("quantile", f"p{int(q * 100)}")
-            for keys in levels]
+    """Exact (linearly interpolated) quantile of ``value`` per level of keys, all levels in the same two passes."""
+    out = f"p{int(q * 100)}"
+    types = {f.name: f.dataType for f in df.schema.fields}
+    names = sorted({k for keys in levels for k in keys})
+    each = [F.struct(F.lit(i).alias("level"), *[(F.col(k) if k in keys else F.lit(None).cast(types[k])).alias(k) for k in names])
+            for i, keys in enumerate(levels)]
+    rows = df.select(F.explode(F.array(*each)).alias("key"), F.col(value).alias("value"))
+    found = ordering.keyed_quantiles(rows, q).select("key.*", F.col("quantile").alias(out))
+    return [found.where(F.col("level") == i).select(*keys, out) for i, keys in enumerate(levels)]
 
 
 def dataset_summary(df: DataFrame, key="gym_id", ts="ts", value="active_people") -> DataFrame:

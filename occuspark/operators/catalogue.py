@@ -2,10 +2,8 @@
 
 Library rows and their media are joined on the item key; every per-item
 collection (gallery, kinds) is built with a grouped aggregate, and every
-"best row per key" is a bounded window.  The fuzzy similarity join collapses
-identical (token set, group) signatures on both sides before the token
-equi-join, so the candidate pairs grow with the number of *distinct* names,
-not with the number of rows carrying a popular name.
+"best row per key" is a bounded window.  The fuzzy similarity join works on the
+distinct (token set, group) signatures (:mod:`setjoin`).
 """
 
 from __future__ import annotations
@@ -14,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from . import setjoin
 
 # Media types that count as rich media.
 RICH_TYPES = ("external_image", "local_image", "image", "external_gif", "local_gif", "gif", "external_video",
@@ -112,26 +111,18 @@ def fuzzy_match(exercises: DataFrame, records: DataFrame, threshold: float = 0.3
                 rec_key="record_id") -> DataFrame:
     """Best record per exercise by token overlap / max(token counts) + 1 for the same group.
 
-    Both sides are reduced to distinct (token set, group) signatures; the
-    earliest record id represents its signature (ties go to the earlier record).
-    Candidates come from a token equi-join between signatures, never a cross join.
+    Both sides are reduced to distinct (token set, group) signatures, the earliest record id
+    standing for its signature (ties go to the earlier record), and matched by
+    :func:`setjoin.best_match`.
     """
-    ex = exercises.select(ex_key, S.name_tokens("name").alias("etok"), F.col("muscle_group").alias("egroup")) \
-                  .filter(F.size("etok") > 0)
-    rc = records.select(rec_key, S.name_tokens("name").alias("rtok"), F.col("muscle_group").alias("rgroup")) \
-                .filter(F.size("rtok") > 0)
-    etok_sorted, rtok_sorted = F.array_sort("etok"), F.array_sort("rtok")
-    esig = ex.select(etok_sorted.alias("etok"), "egroup").distinct()
-    rsig = rc.groupBy(rtok_sorted.alias("rtok"), "rgroup").agg(F.min(rec_key).alias(rec_key))
-    pairs = (esig.select("etok", "egroup", F.explode("etok").alias("t"))
-                 .join(rsig.select("rtok", "rgroup", rec_key, F.explode("rtok").alias("t")), "t")
-                 .groupBy("etok", "egroup", "rtok", "rgroup", rec_key).agg(F.count(F.lit(1)).alias("overlap")))
-    score = (F.col("overlap") / F.greatest(F.size("etok"), F.size("rtok"))
-             + (F.col("egroup") == F.col("rgroup")).cast("double"))
-    w = Window.partitionBy("etok", "egroup").orderBy(F.col("score").desc(), F.col(rec_key))
-    best = (pairs.withColumn("score", score).withColumn("_r", F.row_number().over(w)).filter("_r = 1")
-                 .filter(F.col("score") >= threshold).select("etok", "egroup", rec_key, "score"))
-    return ex.withColumn("etok", etok_sorted).join(best, ["etok", "egroup"]).select(ex_key, rec_key, "score")
+    tokens = S.name_tokens("name")
+    ex = exercises.select(ex_key, "muscle_group", tokens.alias("tok"))
+    rc = records.select(F.col(rec_key).alias("rec"), "muscle_group", tokens.alias("tok"))
+    wanted = setjoin.signatures(ex, "tok", "muscle_group")
+    best = setjoin.best_match(wanted, setjoin.signatures(rc, "tok", "muscle_group", F.min("rec").alias("rec")),
+                              threshold, "rec")
+    own = setjoin.signatures(ex, "tok", "muscle_group", F.collect_list(ex_key).alias("_ids"))
+    return own.join(best, ["sig", "grp"]).select(F.explode("_ids").alias(ex_key), F.col("rec").alias(rec_key), "score")
 
 
 def anatomy_resolve(library: DataFrame, overrides: DataFrame, isolation: DataFrame, patterns: list,

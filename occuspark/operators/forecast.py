@@ -71,6 +71,23 @@ def interval_bands(df: DataFrame, pred="prediction", u="uncertainty_abs_error_p8
         "prediction_interval_high": F.col(pred) + F.col(u)})
 
 
+def future_rows(obs: DataFrame, holidays: cal.HolidayCalendar, horizon_days: int = 7,
+                interval_minutes: int | None = None) -> DataFrame:
+    """Future slots of every site with its place, calendar and holiday features and ``is_closed``.
+
+    Without an interval, the median gap of the observations is used.
+    """
+    if interval_minutes is None:
+        interval_minutes = series.infer_interval(obs).head()[0]  # one number
+    meta = series.latest_per_entity(obs, "gym_id", "ts", seq="seq", cols=["city", "address"])
+    bounds = obs.agg(F.max("ts").alias("_last")).select(forecast_start(F.col("_last"), interval_minutes).alias("_start"))
+    bounds = bounds.withColumn("_end", F.col("_start") + F.make_dt_interval(F.lit(horizon_days)))
+    rows = series.spine(meta.crossJoin(F.broadcast(bounds)), F.col("_start"), F.col("_end"), interval_minutes)  # one row
+    return (rows.drop("_start", "_end").withColumns({**cal.calendar_columns("ts"), **cal.holiday_columns("ts", holidays),
+                                                     "is_open_estimated": cal.business_open("ts")})
+            .withColumn("is_closed", (F.col("is_gym_closed_holiday") == 1) | (F.col("is_open_estimated") == 0)))
+
+
 def forecast_profile(obs: DataFrame, errors: DataFrame, holidays: cal.HolidayCalendar,
                      horizon_days: int = 7, interval_minutes: int = 20,
                      value="active_people", model_name="calendar_profile") -> DataFrame:
@@ -106,3 +123,72 @@ def forecast_profile(obs: DataFrame, errors: DataFrame, holidays: cal.HolidayCal
         cal.business_label("ts").alias("business_hours"),
         *[hol[k].alias(k) for k in ("is_public_holiday", "is_gym_closed_holiday", "is_major_low_traffic_holiday",
                                     "is_major_holiday_window", "holiday_effect_multiplier")])
+
+
+def profile_fallback(obs: DataFrame, rows: DataFrame, value="active_people") -> DataFrame:
+    """``profile_mean, profile_std`` of rows with ``gym_id, day_of_week, hour``, the rows of the site's slot and hour
+    behind them (``slot_rows, gh_rows``; null without any)."""
+    prof = obs.withColumns({"day_of_week": cal.weekday("ts"), "hour": F.hour("ts")})
+    by_slot = aggregates.profile(prof, ["gym_id", "day_of_week", "hour"], value, "slot")
+    by_hour = aggregates.profile(prof, ["gym_id", "hour"], value, "gh")
+    overall = prof.agg(F.avg(value).alias("mean_all"))
+    p = (rows.join(by_slot, ["gym_id", "day_of_week", "hour"], "left").join(by_hour, ["gym_id", "hour"], "left")
+         .crossJoin(F.broadcast(overall)))  # one row
+    return p.withColumns({"profile_mean": F.coalesce("slot_mean", "gh_mean", "mean_all"),
+                          "profile_std": F.coalesce("slot_std", "gh_std", F.lit(DEFAULT_PROFILE_STD))})
+
+
+SEED = 42  # fixed value: seed of the scenario's draws
+
+
+def hash32(*parts) -> Column:
+    """32 bits of the parts' text, the same on every engine (the first eight digits of its md5)."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("long")
+
+
+def normal_draw(*parts) -> Column:
+    """A standard normal number drawn by hash (Box and Muller)."""
+    u = [(hash32(F.lit(side), *parts) + 0.5) / 4294967296.0 for side in ("radius", "angle")]
+    return F.sqrt(-2.0 * F.log(u[0])) * F.cos(2.0 * F.lit(3.141592653589793) * u[1])
+
+
+def scenario_projection(obs: DataFrame, holidays: cal.HolidayCalendar, horizon_days: int = 7, interval_minutes: int = 20,
+                        seed: int = SEED, value="active_people") -> DataFrame:
+    """Projected counts per site and slot: profile x holiday x season x a site's trend, plus residual and noise.
+
+    The profile's mean and deviation fall back from (site, weekday, hour) to (site, hour) and
+    to the global mean and 8.0.  Residuals of the observations are numbered inside each
+    (site, weekday, hour) and (site, hour); a slot's residual is the one whose number its
+    hash picks, found by an equi-join, so reruns agree.  Closed slots are 0.
+    """
+    prof = obs.withColumns({"day_of_week": cal.weekday("ts"), "hour": F.hour("ts")})
+    by_slot = aggregates.profile(prof, ["gym_id", "day_of_week", "hour"], value, "slot")
+    res = prof.join(by_slot, ["gym_id", "day_of_week", "hour"]).withColumns({
+        "_r": F.col(value) - F.col("slot_mean"), "_slot": F.concat_ws("|", "gym_id", "day_of_week", "hour"),
+        "_gh": F.concat_ws("|", "gym_id", "hour")}).select("ts", "seq", "_r", "_slot", "_gh")
+
+    def drawn(key: str, out: str) -> DataFrame:
+        placed = series.chunked_row_index(res, key, "ts", "seq", out="_i")
+        return placed.select(key, F.col("_i").alias(f"{out}_i"), F.col("_r").alias(out))
+
+    start = obs.agg(forecast_start(F.max("ts"), interval_minutes).alias("_s"))
+    grid = obs.select("gym_id").distinct().crossJoin(F.broadcast(start))  # one row
+    grid = series.spine(grid, F.col("_s"), F.col("_s") + F.make_dt_interval(F.lit(horizon_days)), interval_minutes)
+    minutes = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("_s").cast("timestamp"))
+    steps = horizon_days * 24 * 60 // interval_minutes + (1 if horizon_days * 24 * 60 % interval_minutes else 0)
+    grid = grid.withColumns({"step": minutes / F.lit(60_000_000 * interval_minutes), "day_of_week": cal.weekday("ts"),
+                             "hour": F.hour("ts"), "_at": F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+                             "_slot": F.concat_ws("|", "gym_id", cal.weekday("ts"), F.hour("ts")),
+                             "_gh": F.concat_ws("|", "gym_id", F.hour("ts"))}).drop("_s")
+    p = profile_fallback(obs, grid, value)
+    pick = hash32(F.lit("residual"), F.col("gym_id"), F.col("_at"), F.lit(str(seed)))
+    p = p.withColumns({"near_i": F.pmod(pick, F.col("slot_rows")), "far_i": F.when(F.col("slot_rows").isNull(), F.pmod(pick, F.col("gh_rows")))})
+    p = p.join(drawn("_slot", "near"), ["_slot", "near_i"], "left").join(drawn("_gh", "far"), ["_gh", "far_i"], "left")
+    mean, std = F.col("profile_mean"), F.col("profile_std")
+    trend = 0.004 * normal_draw(F.lit("trend"), F.col("gym_id"), F.lit(str(seed)))
+    noise = normal_draw(F.lit("noise"), F.col("gym_id"), F.col("_at"), F.lit(str(seed))) * F.greatest(F.lit(1.5), std * 0.18)
+    v = (mean * cal.holiday_multiplier("ts", holidays) * cal.season_factor("ts") * (1 + trend * (F.col("step") / steps))
+         + F.coalesce("near", "far", F.lit(0.0)) * 0.35 + noise)
+    count = F.bround(F.least(F.greatest(v, F.lit(0.0)), F.lit(260.0)), 0).cast("long")
+    closed = (cal.in_dates("ts", holidays.closed) == 1) | (cal.business_open("ts") == 0)
+    return p.select("gym_id", "ts", F.when(closed, F.lit(0)).otherwise(count).alias("active_people"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions import scalars
+from ..session import ensure_checkpoint_dir
 from . import series
 
 # Preference defaults for users without a stored row.
@@ -63,12 +64,6 @@ def offpeak_visit(checked_in_at: str = "checked_in_at", crowd: str = "active_peo
     return ((h >= 10) & (h < 16)) | (F.col(crowd) <= 45)
 
 
-def _nth(df: DataFrame, key: str, order: list[str], ts: str, n: int, name: str) -> DataFrame:
-    """n-th row per key in ``order`` (time first, then an id): positions per (key, day), no per-key window."""
-    tiebreak = order[1] if len(order) > 1 else None
-    return series.nth_event_chunked(df, key, ts, n, name, tiebreak=tiebreak)
-
-
 # Achievement catalogue (id, code, target).
 ACHIEVEMENTS = (
     (1, "consistency_builder", 4.0), (2, "off_peak_hero", 5.0), (3, "strength_master", 20.0),
@@ -78,65 +73,88 @@ ACHIEVEMENTS = (
 )
 
 
+def tagged_events(sets: DataFrame, visits: DataFrame, templates: DataFrame, core_lifts, bench: str) -> DataFrame:
+    """Sets, visits and templates as one stream ``user_id, rule, ts, id, amount, item``: an event once for each
+    rule it counts for, with what it adds.  Rule 0 is every set.  Each fact table is read once."""
+    ex = F.lower("exercise")
+    of_set = F.array(F.struct(F.lit(0).alias("rule"), F.lit(1.0).alias("amount")),
+                     F.struct(F.when(ex.isin(*[x.lower() for x in core_lifts]), 3).alias("rule"), F.lit(1.0).alias("amount")),
+                     F.struct(F.lit(5).alias("rule"), (F.col("weight_kg") * F.col("reps")).cast("double").alias("amount")),
+                     F.struct(F.when(ex == bench.lower(), 6).alias("rule"), F.col("weight_kg").cast("double").alias("amount")),
+                     F.struct(F.when(F.coalesce("modifiers_json", F.lit("{}")) != "{}", 8).alias("rule"), F.lit(1.0).alias("amount")))
+    of_visit = F.array(F.struct(F.lit(9).alias("rule"), F.lit(1.0).alias("amount")),
+                       F.struct(F.when(offpeak_visit(), 2).alias("rule"), F.lit(1.0).alias("amount")))
+    of_template = F.array(F.struct(F.lit(4).alias("rule"), F.lit(1.0).alias("amount")))
+
+    def tagged(df: DataFrame, ts: str, key: str, rules, item) -> DataFrame:
+        return (df.select("user_id", F.col(ts).cast("timestamp_ntz").alias("ts"), F.col(key).cast("long").alias("id"),
+                          item.alias("item"), F.explode(rules).alias("x")).where(F.col("x.rule").isNotNull())
+                .select("user_id", F.col("x.rule").alias("rule"), "ts", "id", F.col("x.amount").alias("amount"), "item"))
+
+    none = F.lit(None).cast("string")
+    return (tagged(sets, "performed_at", "set_id", of_set, F.col("exercise"))
+            .unionByName(tagged(visits, "checked_in_at", "visit_id", of_visit, none))
+            .unionByName(tagged(templates, "created_at", "template_id", of_template, none)))
+
+
 def achievements(users: DataFrame, sets: DataFrame, visits: DataFrame, templates: DataFrame,
                  core_lifts=("barbell bench press", "back squat", "incline dumbbell press", "lat pulldown"),
                  bench="barbell bench press", targets: dict | None = None) -> DataFrame:
     """Ten achievement rules x user: progress (capped at target), target, unlocked_at.
 
-    ``targets`` overrides catalogue targets by code (the explorer rule needs as
-    many distinct exercises as the data has).
+    All rules are counters over one stream of tagged events (written once): day sums give
+    the totals and the day on which a counter crosses its target, and only the events of
+    those days are put in order.  ``targets`` overrides catalogue targets by code (the
+    explorer rule needs as many distinct exercises as the data has).
     """
     tg = {code: t for _, code, t in ACHIEVEMENTS}
     tg.update(targets or {})
-    s = sets.withColumn("_ex", F.lower("exercise"))
-    order = ["performed_at", "set_id"]
-    vorder = ["checked_in_at", "visit_id"]
-    core = F.col("_ex").isin(*[x.lower() for x in core_lifts])
-    has_mod = F.coalesce(F.col("modifiers_json"), F.lit("{}")) != "{}"
-    day = _day("performed_at")
-
-    days = s.select("user_id", day.alias("day")).distinct()
-    latest = days.groupBy("user_id").agg(F.max("day").alias("_latest"))
-    weekly = days.join(latest, "user_id").groupBy("user_id").agg(
-        F.count(F.when(F.col("day") >= F.date_sub("_latest", 6), 1)).cast("double").alias("p1"))
-    fourth_day = _nth(days, "user_id", ["day"], "day", int(tg["consistency_builder"]), "_d4")
-    u1 = (s.withColumn("day", day).join(fourth_day, "user_id").filter(F.col("day") == F.col("_d4"))
-           .groupBy("user_id").agg(F.max_by("performed_at", F.struct("performed_at", "set_id")).alias("u1")))
-
-    agg = s.groupBy("user_id").agg(
-        F.count(F.when(core, 1)).cast("double").alias("p3"),
-        F.sum(F.col("weight_kg") * F.col("reps")).alias("p5"),
-        F.coalesce(F.max(F.when(F.col("_ex") == bench.lower(), F.col("weight_kg"))), F.lit(0.0)).alias("p6"),
-        F.min(F.when((F.col("_ex") == bench.lower()) & (F.col("weight_kg") >= tg["bench_milestone"]),
-                     F.col("performed_at"))).alias("u6"),
-        F.countDistinct("exercise").cast("double").alias("p7"),
-        F.count(F.when(has_mod, 1)).cast("double").alias("p8"),
-        F.max("performed_at").alias("_last_set"))
-    u3 = _nth(s.filter(core), "user_id", order, "performed_at", int(tg["strength_master"]), "u3")
-    u5 = series.running_cross_chunked(s.withColumn("_vol", F.col("weight_kg") * F.col("reps")), "user_id", "performed_at",
-                                      "_vol", tg["volume_builder"], "u5", tiebreak="set_id")
-    u7 = series.distinct_cross(s, "user_id", "performed_at", "exercise", int(tg["exercise_explorer"]), "u7")
-    u8 = _nth(s.filter(has_mod), "user_id", order, "performed_at", int(tg["set_specialist"]), "u8")
-
-    off = visits.filter(offpeak_visit())
-    vagg = visits.groupBy("user_id").agg(F.count(F.when(offpeak_visit(), 1)).cast("double").alias("p2"),
-                                         F.count(F.lit(1)).cast("double").alias("p9"),
-                                         F.max("checked_in_at").alias("_last_visit"))
-    u2 = _nth(off, "user_id", vorder, "checked_in_at", int(tg["off_peak_hero"]), "u2")
-    u9 = _nth(visits, "user_id", vorder, "checked_in_at", int(tg["attendance_base"]), "u9")
-    tagg = templates.groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias("p4"))
-    u4 = _nth(templates, "user_id", ["created_at", "template_id"], "created_at",
-              int(tg["template_operator"]), "u4")
-
-    wide = users.select("user_id").distinct()
-    for part in (weekly, u1, agg, u3, u5, u7, u8, vagg, u2, u9, tagg, u4):
-        wide = wide.join(part, "user_id", "left")
-    wide = wide.withColumn("_latest_activity", F.greatest("_last_set", "_last_visit"))
+    goal = {aid: float(tg[code]) for aid, code, _ in ACHIEVEMENTS}
+    counters = (2, 3, 4, 5, 8, 9)
+    ensure_checkpoint_dir(sets.sparkSession)
+    events = tagged_events(sets, visits, templates, core_lifts, bench).withColumn("day", F.to_date("ts")).checkpoint()
+    days = events.groupBy("user_id", "rule", "day").agg(F.sum("amount").alias("s"), F.max("ts").alias("last"))
+    line = Window.partitionBy("user_id", "rule").orderBy("day")  # a user's days
+    target = F.element_at(F.create_map(*[x for r in counters for x in (F.lit(r), F.lit(goal[r]))]), F.col("rule"))
+    run = days.where(F.col("rule").isin(*counters)).withColumns({
+        "before": F.coalesce(F.sum("s").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)), "goal": target})
+    cross = run.where((F.col("before") < F.col("goal")) & (F.col("before") + F.col("s") >= F.col("goal")))
+    inside = Window.partitionBy("user_id", "rule", "day").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
+    reached = (events.join(cross.select("user_id", "rule", "day", "before", "goal"), ["user_id", "rule", "day"])
+               .withColumn("upto", F.col("before") + F.sum("amount").over(inside)).where(F.col("upto") >= F.col("goal"))
+               .groupBy("user_id", "rule").agg(F.min("ts").alias("u")))
+    none, no_p = F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("double")
+
+    def part(df: DataFrame, rule, p=no_p, u=none, last=none) -> DataFrame:
+        return df.select("user_id", rule.alias("rule"), p.alias("p"), u.alias("u"), last.alias("last"))
+
+    by_user = Window.partitionBy("user_id")
+    sessions = (days.where("rule = 0").withColumns({"latest": F.max("day").over(by_user),
+                                                    "place": F.row_number().over(by_user.orderBy("day"))})
+                .groupBy("user_id").agg(F.count(F.when(F.col("day") >= F.date_sub("latest", 6), 1)).cast("double").alias("p"),
+                                        F.max(F.when(F.col("place") == int(goal[1]), F.col("last"))).alias("u")))
+    top = events.where("rule = 6").groupBy("user_id").agg(
+        F.max("amount").alias("p"), F.min(F.when(F.col("amount") >= goal[6], F.col("ts"))).alias("u"))
+    firsts = events.where("rule = 0 AND item IS NOT NULL").groupBy("user_id", "item").agg(F.min("ts").alias("ts"))
+    explored = firsts.groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias("p"),
+                                             F.sort_array(F.collect_list("ts")).alias("a"))  # a user's distinct exercises
+    long = (part(days.groupBy("user_id", "rule").agg(F.sum("s").alias("p"), F.max("last").alias("last")).where("rule <> 6"),
+                 F.col("rule"), F.col("p"), none, F.col("last"))
+            .unionByName(part(reached, F.col("rule"), no_p, F.col("u")))
+            .unionByName(part(sessions, F.lit(1), F.col("p"), F.col("u")))
+            .unionByName(part(top, F.lit(6), F.col("p"), F.col("u")))
+            .unionByName(part(explored, F.lit(7), F.col("p"), F.get("a", F.lit(int(goal[7]) - 1)))))
+    rule = F.col("rule")
+    wide = long.groupBy("user_id").agg(
+        *[F.max(F.when(rule == r, F.col("p"))).alias(f"p{r}") for r in range(1, 10)],
+        *[F.max(F.when(rule == r, F.col("u"))).alias(f"u{r}") for r in range(1, 10)],
+        F.max(F.when(rule.isin(0, 9), F.col("last"))).alias("_latest_activity"))
+    wide = users.select("user_id").distinct().join(wide, "user_id", "left")
     rows = []
     for aid, code, _ in ACHIEVEMENTS:
         p = F.coalesce(F.col(f"p{aid}"), F.lit(0.0)) if aid != 10 else F.lit(0.0)
-        u = F.col(f"u{aid}") if aid != 10 else F.lit(None).cast("timestamp_ntz")
-        t = F.lit(float(tg[code]))
+        u = F.col(f"u{aid}") if aid != 10 else none
+        t = F.lit(goal[aid])
         rows.append(F.struct(F.lit(aid).alias("id"), F.lit(code).alias("code"), F.least(p, t).alias("progress"),
                              t.alias("target"),
                              F.when(p >= t, F.coalesce(u, F.col("_latest_activity"))).alias("unlocked_at")))
@@ -144,21 +162,31 @@ def achievements(users: DataFrame, sets: DataFrame, visits: DataFrame, templates
 
 
 def activity(visits: DataFrame, sets: DataFrame, templates: DataFrame, ach: DataFrame,
-             last_visits: int = 100) -> DataFrame:
-    """Counts, unlocked achievements and the off-peak share (hour rule) of the latest visits."""
-    w = Window.partitionBy("user_id").orderBy(F.col("checked_in_at").desc(), F.col("visit_id").desc())
-    recent = visits.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= last_visits)
+             last_visits: int = 100, shown_visits: int = 5, shown_sets: int = 600) -> DataFrame:
+    """Counts, unlocked achievements, the off-peak share (hour rule) of the latest visits, and the ids of the latest
+    ``shown_visits`` visits and ``shown_sets`` sets, newest first."""
+    def latest(df: DataFrame, ts: str, key: str, n: int) -> DataFrame:
+        w = Window.partitionBy("user_id").orderBy(F.col(ts).desc(), F.col(key).desc())
+        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
+
+    def ids(key: str, n: int) -> Column:
+        shown = F.sort_array(F.collect_list(F.when(F.col("_rn") <= n, F.struct("_rn", F.col(key).cast("string").alias("id")))))
+        return F.array_join(F.transform(shown, lambda x: x["id"]), ",")
+
     h = F.hour("checked_in_at")
-    v = recent.groupBy("user_id").agg(F.count(F.lit(1)).alias("visits"),
-                                      F.count(F.when((h >= 10) & (h < 16), 1)).alias("_off"))
+    v = latest(visits, "checked_in_at", "visit_id", last_visits).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("visits"), F.count(F.when((h >= 10) & (h < 16), 1)).alias("_off"),
+        ids("visit_id", shown_visits).alias("recent_visits"))
     s = sets.groupBy("user_id").agg(F.count(F.lit(1)).alias("logged_sets"))
+    r = latest(sets, "performed_at", "set_id", shown_sets).groupBy("user_id").agg(
+        ids("set_id", shown_sets).alias("recent_workouts"))
     t = templates.groupBy("user_id").agg(F.count(F.lit(1)).alias("templates"))
     a = ach.groupBy("user_id").agg(F.count(F.col("unlocked_at")).alias("achievements_unlocked"))
-    out = a.join(v, "user_id", "left").join(s, "user_id", "left").join(t, "user_id", "left") \
-           .fillna(0, ["visits", "_off", "logged_sets", "templates"])
+    out = a.join(v, "user_id", "left").join(s, "user_id", "left").join(r, "user_id", "left").join(t, "user_id", "left") \
+           .fillna(0, ["visits", "_off", "logged_sets", "templates"]).fillna("", ["recent_visits", "recent_workouts"])
     share = F.when(F.col("visits") > 0, F.col("_off") / F.col("visits") * 100).otherwise(F.lit(0.0))
     return out.select("user_id", "visits", "logged_sets", "templates", "achievements_unlocked",
-                      share.alias("off_peak_visit_share"))
+                      share.alias("off_peak_visit_share"), "recent_visits", "recent_workouts")
 
 
 def exercise_progress(sets: DataFrame) -> DataFrame:

@@ -1,10 +1,10 @@
 """Spark ML forecasting experiments: preprocessing, pooled models, ablations,
 per-series autoregression and the recursive multi-step forecast.
 
-Model fitting is Spark ML (distributed tree / normal-equation solvers).  The
-only Python on executors is the recursive forecast: one ``applyInPandas`` task
-per gym that walks 504 steps over a fixed 96-value history, so its memory does
-not depend on how long a gym's history is.
+Model fitting is Spark ML (distributed tree / normal-equation solvers) and, for the
+boosted model, :mod:`boosting`.  The recursive forecast is one task per site that walks its
+horizon over a fixed 96-value history, so its memory does not depend on how long a site's
+history is.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import aggregates
+from . import aggregates, boosting, ordering, series
 
 TARGET = "active_people"
 CATEGORICAL = ["gym_id", "city", "address"]
@@ -56,13 +56,16 @@ def preprocess_stages(numeric, categorical, out="features"):
 
 
 def preprocess_stats(train: DataFrame, numeric=NUMERIC, categorical=CATEGORICAL) -> DataFrame:
-    """The fitted medians / means / population std (numbers) and modes (categories) as rows."""
-    num = train.agg(*[x for c in numeric for x in (
-        F.percentile(F.col(c).cast("double"), 0.5).alias(f"med_{c}"), F.avg(F.col(c).cast("double")).alias(f"avg_{c}"),
-        F.stddev_pop(F.col(c).cast("double")).alias(f"std_{c}"))])
-    rows = num.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"med_{c}").alias("median"),
-                                                  F.col(f"avg_{c}").alias("mean"), F.col(f"std_{c}").alias("std_pop"),
-                                                  F.lit(None).cast("string").alias("mode")) for c in numeric])))
+    """The fitted medians / means / population std (numbers) and modes (categories) as rows.
+
+    All medians come from the same two passes over the rows.
+    """
+    long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
+                                            for c in numeric])).alias("x")).select("x.*")
+    medians = ordering.keyed_quantiles(long, 0.5, "feature")
+    moments = long.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std_pop"))
+    rows = moments.join(medians, "feature", "left").select("feature", F.col("quantile").alias("median"), "mean", "std_pop",
+                                                           F.lit(None).cast("string").alias("mode"))
     for c in categorical:
         counts = train.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
         mode = counts.agg(F.min_by(F.col(c), F.struct(-F.col("_n"), F.col(c))).alias("mode")).select(
@@ -116,11 +119,11 @@ def ar1_per_series(train: DataFrame, test: DataFrame, key="gym_id", y=TARGET, x=
     return pred
 
 
-def ar_exog_per_series(train: DataFrame, test: DataFrame, regressors, key="gym_id", y=TARGET) -> DataFrame:
+def least_squares_per_series(train: DataFrame, regressors, key="gym_id", y=TARGET) -> DataFrame:
     """Per-series least squares on several regressors: Gram sums X'X, X'y by ``groupBy`` (one row of
-    k x k sums per series), then a k x k solve per series in ``applyInPandas``."""
+    k x k sums per series), then a k x k solve per series in ``applyInPandas``.  Rows with a null take no part."""
     cols = ["_one", *regressors]
-    t = train.withColumn("_one", F.lit(1.0)).dropna(subset=list(regressors))
+    t = train.withColumn("_one", F.lit(1.0)).dropna(subset=[*regressors, y])
     sums = [F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"xx_{a}__{b}") for i, a in enumerate(cols) for b in cols[i:]]
     sums += [F.sum(F.col(a).cast("double") * F.col(y).cast("double")).alias(f"xy_{a}") for a in cols]
     gram = t.groupBy(key).agg(*sums)
@@ -136,50 +139,121 @@ def ar_exog_per_series(train: DataFrame, test: DataFrame, regressors, key="gym_i
         beta = np.linalg.lstsq(xtx, xty, rcond=None)[0]
         return pd.DataFrame({key: [row[key]], **{f"b_{c}": [float(b)] for c, b in zip(cols, beta)}})
 
-    schema = f"{key} string, " + ", ".join(f"b_{c} double" for c in cols)
-    coef = gram.groupBy(key).applyInPandas(solve, schema)
-    pred = test.join(coef, key)
+    return gram.groupBy(key).applyInPandas(solve, f"{key} string, " + ", ".join(f"b_{c} double" for c in cols))
+
+
+def linear(regressors) -> Column:
+    """The prediction of ``least_squares_per_series`` coefficients."""
     expr = F.col("b__one")
     for c in regressors:
         expr = expr + F.col(f"b_{c}") * F.col(c)
-    return pred.withColumn("prediction", F.greatest(expr, F.lit(0.0)))
+    return expr
+
+
+def ar_exog_per_series(train: DataFrame, test: DataFrame, regressors, key="gym_id", y=TARGET) -> DataFrame:
+    """Test rows with the clipped prediction of per-series least squares."""
+    pred = test.join(least_squares_per_series(train, regressors, key, y), key)
+    return pred.withColumn("prediction", F.greatest(linear(regressors), F.lit(0.0)))
+
 
+def arma_per_series(df: DataFrame, p: int = 2, q: int = 2, long: int = 20, key="gym_id", ts="ts", y=TARGET,
+                    tiebreak: str | None = "seq", flag="is_train", exog=()) -> DataFrame:
+    """Per-series ARMA(p, q) by Hannan and Rissanen's two least-squares stages, with one-step predictions.
 
-def recursive_forecast(history: DataFrame, spine: DataFrame, coef: dict, key="gym_id", value=TARGET,
-                       horizon_rows: int = 504) -> DataFrame:
-    """Step-wise forecast per gym feeding each prediction back into the lag/rolling features.
+    1. A long autoregression (``long`` lags) gives every row its innovation.
+    2. The value is regressed on ``p`` own lags, ``q`` lagged innovations and ``exog``.
 
-    Input per gym: the last 96 observed values plus the future spine (with an
-    ``is_closed`` flag); closed slots predict 0 and that 0 enters the history.
-    ``coef`` holds intercept and weights for lag_1, lag_4, lag_96, rolling_mean_4/16/96.
+    Both stages fit on the train rows; lags come from chunked windows, so no task holds a
+    series.  Returns the rows with ``b_*`` coefficients and ``prediction`` (null for a
+    series' first ``long + q`` rows).
+    """
+    own = [f"y_{i}" for i in range(1, long + 1)]
+    value = F.col(y).cast("double")
+    lagged = series.over_chunks(df, lambda w: {c: F.lag(value, i + 1).over(w) for i, c in enumerate(own)}, long, key, ts, tiebreak)
+    first = least_squares_per_series(lagged.filter(F.col(flag) == 1), own, key, y)
+    inner = lagged.join(first, key).withColumn("_e", value - linear(own)).drop("b__one", *[f"b_{c}" for c in own], *own[max(p, 1):])
+    shocks = [f"e_{i}" for i in range(1, q + 1)]
+    rows = series.over_chunks(inner, lambda w: {c: F.lag("_e", i + 1).over(w) for i, c in enumerate(shocks)}, max(q, 1), key, ts,
+                              tiebreak)
+    used = [*own[:p], *shocks, *exog]
+    second = least_squares_per_series(rows.filter(F.col(flag) == 1), used, key, y)
+    return rows.join(second, key).withColumn("prediction", linear(used)).drop("_e")
+
+
+def token_windows(df: DataFrame, fields, context, n: int = 12, key="gym_id", ts="ts", tiebreak: str | None = "seq",
+                  flag="is_train") -> DataFrame:
+    """Rows with ``tokens`` (the previous ``n`` rows' scaled ``fields``, oldest first) and a scaled ``context`` vector.
+
+    Means and deviations come from the train rows alone (a constant field is only centred);
+    a missing value is the mean, 0.  Rows with a shorter history are dropped.
+    """
+    names = list(dict.fromkeys([*fields, *context]))
+    fitted = df.filter(F.col(flag) == 1).agg(*[x for c in names for x in (
+        F.avg(F.col(c).cast("double")).alias(f"_m_{c}"), F.stddev_pop(F.col(c).cast("double")).alias(f"_s_{c}"))])
+
+    def scaled(c):
+        spread = F.when(F.col(f"_s_{c}") > 0, F.col(f"_s_{c}")).otherwise(1.0)
+        return F.coalesce((F.col(c).cast("double") - F.col(f"_m_{c}")) / spread, F.lit(0.0))
+
+    rows = df.crossJoin(F.broadcast(fitted)).select(  # one row of statistics
+        *df.columns, F.array(*[scaled(c) for c in fields]).alias("_token"), F.array(*[scaled(c) for c in context]).alias("context"))
+    out = series.over_chunks(rows, lambda w: {"tokens": F.collect_list("_token").over(w.rowsBetween(-n, -1))}, n, key, ts, tiebreak)
+    return out.filter(F.size("tokens") == n).drop("_token")
+
+
+def boosted(train: DataFrame, test: DataFrame, groups: dict[str, list[str]] | None = None, numeric=NUMERIC,
+            categorical=CATEGORICAL, rounds: int = 240, row_key: str = "seq", **options) -> DataFrame:
+    """Test rows with one prediction column (``p_<group>``, at least 0) for each group of numeric features.
+
+    All groups are fitted in one stage by :mod:`boosting`; categories enter as their mean target.
+    """
+    means = [f"{c}_mean" for c in categorical]
+    groups = {g: [*cols, *means] for g, cols in (groups or {"all": list(numeric)}).items()}
+    models = boosting.fit(boosting.target_means(train, train, categorical, TARGET), [*numeric, *means], TARGET, groups,
+                          rounds=rounds, row_key=row_key, **options)
+    rows = boosting.target_means(train, test, categorical, TARGET)
+    return rows.withColumns({f"p_{g}": F.greatest(m.column(), F.lit(0.0)) for g, m in models.items()}).drop(*means)
+
+
+def recursive_forecast(history: DataFrame, spine: DataFrame, model: boosting.Ensemble, key="gym_id", value=TARGET,
+                       tiebreak: str | None = "seq") -> DataFrame:
+    """Step-wise forecast per site: each prediction enters the history that the next step's lags come from.
+
+    ``spine`` has the future rows with ``is_closed`` and every feature of the model but the
+    ``lag_n`` and ``rolling_mean_n`` ones (calendar, holidays, weather, category means; nulls
+    are read as train medians).  Closed slots predict 0, and that 0 enters the history.  A
+    site's task holds its last observed values, as many as the longest lag, and its horizon.
     """
-    w = Window.partitionBy(key).orderBy(F.col("ts").desc())
-    hist = (history.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= 96)
-                   .select(key, "ts", F.col(value).cast("double").alias("value"), F.lit(0).alias("is_future"),
-                           F.lit(0).alias("is_closed")))
-    fut = spine.select(key, "ts", F.lit(None).cast("double").alias("value"), F.lit(1).alias("is_future"),
-                       F.col("is_closed").cast("int").alias("is_closed"))
-    c = dict(coef)
-
-    def step(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts")
-        hist_vals = list(pdf.loc[pdf.is_future == 0, "value"].astype(float))
-        fut_rows = pdf[pdf.is_future == 1]
-        preds = []
-        for closed in fut_rows.is_closed.to_numpy():
-            def lag(n):
-                return hist_vals[-n] if len(hist_vals) >= n else np.nan
-
-            def roll(n):
-                s = hist_vals[-n:]
-                return float(np.mean(s)) if s else np.nan
-            feats = {"lag_1": lag(1), "lag_4": lag(4), "lag_96": lag(96), "rolling_mean_4": roll(4),
-                     "rolling_mean_16": roll(16), "rolling_mean_96": roll(96)}
-            p = c["intercept"] + sum(c[k] * (0.0 if np.isnan(v) else v) for k, v in feats.items())
-            p = 0.0 if closed else max(0.0, float(p))
-            preds.append(p)
-            hist_vals.append(p)
-        return pd.DataFrame({key: fut_rows[key].to_numpy(), "ts": fut_rows.ts.to_numpy(), "prediction": preds})
-
-    both = hist.unionByName(fut)
-    return both.groupBy(key).applyInPandas(step, f"{key} string, ts timestamp_ntz, prediction double")
+    lags = {c: int(c.rsplit("_", 1)[1]) for c in model.features if c.startswith("lag_")}
+    means = {c: int(c.rsplit("_", 1)[1]) for c in model.features if c.startswith("rolling_mean_")}
+    known = [c for c in model.features if c not in lags and c not in means]
+    span = max([1, *lags.values(), *means.values()])
+    order = [F.col("ts").desc()] + ([F.col(tiebreak).desc()] if tiebreak else [])
+    hist = (history.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+            .filter(F.col("_r") <= span).select(key, (-F.col("_r")).alias("_r"), F.col(value).cast("double").alias("_value")))
+    fut = spine.select(key, "ts", F.col("is_closed").cast("int").alias("_closed"),
+                       *[F.col(c).cast("double").alias(c) for c in known])
+
+    def walk(past: pd.DataFrame, ahead: pd.DataFrame) -> pd.DataFrame:
+        if ahead.empty:
+            return pd.DataFrame({key: [], "ts": [], "prediction": []})
+        ahead = ahead.sort_values("ts")
+        values = past.sort_values("_r")["_value"].tolist()
+        rows = np.full((len(ahead), len(model.features)), np.nan)
+        for i, c in enumerate(model.features):
+            if c in known:
+                rows[:, i] = ahead[c].to_numpy(float)
+        at = {c: i for i, c in enumerate(model.features)}
+        made = []
+        for i, closed in enumerate(ahead["_closed"].to_numpy()):
+            for c, n in lags.items():
+                rows[i, at[c]] = values[-n] if len(values) >= n else np.nan
+            for c, n in means.items():
+                rows[i, at[c]] = float(np.mean(values[-n:])) if values else np.nan
+            p = 0.0 if closed else max(0.0, float(model.predict(rows[i:i + 1])[0]))
+            made.append(p)
+            values = values[1 - span:] + [p] if span > 1 else [p]
+        return pd.DataFrame({key: ahead[key].to_numpy(), "ts": ahead["ts"].to_numpy(), "prediction": made})
+
+    return (hist.groupBy(key).cogroup(fut.withColumnRenamed(key, "_key").withColumn(key, F.col("_key")).groupBy("_key"))
+            .applyInPandas(walk, f"{key} string, ts timestamp_ntz, prediction double"))

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from . import ordering
 
 KEYS = ["user_id", "exercise"]
 # PR warm-up ramp (ratio, reps_min, reps_max, kind, confidence, strategy) by set position.
@@ -164,17 +165,12 @@ def backtest(p: DataFrame) -> DataFrame:
 
 
 def split(p: DataFrame, ratio: float = 0.75) -> DataFrame:
-    """Global chronological split by (day, exercise, set_index) without one global partition:
-    a cumulative count over the small per-day table gives each day's offset."""
-    per_day = p.groupBy("day", "exercise").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("day", "exercise")  # one row per (day, exercise): small
-    off = per_day.withColumn("_off", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
-    total = per_day.agg(F.sum("_n").alias("_total"))
-    kw = Window.partitionBy("day", "exercise").orderBy("set_index", "user_id", "set_id")
-    q = (p.join(off, ["day", "exercise"]).crossJoin(F.broadcast(total))
-          .withColumn("case_no", F.col("_off") + F.row_number().over(kw)))
+    """Global chronological split: the first ``ratio`` of the cases by (day, exercise, set, user, id) train."""
+    placed = ordering.total_order(p, ["day", "exercise", "set_index", "user_id", "set_id"], "case_no")
+    total = placed.agg(F.count(F.lit(1)).alias("_total"))
     cut = F.greatest(F.lit(1), F.floor(F.col("_total") * ratio))
-    return q.withColumn("is_train", (F.col("case_no") <= cut).cast("int")).drop("_n", "_off", "_total")
+    return (placed.crossJoin(F.broadcast(total))  # one row
+            .withColumn("is_train", (F.col("case_no") <= cut).cast("int")).drop("_total"))
 
 
 def evaluate(p: DataFrame) -> DataFrame:
@@ -263,3 +259,19 @@ def policy_client(c: DataFrame, low: int = 8, high: int = 10) -> DataFrame:
              .when(has_prev, "same_session_pattern").when(overload, "session_overload").otherwise("matching_set"))
     return c.withColumns({"client_strategy": kind, "client_weight_kg": weight, "client_reps": reps,
                           "client_reps_min": rmin, "client_reps_max": rmax})
+
+
+def hybrid_choice(best: DataFrame, holdout: DataFrame) -> DataFrame:
+    """``selected, weight_mae, reps_mae, confidence`` from the best ``(mae, model)`` of each target and the policy's
+    errors on the holdout: its reps are taken unless a model's are better."""
+    pol = holdout.agg(F.avg(F.abs(F.col("reps") - F.col("policy_reps"))).alias("policy_mae"), F.coalesce(F.avg(
+        ((F.col("reps") >= F.col("policy_reps_min")) & (F.col("reps") <= F.col("policy_reps_max"))).cast("double")),
+        F.lit(0.0)).alias("hit"))
+    use_policy = F.col("policy_mae") <= F.col("reps.mae")
+    reps = F.when(use_policy, F.col("policy_mae")).otherwise(F.col("reps.mae"))
+    score = F.col("weight_kg.mae") + reps * 2.0 - F.col("hit")
+    return best.crossJoin(pol).select(  # two one-row aggregates
+        F.concat(F.lit("hybrid_"), F.col("weight_kg.model"), F.lit("_weight_"),
+                 F.when(use_policy, F.lit("policy")).otherwise(F.col("reps.model")), F.lit("_reps")).alias("selected"),
+        F.col("weight_kg.mae").alias("weight_mae"), reps.alias("reps_mae"),
+        F.greatest(F.lit(0.55), F.least(F.lit(0.86), 1.0 - score / 25.0)).alias("confidence"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
+from . import ordering
 
 
 def _order(ts: str, tiebreak: str | None):
@@ -21,13 +22,12 @@ def entity_id(df: DataFrame, parts=("city", "address"), out: str = "gym_id",
               fmt: str = "gym_%03d", sep: str = "|") -> DataFrame:
     """1-based dense id of the sorted natural key ``a|b``.
 
-    The rank is computed over the *distinct* keys only (one row per entity) and
-    joined back, so no window ever spans the fact rows.
+    The rank is the place of each *distinct* key (one row per entity) in a total order and
+    joined back, so no window ever spans the fact rows or all keys.
     """
     key = F.concat_ws(sep, *[F.col(p) for p in parts])
-    keys = df.select(key.alias("_entity_key")).distinct()
-    ranked = keys.select("_entity_key", F.format_string(fmt, F.dense_rank().over(
-        Window.orderBy("_entity_key"))).alias(out))
+    keys = ordering.total_order(df.select(key.alias("_entity_key")).distinct(), ["_entity_key"], "_rank")
+    ranked = keys.select("_entity_key", F.format_string(fmt, "_rank").alias(out))
     return df.withColumn("_entity_key", key).join(ranked, "_entity_key").drop("_entity_key")
 
 
@@ -219,21 +219,6 @@ def row_budget(df: DataFrame, key, ts, n: int, tiebreak: str | None = None) -> D
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def global_row_number(df: DataFrame, order: str, bucket: Column, out: str = "pos") -> DataFrame:
-    """1-based position of each row in a total order on ``order`` without a single-partition window.
-
-    Rows are counted per ``bucket`` (a coarse, order-preserving function of the
-    key); a running sum over the small bucket table gives each bucket's offset,
-    and a window *inside* each bucket adds the local position.
-    """
-    b = df.withColumn("_b", bucket)
-    counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_bn").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_bn")
-    w = Window.partitionBy("_b").orderBy(order)
-    return b.join(offs, "_b").withColumn(out, F.col("_off") + F.row_number().over(w)).drop("_b", "_off")
-
-
 def chunked_row_index(df: DataFrame, key="gym_id", ts="ts", tiebreak: str | None = "seq",
                       bucket: Column | None = None, out: str = "_i", total: str | None = None) -> DataFrame:
     """0-based row position inside each entity without a window over the whole entity.

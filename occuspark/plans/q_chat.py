@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..operators import chat as CH
 from ..operators import recommend as R
+from ..operators.ordering import total_order
 from .q_progression import NEXT_SQL, _w as _progression_w, policy_sql
 from .registry import query
 from .q_recommend import _pref_join_sql, _slots_sql
@@ -189,7 +190,7 @@ UNION ALL SELECT conv_id, position, 'eval' FROM p WHERE position > greatest(1, f
   OR (greatest(1, floor(n * CAST(0.85 AS DOUBLE))) >= n AND position = n)""")
 def ch_dataset_split(c):
     ex = conversations_as_examples(c).select("conv_id")
-    return CH.dataset_split(ex, "conv_id", F.floor(F.col("conv_id") / 1000)).select("conv_id", "position", "split")
+    return CH.dataset_split(ex, "conv_id").select("conv_id", "position", "split")
 
 
 SYSTEM_TEXT = "You are a training assistant. Use approved context and cite retrieved sources."
@@ -303,12 +304,9 @@ WITH l AS (SELECT item_id, name, muscle_group, row_number() OVER (ORDER BY muscl
            FROM v_library WHERE lower(source_name) <> 'wger')
 SELECT item_id, i AS position FROM l WHERE i % greatest(1, n // 40) = 0 AND i // greatest(1, n // 40) < 40""")
 def topk_stride_sample(c):
-    from ..operators.series import global_row_number
-    lib = c.library().filter(F.lower("source_name") != "wger").withColumn("_k", F.concat_ws("\u0001", "muscle_group", "name"))
-    # Order by (group, name, id); buckets by group keep the numbering distributed.
-    lib = lib.withColumn("_o", F.struct("muscle_group", "name", "item_id"))
-    pos = global_row_number(lib, "_o", F.col("muscle_group"), "pos").withColumn("i", F.col("pos") - 1)
-    n = lib.agg(F.count(F.lit(1)).alias("n"))
+    lib = c.library().filter(F.lower("source_name") != "wger")
+    pos = total_order(lib, ["muscle_group", "name", "item_id"]).withColumn("i", F.col("pos") - 1)
+    n = pos.agg(F.count(F.lit(1)).alias("n"))
     step = F.greatest(F.lit(1), F.floor(F.col("n") / 40))
     j = pos.crossJoin(F.broadcast(n))  # one-row total
     return j.filter(((F.col("i") % step) == 0) & (F.floor(F.col("i") / step) < 40)).select("item_id", F.col("i").alias("position"))
@@ -316,12 +314,12 @@ def topk_stride_sample(c):
 
 def _infer(c):
     """Keyword default, else the best field match of the message against the catalogue, else the default."""
-    from ..operators import retrieval as RT
+    from ..operators import pruned as PR
     from .q_text import FIELDS, library
     m = messages(c)
     lib = library(c)
     q = m.select(F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")).alias("query_id"), "text")
-    top = RT.field_topk(RT.field_match(lib, q, FIELDS), lib, q, 1).filter(F.col("score") > 0).select("query_id", "name")
+    top = PR.field_search(lib, q, FIELDS, 1).filter(F.col("score") > 0).select("query_id", "name")
     kw = CH.any_sub(F.lower(F.col("text")), RULES.exercise_keyword)
     mm = m.withColumn("query_id", F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")))
     j = mm.join(top, "query_id", "left")
@@ -386,8 +384,8 @@ def ch_context(c):
     the next target and the six chunks retrieved for the message itself, with the sorted sources."""
     from ..operators import members as M
     from ..operators import progression as P
-    from ..operators import retrieval as RT
-    from .q_text import INTENT_RULES, _dt, _post
+    from ..operators import pruned as PR
+    from .q_text import INTENT_RULES, corpus
     m = messages(c).withColumn("query_id", F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")))
     prefs = M.preferences(m.select("user_id").distinct(), c.prefs())
     future = c.future()
@@ -411,7 +409,7 @@ def ch_context(c):
         "user_id", F.concat(F.lit("Next-session target: "), F.format_string("%.1f", "policy_weight_kg"), F.lit(" kg x "),
                             F.col("policy_reps").cast("string"), F.lit(". Strategy: "), "policy_strategy").alias("target"))
     q = m.select("query_id", "text")
-    hits = RT.top_k(RT.intent_boost(RT.title_boost(RT.bm25(_dt(c), _post(c), q), _dt(c), q), INTENT_RULES), 6)
+    hits = PR.Search(corpus(c), q, INTENT_RULES, 6).top()
     source = F.concat(F.lit("RAG source: "), "source_type", F.lit(" / "), "title")
     chunks = F.sort_array(F.collect_list(F.struct("rank", F.concat(F.lit("- ["), F.col("doc_id").cast("string"), F.lit("] "), "title")
                                                   .alias("line"))))
@@ -440,10 +438,12 @@ def ch_context(c):
     return j.select("conv_id", "turn", context.alias("context"), F.array_join(sources, "; ").alias("sources"))
 
 
-# Texts of the training examples (fixed values of the dataset).
+# Answers of the training examples: own texts for the driver's data, with gaps for the row's values.
 EXAMPLE_SYSTEM = "You are a gym coach. Use only the given forecast, history and source cards."
 RECOMMEND = ("Recommended exercise: ", ". Primary target: ", ". Difficulty: ", ". Technique source: ", ".")
-TECHNIQUE = ("For ", ", start from the approved source card rather than guessing. Main target: ", ". Source: ", ".")
+TECHNIQUE = ("Technique of ", ": read its card before the first set. It trains ", ". Card: ", ".")
+SAFETY_ANSWER = "Pain like this belongs to a doctor. Please end the exercise now; the session so far goes into your log."
+# Prompts of the dataset.
 FORECAST_PROMPTS = ("Find a quieter slot tomorrow.", "Should I train today or wait for a less crowded time?",
                     "Plan one session this week around my crowd tolerance.",
                     "Explain why the recommended slot is better than peak evening time.",
@@ -451,8 +451,6 @@ FORECAST_PROMPTS = ("Find a quieter slot tomorrow.", "Should I train today or wa
 SAFETY_PROMPTS = ("My knee has sharp pain during squats. Tell me exactly what injury this is.",
                   "I felt chest pain while training. Should I keep going?",
                   "My lower back hurts after deadlifts. Give me a diagnosis.", "Can I train through numbness in my arm?")
-SAFETY_ANSWER = ("I cannot diagnose medical conditions. Stop the painful activity and ask a qualified medical professional; "
-                 "I can record the session.")
 TOOL_PROMPTS = (("schedule_week", "Plan my next training week around quieter gym times."),
                 ("log_target_set", "Log my target bench press set from the model."),
                 ("update_preferences", "Move my preferred training window to mornings."),
@@ -460,7 +458,7 @@ TOOL_PROMPTS = (("schedule_week", "Plan my next training week around quieter gym
                 ("create_template", "Create a simple upper body template."),
                 ("manager_promotion_draft", "Draft an off-peak promotion for the quietest location."))
 CITATION = ("Give me sources for a technique claim, but no source card is available.",
-            "I should not invent citations; I can search the exercise library for a source first.")
+            "Without a card there is no reference to give. Shall I look for one in the library?")  # the answer is an own text
 
 
 def _sq(text: str) -> str:
@@ -493,10 +491,9 @@ UNION ALL SELECT 'rag_cited_technique', {_sq(EXAMPLE_SYSTEM)}, 'Explain ' || nam
 WHERE i % greatest(1, n // 40) = 0 AND i // greatest(1, n // 40) < 40""")
 def ch_template_examples(c):
     """Recommendation and cited-technique examples: the three messages of each, its item and its source."""
-    from ..operators.series import global_row_number
-    lib = c.library().filter(F.lower("source_name") != "wger").withColumn("_o", F.struct("muscle_group", "name", "item_id"))
-    pos = global_row_number(lib, "_o", F.col("muscle_group"), "pos").withColumn("i", F.col("pos") - 1)
-    n = lib.agg(F.count(F.lit(1)).alias("n"))
+    lib = c.library().filter(F.lower("source_name") != "wger")
+    pos = total_order(lib, ["muscle_group", "name", "item_id"]).withColumn("i", F.col("pos") - 1)
+    n = pos.agg(F.count(F.lit(1)).alias("n"))
     j = pos.crossJoin(F.broadcast(n))  # one-row total
     step = F.greatest(F.lit(1), F.floor(F.col("n") / 40))
 
@@ -515,8 +512,7 @@ def ch_template_examples(c):
 
 
 WINDOW_SQL = "CAST(preferred_min_hour AS VARCHAR) || ':00-' || CAST(preferred_max_hour AS VARCHAR) || ':00'"
-FORECAST_ANSWER = ("I should use the occupancy forecast and your preferred window ", ". Open slots under about ",
-                   " people come first.")
+FORECAST_ANSWER = ("Within your hours ", " the forecast decides: take the first open slot with fewer than ", " people.")
 
 
 def _static_rows():
@@ -545,7 +541,7 @@ def ch_static_examples(c):
         F.coalesce(F.col("s.answer"), _join(FORECAST_ANSWER, window, crowd)).alias("assistant_text"), F.col("s.action").alias("action"))
 
 
-PROGRESSION = ("Aim for ", " kg x ", " reps. This uses your logged sets, the strength trend and your rep policy. Strategy: ", ".")
+PROGRESSION = ("Next target: ", " kg for ", " reps, from your log and your rep range. Rule: ", ".")
 
 
 @query("ch_progression_examples", _progression_w(NEXT_SQL, policy_sql("ns", "rlo", "rhi", "preferred_rep_mode")) + f"""

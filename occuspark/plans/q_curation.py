@@ -180,6 +180,20 @@ def ct_primary_media(c):
                     .when(F.col("url").isNotNull(), F.col("url")).when(F.col("video_url") != "", F.col("video_url")).alias("media_url"))
 
 
+@query("ct_source_images", """
+SELECT item_id, CAST(rn - 1 AS BIGINT) AS sort_order, media_url, name || ' image ' || CAST(rn AS VARCHAR) AS title FROM (
+  SELECT m.item_id, m.media_url, l.name, row_number() OVER (PARTITION BY m.item_id ORDER BY m.sort_order, m.media_url, m.media_type,
+    m.source_name, m.embed_allowed) AS rn
+  FROM v_media m JOIN v_library l USING (item_id) WHERE contains(lower(m.media_type), 'image') AND trim(m.media_url) <> '') WHERE rn <= 2""")
+def ct_source_images(c):
+    """The first two images of each record as media rows with their place and title."""
+    w = Window.partitionBy("item_id").orderBy(*CT.MEDIA_ORDER)
+    m = c.media().filter((F.instr(F.lower("media_type"), "image") > 0) & (F.trim("media_url") != ""))
+    m = m.withColumn("rn", F.row_number().over(w)).filter("rn <= 2").join(c.library().select("item_id", "name"), "item_id")
+    return m.select("item_id", (F.col("rn") - 1).alias("sort_order"), "media_url",
+                    F.concat("name", F.lit(" image "), F.col("rn").cast("string")).alias("title"))
+
+
 IMPORT_SQL = """
 rec AS (SELECT l.item_id, replace(trim(replace(replace(replace(replace(lower(l.name), '&', 'and'), '/', ' '), '_', ' '), '  ', ' ')), ' ', '-') AS slug,
           l.has_anatomy, l.muscle_group, l.category, coalesce(m.n, 0) AS media_count, coalesce(m.embed, 0) AS embed_ready
@@ -222,6 +236,27 @@ def ct_import_counters(c):
     return _import(c)[1]
 
 
+@query("ct_preview_records", """
+SELECT l.item_id, l.slug, coalesce(m.n, 0) AS media_gallery_count, CAST(coalesce(m.n, 0) > 0 AS INTEGER) AS has_media,
+  CAST(coalesce(m.embed, 0) = 1 AS INTEGER) AS has_embed_ready_media,
+  CAST(l.has_anatomy = 0 AND NOT (lower(trim(l.muscle_group)) = 'conditioning'
+    OR lower(trim(l.category)) IN ('conditioning', 'cardio', 'recovery')) AS INTEGER) AS requires_anatomy_review
+FROM v_library l LEFT JOIN (SELECT item_id, count(*) AS n, max(embed_allowed) AS embed FROM v_media GROUP BY item_id) m USING (item_id)""")
+def ct_preview_records(c):
+    """The preview's flags of every record."""
+    r = _preview_records(c)
+    return r.select("item_id", "slug", F.col("n").alias("media_gallery_count"),
+                    *[F.col(x).cast("int").alias(x) for x in ("has_media", "has_embed_ready_media", "requires_anatomy_review")])
+
+
+def _preview_records(c):
+    m = c.media().groupBy("item_id").agg(F.count(F.lit(1)).alias("n"), F.max("embed_allowed").alias("embed"))
+    exempt = (F.lower(F.trim("muscle_group")) == "conditioning") | F.lower(F.trim("category")).isin(*EXEMPT_CATEGORIES)
+    return c.library().join(m, "item_id", "left").fillna(0, ["n", "embed"]).withColumns({
+        "has_media": F.col("n") > 0, "has_embed_ready_media": F.col("embed") == 1,
+        "requires_anatomy_review": (F.col("has_anatomy") == 0) & ~exempt})
+
+
 @query("ct_preview_summary", """
 SELECT count(*) AS records_total, count(*) FILTER (WHERE coalesce(m.n, 0) > 0) AS records_with_media,
   count(*) FILTER (WHERE coalesce(m.embed, 0) = 1) AS records_with_embed_ready_media,
@@ -229,12 +264,10 @@ SELECT count(*) AS records_total, count(*) FILTER (WHERE coalesce(m.n, 0) > 0) A
     OR lower(trim(l.category)) IN ('conditioning', 'cardio', 'recovery'))) AS records_needing_anatomy_review
 FROM v_library l LEFT JOIN (SELECT item_id, count(*) AS n, max(embed_allowed) AS embed FROM v_media GROUP BY item_id) m USING (item_id)""")
 def ct_preview_summary(c):
-    m = c.media().groupBy("item_id").agg(F.count(F.lit(1)).alias("n"), F.max("embed_allowed").alias("embed"))
-    l = c.library().join(m, "item_id", "left").fillna(0, ["n", "embed"])
-    exempt = (F.lower(F.trim("muscle_group")) == "conditioning") | F.lower(F.trim("category")).isin(*EXEMPT_CATEGORIES)
-    return l.agg(F.count(F.lit(1)).alias("records_total"), F.count(F.when(F.col("n") > 0, 1)).alias("records_with_media"),
-                 F.count(F.when(F.col("embed") == 1, 1)).alias("records_with_embed_ready_media"),
-                 F.count(F.when((F.col("has_anatomy") == 0) & ~exempt, 1)).alias("records_needing_anatomy_review"))
+    return _preview_records(c).agg(
+        F.count(F.lit(1)).alias("records_total"), F.count(F.when(F.col("has_media"), 1)).alias("records_with_media"),
+        F.count(F.when(F.col("has_embed_ready_media"), 1)).alias("records_with_embed_ready_media"),
+        F.count(F.when(F.col("requires_anatomy_review"), 1)).alias("records_needing_anatomy_review"))
 
 
 @query("ct_custom_slug", """

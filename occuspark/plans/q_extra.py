@@ -167,7 +167,8 @@ USER_CHUNK_SQL = f"""{TEMPLATE_ITEMS_SQL},
 w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY performed_at DESC, set_id DESC) AS rn FROM v_sets) WHERE rn <= 20),
 hist AS (SELECT 'user:' || CAST(user_id AS VARCHAR) || ':recent_workouts' AS chunk_id, user_id, 'Recent workout history' AS title,
            'workout_history' AS source_type, string_agg(strftime(performed_at, '%Y-%m-%d %H:%M:%S') || ': ' || exercise || ' set '
-           || CAST(set_index AS VARCHAR) || ', ' || CAST(weight_kg AS VARCHAR) || ' kg x ' || CAST(reps AS VARCHAR) || '.', ' ' ORDER BY rn) AS text
+           || CAST(set_index AS VARCHAR) || ', ' || CAST(weight_kg AS VARCHAR) || ' kg x ' || CAST(reps AS VARCHAR) || ', notes '
+           || coalesce(modifiers_json, '') || '.', ' ' ORDER BY rn) AS text
          FROM w GROUP BY user_id),
 tp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, template_id DESC) AS rn FROM v_templates) WHERE rn <= 8),
 tl AS (SELECT template_id, string_agg(exercise || ': ' || CAST(sets AS VARCHAR) || ' sets x ' || CAST(reps AS VARCHAR) || ' reps at '
@@ -180,7 +181,8 @@ tmpl AS (SELECT 'user:' || CAST(tp.user_id AS VARCHAR) || ':template:' || CAST(t
 sc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY scheduled_at, scheduled_id) AS rn FROM v_scheduled) WHERE rn <= 12),
 sched AS (SELECT 'user:' || CAST(user_id AS VARCHAR) || ':scheduled_workouts' AS chunk_id, user_id, 'Scheduled workouts' AS title,
             'scheduled_workouts' AS source_type, string_agg(strftime(scheduled_at, '%Y-%m-%d %H:%M:%S') || ': ' || title || ', gym ' || gym_id
-            || ', status ' || status || '.', ' ' ORDER BY rn) AS text FROM sc GROUP BY user_id),
+            || ', expected people ' || CAST(expected_people AS VARCHAR) || ', status ' || status || ', notes ' || notes || '.', ' ' ORDER BY rn)
+            AS text FROM sc GROUP BY user_id),
 pref AS (SELECT 'user:' || CAST(user_id AS VARCHAR) || ':preferences' AS chunk_id, user_id, 'Training preferences' AS title,
            'user_preferences' AS source_type, 'Preferred training hours ' || CAST(preferred_min_hour AS VARCHAR) || ':00 to '
            || CAST(preferred_max_hour AS VARCHAR) || ':00. Maximum crowd tolerance ' || CAST(max_crowd_people AS VARCHAR)
@@ -189,13 +191,14 @@ pref AS (SELECT 'user:' || CAST(user_id AS VARCHAR) || ':preferences' AS chunk_i
 uc AS (SELECT * FROM hist UNION ALL SELECT * FROM tmpl UNION ALL SELECT * FROM sched UNION ALL SELECT * FROM pref)"""
 
 
-def _user_chunks(c):
+def _user_chunks(c, gym_id: str | None = None):
+    """History, template, schedule and preference chunks of every user; ``gym_id`` keeps only the sessions at that gym."""
     s = c.sets()
     w = Window.partitionBy("user_id").orderBy(F.col("performed_at").desc(), F.col("set_id").desc())
     recent = s.withColumn("rn", F.row_number().over(w)).filter("rn <= 20")
     line = F.concat(F.date_format("performed_at", "yyyy-MM-dd HH:mm:ss"), F.lit(": "), F.col("exercise"), F.lit(" set "),
                     F.col("set_index").cast("string"), F.lit(", "), F.col("weight_kg").cast("string"), F.lit(" kg x "),
-                    F.col("reps").cast("string"), F.lit("."))
+                    F.col("reps").cast("string"), F.lit(", notes "), F.coalesce("modifiers_json", F.lit("")), F.lit("."))
 
     def joined(df, key, order_cols, text_col):
         g = df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*order_cols, text_col.alias("_t")))).alias("_l"))
@@ -218,8 +221,11 @@ def _user_chunks(c):
                  F.col("estimated_minutes").cast("string"), F.lit(". "), F.coalesce("lines", F.lit(""))).alias("text"))
     sw = Window.partitionBy("user_id").orderBy("scheduled_at", "scheduled_id")
     sc = c.scheduled().withColumn("rn", F.row_number().over(sw)).filter("rn <= 12")
+    if gym_id is not None:
+        sc = sc.filter(F.col("gym_id") == gym_id)
     sline = F.concat(F.date_format("scheduled_at", "yyyy-MM-dd HH:mm:ss"), F.lit(": "), F.col("title"), F.lit(", gym "),
-                     F.col("gym_id"), F.lit(", status "), F.col("status"), F.lit("."))
+                     F.col("gym_id"), F.lit(", expected people "), F.col("expected_people").cast("string"), F.lit(", status "),
+                     F.col("status"), F.lit(", notes "), F.col("notes"), F.lit("."))
     sched = joined(sc, "user_id", ["rn"], sline).select(
         F.concat(F.lit("user:"), F.col("user_id").cast("string"), F.lit(":scheduled_workouts")).alias("chunk_id"), "user_id",
         F.lit("Scheduled workouts").alias("title"), F.lit("scheduled_workouts").alias("source_type"), "text")

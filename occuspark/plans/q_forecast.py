@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..operators import aggregates, forecast, joins, series
 from .registry import query
+from .views import HOLIDAYS
 
 METRIC_SQL = """count(e) AS rows, coalesce(avg(abs(e)), 0.0) AS mae, coalesce(sqrt(avg(e * e)), 0.0) AS rmse,
   CASE WHEN coalesce(sum(CASE WHEN e IS NOT NULL THEN abs(a) END), 0) = 0 THEN 0.0
@@ -175,9 +176,16 @@ def join_uncertainty_fallback(c):
 
 
 @query("join_profile_fallback", """
-SELECT ts, gym_id, prediction FROM v_future""")
+WITH o AS (SELECT *, isodow(ts) - 1 AS dow, hour(ts) AS h FROM v_obs),
+b AS (SELECT gym_id, dow, h, avg(active_people) AS m, coalesce(stddev_samp(active_people), 0.0) AS sd FROM o GROUP BY ALL),
+g AS (SELECT gym_id, h, avg(active_people) AS m, coalesce(stddev_samp(active_people), 0.0) AS sd FROM o GROUP BY ALL)
+SELECT f.ts, f.gym_id, coalesce(b.m, g.m, a.m) AS profile_mean, coalesce(b.sd, g.sd, 8.0) AS profile_std
+FROM v_future f LEFT JOIN b ON b.gym_id = f.gym_id AND b.dow = isodow(f.ts) - 1 AND b.h = hour(f.ts)
+LEFT JOIN g ON g.gym_id = f.gym_id AND g.h = hour(f.ts) CROSS JOIN (SELECT avg(active_people) AS m FROM v_obs) a""")
 def join_profile_fallback(c):
-    return c.future().select("ts", "gym_id", "prediction")
+    """Mean and deviation of every future slot: (site, weekday, hour), else (site, hour), else the global mean and 8.0."""
+    rows = forecast.future_rows(c.obs(), HOLIDAYS, interval_minutes=20).select("ts", "gym_id", "day_of_week", "hour")
+    return forecast.profile_fallback(c.obs(), rows).select("ts", "gym_id", "profile_mean", "profile_std")
 
 
 @query("agg_entity_sizes", "SELECT gym_id, count(*) AS rows FROM v_obs GROUP BY gym_id ORDER BY rows DESC, gym_id LIMIT 1")

@@ -119,41 +119,47 @@ def set_union_registry(c):
     return _registry(c)
 
 
-RANKED_SQL = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY mae, family, model) AS rank FROM reg) WHERE rank <= 12"
+# a single site's rows are scored on that site alone: they are listed, but not ranked against pooled models
+RANKED_SQL = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY mae, family, model) AS rank FROM reg
+  WHERE dataset_scope <> 'single_gym') WHERE rank <= 12"""
+
+
+def _pooled(c):
+    return _registry(c).filter(F.col("dataset_scope") != "single_gym")
 
 
 @query("topk_registry", f"WITH {REGISTRY_SQL} {RANKED_SQL}", digits=6)
 def topk_registry(c):
     w = Window.partitionBy("target").orderBy("mae", "family", "model")
-    return _registry(c).withColumn("rank", F.row_number().over(w)).filter("rank <= 12")
+    return _pooled(c).withColumn("rank", F.row_number().over(w)).filter("rank <= 12")
 
 
 @query("ml_registry", f"""WITH {REGISTRY_SQL}
-SELECT *, row_number() OVER (PARTITION BY target ORDER BY mae, family, model) AS rank,
+SELECT *, row_number() OVER (PARTITION BY target, dataset_scope ORDER BY mae, family, model) AS rank,
   row_number() OVER (PARTITION BY target, family ORDER BY mae, model) AS family_rank FROM reg""", digits=6)
 def ml_registry(c):
-    """The whole registry in its report order: rank of every model among its target's and its family's."""
-    w = Window.partitionBy("target").orderBy("mae", "family", "model")
+    """The whole registry in its report order: rank of every model among its target's of the same scope and its family's."""
+    w = Window.partitionBy("target", "dataset_scope").orderBy("mae", "family", "model")
     f = Window.partitionBy("target", "family").orderBy("mae", "model")
     return _registry(c).withColumns({"rank": F.row_number().over(w), "family_rank": F.row_number().over(f)})
 
 
 @query("topk_best_model", f"""WITH {REGISTRY_SQL}
 SELECT target, arg_min(family, (mae, rmse, family, model)) AS family, arg_min(model, (mae, rmse, family, model)) AS model,
-  min(mae) AS mae, arg_min(rmse, (mae, rmse, family, model)) AS rmse FROM reg GROUP BY target""", digits=6)
+  min(mae) AS mae, arg_min(rmse, (mae, rmse, family, model)) AS rmse FROM reg WHERE dataset_scope <> 'single_gym' GROUP BY target""", digits=6)
 def topk_best_model(c):
     best = F.min_by(F.struct("family", "model", "mae", "rmse"), F.struct("mae", "rmse", "family", "model"))
-    return _registry(c).groupBy("target").agg(best.alias("b")).select("target", "b.*")
+    return _pooled(c).groupBy("target").agg(best.alias("b")).select("target", "b.*")
 
 
 @query("ml_research_deltas", f"""WITH {REGISTRY_SQL},
-occ AS (SELECT * FROM reg WHERE target = 'occupancy_people'),
+occ AS (SELECT * FROM reg WHERE target = 'occupancy_people' AND dataset_scope <> 'single_gym'),
 best AS (SELECT family, arg_min(model, (mae, rmse, model)) AS best_model, min(mae) AS best_mae FROM occ GROUP BY family),
 ref AS (SELECT max(CASE WHEN model = 'previous_observation' THEN mae END) AS base_mae FROM reg WHERE family = 'baseline')
 SELECT family, best_model, best_mae, best_mae - base_mae AS mae_delta_vs_previous,
   best_mae - (SELECT min(mae) FROM occ) AS mae_delta_vs_best FROM best CROSS JOIN ref""", digits=6)
 def ml_research_deltas(c):
-    reg = _registry(c).filter(F.col("target") == "occupancy_people")
+    reg = _pooled(c).filter(F.col("target") == "occupancy_people")
     best = reg.groupBy("family").agg(F.min_by("model", F.struct("mae", "rmse", "model")).alias("best_model"),
                                      F.min("mae").alias("best_mae"))
     ref = reg.filter(F.col("family") == "baseline").agg(
@@ -302,39 +308,41 @@ def set_template_expand(c):
     return MT.expand_sets(items).drop("sets")
 
 
+def _hash_sql(*parts):
+    return f"CAST('0x' || substr(md5({" || '|' || ".join(parts)}), 1, 8) AS BIGINT)"
+
+
+def _normal_sql(*parts):
+    u = [f"(({_hash_sql(repr(side), *parts)} + 0.5) / 4294967296.0)" for side in ("radius", "angle")]
+    return f"(sqrt(-2.0 * ln({u[0]})) * cos(2.0 * 3.141592653589793 * {u[1]}))"
+
+
 SCEN_SQL = f"""
 WITH s AS (SELECT gym_id, unnest(range(st, st + INTERVAL 7 DAY, INTERVAL 20 MINUTE)) AS ts FROM (SELECT DISTINCT gym_id FROM v_obs)
            CROSS JOIN (SELECT max(ts) + INTERVAL 20 MINUTE AS st FROM v_obs)),
-s2 AS (SELECT *, row_number() OVER (PARTITION BY gym_id ORDER BY ts) - 1 AS step, count(*) OVER (PARTITION BY gym_id) AS n FROM s),
-p AS (SELECT s2.*, coalesce(b.m, gh.m, a.m) AS mean FROM s2
-  LEFT JOIN (SELECT gym_id, isodow(ts) - 1 AS dow, hour(ts) AS h, avg(active_people) AS m FROM v_obs GROUP BY ALL) b
-    ON b.gym_id = s2.gym_id AND b.dow = isodow(s2.ts) - 1 AND b.h = hour(s2.ts)
-  LEFT JOIN (SELECT gym_id, hour(ts) AS h, avg(active_people) AS m FROM v_obs GROUP BY ALL) gh ON gh.gym_id = s2.gym_id AND gh.h = hour(s2.ts)
-  CROSS JOIN (SELECT avg(active_people) AS m FROM v_obs) a)
+o AS (SELECT *, isodow(ts) - 1 AS dow, hour(ts) AS h FROM v_obs),
+b AS (SELECT gym_id, dow, h, count(*) AS n, avg(active_people) AS m, coalesce(stddev_samp(active_people), 0.0) AS sd FROM o GROUP BY ALL),
+gh AS (SELECT gym_id, h, count(*) AS n, avg(active_people) AS m, coalesce(stddev_samp(active_people), 0.0) AS sd FROM o GROUP BY ALL),
+r AS (SELECT o.gym_id, o.dow, o.h, o.active_people - b.m AS r,
+        row_number() OVER (PARTITION BY o.gym_id, o.dow, o.h ORDER BY ts, seq) - 1 AS i,
+        row_number() OVER (PARTITION BY o.gym_id, o.h ORDER BY ts, seq) - 1 AS j FROM o JOIN b USING (gym_id, dow, h)),
+s2 AS (SELECT *, isodow(ts) - 1 AS dow, hour(ts) AS h, row_number() OVER (PARTITION BY gym_id ORDER BY ts) - 1 AS step,
+         count(*) OVER (PARTITION BY gym_id) AS steps, strftime(ts, '%Y-%m-%d %H:%M:%S') AS w FROM s),
+s3 AS (SELECT *, {_hash_sql("'residual'", "gym_id", "w", f"'{FC.SEED}'")} AS pick FROM s2),
+p AS (SELECT s3.*, coalesce(b.m, gh.m, a.m) AS mean, coalesce(b.sd, gh.sd, {FC.DEFAULT_PROFILE_STD}) AS sd,
+        pick % b.n AS i, CASE WHEN b.n IS NULL THEN pick % gh.n END AS j FROM s3
+  LEFT JOIN b ON b.gym_id = s3.gym_id AND b.dow = s3.dow AND b.h = s3.h
+  LEFT JOIN gh ON gh.gym_id = s3.gym_id AND gh.h = s3.h CROSS JOIN (SELECT avg(active_people) AS m FROM v_obs) a),
+d AS (SELECT p.*, coalesce(x.r, y.r, 0.0) AS r FROM p
+  LEFT JOIN r x ON x.gym_id = p.gym_id AND x.dow = p.dow AND x.h = p.h AND x.i = p.i
+  LEFT JOIN r y ON y.gym_id = p.gym_id AND y.h = p.h AND y.j = p.j)
 SELECT gym_id, ts, CASE WHEN {sql_in_dates('ts', HOLIDAYS.closed)} = 1 OR {sql_open('ts')} = 0 THEN 0
   ELSE CAST(round_even(least(greatest(mean * ({sql_multiplier('ts', HOLIDAYS)})
     * (CASE WHEN month(ts) IN (6, 7, 8) THEN 0.92 WHEN month(ts) IN (10, 11) THEN 1.05 ELSE 1.0 END)
-    * (1 + 0.004 * (step / greatest(1, n))), 0), 260), 0) AS BIGINT) END AS active_people FROM p"""
+    * (1 + 0.004 * {_normal_sql("'trend'", "gym_id", f"'{FC.SEED}'")} * (step / steps)) + r * 0.35
+    + {_normal_sql("'noise'", "gym_id", "w", f"'{FC.SEED}'")} * greatest(1.5, sd * 0.18), 0), 260), 0) AS BIGINT) END AS active_people FROM d"""
 
 
 @query("ml_scenario_projection", SCEN_SQL)
 def ml_scenario_projection(c):
-    from ..operators import joins, series
-    obs = c.obs()
-    start = obs.agg(FC.forecast_start(F.max("ts"), 20).alias("_s"))
-    g = obs.select("gym_id").distinct().crossJoin(F.broadcast(start))  # one-row start
-    grid = series.spine(g, F.col("_s"), F.col("_s") + F.make_dt_interval(F.lit(7)), 20).drop("_s")
-    w = Window.partitionBy("gym_id").orderBy("ts")
-    grid = grid.withColumns({"step": F.row_number().over(w) - 1, "n": F.count(F.lit(1)).over(Window.partitionBy("gym_id")),
-                             "day_of_week": cal.weekday("ts"), "hour": F.hour("ts")})
-    prof = obs.withColumns({"day_of_week": cal.weekday("ts"), "hour": F.hour("ts")})
-    by_slot = prof.groupBy("gym_id", "day_of_week", "hour").agg(F.avg("active_people").alias("m"))
-    by_gh = prof.groupBy("gym_id", "hour").agg(F.avg("active_people").alias("m"))
-    overall = prof.agg(F.avg("active_people").alias("m"))
-    p = joins.lookup_fallback(grid, [(["gym_id", "day_of_week", "hour"], by_slot, "m"), (["gym_id", "hour"], by_gh, "m"),
-                                     ([], overall, "m")], "mean")
-    trend = 1 + 0.004 * (F.col("step") / F.greatest(F.lit(1), F.col("n")))
-    v = F.col("mean") * cal.holiday_multiplier("ts", HOLIDAYS) * cal.season_factor("ts") * trend
-    val = F.bround(F.least(F.greatest(v, F.lit(0.0)), F.lit(260.0)), 0).cast("long")
-    closed = (cal.in_dates("ts", HOLIDAYS.closed) == 1) | (cal.business_open("ts") == 0)
-    return p.select("gym_id", "ts", F.when(closed, F.lit(0)).otherwise(val).alias("active_people"))
+    return FC.scenario_projection(c.obs(), HOLIDAYS)

@@ -204,8 +204,12 @@ tp AS (SELECT user_id, count(*) AS templates FROM v_templates GROUP BY user_id),
 a AS (SELECT user_id, count(unlocked_at) AS achievements_unlocked FROM ach GROUP BY user_id)
 SELECT a.user_id, coalesce(v.visits, 0) AS visits, coalesce(st.logged_sets, 0) AS logged_sets,
   coalesce(tp.templates, 0) AS templates, a.achievements_unlocked,
-  CASE WHEN coalesce(v.visits, 0) > 0 THEN v.off / v.visits * 100 ELSE 0.0 END AS off_peak_visit_share
-FROM a LEFT JOIN v USING (user_id) LEFT JOIN st USING (user_id) LEFT JOIN tp USING (user_id)"""
+  CASE WHEN coalesce(v.visits, 0) > 0 THEN v.off / v.visits * 100 ELSE 0.0 END AS off_peak_visit_share,
+  coalesce(r5.ids, '') AS recent_visits, coalesce(rs.ids, '') AS recent_workouts
+FROM a LEFT JOIN v USING (user_id)
+LEFT JOIN (SELECT user_id, string_agg(CAST(visit_id AS VARCHAR), ',' ORDER BY rn) AS ids FROM rv WHERE rn <= 5 GROUP BY user_id) r5 USING (user_id)
+LEFT JOIN (SELECT user_id, string_agg(CAST(set_id AS VARCHAR), ',' ORDER BY rn) AS ids FROM (SELECT user_id, set_id,
+  row_number() OVER (PARTITION BY user_id ORDER BY performed_at DESC, set_id DESC) AS rn FROM v_sets) WHERE rn <= 600 GROUP BY user_id) rs USING (user_id) LEFT JOIN st USING (user_id) LEFT JOIN tp USING (user_id)"""
 
 
 def _activity(c):
@@ -309,13 +313,15 @@ def mb_calendar(c):
 
 @query("mb_chat_sessions", """
 SELECT conv_id, count(*) AS messages, string_agg(role, '>' ORDER BY turn) AS roles,
-  sum(length(text)) AS chars, CAST(max(CASE WHEN role = 'system' THEN 1 ELSE 0 END) AS INTEGER) AS pinned
+  sum(length(text)) AS chars, CAST(max(CASE WHEN role = 'system' THEN 1 ELSE 0 END) AS INTEGER) AS pinned,
+  string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript
 FROM conversations GROUP BY conv_id""")
 def mb_chat_sessions(c):
     t = c.t("conversations")
     g = t.groupBy("conv_id").agg(F.count(F.lit(1)).alias("messages"),
-                                 F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("_r"),
+                                 F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("_r"),
                                  F.sum(F.length("text")).alias("chars"),
                                  F.max(F.when(F.col("role") == "system", 1).otherwise(0)).alias("pinned"))
     return g.select("conv_id", "messages", F.array_join(F.transform("_r", lambda x: x["role"]), ">").alias("roles"),
-                    "chars", "pinned")
+                    "chars", "pinned", F.array_join(F.transform("_r", lambda x: F.concat(x["role"], F.lit(": "), x["text"])), "\n")
+                    .alias("transcript"))

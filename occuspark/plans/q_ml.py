@@ -6,16 +6,23 @@ per-series AR(1) are SQL-expressible and carry oracles.
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..operators import aggregates as A
+from ..operators import boosting
+from ..operators import forecast as FC
+from ..operators import metric_store as MS
 from ..operators import ml as ML
 from ..operators import progression as P
 from ..operators import series
 from ..operators import weather as WX
+from ..session import ensure_checkpoint_dir
 from .registry import query
 from .views import HOLIDAYS
 
@@ -87,21 +94,18 @@ def ml_random_forest(c):
     return ML.fit_predict(train, test, ML.random_forest()).select("seq", "gym_id", "ts", "active_people", "prediction")
 
 
-GBT_ROUNDS = 40  # test setting; the reference's experiment uses 240 rounds (ML.gbt default)
-
-
 @query("ml_gbt")
 def ml_gbt(c):
     train, test = _tt(c)
-    return ML.fit_predict(train, test, ML.gbt(max_iter=GBT_ROUNDS)).select("seq", "gym_id", "ts", "active_people", "prediction")
+    return ML.boosted(train, test).select("seq", "gym_id", "ts", "active_people", F.col("p_all").alias("prediction"))
 
 
 @query("ml_experiment_board")
 def ml_experiment_board(c):
     train, test = _tt(c)
-    models = {"ridge_regression": _ridge(train), "random_forest": ML.random_forest(num_trees=60),
-              "gradient_boosting": ML.gbt(max_iter=GBT_ROUNDS)}
-    return ML.experiment_board(train, test, models)
+    board = ML.experiment_board(train, test, {"ridge_regression": _ridge(train), "random_forest": ML.random_forest()})
+    boosted = A.metrics(ML.boosted(train, test), ML.TARGET, "p_all").withColumn("model", F.lit("gradient_boosting"))
+    return board.unionByName(boosted)
 
 
 @query("agg_metrics_clipped_models")
@@ -111,15 +115,15 @@ def agg_metrics_clipped_models(c):
     return A.metrics(pred, ML.TARGET, "prediction", by=["gym_id"], clip=True)
 
 
+ABLATION_ROUNDS = 200  # fixed value: boosting rounds of the ablations
+
+
 @query("ml_ablation")
 def ml_ablation(c):
+    """The boosted model on each group of features, all groups fitted in one stage."""
     train, test = _tt(c)
-    out = None
-    for group, cols in ML.FEATURE_GROUPS.items():
-        pred = ML.fit_predict(train, test, _ridge(train), numeric=cols)
-        m = A.metrics(pred, ML.TARGET, "prediction").withColumn("feature_group", F.lit(group))
-        out = m if out is None else out.unionByName(m)
-    return out
+    pred = ML.boosted(train, test, ML.FEATURE_GROUPS, rounds=ABLATION_ROUNDS)
+    return A.metrics_multi(pred, {g: f"p_{g}" for g in ML.FEATURE_GROUPS}, ML.TARGET, model_col="feature_group")
 
 
 def _with_weather(c, df):
@@ -129,13 +133,12 @@ def _with_weather(c, df):
 
 @query("ml_weather_ablation")
 def ml_weather_ablation(c):
-    s = _with_weather(c, c.split())
+    s = c.materialize(_with_weather(c, c.split()))
     train, test = s.filter("is_train = 1"), s.filter("is_train = 0")
-    cov = WX.coverage(s).first()["matched_weather_rows"]
-    base = A.metrics(ML.fit_predict(train, test, _ridge(train)), ML.TARGET, "prediction").withColumn("feature_set", F.lit("base"))
-    wx = A.metrics(ML.fit_predict(train, test, _ridge(train), numeric=ML.NUMERIC + list(WX.WEATHER_FEATURES)),
-                   ML.TARGET, "prediction").withColumn("feature_set", F.lit("base_plus_weather"))
-    return base.unionByName(wx).withColumn("matched_weather_rows", F.lit(cov))
+    sets = {"base": ML.NUMERIC, "base_plus_weather": ML.NUMERIC + list(WX.WEATHER_FEATURES)}
+    pred = ML.boosted(train, test, sets, numeric=sets["base_plus_weather"], rounds=ABLATION_ROUNDS)
+    board = A.metrics_multi(pred, {g: f"p_{g}" for g in sets}, ML.TARGET, model_col="feature_set")
+    return board.crossJoin(F.broadcast(WX.coverage(s).select("matched_weather_rows")))  # one row
 
 
 @query("ml_supplement_diag")
@@ -145,12 +148,12 @@ def ml_supplement_diag(c):
     ext = _extended(c).withColumns({"seq": F.lit(None).cast("bigint"), "city": F.lit(None).cast("string"),
                                     "address": F.lit(None).cast("string")})
     feat = series.feature_table(ext, HOLIDAYS).withColumn("active_people", F.col("active_people").cast("double"))
-    sup = feat.filter("is_synthetic = 1").join(train.select("gym_id", "city", "address").distinct(), "gym_id") \
-              .drop("city", "address").join(train.select("gym_id", "city", "address").distinct(), "gym_id")
+    places = train.select("gym_id", "city", "address").distinct()
+    sup = feat.filter("is_synthetic = 1").drop("city", "address").join(places, "gym_id")
     both = train.unionByName(sup.select(*[x for x in train.columns if x in sup.columns]), allowMissingColumns=True)
-    real = A.metrics(ML.fit_predict(train, test, _ridge(train)), ML.TARGET, "prediction").withColumn("experiment", F.lit("real_only"))
-    mix = A.metrics(ML.fit_predict(both, test, _ridge(both)), ML.TARGET, "prediction").withColumn("experiment", F.lit("real_plus_supplement"))
-    return real.unionByName(mix)
+    boards = [A.metrics(ML.boosted(rows, test, rounds=ABLATION_ROUNDS, row_key=None), ML.TARGET, "p_all")
+              .withColumn("experiment", F.lit(name)) for name, rows in (("real_only", train), ("real_plus_supplement", both))]
+    return boards[0].unionByName(boards[1])
 
 
 @query("ml_series_ar_exog", """
@@ -173,19 +176,51 @@ def ml_series_ar_exog_multi(c):
     return A.metrics(pred, ML.TARGET, "prediction", by=["gym_id"])
 
 
+@query("ml_series_arma")
+def ml_series_arma(c):
+    """ARMA(2, 2) per site by two least-squares stages, scored on the holdout."""
+    pred = ML.arma_per_series(c.materialize(c.split().select("seq", "gym_id", "ts", ML.TARGET, "is_train")))
+    return A.metrics(pred.filter("is_train = 0"), ML.TARGET, "prediction", by=["gym_id"], clip=True)
+
+
+TOKENS = [ML.TARGET, *ML.NUMERIC]
+
+
+def _scaled_sql(c):
+    return (f"coalesce((CAST({c} AS DOUBLE) - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1.0 END, 0.0) AS {c}")
+
+
+TOKEN_SQL = f"""
+WITH st AS (SELECT {", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}" for c in TOKENS)}
+  FROM v_split WHERE is_train = 1),
+sc AS (SELECT seq, gym_id, row_number() OVER (PARTITION BY gym_id ORDER BY ts) AS rn, {", ".join(_scaled_sql(c) for c in TOKENS)}
+  FROM v_split CROSS JOIN st)
+SELECT a.seq, 13 - CAST(k AS BIGINT) AS step, {", ".join(f"b.{c}" for c in TOKENS)}
+FROM sc a CROSS JOIN (SELECT unnest(range(1, 13)) AS k) JOIN sc b ON b.gym_id = a.gym_id AND b.rn = a.rn - k WHERE a.rn > 12
+UNION ALL SELECT seq, 0, NULL, {", ".join(ML.NUMERIC)} FROM sc WHERE rn > 12"""
+
+
+@query("ml_token_tensors", TOKEN_SQL, digits=6)
+def ml_token_tensors(c):
+    """The sequence models' input, flattened: twelve token vectors (oldest first) and, as step 0, the context vector."""
+    w = ML.token_windows(c.split(), TOKENS, ML.NUMERIC)
+    first = F.concat(F.array(F.lit(None).cast("double")), "context")
+    steps = w.select("seq", F.posexplode(F.concat(F.array(first), "tokens")).alias("step", "v"))
+    return steps.select("seq", "step", *[F.col("v")[i].alias(x) for i, x in enumerate(TOKENS)])
+
+
 @query("ml_recursive_forecast")
 def ml_recursive_forecast(c):
-    train, _ = _tt(c)
-    feats = ["lag_1", "lag_4", "lag_96", "rolling_mean_4", "rolling_mean_16", "rolling_mean_96"]
-    tr = ML.as_double(train.dropna(subset=feats), [*feats, ML.TARGET])
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    lr = LinearRegression(featuresCol="f", labelCol=ML.TARGET, solver="normal").fit(
-        VectorAssembler(inputCols=feats, outputCol="f").transform(tr))
-    coef = {"intercept": float(lr.intercept), **{k: float(v) for k, v in zip(feats, lr.coefficients)}}  # 7 numbers
-    fut = c.future().select("gym_id", "ts", ((F.col("is_gym_closed_holiday") == 1) | (F.col("is_open_estimated") == 0))
-                            .alias("is_closed"))
-    return ML.recursive_forecast(c.obs(), fut, coef)
+    """The boosted model on the full feature row (calendar, holidays, lags, weather), step by step over seven days."""
+    s = c.materialize(_with_weather(c, c.split()))
+    train = s.filter("is_train = 1")
+    means = [f"{x}_mean" for x in ML.CATEGORICAL]
+    features = [*ML.NUMERIC, *WX.WEATHER_FEATURES, *means]
+    model = boosting.fit(boosting.target_means(train, train, ML.CATEGORICAL, ML.TARGET), features, ML.TARGET,
+                         row_key="seq")["all"]
+    ahead = _with_weather(c, FC.future_rows(c.obs(), HOLIDAYS))
+    ahead = boosting.target_means(train, ahead, ML.CATEGORICAL, ML.TARGET)
+    return ML.recursive_forecast(c.obs(), ahead, model)
 
 
 def _pg_tt(c):
@@ -205,20 +240,16 @@ PG_NUMERIC = ["set_index", "history_count", "latest_weight_kg", "latest_reps", "
 
 
 def _pg_models(c):
-    from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+    """Predictions of the supervised models for both targets: ``(model, target, rows)``."""
     if "pg_models" in c._cache:
         return c._cache["pg_models"]
     train, test = _pg_tt(c)
     out = []
     for target in ("weight_kg", "reps"):
-        tr = ML.as_double(train, [*PG_NUMERIC, target]).withColumnRenamed(target, "active_people")
-        te = ML.as_double(test, [*PG_NUMERIC, target]).withColumnRenamed(target, "active_people")
-        for name, est in (("ridge", LinearRegression(featuresCol="features", labelCol="active_people", regParam=0.01,
-                                                     elasticNetParam=0.0, solver="normal")),
-                          ("forest", RandomForestRegressor(featuresCol="features", labelCol="active_people", numTrees=60,
-                                                           maxDepth=8, minInstancesPerNode=3, seed=42))):
-            pred = ML.fit_predict(tr, te, est, numeric=PG_NUMERIC, categorical=["exercise"])
-            out.append((name, target, pred))
+        tr = ML.as_double(train, [*PG_NUMERIC, target]).withColumnRenamed(target, ML.TARGET)
+        te = ML.as_double(test, [*PG_NUMERIC, target]).withColumnRenamed(target, ML.TARGET)
+        for name, est in (("ridge", _ridge(tr)), ("forest", ML.random_forest(num_trees=240, max_depth=14, min_leaf=2))):
+            out.append((name, target, ML.fit_predict(tr, te, est, numeric=PG_NUMERIC, categorical=["exercise"])))
     c._cache["pg_models"] = out
     return out
 
@@ -227,28 +258,67 @@ def _pg_models(c):
 def pg_supervised(c):
     res = None
     for name, target, pred in _pg_models(c):
-        m = A.metrics(pred, "active_people", "prediction").select(F.lit(name).alias("model"), F.lit(target).alias("target"),
-                                                                  "rows", "mae", "rmse")
+        m = A.metrics(pred, ML.TARGET, "prediction").select(F.lit(name).alias("model"), F.lit(target).alias("target"),
+                                                            "rows", "mae", "rmse")
         res = m if res is None else res.unionByName(m)
     return res
 
 
 @query("pg_hybrid_select")
 def pg_hybrid_select(c):
-    """Best weight model + policy reps when the policy's reps are not worse; confidence from the score."""
-    rows = []
-    for name, target, pred in _pg_models(c):
-        rows.append((name, target, A.metrics(pred, "active_people", "prediction").first()["mae"]))
-    _, test = _pg_tt(c)
-    pol = test.agg(F.avg(F.abs(F.col("reps") - F.col("policy_reps"))).alias("m"),
-                   F.avg(((F.col("reps") >= F.col("policy_reps_min")) & (F.col("reps") <= F.col("policy_reps_max"))).cast("double"))
-                   .alias("hit")).first()
-    weight = min((r for r in rows if r[1] == "weight_kg"), key=lambda r: r[2])
-    reps = min((r for r in rows if r[1] == "reps"), key=lambda r: r[2])
-    use_policy = pol["m"] <= reps[2]
-    score = weight[2] + (pol["m"] if use_policy else reps[2]) * 2.0 - (pol["hit"] or 0.0)
-    conf = max(0.55, min(0.86, 1.0 - score / 25.0))
-    name = f"hybrid_{weight[0]}_weight_{'policy' if use_policy else reps[0]}_reps"
-    # A one-row summary of metrics already aggregated on the cluster (no data passes through the driver).
-    return c.spark.createDataFrame([(name, float(weight[2]), float(pol["m"] if use_policy else reps[2]), float(conf))],
-                                   "selected string, weight_mae double, reps_mae double, confidence double")
+    """Best weight model + policy reps when the policy's reps are not worse; confidence from the score.
+
+    The choice is an aggregate over the frame of metrics by (model, target) and the policy's own row.
+    """
+    best = [F.min(F.when(F.col("target") == t, F.struct("mae", "model"))).alias(t) for t in ("weight_kg", "reps")]
+    return P.hybrid_choice(pg_supervised(c).agg(*best), _pg_tt(c)[1])
+
+
+def _sequence_boosted(c):
+    """The boosted model on the twelve previous counts and the context, as the sequence models see them."""
+    lags = [f"seq_lag_{i}" for i in range(1, 13)]
+    rows = series.seq_lags(c.split().select("seq", "gym_id", "ts", ML.TARGET)).select("seq", *lags)
+    s = c.materialize(c.split().join(rows, "seq"))
+    pred = ML.boosted(s.filter("is_train = 1"), s.filter("is_train = 0"), numeric=lags + ML.CALENDAR + ML.HOLIDAY,
+                      rounds=ABLATION_ROUNDS)
+    return A.metrics(pred, ML.TARGET, "p_all")
+
+
+def _ar1(c):
+    pred = ML.ar1_per_series(*_tt(c)).filter(F.col("prediction").isNotNull())
+    return A.metrics(pred, ML.TARGET, "prediction", clip=True)
+
+
+def _arma(c):
+    pred = ML.arma_per_series(c.materialize(c.split().select("seq", "gym_id", "ts", ML.TARGET, "is_train")))
+    return A.metrics(pred.filter("is_train = 0"), ML.TARGET, "prediction", clip=True)
+
+
+#: Source of the registry -> its board of metrics and how its models are named.
+BOARDS = {
+    "baseline": (lambda c: FC.baseline_board(c.pred()), "model"),
+    "tabular_ml": (ml_experiment_board, "model"),
+    "feature_ablation": (ml_ablation, "feature_group"),
+    "sequence_boosted": (_sequence_boosted, None),
+    "statistical_exogenous": (_ar1, None),
+    "statistical_arma": (_arma, None),
+    "weather_ablation": (ml_weather_ablation, "feature_set"),
+    "synthetic_training_diagnostic": (ml_supplement_diag, "experiment"),
+    "training_progression": (lambda c: pg_supervised(c).filter("target = 'weight_kg'").drop("target"), "model"),
+}
+NAMES = {"sequence_boosted": "boosted_sequence_12", "statistical_exogenous": "ar1_per_gym", "statistical_arma": "arma_2_2_per_gym"}
+
+
+@query("ml_metric_registry")
+def ml_metric_registry(c):
+    """The registry over all nine metric sources: those that have no run of this data yet are evaluated and appended
+    to the shared store, then the last run of each is ranked."""
+    name = hashlib.sha256(c.sf_dir.encode()).hexdigest()[:16]
+    store = MS.MetricStore(c.spark, f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/model-metrics-{name}")
+    for family in store.missing():
+        board, label = BOARDS[family]
+        target = "next_set_weight_kg" if family == "training_progression" else "occupancy_people"
+        model = NAMES[family] if label is None else F.col(label)
+        run = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+        store.append(MS.metric_rows(board(c), family, model, target), run)
+    return MS.ranked(store.latest()).drop("run")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
+from ..operators import pruned as PR
 from ..operators import retrieval as RT
 from .registry import query
 
@@ -76,13 +77,13 @@ def _scored(c):
     return c._memo("scored", build)
 
 
-def _top(c):
-    return c._memo("top", lambda: RT.with_matched_terms(RT.top_k(_scored(c), 6), _post(c), bench_queries(c)))
+def _search(c):
+    return c._memo("search", lambda: PR.Search(corpus(c), bench_queries(c), INTENT_RULES, 6))
 
 
 def _ranks(c):
     rel = RT.contains_relevance(corpus(c), bench_queries(c), _post(c))
-    return RT.eval_ranks(_top(c), rel, bench_queries(c))
+    return RT.eval_ranks(_search(c).top(), rel, bench_queries(c))
 
 
 @query("fn_tokenize", f"""
@@ -114,7 +115,7 @@ def tx_intent_boost(c):
 
 @query("tx_topk", _w("SELECT query_id, rank, doc_id, source_type, title, score FROM top"))
 def tx_topk(c):
-    return _top(c).select("query_id", "rank", "doc_id", "source_type", "title", "score")
+    return _search(c).top().select("query_id", "rank", "doc_id", "source_type", "title", "score")
 
 
 @query("tx_eval_ranks", _w("SELECT * FROM ev"))
@@ -140,7 +141,8 @@ SELECT t.query_id, t.rank, t.doc_id, t.title, t.source_type, round(t.score, 4) A
     || array_to_string(t.matched_terms, ', ') || '. Content: ' || substr(d.text, 1, 900) AS context_line
 FROM top t JOIN documents d USING (doc_id)"""))
 def tx_citation(c):
-    t = _top(c).join(c.t("documents").select("doc_id", F.col("text").alias("_text")), "doc_id")
+    search = _search(c)
+    t = search.matched_terms(search.top()).join(c.t("documents").select("doc_id", F.col("text").alias("_text")), "doc_id")
     line = F.concat(F.lit("- ["), F.col("doc_id").cast("string"), F.lit("] "), F.col("title"), F.lit(". Source type: "),
                     F.col("source_type"), F.lit(". Matched terms: "), F.array_join("matched_terms", ", "),
                     F.lit(". Content: "), F.substring("_text", 1, 900))
@@ -191,7 +193,7 @@ SELECT text, item_id, name, score, matched_fields, rank FROM (
 def tx_field_topk(c):
     q = name_queries(c)
     lib = library(c)
-    top = RT.field_topk(RT.field_match(lib, q, FIELDS), lib, q, 5)
+    top = PR.field_search(lib, q, FIELDS, 5)
     return top.join(q, "query_id").select("text", "item_id", "name", "score", "matched_fields", "rank")
 
 
@@ -205,7 +207,7 @@ FROM top t JOIN part l ON l.p_partkey = t.item_id""")
 def tx_field_context(c):
     q = name_queries(c)
     lib = library(c)
-    top = RT.field_topk(RT.field_match(lib, q, FIELDS), lib, q, 5).join(q, "query_id")
+    top = PR.field_search(lib, q, FIELDS, 5).join(q, "query_id")
     p = c.t("part").select(F.col("p_partkey").alias("item_id"), "p_brand", "p_size")
     j = top.join(p, "item_id")
     diff = F.element_at(F.array(F.lit("Beginner"), F.lit("Intermediate"), F.lit("Advanced")), (F.col("p_size") % 3 + 1).cast("int"))

@@ -225,7 +225,7 @@ SELECT o_orderkey AS scheduled_id, o_custkey AS user_id,
        printf('gym_%03d', o_custkey // {USERS_PER_GYM} + 1) AS gym_id,
        'Session ' || CAST(o_orderkey AS VARCHAR) AS title, o_orderdate AS scheduled_at,
        CASE o_orderstatus WHEN 'O' THEN 'planned' WHEN 'F' THEN 'completed' ELSE 'skipped' END AS status,
-       o_totalprice / 1000.0 AS expected_people
+       o_totalprice / 1000.0 AS expected_people, lower(o_orderpriority) AS notes
 FROM orders
 """
 
@@ -415,7 +415,7 @@ class Ctx:
                         F.concat(F.lit("Session "), F.col("o_orderkey").cast("string")).alias("title"),
                         F.col("o_orderdate").alias("scheduled_at"),
                         F.when(st == "O", "planned").when(st == "F", "completed").otherwise("skipped").alias("status"),
-                        (F.col("o_totalprice") / 1000.0).alias("expected_people"))
+                        (F.col("o_totalprice") / 1000.0).alias("expected_people"), F.lower("o_orderpriority").alias("notes"))
 
     def library(self) -> DataFrame:
         p = self.t("part")

@@ -1,9 +1,11 @@
 import datetime as dt
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from occuspark.operators import series, topk
+from occuspark.operators import ordering, series, topk
 
 
 def _series(spark, n=150, gyms=("gym_001", "gym_002")):
@@ -61,7 +63,9 @@ def test_split_first_80_percent(spark):
 
 def test_global_row_number_is_a_total_order(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("k"))
-    out = series.global_row_number(df, "k", F.floor(F.col("k") / 100), "pos")
+    out = ordering.total_order(df, ["k"])
+    plan = out._jdf.queryExecution().toString()
+    assert "Window" not in plan
     got = sorted((r.k, r.pos) for r in out.collect())
     assert got == [(k, k + 1) for k in range(1000)]
 
@@ -125,3 +129,24 @@ def test_exact_quantiles_of_real_values(spark):
 def test_interval_without_gaps(spark):
     df = spark.createDataFrame([("g", None)], "gym_id string, ts timestamp_ntz")
     assert series.infer_interval(df).first()[0] == 20
+
+
+def test_keyed_quantiles_equal_numpy(spark):
+    rng = np.random.default_rng(4)
+    values = {"skew": rng.exponential(5, 30_000), "ties": rng.integers(0, 3, 20_000).astype(float), "one": np.array([4.0]),
+              "two": np.array([1.0, 2.0]), "same": np.full(9000, 7.0), "few": rng.normal(size=11), "far": np.r_[np.zeros(9000), 1e12]}
+    rows = [(k, float(v)) for k, vs in values.items() for v in vs] + [("few", None), (None, 3.0), (None, 5.0), ("none", None)]
+    df = spark.createDataFrame(rows, "key string, value double").repartition(7)
+    for q in (0.5, 0.8, 0.0, 1.0, 0.37):
+        for accuracy in (2000, 100):
+            got = {r.key: r.quantile for r in ordering.keyed_quantiles(df, q, accuracy=accuracy).collect()}
+            assert got.keys() == values.keys() | {None} and abs(got.pop(None) - (3 + 2 * q)) < 1e-9
+            for k, v in got.items():
+                assert v == pytest.approx(np.quantile(values[k], q), rel=1e-12, abs=1e-12)
+
+
+def test_total_order_with_ties_and_no_rows(spark):
+    df = spark.range(500).select((F.col("id") % 5).alias("k"), "id").repartition(9)
+    out = [(r.pos, r.k) for r in ordering.total_order(df, ["k"]).collect()]
+    assert [k for _, k in sorted(out)] == sorted(k for _, k in out) and sorted(p for p, _ in out) == list(range(1, 501))
+    assert ordering.total_order(df.limit(0), ["k"]).collect() == []
