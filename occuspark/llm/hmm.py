@@ -553,7 +553,9 @@ def expected_counts(model: Trained) -> DataFrame:
         out.append((-1 - int(row["chunk"] % 61 + row["chunk"] // 2 ** 32) % 64, 0, b"", edge.tobytes()))
         return framed(out, schema)
 
-    each = model.chunks.groupBy("chunk").cogroup(model.handed(False).groupBy("of_chunk")).applyInPandas(expect, schema)
+    each = cut_lineage(model.chunks.groupBy("chunk").cogroup(model.handed(False).groupBy("of_chunk"))
+                       .applyInPandas(expect, schema))
+    release(model.chunks.sparkSession)
 
     def add(counts: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         names = ["shard", "size", "c", "e", "sums"]
