@@ -55,7 +55,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
         self.recent: list[dict[str, bytes]] = [{}, {}]
         self.marks = {c: int(np.frombuffer(self._ids([c])[0], "<u4")[0]) for c in ".,"}
         self.between = int(np.frombuffer(self._ids([BETWEEN])[0], "<u4")[0])
@@ -90,13 +90,9 @@ class WordEncoder:
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; every distinct word of the texts is looked up once."""
         alone = {i for i, t in enumerate(texts) if any(c in t for c in SEPARATORS)}
-        words: list[str] = []
-        ends = np.zeros(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            if i not in alone:
-                words += t.split()
-            ends[i] = len(words)
-        coded = pa.array(words, pa.string()).dictionary_encode()
+        words = pc.utf8_split_whitespace(pa.array(["" if i in alone else t for i, t in enumerate(texts)], pa.large_string()))
+        ends = np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64))
+        coded = words.flatten().cast(pa.string()).dictionary_encode()  # with empty ones before and after white space
         key, tail, begin, size, flat = self._looked_up(coded.dictionary)
         at = coded.indices.to_numpy()
         of, mark = key[at], tail[at]
@@ -123,7 +119,7 @@ class WordEncoder:
             tail[pc.and_(latin, pc.ends_with(words, c)).to_numpy(zero_copy_only=False).astype(bool)] = k
         small = pc.and_(pc.string_is_ascii(bare), pc.invert(pc.match_substring(bare, "<|")))
         keys = pc.if_else(small, pc.ascii_lower(bare), bare).dictionary_encode()
-        distinct = keys.dictionary.to_pylist()
+        distinct = keys.dictionary.to_numpy(zero_copy_only=False).tolist()  # many times faster than to_pylist
         ids = list(map(self.known.get, distinct))
         gaps = [i for i, x in enumerate(ids) if x is None]
         if gaps:
@@ -139,7 +135,7 @@ class WordEncoder:
         ids = [recent.get(w) or older.get(w) for w in words]
         self.known.update((w, x) for w, x in zip(words, ids, strict=True) if x is not None and len(w) <= LONGEST_CACHED)
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+            self.known = {"": b""}
         gaps = [i for i, x in enumerate(ids) if x is None]
         new = [words[i] for i in gaps]
         if len(recent) > CACHE_WORDS // 4:
