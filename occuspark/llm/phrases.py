@@ -58,7 +58,7 @@ class LocalWords:
     def encode(self, words: list[bytes]) -> np.ndarray:
         coded = pa.array(words, pa.binary()).dictionary_encode()
         ids = self.ids
-        here = np.fromiter((ids.setdefault(w, len(ids)) for w in coded.dictionary.to_pylist()), np.int32,
+        here = np.fromiter((ids.setdefault(w, len(ids)) for w in coded.dictionary.to_numpy(zero_copy_only=False)), np.int32,
                            len(coded.dictionary))
         return here[coded.indices.to_numpy()] if len(here) else np.zeros(0, np.int32)
 
