@@ -28,7 +28,7 @@ from .common import cut_lineage, documents_of, sub_blocks, trim
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Words kept with their ids in a worker process.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 200_000
 #: Characters of texts that are encoded together.
 SLICE_CHARS = 2_000_000
 LONGEST_CACHED = 48
@@ -36,8 +36,6 @@ LONGEST_CACHED = 48
 LATIN = "^[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u01ba\u01bc-\u01bf\u01c4-\u024f]+[.,]?$"
 #: A word that stands between words encoded together; words that hold it are encoded alone.
 BETWEEN = "~"
-#: White space for ``str.split`` that the tokenizer does not treat as such.
-SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
 class WordEncoder:
@@ -85,12 +83,12 @@ class WordEncoder:
         return [flat[4 * a:4 * b] for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True)]
 
     def encode(self, text: str) -> bytes:
-        return self.encode_many([text])[0].tobytes()
+        return self.encode_many(pa.array([text], pa.string()))[0].tobytes()
 
-    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; every distinct word of the texts is looked up once."""
-        alone = {i for i, t in enumerate(texts) if any(c in t for c in SEPARATORS)}
-        words = pc.utf8_split_whitespace(pa.array(["" if i in alone else t for i, t in enumerate(texts)], pa.large_string()))
+    def encode_many(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text (a string array without nulls); every distinct word of the texts is looked up once."""
+        odd = pc.match_substring_regex(texts, "[\x1c-\x1f]")
+        words = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
         ends = np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64))
         coded = words.flatten().cast(pa.string()).dictionary_encode()  # with empty ones before and after white space
         key, tail, begin, size, flat = self._looked_up(coded.dictionary)
@@ -105,8 +103,8 @@ class WordEncoder:
         marked = np.flatnonzero(mark >= 0)
         out[after[marked] - 1] = mark[marked]
         parts = np.split(out, np.r_[0, after][ends][:-1])
-        for i in alone:
-            parts[i] = np.frombuffer(self._ids([texts[i]])[0], "<u4")
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False).astype(bool)).tolist():
+            parts[i] = np.frombuffer(self._ids([texts[i].as_py()])[0], "<u4")
         return parts
 
     def _looked_up(self, words: pa.Array) -> tuple[np.ndarray, ...]:
@@ -156,27 +154,30 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, e
     end = np.asarray([end_id], dtype="<u4").tobytes()
     step = 4 * max_tokens
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * keep_ids
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.of_process(tokenizer_path)
         for batch in batches:
-            rows, texts, docs_of = [], batch["text"].tolist(), batch["doc_id"].tolist()
-            chars = np.cumsum([len(t) for t in texts]) // SLICE_CHARS
-            for group in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(chars)) + 1):
-                if not len(group):
-                    continue
-                for i, got in zip(group.tolist(), encoder.encode_many([texts[i] for i in group]), strict=True):
+            docs_of, texts = batch.column(0).to_pylist(), batch.column(1)
+            chars = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False)) // SLICE_CHARS
+            ends = [*(np.flatnonzero(np.diff(chars)) + 1).tolist(), len(texts)]
+            for a, b in zip([0, *ends], ends, strict=False):
+                rows = []
+                for doc, got in zip(docs_of[a:b], encoder.encode_many(texts.slice(a, b - a)), strict=True):
                     ids = got.tobytes() + end
-                    doc = None if pd.isna(docs_of[i]) else int(docs_of[i])
                     for k, at in enumerate(range(0, len(ids), step)):
                         part = ids[at:at + step]
                         row = (doc, k, at // 4, len(part) // 4, zlib.crc32(part))
                         rows.append((*row, part) if keep_ids else row)
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                                     names=names)
+        encoder.recent = [{}, {}]
         trim()
 
-    return documents_of(docs).mapInPandas(cut, PIECES + ", ids binary" * keep_ids)
+    return documents_of(docs).mapInArrow(cut, PIECES + ", ids binary" * keep_ids)
 
 
 def candidate_patterns(counts: np.ndarray, size: int, pivots: int = 48) -> list[tuple[int, ...]]:
