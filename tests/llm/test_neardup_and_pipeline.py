@@ -184,3 +184,13 @@ def test_va_file_query_against_its_sql(spark):
     want = duckdb.sql(queries.ORACLES["op2_va_file"]).df()[got.columns]
     key = ["query_id", "rank"]
     assert (got.sort_values(key).to_numpy() == want.sort_values(key).to_numpy()).all()
+
+
+def test_repeated_rows_leave_one_of_each_class(spark):
+    long_text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, long_text, "a"), (1, long_text, "a"), (2, long_text, "b"), (None, "no id", "c"), (None, "no id", "c"),
+            (None, None, "c"), (3, "b b", "x"), (3, "a a", "y"), (4, None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, keep string")
+    out = [tuple(r) for r in neardup.representatives(docs).collect()]
+    assert sorted(out, key=str) == sorted([(1, long_text, "a"), (None, "no id", "c"), (None, None, "c"), (3, "a a", "y"),
+                                           (4, None, "z")], key=str)
