@@ -28,9 +28,9 @@ from .common import cut_lineage, documents_of, sub_blocks, trim
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Words kept with their ids in a worker process.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 #: Characters of texts that are encoded together.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 4_000_000
 LONGEST_CACHED = 48
 #: Latin letters, and the mark that may follow them; none of these turns into another by the tokenizer's folding.
 LATIN = "^[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u01ba\u01bc-\u01bf\u01c4-\u024f]+[.,]?$"
@@ -136,7 +136,7 @@ class WordEncoder:
             self.known = {"": b""}
         gaps = [i for i, x in enumerate(ids) if x is None]
         new = [words[i] for i in gaps]
-        if len(recent) > CACHE_WORDS // 4:
+        if len(recent) > CACHE_WORDS // 6:
             self.recent = [{}, recent]
         for i, w, x in zip(gaps, new, self._word_ids(new) if new else [], strict=True):
             ids[i] = x
@@ -174,7 +174,6 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, e
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
                                                      names=names)
-        encoder.recent = [{}, {}]
         trim()
 
     return documents_of(docs).mapInArrow(cut, PIECES + ", ids binary" * keep_ids)
