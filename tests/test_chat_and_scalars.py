@@ -67,3 +67,12 @@ def test_every_empty_message_is_an_issue(spark):
     m = [("system", "s"), ("user", " \n\t"), ("assistant", "")]
     ex = spark.createDataFrame([(1, "t", m)], "conv_id long, task string, messages array<struct<role:string,text:string>>")
     assert [r.issue for r in _issues_spark(ex).collect()] == ["all messages need non-empty content"] * 2
+
+
+def test_strip_takes_white_space_off_both_ends_without_a_regular_expression(spark):
+    spaces = [chr(i) for i in range(0x3001) if chr(i).isspace()]
+    texts = ["", " ", "a", "a b", "x\n", "\n\n x \u2028", "\u200bz\u200b", "é\u3000", *[s + "a" + s + "b" + s for s in spaces], "".join(spaces)]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select("t", S.py_strip("t").alias("s"))
+    got = df.collect()
+    assert [r["s"] for r in got] == [None if r["t"] is None else r["t"].strip() for r in got]
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
