@@ -88,6 +88,20 @@ def test_groups_far_over_a_bucket(spark):
     assert out.class_id.nunique() == 1 and out.is_representative.sum() == 1
 
 
+def test_bucket_mates_of_different_classes_make_each_pair_once(spark):
+    rng, o = random.Random(6), neardup.Options()
+    root = {i: rng.choice([i, 0, 1]) for i in range(60)}
+    buckets = {(b, 100 * b + k): rng.sample(range(60), 25) for b in range(6) for k in range(2)}
+    rows = [(b, key, i, root[i], root[i] != 0, rng.random() < 0.6) for (b, key), ids in buckets.items() for i in ids]
+    able = spark.createDataFrame([(i, [1] * o.samples, [2] * 8, 5.0, 5.0, 1) for i in range(60)],
+                                 "id long, sig array<tinyint>, fine array<tinyint>, weight double, common double, score long")
+    some = spark.createDataFrame(rows, "band int, key long, id long, root long, minor boolean, near boolean")
+    want = {(min(x[2], y[2]), max(x[2], y[2])) for x in rows for y in rows
+            if x[:2] == y[:2] and x[4] and y[5] and x[3] != y[3]}
+    got = [tuple(r) for r in neardup.pairs_between(some, able, o, neardup.Options(bands=2, rows=4)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_isolated_pairs_near_the_threshold_are_found(spark):
     rng, rows = np.random.default_rng(4), []
     for i in range(2000):  # pairs of similarity 0.81 that no third text links
