@@ -28,9 +28,9 @@ from .common import cut_lineage, documents_of, sub_blocks, trim
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Words kept with their ids in a worker process.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 #: Characters of texts that are encoded together.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 400_000
 LONGEST_CACHED = 48
 #: Latin letters, and the mark that may follow them; none of these turns into another by the tokenizer's folding.
 LATIN = "^[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u01ba\u01bc-\u01bf\u01c4-\u024f]+[.,]?$"

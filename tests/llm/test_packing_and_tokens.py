@@ -57,6 +57,16 @@ def test_table_of_words_may_fill_up(monkeypatch, tokenizer):
     assert len(enc.known) <= 5
 
 
+def test_texts_are_encoded_in_small_slices(spark, tokenizer, monkeypatch):
+    """A worker holds the words of a small slice at a time; slices change no id."""
+    assert packing.SLICE_CHARS <= 500_000 and packing.CACHE_WORDS <= 200_000
+    docs = spark.createDataFrame([(i, f"Word {i} of some, text. " * (i % 7)) for i in range(50)], "doc_id long, text string")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = sorted(map(tuple, packing.token_pieces(docs, path).collect()))
+    monkeypatch.setattr(packing, "SLICE_CHARS", 40)
+    assert sorted(map(tuple, packing.token_pieces(docs, path).collect())) == whole
+
+
 def test_pack_against_direct_encoding(spark, tokenizer):
     out = packing.pack(spark.createDataFrame(ROWS, SCHEMA), WORDS, max_tokens=256).toPandas()
     assert out.columns.tolist() == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
