@@ -132,11 +132,11 @@ def deal(children: DataFrame, parent: list[str], child: str) -> DataFrame:
     few seats; those go to the highest next quotients, or are taken back from the
     lowest last ones.
     """
-    total = children.groupBy(*parent).agg(F.sum("size").alias("of"))
+    whole = Window.partitionBy(*parent)
     share = F.when(F.col("of") > 0, F.col("blocks") * F.col("size") / F.col("of")).otherwise(F.lit(0.0))
-    rounded = children.join(total, parent).withColumn("share", share).withColumn("seats", F.floor(F.col("share") + 0.5))
-    given = rounded.groupBy(*parent).agg(F.sum("seats").alias("given"))
-    rounded = rounded.join(given, parent).withColumn("missing", F.col("blocks") - F.col("given"))
+    rounded = (children.withColumn("of", F.sum("size").over(whole)).withColumn("share", share)
+               .withColumn("seats", F.floor(F.col("share") + 0.5))
+               .withColumn("missing", F.col("blocks") - F.sum("seats").over(whole)))
     up = Window.partitionBy(*parent).orderBy((F.col("share") / (2 * F.col("seats") + 1)).desc(), F.col(child))
     down = Window.partitionBy(*parent).orderBy(
         F.when(F.col("seats") > 0, F.col("share") / (2 * F.col("seats") - 1)).asc_nulls_last(), F.col(child))
@@ -150,10 +150,12 @@ def shard_quotas(seeded: DataFrame, block: int, most: int, per_group: int = 1000
     """Words each (source, shard) gives.
 
     The source's blocks are dealt to groups of ``per_group`` shards, and each
-    group's to its shards, so no window holds all shards of a source.
+    group's to its shards, so no window holds all shards of a source.  Both deals
+    start from one written row a shard, so that their plan, which the driver holds,
+    does not repeat the documents' sums.
     """
-    shard = (seeded.groupBy("k", "shard").agg(F.sum("size").alias("size"), F.first("quota").alias("quota"))
-             .withColumn("g", F.floor(F.col("shard") / per_group).cast("int")))
+    shard = cut_lineage(seeded.groupBy("k", "shard").agg(F.sum("size").alias("size"), F.first("quota").alias("quota"))
+                        .withColumn("g", F.floor(F.col("shard") / per_group).cast("int")))
     group = shard.groupBy("k", "g").agg(F.sum("size").alias("size"), F.floor(F.first("quota") / block).alias("blocks"))
     given = deal(group, ["k"], "g").select("k", "g", "blocks")
     dealt = deal(shard.drop("quota").join(given, ["k", "g"]), ["k", "g"], "shard")

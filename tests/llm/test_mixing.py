@@ -74,3 +74,10 @@ def test_group_deal_keeps_the_parents_blocks(spark):
     rows = [(0, i, int(10 + i % 7), 500) for i in range(90)] + [(1, i, 3, 2) for i in range(5)]
     got = mixing.deal(spark.createDataFrame(rows, "k int, shard int, size long, blocks long"), ["k"], "shard").toPandas()
     assert got[got.k == 0].blocks.sum() == 500 and got[got.k == 1].blocks.sum() == 2
+
+
+def test_plan_does_not_repeat_the_sums(spark):
+    rows = [(i, "w " * (i % 9), "abc"[i % 3]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.copies(docs)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange", plan)) <= 12

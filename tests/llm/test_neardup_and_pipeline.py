@@ -208,3 +208,11 @@ def test_repeated_rows_leave_one_of_each_class(spark):
     out = [tuple(r) for r in neardup.representatives(docs).collect()]
     assert sorted(out, key=str) == sorted([(1, long_text, "a"), (None, "no id", "c"), (None, None, "c"), (3, "a a", "y"),
                                            (4, None, "z")], key=str)
+
+
+def test_representatives_do_not_plan_the_classes_twice(spark):
+    docs = spark.createDataFrame([(i, f"some words {i // 2}") for i in range(12)], "doc_id long, text string")
+    kept = neardup.representatives(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("Exchange", plan)) <= 10
+    assert kept.count() == 6
