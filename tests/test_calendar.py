@@ -65,3 +65,14 @@ def test_hour_floor_keeps_ntz(spark):
     df = _df(spark, ["2026-05-20 10:47:13"]).select(cal.hour_floor("ts").alias("h"))
     assert df.schema["h"].dataType.simpleString() == "timestamp_ntz"
     assert df.first().h == dt.datetime(2026, 5, 20, 10, 0)
+
+
+def test_a_union_without_the_time_column_has_constraints(spark):
+    start = F.lit("2026-01-03 10:00:00").cast("timestamp_ntz")
+    rows = spark.range(2).select((start + F.make_dt_interval(F.col("id").cast("int"))).alias("ts"))
+    days = rows.withColumn("days", cal.holiday_distance("ts", REF_2026.major)).checkpoint().select("days")
+    both = days.unionByName(days)  # a lambda over the dates hid ``ts`` here: key not found
+    assert both._jdf.queryExecution().optimizedPlan().constraints().size() >= 0
+    assert sorted(r.days for r in both.collect()) == [2, 2, 3, 3]
+    one = rows.select(cal.holiday_distance("ts", sorted(REF_2026.major)[:1]).alias("days")).collect()
+    assert [r.days for r in one] == [2, 3]
